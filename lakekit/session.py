@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +65,20 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str):
+    """Session settings (double underscores for dots) for the duration of a block, then as before."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 class Tables:
     """Lazy access to the tables of one data folder: ``Tables(spark, path).orders``."""
 

@@ -34,23 +34,25 @@ def append_to(df: DataFrame, path: str, checkpoint: str, partition_by: list[str]
     return run_to_end(writer.option("path", path))
 
 
-def _each(df: DataFrame, mode: str, checkpoint: str, table: SnapshotTable, apply: Callable[[DataFrame, str], None]):
+def _each(
+    df: DataFrame, mode: str, checkpoint: str, table: SnapshotTable, apply: Callable[[DataFrame, str], None], app: str
+):
     def step(batch: DataFrame, number: int) -> None:
-        # a replayed batch has the same number and is already in the table's log
-        if not table.has_batch(f"stream {number}"):
-            apply(batch, f"stream {number}")
+        # a replayed batch has the same number and is already in the table's log; ``app`` tells writers apart
+        if not table.has_batch(f"{app} {number}"):
+            apply(batch, f"{app} {number}")
 
     return run_to_end(df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(step))
 
 
-def replace_table(df: DataFrame, table: SnapshotTable, checkpoint: str) -> StreamingQuery:
+def replace_table(df: DataFrame, table: SnapshotTable, checkpoint: str, app: str = "stream") -> StreamingQuery:
     """Complete-mode aggregation: every batch publishes the whole result as the table's next version."""
-    return _each(df, "complete", checkpoint, table, lambda b, name: table.publish(b, "complete", batch=name))
+    return _each(df, "complete", checkpoint, table, lambda b, name: table.publish(b, "complete", batch=name), app)
 
 
 def upsert_table(
     df: DataFrame, table: SnapshotTable, checkpoint: str, keys: list[str], clauses: list[When],
-    prepare: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append",
+    prepare: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append", app: str = "stream",
 ) -> StreamingQuery:
     """Merge every batch into the table, each exactly once. ``prepare`` makes a batch unique per key (totals, last
     values) before the merge."""
@@ -62,7 +64,7 @@ def upsert_table(
         else:
             table.publish(source, "merge", batch=name)
 
-    return _each(df, mode, checkpoint, table, apply)
+    return _each(df, mode, checkpoint, table, apply, app)
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:

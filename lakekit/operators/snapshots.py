@@ -55,9 +55,10 @@ class SnapshotTable:
     def has_batch(self, batch: str) -> bool:
         return not self._log().where(F.col("batch") == batch).isEmpty()
 
-    def _record(self, operation: str, schema: StructType, paths: list[str], metrics: dict, batch: str | None) -> int:
-        last = self.version()
-        number = 0 if last is None else last + 1
+    def _record(
+        self, operation: str, schema: StructType, paths: list[str], metrics: dict, batch: str | None, last: Row | None
+    ) -> int:
+        number = 0 if last is None else last["version"] + 1
         now = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%S.%f")
         row = (number, now, operation, json.dumps(metrics), batch, schema.json(), paths)
         self.spark.createDataFrame([row], _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
@@ -96,10 +97,10 @@ class SnapshotTable:
         """Make ``df`` the whole content of the next version; a ``batch`` seen before changes nothing."""
         if batch is not None and self.has_batch(batch):
             return None
-        current = self.schema()
-        if current is not None and not overwrite_schema:
-            df = enforce_schema(df, current)
-        return self._record(operation, df.schema, [self._write(df)], metrics or {}, batch)
+        last = self._entry()
+        if last is not None and not overwrite_schema:
+            df = enforce_schema(df, StructType.fromJson(json.loads(last["schema"])))
+        return self._record(operation, df.schema, [self._write(df)], metrics or {}, batch, last)
 
     def append(self, df: DataFrame, merge_schema: bool = False, batch: str | None = None) -> int | None:
         """Add rows: the next version lists the old folders and one new folder, nothing is rewritten."""
@@ -107,11 +108,11 @@ class SnapshotTable:
             return None
         entry = self._entry()
         if entry is None:
-            return self.publish(df, "append", batch=batch)
+            return self._record("append", df.schema, [self._write(df)], {}, batch, None)
         current = StructType.fromJson(json.loads(entry["schema"]))
         schema = evolve_schema(current, df.schema) if merge_schema else current
         rows = conform(df, schema) if merge_schema else enforce_schema(df, schema)
-        return self._record("append", schema, [*entry["paths"], self._write(rows)], {}, batch)
+        return self._record("append", schema, [*entry["paths"], self._write(rows)], {}, batch, entry)
 
     def alter(self, schema: StructType, columns: dict[str, str], operation: str = "alter") -> int:
         """Publish with changed columns: ``columns`` maps each new name to an expression over the old row."""
@@ -123,7 +124,8 @@ class SnapshotTable:
         entry = self._entry(version)
         if entry is None:
             raise ValueError(f"no version {version}")
-        return self._record(f"restore {version}", StructType.fromJson(json.loads(entry["schema"])), entry["paths"], {}, None)
+        schema = StructType.fromJson(json.loads(entry["schema"]))
+        return self._record(f"restore {version}", schema, entry["paths"], {}, None, self._entry())
 
     def clone(self, path: str, shallow: bool = False, version: int | None = None) -> SnapshotTable:
         """Deep clone copies the data; a shallow one points at this table's folders and breaks if they are removed."""
@@ -133,7 +135,7 @@ class SnapshotTable:
             raise ValueError("nothing to clone")
         if shallow:
             schema = StructType.fromJson(json.loads(entry["schema"]))
-            other._record("shallow clone", schema, entry["paths"], {}, None)
+            other._record("shallow clone", schema, entry["paths"], {}, None, other._entry())
         else:
             other.publish(self.read(entry["version"]), "clone")
         return other

@@ -8,6 +8,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakekit.session import small_rows
+
 _ENTRY = "task STRING, attempt BIGINT, status STRING, message STRING, rows BIGINT, started_at STRING, ended_at STRING"
 
 
@@ -17,8 +19,9 @@ class AuditLog:
 
     def add(self, task: str, attempt: int, status: str, message: str = "", rows: int = 0, started_at: str = "") -> None:
         now = datetime.datetime.now(datetime.UTC).isoformat()
-        row = (task, attempt, status, message, rows, started_at or now, now)
-        self.spark.createDataFrame([row], _ENTRY).coalesce(1).write.mode("append").json(self.path)
+        row = {"task": task, "attempt": attempt, "status": status, "message": message, "rows": rows,
+               "started_at": started_at or now, "ended_at": now}
+        small_rows(self.spark, [row], _ENTRY).write.mode("append").json(self.path)
 
     @contextmanager
     def attempt(self, task: str, attempt: int, swallow: bool = False) -> Iterator[dict]:

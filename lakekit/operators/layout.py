@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,8 +116,6 @@ def compact(table: SnapshotTable, target_bytes: int = 128 * MB) -> dict:
 
 def cluster_new(table: SnapshotTable, columns: list[str], target_bytes: int = 128 * MB) -> dict:
     """Cluster only the folders that earlier calls have not clustered; those written before stay untouched."""
-    import json
-
     entry = table._entry()
     last = [json.loads(r["metrics"]).get("clustered", []) for r in table._log().where("operation = 'cluster'").orderBy(F.desc("version")).limit(1).collect()]
     done = set(last[0]) if last else set()

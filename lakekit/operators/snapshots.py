@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakekit.operators.tables import conform, enforce_schema, evolve_schema
+from lakekit.session import small_rows
 
 _LOG = "version BIGINT, published_at STRING, operation STRING, metrics STRING, batch STRING, schema STRING, paths ARRAY<STRING>"
 
@@ -60,8 +61,11 @@ class SnapshotTable:
     ) -> int:
         number = 0 if last is None else last["version"] + 1
         now = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%S.%f")
-        row = (number, now, operation, json.dumps(metrics), batch, schema.json(), paths)
-        self.spark.createDataFrame([row], _LOG).coalesce(1).write.mode("append").json(f"{self.path}/log")
+        row = {
+            "version": number, "published_at": now, "operation": operation, "metrics": json.dumps(metrics),
+            "batch": batch, "schema": schema.json(), "paths": paths,
+        }
+        small_rows(self.spark, [row], _LOG).write.mode("append").json(f"{self.path}/log")
         return number
 
     # ---- reads

@@ -120,7 +120,7 @@ WITH l AS (SELECT event_id // 500 AS update_id, ts AS happened_at, event_type AS
 SELECT update_id, flow, CAST(sum(rows) AS BIGINT) AS rows FROM l WHERE update_id = (SELECT max_by(update_id, happened_at) FROM l) GROUP BY ALL
 """)
 def m7_latest_update_rows(t: Tables) -> DataFrame:
-    log = t.events.selectExpr("event_id DIV 500 AS update_id", "ts AS at", "event_type AS flow", "user_id AS rows")
+    log = t.events.selectExpr("event_id DIV 500 AS update_id", "ts AS happened_at", "event_type AS flow", "user_id AS rows")
     return ob.latest_update_rows(log, at="happened_at")
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -65,6 +68,16 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_rows(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
+    """A few metadata rows as a one-partition frame, built in the JVM from one literal."""
+    listed = F.from_json(F.lit(json.dumps(rows)), f"ARRAY<STRUCT<{', '.join(_fields(ddl))}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(listed))
+
+
+def _fields(ddl: str) -> list[str]:
+    return [f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(ddl).fields]
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str):
     """Session settings (double underscores for dots) for the duration of a block, then as before."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakekit.operators.snapshots import SnapshotTable
+from lakekit.session import small_rows
 from lakekit.sources.files import list_files
 
 _LEDGER = "path STRING, batch STRING"
@@ -101,8 +102,8 @@ class Loader:
         return {"files": len(paths), "skipped": skipped, "rows": seen.get["rows"], "version": version}
 
     def _note(self, paths: list[str], batch: str) -> None:
-        rows = self.spark.createDataFrame([(p, batch) for p in paths], _LEDGER)
-        rows.coalesce(1).write.mode("append").parquet(self._ledger_path)
+        rows = small_rows(self.spark, [{"path": p, "batch": batch} for p in paths], _LEDGER)
+        rows.write.mode("append").parquet(self._ledger_path)
 
     def ignore_existing(self, path: str | list[str], pattern: str | None = None) -> None:
         """Start from now on: the files already there count as loaded. Needs a known schema for the empty table."""

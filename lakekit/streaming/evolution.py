@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -10,6 +12,7 @@ from pyspark.sql.types import (
 )
 
 from lakekit.operators.snapshots import SnapshotTable
+from lakekit.session import small_rows
 from lakekit.sources.files import RESCUED, apply_hints, infer_schema, parse_json_rescued
 from lakekit.streaming.runs import run_to_end
 
@@ -39,15 +42,13 @@ class SchemaRegistry:
         last = self.versions().orderBy(F.desc("version")).limit(1).collect()
         if not last:
             return None
-        import json
-
         return last[0]["version"], StructType.fromJson(json.loads(last[0]["schema"]))
 
     def add(self, schema: StructType) -> int:
         known = self.current()
         number = known[0] + 1 if known else 0
-        rows = self.spark.createDataFrame([(number, schema.json())], "version INT, schema STRING")
-        rows.coalesce(1).write.mode("append").json(self.path)
+        rows = small_rows(self.spark, [{"version": number, "schema": schema.json()}], "version INT, schema STRING")
+        rows.write.mode("append").json(self.path)
         return number
 
 

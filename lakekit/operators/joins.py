@@ -122,18 +122,18 @@ def asof_join(
     )
     # an empty history [x, x) never matches but would hide the version before it
     right = right.where("_version._to IS NULL OR _version._to > _version._from")
-    rows = left.unionByName(right, allowMissingColumns=True).withColumn("_slice", F.expr(bucket))
+    both = left.unionByName(right, allowMissingColumns=True).withColumn("_slice", F.expr(bucket))
     inside = (
         Window.partitionBy(*keys, "_slice").orderBy("_ts", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = rows.withColumn("_seen", F.last("_version", ignorenulls=True).over(inside))
-    slices = rows.where("_kind = 0").groupBy(*keys, "_slice").agg(F.max_by("_version", "_ts").alias("_last"))
-    slots = rows.where("_kind = 1").select(*keys, "_slice").distinct()
+    rows = both.withColumn("_seen", F.last("_version", ignorenulls=True).over(inside))
+    # one row per slice: its last version, if it has one
+    slices = both.groupBy(*keys, "_slice").agg(
+        F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_ts"))).alias("_last")
+    )
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slots.join(slices, [*keys, "_slice"], "full").withColumn(
-        "_carried", F.last("_last", ignorenulls=True).over(before)
-    ).drop("_last")
+    slices = slices.select(*keys, "_slice", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
     hit = F.coalesce("_seen", "_carried")
     out = rows.where("_kind = 1").join(slices, [*keys, "_slice"], "left").withColumn("_hit", hit)
     valid = F.col("_hit._to").isNull() | (F.col("_fact").getField(ts) < F.col("_hit._to"))

@@ -57,15 +57,27 @@ def files_needed(ranges: DataFrame, column: str, low, high) -> DataFrame:
 
 
 def z_value(columns: list[str], bounds: dict[str, list[float]], bits: int = 6) -> Column:
-    """Position on a Z-order curve: the range number of each column, bits interleaved."""
+    """Position on a Z-order curve: the number of the value's range in each column, bits interleaved.
+
+    Ranges are found by a balanced tree of comparisons whose leaves are the interleaved bits already, so that it compiles to a
+    few branches per row.
+    """
+
+    def leaf(rank: int, j: int) -> Column:
+        return F.lit(sum(((rank >> i) & 1) << (i * len(columns) + j) for i in range(bits))).cast("bigint")
+
+    def tree(value: Column, edges: list[float], low: int, high: int, j: int) -> Column:
+        if low == high:
+            return leaf(low, j)
+        middle = (low + high) // 2
+        return F.when(value < F.lit(float(edges[middle])), tree(value, edges, low, middle, j)).otherwise(
+            tree(value, edges, middle + 1, high, j)
+        )
+
     out = F.lit(0).cast("bigint")
     for j, c in enumerate(columns):
-        edges = F.array(*[F.lit(float(b)) for b in bounds[c]])
-        value = F.col(c).cast("double")
-        rank = F.coalesce(F.size(F.filter(edges, lambda e: e <= value)), F.lit(0)).cast("bigint")
-        for i in range(bits):
-            bit = F.shiftright(rank, i).bitwiseAND(F.lit(1))
-            out = out.bitwiseOR(F.shiftleft(bit, i * len(columns) + j))
+        value, edges = F.col(c).cast("double"), bounds[c]
+        out = out.bitwiseOR(F.when(value.isNull(), leaf(0, j)).otherwise(tree(value, edges, 0, len(edges), j)))
     return out
 
 

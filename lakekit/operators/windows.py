@@ -6,8 +6,8 @@ the date, a price band). Each slice is windowed by itself, the slices are summar
 small window over those summaries supplies what came before, and both are added up. Results equal the plain
 window's exactly. Without a ``bucket`` the plain window is used: right for groups known to be small.
 
-Order columns are names; a leading ``-`` means descending. The bucket has to be a function of the leading order
-column, so that ties stay in one slice.
+Order columns are names; a leading ``-`` means descending. The bucket follows the row order, for NULLs as well: it
+is a function of the leading order column, or a struct over the first few. For ranks, ties are counted instead of being gathered.
 """
 
 from __future__ import annotations
@@ -31,6 +31,20 @@ def _slice_order(order: list[str]) -> Column:
     return F.col(_B).asc_nulls_last() if order[0].startswith("-") else F.col(_B).asc_nulls_first()
 
 
+def _null_safe(names: list[str], left: str, right: str) -> Column:
+    cond = None
+    for n in names:
+        same = F.col(f"{left}{n}").eqNullSafe(F.col(f"{right}{n}"))
+        cond = same if cond is None else cond & same
+    return cond
+
+
+def even_slices(df: DataFrame, column: str, n: int) -> Column:
+    """Bucket that cuts the range of a non-negative whole-number column into ``n`` equal widths."""
+    top = df.agg(F.max(column)).scalar()
+    return F.floor(F.col(column) * F.lit(n) / (top + 1))
+
+
 def _join_slices(rows: DataFrame, slices: DataFrame, keys: list[str], not_null: bool) -> DataFrame:
     cols = [*keys, _B]
     if not_null:
@@ -38,11 +52,7 @@ def _join_slices(rows: DataFrame, slices: DataFrame, keys: list[str], not_null:
     renamed = slices.select(
         *[F.col(c).alias(f"_r_{c}") for c in cols], *[c for c in slices.columns if c not in cols]
     )
-    cond = None
-    for c in cols:
-        same = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-        cond = same if cond is None else cond & same
-    return rows.join(renamed, cond, "left").drop(*[f"_r_{c}" for c in cols])
+    return rows.join(renamed, _null_safe(cols, "", "_r_"), "left").drop(*[f"_r_{c}" for c in cols])
 
 
 def with_ranks(
@@ -73,19 +83,42 @@ def with_ranks(
         if total:
             new[total] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         return df.withColumns(new)
+    out = df
+    if rank or dense_rank or percent_rank:
+        out = _rank_values(out, keys, order, bucket, rank, dense_rank, percent_rank)
+    if row_number or ntile or total:
+        out = _number_rows(out, keys, order, bucket, row_number, ntile, total, not_null)
+    return out
+
+
+def _rank_values(df, keys, order, bucket, rank, dense_rank, percent_rank) -> DataFrame:
+    """Ranks depend on the order values only: they are found on the distinct values, whose counts are combined
+    map-side, and joined back. However many rows tie, no task has to hold them."""
+    names = list(dict.fromkeys(_names(order)))
+    values = df.groupBy(*keys, *[n for n in names if n not in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    values = values.withColumn("_one", F.lit(1))
+    sums = {"_upto": "_n", "_upto_distinct": "_one"}
+    values = with_running_sum(values, keys, order, sums, bucket)
+    if percent_rank:
+        values = with_group_total(values, keys, {"_total": F.sum("_n")})
+    rk = F.col("_upto") - F.col("_n") + 1
+    new = {}
+    if rank:
+        new[rank] = rk
+    if dense_rank:
+        new[dense_rank] = F.col("_upto_distinct")
+    if percent_rank:
+        new[percent_rank] = F.when(F.col("_total") > 1, (rk - 1) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
+    on = [*keys, *[n for n in names if n not in keys]]
+    ranks = values.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c.alias(n) for n, c in new.items()])
+    return df.join(ranks, _null_safe(on, "", "_r_"), "left").drop(*[f"_r_{c}" for c in on])
+
+
+def _number_rows(df, keys, order, bucket, row_number, ntile, total, not_null) -> DataFrame:
     b = df.withColumn(_B, bucket)
     inside = Window.partitionBy(*keys, _B).orderBy(*order_columns(order))
-    rows = b.withColumns(
-        {
-            "_rn": F.row_number().over(inside),
-            "_rk": F.rank().over(inside),
-            **({"_dr": F.dense_rank().over(inside)} if dense_rank else {}),
-        }
-    )
-    measures = [F.count(F.lit(1)).alias("_n")]
-    if dense_rank:
-        measures.append(F.count_distinct(F.struct(*_names(order))).alias("_d"))
-    slices = b.groupBy(*keys, _B).agg(*measures)
+    rows = b.withColumn("_rn", F.row_number().over(inside))
+    slices = b.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("_n"))
     before = (
         Window.partitionBy(*keys).orderBy(_slice_order(order)).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -94,21 +127,12 @@ def with_ranks(
         _B,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
-        *([F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_dbefore")] if dense_rank else []),
     )
     out = _join_slices(rows, slices, keys, not_null)
-    rn = F.col("_before") + F.col("_rn")
-    rk = F.col("_before") + F.col("_rk")
-    n = F.col("_total")
+    rn, n = F.col("_before") + F.col("_rn"), F.col("_total")
     new = {}
     if row_number:
         new[row_number] = rn
-    if rank:
-        new[rank] = rk
-    if dense_rank:
-        new[dense_rank] = F.col("_dbefore") + F.col("_dr")
-    if percent_rank:
-        new[percent_rank] = F.when(n > 1, (rk - 1) / (n - 1)).otherwise(F.lit(0.0))
     if ntile:
         parts, name = ntile
         base, extra = F.floor(n / parts), n % parts
@@ -118,7 +142,7 @@ def with_ranks(
         )
     if total:
         new[total] = n
-    return out.withColumns(new).drop(_B, "_rn", "_rk", "_dr", "_before", "_total", "_dbefore")
+    return out.withColumns(new).drop(_B, "_rn", "_before", "_total")
 
 
 def with_running_sum(
@@ -210,11 +234,7 @@ def with_group_total(df: DataFrame, keys: list[str], totals: dict[str, Column])
     """Attach whole-group aggregates: pre-aggregate, then join, so a hot group is never gathered."""
     summary = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
     renamed = summary.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *totals)
-    cond = None
-    for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        cond = same if cond is None else cond & same
-    return df.join(renamed, cond, "left").drop(*[f"_r_{k}" for k in keys])
+    return df.join(renamed, _null_safe(keys, "", "_r_"), "left").drop(*[f"_r_{k}" for k in keys])
 
 
 def qualify(df: DataFrame, value: Column, predicate: str, name: str = "_q", keep: bool = False) -> DataFrame:
@@ -244,13 +264,19 @@ def exact_quantiles(
 
     ``probs`` maps output names to probabilities. NULL values are ignored, as ``percentile`` does.
     """
-    known = df.where(F.col(value).isNotNull()).select(*keys, value)
-    ranked = with_ranks(known, keys, [value], bucket, row_number="_pos", total="_cnt")
+    known = df.where(F.col(value).isNotNull())
+    # equal values are counted map-side first; what is laid in order are the distinct values
+    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = with_running_sum(counts, keys, [value], {"_upto": "_n"}, bucket)
+    placed = with_group_total(upto, keys, {"_cnt": F.sum("_n")})
+
+    def covers(position: Column) -> Column:
+        return ((position > F.col("_upto") - F.col("_n")) & (position <= F.col("_upto"))).cast("double")
+
     aggs = []
     for name, p in probs.items():
         at = (F.col("_cnt") - 1) * F.lit(float(p)) + 1
-        low, high = F.floor(at), F.ceil(at)
-        weight = at - low
-        share = F.when(F.col("_pos") == low, 1 - weight).when(F.col("_pos") == high, weight)
+        low, weight = F.floor(at), at - F.floor(at)
+        share = covers(low) * (1 - weight) + covers(low + 1) * weight
         aggs.append(F.sum(F.col(value).cast("double") * share).alias(name))
-    return ranked.groupBy(*keys).agg(*aggs)
+    return placed.groupBy(*keys).agg(*aggs)

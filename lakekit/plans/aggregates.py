@@ -205,17 +205,14 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_
 JOIN region ON n_regionkey = r_regionkey GROUP BY ALL
 """)
 def a13_star_aggregate(t: Tables) -> DataFrame:
-    per_key = t.lineitem.groupBy("l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy").alias("ship_year")).agg(
-        F.sum(F.col("l_quantity").cast("bigint")).alias("q")
-    )
     places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey")
     ).select("s_suppkey", "r_name")
     return (
-        per_key.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+        t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
         .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy(F.col("r_name").alias("region"), "p_type", "ship_year")
-        .agg(F.sum("q").alias("quantity"))
+        .groupBy(F.col("r_name").alias("region"), "p_type", F.date_format("l_shipdate", "yyyy").alias("ship_year"))
+        .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
     )
 
 

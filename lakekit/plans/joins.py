@@ -76,14 +76,11 @@ def j3_complete_grid(t: Tables) -> DataFrame:
 
 def _actual(t: Tables) -> DataFrame:
     o = t.orders.where("o_orderdate >= timestamp_ntz'1998-01-01' AND o_orderdate < timestamp_ntz'1998-07-01'")
-    o = o.withColumn("month", F.date_format("o_orderdate", "yyyy-MM")).groupBy("o_custkey", "month").agg(
-        F.sum(F.col("o_totalprice").cast(D)).alias("revenue")
-    )
     c = t.customer.where("c_custkey % 10 = 0").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
         o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(F.col("n_name").alias("nation"), "month")
-        .agg(F.sum("revenue").alias("revenue"))
+        .groupBy(F.col("n_name").alias("nation"), F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+        .agg(F.sum(F.col("o_totalprice").cast(D)).alias("revenue"))
     )
 
 
@@ -119,20 +116,15 @@ JOIN nation s ON s_nationkey = s.n_nationkey JOIN nation c ON c_nationkey = c.n_
 def j5_aliased_same_table_twice(t: Tables) -> DataFrame:
     """The same dimension joined twice: aliases keep its columns apart."""
     s, c = t.nation.alias("s"), t.nation.alias("c")
-    # lines and orders shrink to counts per (supplier, customer) before the dimensions are attached
-    lines = t.lineitem.groupBy("l_orderkey", "l_suppkey").count()
-    pairs = (
-        lines.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("l_suppkey", "o_custkey")
-        .agg(F.sum("count").alias("n"))
-    )
     return (
-        pairs.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        t.lineitem.select("l_orderkey", "l_suppkey")
+        .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(s, F.col("s_nationkey") == F.col("s.n_nationkey"))
         .join(c, F.col("c_nationkey") == F.col("c.n_nationkey"))
         .groupBy(F.col("s.n_name").alias("supplier_nation"), F.col("c.n_name").alias("customer_nation"))
-        .agg(F.sum("n").alias("lines"))
+        .agg(F.count(F.lit(1)).alias("lines"))
     )
 
 

@@ -10,7 +10,7 @@ from lakekit.operators.aggregates import share_of_total
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.plans.joins import skewed_events
 from lakekit.plans.registry import plan
-from lakekit.session import Tables, work_path
+from lakekit.session import Tables, stored, work_path
 
 D = "decimal(18,2)"
 
@@ -81,18 +81,19 @@ def l6_clustering(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", *columns)
     rows.repartition(64).write.parquet(f"{base}/plain")
     lay.cluster_by(rows, columns, 64).write.parquet(f"{base}/clustered")
+    # ranges are kept as a table of one row per file, so the checks below scan no data again
+    ranges = {
+        kind: stored(lay.file_ranges(t.spark.read.parquet(f"{base}/{kind}"), columns), f"ranges-{kind}")
+        for kind in ("plain", "clustered")
+    }
     out = None
     for c in columns:
-        at = rows.agg(F.floor(F.max(c) / 3)).scalar()
-        needed = {
-            kind: lay.files_needed(lay.file_ranges(t.spark.read.parquet(f"{base}/{kind}"), columns), c, at, at)
-            for kind in ("plain", "clustered")
-        }
-        total = t.spark.read.parquet(f"{base}/clustered").agg(F.count(F.lit(1)).alias("rows")).scalar()
-        part = needed["plain"].select((F.col("needed") == F.col("files")).alias("plain_reads_all")).select(
-            F.lit(c).alias("column"), "plain_reads_all",
-            (needed["clustered"].select(F.col("needed") / F.col("files")).scalar() <= 0.5).alias("clustered_reads_half_or_less"),
-            total.alias("rows"),
+        at = ranges["plain"].agg(F.floor(F.max(f"{c}_max") / 3)).scalar()
+        plain, clustered = (lay.files_needed(ranges[kind], c, at, at) for kind in ("plain", "clustered"))
+        part = plain.select(
+            F.lit(c).alias("column"), (F.col("needed") == F.col("files")).alias("plain_reads_all"),
+            (clustered.select(F.col("needed") / F.col("files")).scalar() <= 0.5).alias("clustered_reads_half_or_less"),
+            ranges["clustered"].agg(F.sum("rows")).scalar().alias("rows"),
         )
         out = part if out is None else out.unionByName(part)
     return out

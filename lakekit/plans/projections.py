@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.operators.columns import surrogate_key, with_generated
+from lakekit.operators.windows import even_slices
 from lakekit.plans.registry import plan
 from lakekit.session import Tables
 
@@ -90,7 +91,8 @@ def p7_generated_columns(t: Tables) -> DataFrame:
 def p8_surrogate_key(t: Tables) -> DataFrame:
     """Consecutive keys after 1000 without a one-task sort: numbered inside slices, offsets from slice counts."""
     rows = t.customer.select("c_custkey", "c_mktsegment")
-    return surrogate_key(rows, ["c_mktsegment", "c_custkey"], F.col("c_mktsegment"), "sk", 1000).select("c_custkey", "sk")
+    slices = F.struct("c_mktsegment", even_slices(rows, "c_custkey", 2000))
+    return surrogate_key(rows, ["c_mktsegment", "c_custkey"], slices, "sk", 1000).select("c_custkey", "sk")
 
 
 @plan("""

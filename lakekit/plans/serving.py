@@ -2,13 +2,13 @@
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.operators.quality import Expectation, apply_expectations, expect_all
 from lakekit.operators.serving import MaterialisedAggregate, MetricView, alert, publish_kpis
 from lakekit.operators.snapshots import SnapshotTable
-from lakekit.operators.windows import top_k, with_group_total
+from lakekit.operators.windows import top_k, with_ranks
 from lakekit.plans.registry import plan
 from lakekit.session import Tables, work_path
 from lakekit.streaming.runs import append_to, file_stream
@@ -84,14 +84,11 @@ def v4_bronze_silver_gold(t: Tables) -> DataFrame:
               Expectation("worth_it", "o_totalprice > 20000", "drop"), Expectation("has_customer", "o_custkey IS NOT NULL", "warn")]
     append_to(apply_expectations(file_stream(t.spark, f"{base}/bronze", columns), checks), f"{base}/silver", f"{base}/c-silver")
     silver = t.spark.read.schema(columns).parquet(f"{base}/silver").distinct()
-    per_customer = silver.groupBy("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
-        F.count(F.lit(1)).alias("n"), _revenue().alias("r")
-    )
     return (
-        per_customer.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
+        silver.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
         .join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
-        .groupBy("month", F.col("n_name").alias("nation"))
-        .agg(F.sum("n").alias("orders"), F.sum("r").cast("double").alias("revenue"))
+        .groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("n_name").alias("nation"))
+        .agg(F.count(F.lit(1)).alias("orders"), _revenue().cast("double").alias("revenue"))
     )
 
 
@@ -146,14 +143,14 @@ WITH m AS (SELECT strftime(l_shipdate, '%Y-%m') AS month, p_type AS category, su
 SELECT month, category, CAST(revenue AS DOUBLE) AS revenue, round(CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY month) AS DOUBLE), 8) AS share FROM m
 """)
 def v8_monthly_share_mart(t: Tables) -> DataFrame:
-    per_part = t.lineitem.groupBy("l_partkey", F.date_format("l_shipdate", "yyyy-MM").alias("month")).agg(_revenue("l_extendedprice").alias("r"))
     monthly = (
-        per_part.join(t.part, F.col("p_partkey") == F.col("l_partkey"))
-        .groupBy("month", F.col("p_type").alias("category")).agg(F.sum("r").alias("revenue"))
+        t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
+        .groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("p_type").alias("category"))
+        .agg(_revenue("l_extendedprice").alias("revenue"))
     )
-    out = with_group_total(monthly, ["month"], {"total": F.sum("revenue")})
-    revenue = F.col("revenue").cast("double")
-    return out.select("month", "category", revenue.alias("revenue"), F.round(revenue / F.col("total").cast("double"), 8).alias("share"))
+    # a month has one row per category left
+    share = F.col("revenue").cast("double") / F.sum("revenue").over(Window.partitionBy("month")).cast("double")
+    return monthly.select("month", "category", F.col("revenue").cast("double").alias("revenue"), F.round(share, 8).alias("share"))
 
 
 @plan("""
@@ -161,15 +158,14 @@ SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, n_name AS nation, p_type AS cat
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY ALL
 """)
 def v8_daily_mart(t: Tables) -> DataFrame:
-    lines = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
-    per_order = lines.groupBy("l_orderkey", "p_type").agg(_revenue("l_extendedprice").alias("r"), F.sum(F.col("l_quantity").cast("bigint")).alias("u"))
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     return (
-        per_order.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
+        t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
+        .join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(t.customer.select("c_custkey", "c_nationkey"), F.col("c_custkey") == F.col("o_custkey"))
         .join(t.nation.select("n_nationkey", "n_name"), F.col("n_nationkey") == F.col("c_nationkey"))
         .groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("n_name").alias("nation"), F.col("p_type").alias("category"))
-        .agg(F.sum("r").cast("double").alias("revenue"), F.sum("u").alias("units"))
+        .agg(_revenue("l_extendedprice").cast("double").alias("revenue"), F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
     )
 
 
@@ -191,8 +187,6 @@ def v9_leaderboard_and_coupons(t: Tables) -> DataFrame:
     )
     rows = per_part.join(t.part.select("p_partkey", "p_brand"), F.col("p_partkey") == F.col("l_partkey"))
     best = top_k(rows, ["p_brand"], ["-revenue"], 3, ties="rank")
-    from lakekit.operators.windows import with_ranks
-
     ranked = with_ranks(best, ["p_brand"], ["-revenue"], rank="place")  # three rows per brand are left
     return ranked.select(
         "p_brand", "p_partkey", "lines", "with_coupon", F.round(F.lit(100.0) * F.col("with_coupon") / F.col("lines"), 4).alias("coupon_pct"),

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.operators.windows import (
-    latest_per_key, qualify, top_k, with_neighbours, with_ranks, with_running_sum,
+    even_slices, latest_per_key, qualify, top_k, with_neighbours, with_ranks, with_running_sum,
 )
 from lakekit.plans.registry import plan
 from lakekit.session import Tables
@@ -19,9 +19,10 @@ FROM (SELECT event_id, event_type, CAST(floor(value) AS BIGINT) AS v FROM events
 """)
 def w1_ranking_with_ties(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "event_type", F.floor("value").cast("bigint").alias("v"))
-    band = -F.floor(F.col("v") / 5)
-    numbered = with_ranks(rows, ["event_type"], ["-v", "event_id"], band, row_number="rn")
-    tied = with_ranks(numbered, ["event_type"], ["-v"], band, rank="rk", dense_rank="dr")
+    # numbered inside slices of value and event range, both following the order; ranks come from counted values
+    slices = F.struct(-F.col("v"), even_slices(rows, "event_id", 64))
+    numbered = with_ranks(rows, ["event_type"], ["-v", "event_id"], slices, row_number="rn")
+    tied = with_ranks(numbered, ["event_type"], ["-v"], -F.floor(F.col("v") / 8), rank="rk", dense_rank="dr")
     return tied.select("event_id", *[F.col(c).cast("bigint").alias(c) for c in ("rn", "rk", "dr")])
 
 
@@ -35,7 +36,7 @@ def w2_lag_lead(t: Tables) -> DataFrame:
     out = with_neighbours(
         rows, ["o_custkey"], ["o_orderdate", "o_orderkey"],
         previous={"previous": "o_orderkey", "previous_date": "o_orderdate"}, following={"following": "o_orderkey"},
-        bucket=F.date_trunc("year", "o_orderdate"),
+        bucket=F.date_trunc("month", "o_orderdate"),
     )
     none = F.lit(-1)
     return out.select(
@@ -53,7 +54,7 @@ SELECT o_orderkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION
 def w3_running_total(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_totalprice").cast(D).alias("price"))
     out = with_running_sum(
-        rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "price"}, F.date_trunc("year", "o_orderdate")
+        rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "price"}, F.date_trunc("month", "o_orderdate")
     )
     return out.select("o_orderkey", F.col("running_total").cast("double").alias("running_total"))
 
@@ -64,7 +65,7 @@ SELECT c_custkey, ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c
 """)
 def w5_ntile_percent_rank(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
-    band = F.floor(F.col("c_acctbal") / 1000)
+    band = F.floor(F.col("c_acctbal") / 50)
     tiles = with_ranks(rows, ["c_mktsegment"], ["c_acctbal", "c_custkey"], band, ntile=(4, "quartile"))
     out = with_ranks(tiles, ["c_mktsegment"], ["c_acctbal"], band, percent_rank="pct")
     return out.select("c_custkey", F.col("quartile").cast("bigint").alias("quartile"), F.round("pct", 8).alias("pct"))
@@ -77,14 +78,11 @@ SELECT nation, order_year, CAST(revenue AS DOUBLE) AS revenue, rank() OVER (PART
   rank() OVER (PARTITION BY order_year ORDER BY n DESC) AS by_count FROM g
 """)
 def w6_rank_of_aggregate(t: Tables) -> DataFrame:
-    per_customer = t.orders.groupBy("o_custkey", F.date_format("o_orderdate", "yyyy").alias("order_year")).agg(
-        F.sum(F.col("o_totalprice").cast(D)).alias("revenue"), F.count(F.lit(1)).alias("n")
-    )
     groups = (
-        per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .groupBy(F.col("n_name").alias("nation"), "order_year")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("n").alias("n"))
+        .groupBy(F.col("n_name").alias("nation"), F.date_format("o_orderdate", "yyyy").alias("order_year"))
+        .agg(F.sum(F.col("o_totalprice").cast(D)).alias("revenue"), F.count(F.lit(1)).alias("n"))
     )
     # 25 nations a year are left, so the plain window is small
     year = Window.partitionBy("order_year")

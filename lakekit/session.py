@@ -98,11 +98,15 @@ class Tables:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name not in TABLES:
+        if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        file = f"{self.path}/{name}.parquet"
+        if name not in self._schemas:  # the footer is read once per query, however often it uses the table
+            self._schemas[name] = self.spark.read.parquet(file).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(file)
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """Run SQL over the tables (and extra frames) it names as ``{name}``."""

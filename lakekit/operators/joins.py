@@ -26,11 +26,12 @@ def salted_join(
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Keys holding at least ``share`` of all rows: never more than ``1 / share`` of them."""
+def hot_keys(df: DataFrame, keys: list[str], share: float, min_rows: int = 0) -> DataFrame:
+    """Keys holding at least ``share`` of all rows (and ``min_rows``): never more than ``1 / share`` of them."""
     counts = df.groupBy(*keys).count()
     total = df.agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("count") >= F.lit(share) * total.scalar()).select(*keys)
+    hot = (F.col("count") >= F.lit(share) * total.scalar()) & (F.col("count") >= min_rows)
+    return counts.where(hot).select(*keys)
 
 
 def isolated_join(

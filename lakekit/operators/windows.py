@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakekit.operators.joins import hot_keys
+
 _B = "_slice"
 
 
@@ -45,6 +47,19 @@ def even_slices(df: DataFrame, column: str, n: int) -> Column:
     return F.floor(F.col(column) * F.lit(n) / (top + 1))
 
 
+def slice_hot_keys(
+    df: DataFrame, keys: list[str], fine: Column, name: str, share: float = 0.0001, min_rows: int = 1_000_000
+) -> DataFrame:
+    """Add a bucket column that follows ``fine`` for hot keys only; other groups stay whole, as one slice each.
+
+    A group is hot when it has ``share`` of all rows and at least ``min_rows``. There are at most ``1 / share`` such keys,
+    which bounds what is broadcast, and finding them needs the key columns only.
+    """
+    hot = hot_keys(df, keys, share, min_rows).select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.lit(True).alias("_hot"))
+    marked = df.join(F.broadcast(hot), _null_safe(keys, "", "_r_"), "left")
+    return marked.withColumn(name, F.when(F.col("_hot"), fine)).drop("_hot", *[f"_r_{k}" for k in keys])
+
+
 def _join_slices(rows: DataFrame, slices: DataFrame, keys: list[str], not_null: bool) -> DataFrame:
     cols = [*keys, _B]
     if not_null:

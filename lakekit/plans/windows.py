@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.operators.windows import (
-    even_slices, latest_per_key, qualify, top_k, with_neighbours, with_ranks, with_running_sum,
+    even_slices, latest_per_key, qualify, slice_hot_keys, top_k, with_neighbours, with_ranks, with_running_sum,
 )
 from lakekit.plans.registry import plan
 from lakekit.session import Tables
@@ -32,11 +32,11 @@ SELECT o_orderkey, coalesce(lag(o_orderkey) OVER w, -1) AS previous, coalesce(le
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 """)
 def w2_lag_lead(t: Tables) -> DataFrame:
-    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    rows = slice_hot_keys(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"], F.col("o_orderdate"), "slice")
     out = with_neighbours(
         rows, ["o_custkey"], ["o_orderdate", "o_orderkey"],
         previous={"previous": "o_orderkey", "previous_date": "o_orderdate"}, following={"following": "o_orderkey"},
-        bucket=F.date_trunc("month", "o_orderdate"),
+        bucket=F.col("slice"),
     )
     none = F.lit(-1)
     return out.select(
@@ -53,8 +53,9 @@ SELECT o_orderkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION
 """)
 def w3_running_total(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_totalprice").cast(D).alias("price"))
+    rows = slice_hot_keys(rows, ["o_custkey"], F.col("o_orderdate"), "slice")
     out = with_running_sum(
-        rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "price"}, F.date_trunc("month", "o_orderdate")
+        rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "price"}, F.col("slice")
     )
     return out.select("o_orderkey", F.col("running_total").cast("double").alias("running_total"))
 

@@ -45,6 +45,17 @@ def test_sliced_running_sum_and_neighbours(data, order):
     assert_same(w.with_neighbours(data, *args, band), w.with_neighbours(data, *args))
 
 
+def test_only_hot_keys_are_sliced(data):
+    sliced = w.slice_hot_keys(data, ["k"], F.floor(F.col("o") / 7), "s", share=0.3, min_rows=0).cache()
+    assert {r["k"] for r in sliced.where("s IS NOT NULL").select("k").distinct().collect()} == {"hot"}
+    order = ["o", "id"]
+    got = w.with_neighbours(sliced, ["k"], order, {"p": "v"}, {"f": "v"}, F.col("s")).drop("s")
+    assert_same(got, w.with_neighbours(data, ["k"], order, {"p": "v"}, {"f": "v"}))
+    summed = w.with_running_sum(sliced, ["k"], order, {"t": "v"}, F.col("s")).drop("s")
+    assert_same(summed, w.with_running_sum(data, ["k"], order, {"t": "v"}))
+    assert w.slice_hot_keys(data, ["k"], F.col("o"), "s").where("s IS NOT NULL").isEmpty()
+
+
 def test_more_tiles_than_rows(spark):
     df = spark.range(3).withColumn("k", F.lit(1))
     band = F.col("id")

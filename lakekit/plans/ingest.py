@@ -54,7 +54,7 @@ def i2_pattern_and_file_list(t: Tables) -> DataFrame:
     return loader.table.read().select("o_orderkey", "o_totalprice")
 
 
-@plan("SELECT 20 AS previewed, false AS written, count(*) AS available FROM orders WHERE o_orderkey % 4 = 0")
+@plan("SELECT CAST(20 AS BIGINT) AS previewed, false AS written, count(*) AS available FROM orders WHERE o_orderkey % 4 = 0")
 def i3_preview(t: Tables) -> DataFrame:
     loader, folder = _loader(t)
     _land(t, folder, "a", 0)
@@ -64,7 +64,7 @@ def i3_preview(t: Tables) -> DataFrame:
     ).withColumn("available", available)
 
 
-@plan("SELECT o_orderkey, 2 AS copies FROM orders WHERE o_orderkey % 4 = 0")
+@plan("SELECT o_orderkey, CAST(2 AS BIGINT) AS copies FROM orders WHERE o_orderkey % 4 = 0")
 def i4_force_reload(t: Tables) -> DataFrame:
     loader, folder = _loader(t)
     _land(t, folder, "a", 0)
@@ -114,7 +114,7 @@ def i7_stream_with_stored_schema(t: Tables) -> DataFrame:
 
 @plan("""
 SELECT mode, event_id, CASE WHEN mode = 'addNewColumns' AND event_id % 2 = 1 THEN event_type END AS coupon, CASE WHEN mode = 'rescue' AND event_id % 2 = 1 THEN event_type END AS rescued,
-  CASE mode WHEN 'addNewColumns' THEN 1 ELSE 0 END AS stops FROM events, (VALUES ('addNewColumns'), ('rescue'), ('none')) AS v(mode)
+  CAST(mode = 'addNewColumns' AS BIGINT) AS stops FROM events, (VALUES ('addNewColumns'), ('rescue'), ('none')) AS v(mode)
 """)
 def i8_schema_evolution_modes(t: Tables) -> DataFrame:
     """The second delivery brings a new column; twin streams with their own checkpoints treat it by mode."""

@@ -16,7 +16,7 @@ D = "decimal(18,2)"
 
 
 @plan("""
-SELECT 'repartition' AS step, count(*) AS rows, 12 AS partitions FROM orders UNION ALL SELECT 'by column', count(*), 12 FROM orders UNION ALL SELECT 'coalesce', count(*), 3 FROM orders
+SELECT 'repartition' AS step, count(*) AS rows, CAST(12 AS BIGINT) AS partitions FROM orders UNION ALL SELECT 'by column', count(*), 12 FROM orders UNION ALL SELECT 'coalesce', count(*), 3 FROM orders
 UNION ALL SELECT 'coalesce up', count(*), 12 FROM orders
 """)
 def l1_repartition_and_coalesce(t: Tables) -> DataFrame:
@@ -60,7 +60,7 @@ def _small_files(t: Tables) -> SnapshotTable:
 
 
 @plan("""
-SELECT 30 AS files_before, true AS fewer_after, true AS second_run_idle, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders
+SELECT CAST(30 AS BIGINT) AS files_before, true AS fewer_after, true AS second_run_idle, count(*) AS rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders
 """)
 def l5_compaction(t: Tables) -> DataFrame:
     table = _small_files(t)
@@ -99,7 +99,7 @@ def l6_clustering(t: Tables) -> DataFrame:
     return out
 
 
-@plan("SELECT 2 AS first_folders, 1 AS second_folders, 0 AS third_folders, count(*) AS rows FROM orders")
+@plan("SELECT CAST(2 AS BIGINT) AS first_folders, CAST(1 AS BIGINT) AS second_folders, CAST(0 AS BIGINT) AS third_folders, count(*) AS rows FROM orders")
 def l7_incremental_clustering(t: Tables) -> DataFrame:
     """Only folders added since the last call are clustered again."""
     table = SnapshotTable(t.spark, work_path(t.spark, "incremental-cluster"))
@@ -136,7 +136,7 @@ def l9_partition_pruning(t: Tables) -> DataFrame:
     return rows.agg(F.count_distinct("month").alias("folders"), tiny.alias("tiny_files"), month.alias("month_rows"))
 
 
-@plan("SELECT 30 AS files, true AS sizes_add_up FROM region WHERE r_regionkey = 0")
+@plan("SELECT CAST(30 AS BIGINT) AS files, true AS sizes_add_up FROM region WHERE r_regionkey = 0")
 def l10_layout_summary(t: Tables) -> DataFrame:
     table = _small_files(t)
     summary = lay.layout_summary(t.spark, [f"{table.path}/data"])

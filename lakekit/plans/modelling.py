@@ -65,7 +65,7 @@ def d3_order_line_fact(t: Tables) -> DataFrame:
 
 
 @plan("WITH " + _DIM + """
-SELECT l_orderkey, l_linenumber, l_partkey, p_brand, coalesce(d.nation, 'Unknown') AS nation, coalesce(d.balance_band, 'Unknown') AS balance_band, l_quantity
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, p_brand, coalesce(d.nation, 'Unknown') AS nation, coalesce(d.balance_band, 'Unknown') AS balance_band, l_quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN (SELECT * FROM dim WHERE c_custkey % 10 <> 0) d ON d.c_custkey = o_custkey
 """)
 def d4_one_big_table(t: Tables) -> DataFrame:

@@ -27,7 +27,7 @@ def p2_columns(t: Tables) -> DataFrame:
     )
 
 
-@plan("SELECT c_custkey, c_name, c_nationkey AS nationkey, c_acctbal AS balance FROM customer")
+@plan("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS nationkey, c_acctbal AS balance FROM customer")
 def p3_star_except_and_struct(t: Tables) -> DataFrame:
     nested = t.customer.select(
         "c_custkey", "c_name", "c_mktsegment",

@@ -42,7 +42,7 @@ def k2_create_table_as(t: Tables) -> DataFrame:
     return t.spark.table(name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@plan("SELECT n_nationkey AS a, n_regionkey AS b, way FROM nation, (VALUES ('position'), ('name'), ('insertInto')) AS v(way)")
+@plan("SELECT CAST(n_nationkey AS BIGINT) AS a, CAST(n_regionkey AS BIGINT) AS b, way FROM nation, (VALUES ('position'), ('name'), ('insertInto')) AS v(way)")
 def k3_insert_into(t: Tables) -> DataFrame:
     """By position, by name with the columns swapped, and with the writer (by position)."""
     name, folder = _table(t, "insert")
@@ -117,7 +117,7 @@ def rows_none(t: Tables, schema: str) -> DataFrame:
     return t.spark.createDataFrame([], schema)
 
 
-@plan("SELECT 'load orders' AS task, attempt, CASE attempt WHEN 1 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, CASE attempt WHEN 1 THEN 0 ELSE (SELECT count(*) FROM orders) END AS rows FROM (VALUES (1), (2)) AS v(attempt)")
+@plan("SELECT 'load orders' AS task, CAST(attempt AS BIGINT) AS attempt, CASE attempt WHEN 1 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, CASE attempt WHEN 1 THEN 0 ELSE (SELECT count(*) FROM orders) END AS rows FROM (VALUES (1), (2)) AS v(attempt)")
 def k9_audit_log(t: Tables) -> DataFrame:
     """One row per attempt, also for the one that fails."""
     from lakekit.operators.audit import AuditLog

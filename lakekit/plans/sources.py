@@ -14,7 +14,7 @@ from lakekit.sources.ingest import rows_per_file
 D = "decimal(18,2)"
 
 
-@plan("SELECT n_regionkey AS region, count(*) AS n FROM nation GROUP BY 1 UNION ALL SELECT -1, count(*) FROM orders")
+@plan("SELECT CAST(n_regionkey AS BIGINT) AS region, count(*) AS n FROM nation GROUP BY 1 UNION ALL SELECT -1, count(*) FROM orders")
 def s1_query_files_in_place(t: Tables) -> DataFrame:
     """SQL straight over a file and over a folder, without a table."""
     folder = work_path(t.spark, "orders")

@@ -337,7 +337,7 @@ def r19_streaming_medallion(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT 1 AS run, count(*) FILTER (WHERE event_id % 2 = 0) AS rows_read, count(*) AS total FROM events UNION ALL SELECT 2, count(*) FILTER (WHERE event_id % 2 = 1), count(*) FROM events UNION ALL SELECT 3, 0, count(*) FROM events
+SELECT CAST(1 AS BIGINT) AS run, count(*) FILTER (WHERE event_id % 2 = 0) AS rows_read, count(*) AS total FROM events UNION ALL SELECT 2, count(*) FILTER (WHERE event_id % 2 = 1), count(*) FROM events UNION ALL SELECT 3, 0, count(*) FROM events
 """)
 def r20_rows_read_per_run(t: Tables) -> DataFrame:
     d = _Deliveries(t)

@@ -135,7 +135,7 @@ def t6b_changed_since_version(t: Tables) -> DataFrame:
     return table.read().join(old, "id").where("balance <> old_balance").select("id", "old_balance", "balance")
 
 
-@plan("SELECT * FROM (VALUES (0, 'load'), (1, 'update'), (2, 'append'), (3, 'delete')) AS v(version, operation)")
+@plan("SELECT CAST(version AS BIGINT) AS version, operation FROM (VALUES (0, 'load'), (1, 'update'), (2, 'append'), (3, 'delete')) AS v(version, operation)")
 def t7_version_history(t: Tables) -> DataFrame:
     return _versions(t).history().select("version", "operation")
 
@@ -217,7 +217,7 @@ def t12_change_feed(t: Tables) -> DataFrame:
     return tb.change_feed(target(t), after, ["id"]).select("_change_type", "id", "balance")
 
 
-@plan("SELECT 2 AS removable_folders")
+@plan("SELECT CAST(2 AS BIGINT) AS removable_folders")
 def t13_vacuum_dry_run(t: Tables) -> DataFrame:
     """A month later the folders of versions 0 to 2 could go, except that nothing the current version uses may."""
     table = SnapshotTable(t.spark, work_path(t.spark, "vacuum"))

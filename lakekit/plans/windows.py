@@ -111,7 +111,7 @@ def o2_top_k_per_group(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT p_type, p_partkey, p_size FROM part QUALIFY dense_rank() OVER (PARTITION BY p_type ORDER BY p_size DESC) <= 2
+SELECT p_type, p_partkey, CAST(p_size AS BIGINT) AS p_size FROM part QUALIFY dense_rank() OVER (PARTITION BY p_type ORDER BY p_size DESC) <= 2
 """)
 def o2_top_k_with_ties(t: Tables) -> DataFrame:
     return top_k(t.part, ["p_type"], ["-p_size"], 2, ties="dense_rank").select(

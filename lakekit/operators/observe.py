@@ -59,16 +59,20 @@ def with_latest_names(timeline: DataFrame, names: DataFrame, key: str, changed_a
 
 
 def job_health(slices: DataFrame, since: Column, job: str = "job_id", run: str = "run_id") -> DataFrame:
-    """Failure share and duration quantiles per job, from timeline slices that are first collapsed to runs."""
+    """Share of unsuccessful runs and duration quantiles per job, from timeline slices that are first collapsed to runs.
+
+    A slice's state is NULL while its run goes on; runs whose last slice has none are not finished and left out.
+    """
     runs = (
         slices.where(F.col("start_at") >= since)
         .groupBy(job, run)
         .agg(F.max_by("state", "end_at").alias("state"), F.min("start_at").alias("first"), F.max("end_at").alias("last"))
+        .where("state IS NOT NULL")
         .withColumn("seconds", F.unix_timestamp("last") - F.unix_timestamp("first"))
     )
     shares = runs.groupBy(job).agg(
         F.count(F.lit(1)).alias("runs"),
-        F.round(F.lit(100.0) * F.count_if(F.col("state") == "FAILED") / F.count(F.lit(1)), 4).alias("failure_pct"),
+        F.round(F.lit(100.0) * F.count_if(F.col("state") != "SUCCEEDED") / F.count(F.lit(1)), 4).alias("failure_pct"),
     )
     quantiles = exact_quantiles(runs, [job], "seconds", {"p50": 0.5, "p90": 0.9}, F.floor(F.col("seconds") / 60))
     return shares.join(quantiles, job)

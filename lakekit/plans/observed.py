@@ -89,15 +89,16 @@ def m5c_usage_last_seven_days(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH s AS (SELECT event_id // 200 % 5 AS job_id, event_id // 4 AS run_id, ts AS start_at, ts + to_seconds(60 + event_id % 90) AS end_at, CASE WHEN event_id % 4 < 3 THEN 'RUNNING' WHEN event_id // 4 % 9 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS state FROM events),
-r AS (SELECT job_id, run_id, arg_max(state, end_at) AS state, CAST(floor(epoch(max(end_at))) - floor(epoch(min(start_at))) AS BIGINT) AS seconds FROM s WHERE start_at >= TIMESTAMP '2024-01-10' GROUP BY ALL)
-SELECT job_id, count(*) AS runs, round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE state = 'FAILED') / count(*), 4) AS failure_pct, round(quantile_cont(seconds, 0.5), 4) AS p50, round(quantile_cont(seconds, 0.9), 4) AS p90 FROM r GROUP BY 1
+WITH s AS (SELECT event_id // 200 % 5 AS job_id, event_id // 4 AS run_id, ts AS start_at, ts + to_seconds(60 + event_id % 90) AS end_at, CASE WHEN event_id % 4 < 3 OR event_id // 4 % 11 = 0 THEN 'none' WHEN event_id // 4 % 9 = 0 THEN 'FAILED' WHEN event_id // 4 % 9 = 1 THEN 'CANCELED' ELSE 'SUCCEEDED' END AS state FROM events),
+r AS (SELECT * FROM (SELECT job_id, run_id, arg_max(state, end_at) AS state, CAST(floor(epoch(max(end_at))) - floor(epoch(min(start_at))) AS BIGINT) AS seconds FROM s WHERE start_at >= TIMESTAMP '2024-01-10' GROUP BY ALL) WHERE state <> 'none')
+SELECT job_id, count(*) AS runs, round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE state <> 'SUCCEEDED') / count(*), 4) AS failure_pct, round(quantile_cont(seconds, 0.5), 4) AS p50, round(quantile_cont(seconds, 0.9), 4) AS p90 FROM r GROUP BY 1
 """)
 def m5d_job_health(t: Tables) -> DataFrame:
     slices = t.events.selectExpr(
         "event_id DIV 200 % 5 AS job_id", "event_id DIV 4 AS run_id", "CAST(ts AS TIMESTAMP) AS start_at",
         "CAST(ts AS TIMESTAMP) + make_dt_interval(0, 0, 0, 60 + event_id % 90) AS end_at",
-        "CASE WHEN event_id % 4 < 3 THEN 'RUNNING' WHEN event_id DIV 4 % 9 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS state",
+        """CASE WHEN event_id % 4 < 3 OR event_id DIV 4 % 11 = 0 THEN NULL WHEN event_id DIV 4 % 9 = 0 THEN 'FAILED'
+           WHEN event_id DIV 4 % 9 = 1 THEN 'CANCELED' ELSE 'SUCCEEDED' END AS state""",
     )
     out = ob.job_health(slices, F.lit("2024-01-10").cast("timestamp"))
     return out.select("job_id", "runs", "failure_pct", F.round("p50", 4).alias("p50"), F.round("p90", 4).alias("p90"))

@@ -92,21 +92,23 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
     """Lazy access to the tables of one data folder: ``Tables(spark, path).orders``."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._schemas: dict[str, StructType] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         file = f"{self.path}/{name}.parquet"
-        if name not in self._schemas:  # the footer is read once per query, however often it uses the table
-            self._schemas[name] = self.spark.read.parquet(file).schema
-        return self.spark.read.schema(self._schemas[name]).parquet(file)
+        if file not in _SCHEMAS:  # reading a footer is a Spark job of its own, done once per table and process
+            _SCHEMAS[file] = self.spark.read.parquet(file).schema
+        return self.spark.read.schema(_SCHEMAS[file]).parquet(file)
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """Run SQL over the tables (and extra frames) it names as ``{name}``."""

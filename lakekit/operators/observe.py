@@ -12,7 +12,7 @@ def baselines(runs: DataFrame, before: Column, task: str = "task_key", seconds:
               bucket: Column | None = None) -> DataFrame:
     """Median duration of each task's earlier successful runs."""
     good = runs.where(before & (F.col(state) == "SUCCEEDED"))
-    return exact_quantiles(good, [task], seconds, {"baseline": 0.5}, F.col(seconds) if bucket is None else bucket)
+    return exact_quantiles(good, [task], seconds, {"baseline": 0.5}, bucket)
 
 
 def regressions(runs: DataFrame, base: DataFrame, task: str = "task_key", seconds: str = "seconds", factor: float = 1.5) -> DataFrame:
@@ -49,7 +49,7 @@ def timeline_summary(tasks: DataFrame, task: str = "task_key", seconds: str = "s
         F.count(F.lit(1)).alias("executions"), F.count_if(F.col(state) != "SUCCEEDED").alias("not_succeeded"),
         F.max(F.when(F.col(state) == "SUCCEEDED", F.col(seconds))).alias("longest"),
     )
-    median = exact_quantiles(tasks.where(F.col(state) == "SUCCEEDED"), [task], seconds, {"median": 0.5}, F.col(seconds))
+    median = exact_quantiles(tasks.where(F.col(state) == "SUCCEEDED"), [task], seconds, {"median": 0.5})
     return counts.join(median, task, "left")
 
 
@@ -74,7 +74,7 @@ def job_health(slices: DataFrame, since: Column, job: str = "job_id", run: str =
         F.count(F.lit(1)).alias("runs"),
         F.round(F.lit(100.0) * F.count_if(F.col("state") != "SUCCEEDED") / F.count(F.lit(1)), 4).alias("failure_pct"),
     )
-    quantiles = exact_quantiles(runs, [job], "seconds", {"p50": 0.5, "p90": 0.9}, F.floor(F.col("seconds") / 60))
+    quantiles = exact_quantiles(runs, [job], "seconds", {"p50": 0.5, "p90": 0.9})
     return shares.join(quantiles, job)
 
 

@@ -277,13 +277,19 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles per group through ranks, so that no group is held in one task.
 
-    ``probs`` maps output names to probabilities. NULL values are ignored, as ``percentile`` does.
+    ``probs`` maps output names to probabilities. NULL values are ignored, as ``percentile`` does. Equal values are counted
+    first, so a group's size is its number of different values: leave ``bucket`` out when these come from a limited
+    range (seconds, cents), give one for values without such a bound.
     """
     known = df.where(F.col(value).isNotNull())
-    # equal values are counted map-side first; what is laid in order are the distinct values
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = with_running_sum(counts, keys, [value], {"_upto": "_n"}, bucket)
-    placed = with_group_total(upto, keys, {"_cnt": F.sum("_n")})
+    if bucket is None:
+        group = Window.partitionBy(*keys)
+        ordered = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = counts.withColumns({"_upto": F.sum("_n").over(ordered), "_cnt": F.sum("_n").over(group)})
+    else:
+        upto = with_running_sum(counts, keys, [value], {"_upto": "_n"}, bucket)
+        placed = with_group_total(upto, keys, {"_cnt": F.sum("_n")})
 
     def covers(position: Column) -> Column:
         return ((position > F.col("_upto") - F.col("_n")) & (position <= F.col("_upto"))).cast("double")

@@ -62,8 +62,10 @@ def test_more_tiles_than_rows(spark):
     assert_same(w.with_ranks(df, ["k"], ["id"], band, ntile=(5, "t")), w.with_ranks(df, ["k"], ["id"], None, ntile=(5, "t")))
 
 
-def test_exact_quantiles(data):
-    got = w.exact_quantiles(data, ["k"], "o", {"p25": 0.25, "p50": 0.5, "p1": 1.0}, F.floor(F.col("o") / 7))
+@pytest.mark.parametrize("sliced", [False, True])
+def test_exact_quantiles(data, sliced):
+    bucket = F.floor(F.col("o") / 7) if sliced else None
+    got = w.exact_quantiles(data, ["k"], "o", {"p25": 0.25, "p50": 0.5, "p1": 1.0}, bucket)
     want = data.groupBy("k").agg(
         F.percentile("o", 0.25).alias("p25"), F.percentile("o", 0.5).alias("p50"), F.percentile("o", 1.0).alias("p1")
     )

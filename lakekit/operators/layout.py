@@ -41,6 +41,12 @@ def layout_summary(spark: SparkSession, path: str | list[str], tiny: int = 16 *
     ).withColumn("tiny_files", (F.col("files") > 1) & (F.col("average_bytes") < tiny))
 
 
+def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "errorifexists", fmt: str = "parquet") -> None:
+    """One folder per value, a few files each: rows are first brought together by value, where AQE splits values that are
+    too big for one task and joins small ones. Without that every task would write a file into every folder."""
+    df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).format(fmt).save(path)
+
+
 def file_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
     """Smallest and largest value of some columns in every file of a file-based frame."""
     ranges = [F.min(c).alias(f"{c}_min") for c in columns] + [F.max(c).alias(f"{c}_max") for c in columns]

@@ -129,7 +129,7 @@ SELECT count(DISTINCT strftime(o_orderdate, '%Y-%m')) AS folders, true AS tiny_f
 def l9_partition_pruning(t: Tables) -> DataFrame:
     """One folder per month: a month's filter reads one folder, but at this size every file is tiny."""
     folder = work_path(t.spark, "by-month")
-    t.orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM")).write.partitionBy("month").parquet(folder)
+    lay.write_partitioned(t.orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM")), folder, ["month"])
     rows = t.spark.read.parquet(folder)
     month = rows.where("month = '1997-03'").agg(F.count(F.lit(1)).alias("n")).scalar()
     tiny = lay.layout_summary(t.spark, folder).select("tiny_files").scalar()

@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.operators.layout import hashed_timing
+from lakekit.operators.layout import hashed_timing, write_partitioned
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.operators.tables import enforce_schema
 from lakekit.plans.registry import plan
@@ -68,16 +68,16 @@ def k5_dynamic_partition_overwrite(t: Tables) -> DataFrame:
     """Selective overwrite along partitions: only the folders that the new rows fall into are replaced."""
     folder = work_path(t.spark, "dynamic")
     rows = t.orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy").alias("y"))
-    rows.withColumn("origin", F.lit("old")).write.partitionBy("y").parquet(folder)
+    write_partitioned(rows.withColumn("origin", F.lit("old")), folder, ["y"])
     with settings(t.spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        rows.where("y = '1997' AND o_orderkey % 2 = 1").withColumn("origin", F.lit("new")).write.mode("overwrite").partitionBy("y").parquet(folder)
+        write_partitioned(rows.where("y = '1997' AND o_orderkey % 2 = 1").withColumn("origin", F.lit("new")), folder, ["y"], "overwrite")
     return t.spark.read.parquet(folder).groupBy(F.col("y").cast("string").alias("y"), "origin").agg(F.count(F.lit(1)).alias("n"))
 
 
 @plan("SELECT o_orderstatus, count(*) AS n, true AS one_folder_each FROM orders GROUP BY 1")
 def k6_partitioned_write(t: Tables) -> DataFrame:
     folder = work_path(t.spark, "partitioned")
-    t.orders.select("o_orderkey", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(folder)
+    write_partitioned(t.orders.select("o_orderkey", "o_orderstatus"), folder, ["o_orderstatus"])
     rows = t.spark.read.parquet(folder).select("o_orderstatus", F.col("_metadata.file_path").alias("file"))
     return rows.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.bool_and(F.contains("file", F.concat(F.lit("/o_orderstatus="), "o_orderstatus"))).alias("one_folder_each")

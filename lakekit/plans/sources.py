@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakekit.operators.layout import write_partitioned
 from lakekit.plans.registry import plan
 from lakekit.session import Tables, work_path
 from lakekit.sources import files as src
@@ -190,7 +191,7 @@ def s12_file_selection(t: Tables) -> DataFrame:
 def s13_partition_folders(t: Tables) -> DataFrame:
     """Folder names become columns; the year filter never opens the other folders."""
     folder = work_path(t.spark, "by-year")
-    t.orders.withColumn("order_year", F.date_format("o_orderdate", "yyyy")).write.partitionBy("order_year").parquet(folder)
+    write_partitioned(t.orders.withColumn("order_year", F.date_format("o_orderdate", "yyyy")), folder, ["order_year"])
     rows = t.spark.read.parquet(folder).where("order_year >= 1998")
     return rows.groupBy(F.col("order_year").cast("string").alias("order_year"), "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 

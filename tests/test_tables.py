@@ -155,3 +155,20 @@ def test_compaction_and_clustering(spark, tmp_path):
     assert layout.cluster_new(table, ["g"])["rewritten_folders"] == 1
     assert layout.cluster_new(table, ["g"])["rewritten_folders"] == 0
     assert_same(table.read(), before)
+
+
+def test_partitioned_write_makes_few_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).withColumn("p", F.col("id") % 3)
+    layout.write_partitioned(df, str(tmp_path / "p"), ["p"])
+    assert len(list((tmp_path / "p").glob("p=*/*.parquet"))) == 3
+    assert spark.read.parquet(str(tmp_path / "p")).where("p = 1").count() == 1333
+
+
+def test_clustering_narrows_file_ranges(spark, tmp_path):
+    df = spark.range(20000).selectExpr("id % 101 AS a", "(id * 7919) % 97 AS b", "id")
+    layout.cluster_by(df, ["a", "b"], 16).write.parquet(str(tmp_path / "z"))
+    back = spark.read.parquet(str(tmp_path / "z"))
+    assert_same(back, df)
+    ranges = layout.file_ranges(back, ["a", "b"])
+    for c in ("a", "b"):
+        assert layout.files_needed(ranges, c, 10, 12).first()["skipped_share"] >= 0.4

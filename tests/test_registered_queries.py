@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from lakekit.plans import registry
 from tests import oracle
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -23,11 +23,13 @@ ALPHANUMERIC = np.zeros(256, dtype=bool)
 ALPHANUMERIC[48:58] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
 
 
-def arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Keep Arrow batches small enough for documents of many kilobytes, unless the session says otherwise."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name, "10000") == "10000":
-        spark.conf.set(name, str(rows))
+def arrow_batches(spark: SparkSession, rows: int = 2000, size: int = 32 << 20) -> None:
+    """Keep Arrow batches small enough for documents of many kilobytes, unless the session already does."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{name}"
+        now = spark._jsparkSession.sessionState().conf().getConfString(name, str(most))
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, str(most))
 
 
 def chunks(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ the distinct ones. Spark higher-order functions then fold the merges over the by
 pairs the one of lowest rank is merged, until no pair has a rank. The ranks are a literal map of pairs, cut into small maps
 since Spark searches a map from its start. Pieces that have a rank themselves need no merges, and those of over ``LONG`` bytes
 are merged with a heap, as the fold's cost grows with the square of the length. Last, the ids of the pieces are put in the order of the texts. Decoding
-concatenates the binary pieces of the ids, from a literal array.
+concatenates the binary pieces of the ids.
 """
 
 from __future__ import annotations
@@ -112,18 +112,17 @@ def _let(value: Column, body) -> Column:
 
 
 def merged(start: Column, table: Column) -> Column:
-    """Token ids of a piece, given the ids of its bytes: the adjacent pair of lowest rank, the first of equals, is merged
-    until no pair has a rank.
+    """Token ids of a piece: the adjacent pair of lowest rank, the first of equals, is merged until no pair has a rank.
 
-    The fold's state has one long per token: rank of its merge with the next token, its place in the piece, its id. The
-    smallest long is the next merge, and its rank is the new token's id.
+    The fold's state has one long per token, at first per byte (``start``): rank of its merge with the next token, its place
+    in the piece, its id. The smallest long is the next merge, and its rank is the new token's id.
     """
     none = F.lit((1 << BITS) - 1)
     rest, tail = F.lit((1 << RANK) - 1), F.lit((1 << RANK) - (1 << BITS))
     token = F.lit((1 << BITS) - 1)
 
     def rank(a: Column, b: Column) -> Column:
-        bucket = F.get(table, ((a * SPREAD + b) % BUCKETS).cast("int"))
+        bucket = F.get(table, (a * SPREAD + b).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
         return F.shiftleft(F.coalesce(F.try_element_at(bucket, (F.shiftleft(a, BITS) + b).cast("string")), none).cast("long"), RANK)
 
     def at(acc: Column, least: Column):
@@ -141,9 +140,7 @@ def merged(start: Column, table: Column) -> Column:
         return _let(F.array_min(acc), lambda least: F.when(least >= F.shiftleft(none.cast("long"), RANK), acc).otherwise(
             _let(F.array_position(acc, least).cast("int"), at(acc, least))))
 
-    first = F.transform(start, lambda a, i: rank(a.cast("long"), F.get(start, i + 1).cast("long"))
-                        + F.shiftleft(i.cast("long"), BITS) + a.cast("long"))
-    return F.aggregate(start, first, step, lambda acc: F.transform(acc, lambda x: x.bitwiseAND(token).cast("int")))
+    return F.aggregate(F.slice(start, F.lit(2), LONG), start, step, lambda acc: F.transform(acc, lambda x: x.bitwiseAND(token).cast("int")))
 
 
 def merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -178,9 +175,19 @@ def merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _first_state(data: np.ndarray, bounds: np.ndarray, ranks: dict[bytes, int]) -> np.ndarray:
+    """The fold's first state: one long per byte of the pieces."""
+    single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+    double = np.array([ranks.get(bytes([a, b]), (1 << BITS) - 1) for a in range(256) for b in range(256)], np.int64)
+    pair = double[data.astype(np.int64) * 256 + np.append(data[1:], 0)] if len(data) else np.zeros(0, np.int64)
+    pair[bounds[1:] - 1] = (1 << BITS) - 1
+    place = np.arange(len(data)) - np.repeat(bounds[:-1], np.diff(bounds))
+    return (pair << RANK) + (place << BITS) + single[data]
+
+
 def _numbered(names: list[str], ranks_of):
     """One row per slice of documents: their kept columns, the numbers of their pieces in order, the distinct pieces that
-    need merges as arrays of byte ids, and the ids of the others (pieces with a rank of their own, and long ones)."""
+    need merges as arrays of bytes, and the ids of the others (pieces with a rank of their own, and long ones)."""
 
     def made(held: list[pa.RecordBatch], ranks: dict[bytes, int]) -> pa.RecordBatch:
         rows = pa.StructArray.from_arrays([pa.concat_arrays([b.column(n) for b in held]) for n in names], names=names)
@@ -198,11 +205,11 @@ def _numbered(names: list[str], ranks_of):
         place[np.flatnonzero(is_done)] = np.arange(np.count_nonzero(is_done)) + np.count_nonzero(~is_done)
         others = [[ranks[w]] if w in ranks else merged_long(w, ranks) for w in distinct.filter(done).to_pylist()]
         open_ = distinct.filter(pc.invert(done))
-        single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         _, bounds, data = open_.buffers()
         bounds = np.frombuffer(bounds, np.int64)[open_.offset:open_.offset + len(open_) + 1] if len(open_) else np.zeros(1, np.int64)
-        letters = single[np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]] if len(open_) else np.zeros(0, np.int32)
-        merges = pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), pa.array(letters, pa.int32()))
+        data = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if len(open_) else np.zeros(0, np.uint8)
+        bounds = bounds - bounds[0]
+        merges = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_first_state(data, bounds, ranks), pa.int64()))
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         return pa.RecordBatch.from_arrays(
             [one(rows), pa.array([counts.tobytes()]), pa.array([place[codes].tobytes()]), one(merges),
@@ -271,18 +278,56 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     table = _pair_ranks(ranks)
     shared = documents.sparkSession.sparkContext.broadcast(ranks)
     slices = given.mapInArrow(_numbered(inner, shared), f"rows array<struct<{fields}>>, counts binary, codes binary, "
-                              "open array<array<int>>, others array<array<int>>")
+                              "open array<array<bigint>>, others array<array<int>>")
     coded = slices.select("rows", "counts", "codes", "others", F.transform("open", lambda w: merged(w, table)).alias("merged"))
     out = coded.mapInArrow(_ordered(inner), f"{fields}, ids array<int>")
     return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=False)), "ids")
 
 
-def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of a column of token ids, as binary (a null array: null, no ids: empty)."""
-    by_rank = sorted((rank, piece) for piece, rank in ranks.items())
-    if [rank for rank, _ in by_rank] != list(range(len(by_rank))):
-        raise ValueError("ranks must be 0, 1, 2, ... to be decoded")
-    texts = json.dumps([base64.b64encode(piece).decode() for _, piece in by_rank])
-    table = F.expr(f"from_json('{texts}', 'array<binary>')")
-    # bytes pass through strings unchanged; array_join copies each piece once
-    return F.array_join(F.transform(ids, lambda i: F.get(table, i).cast("string")), "").cast("binary")
+class Pieces:
+    """The bytes of every rank, end to end, to be gathered by id."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values()) + 1
+        lengths = np.zeros(size, np.int64)
+        for piece, rank in ranks.items():
+            lengths[rank] = len(piece)
+        self.start = np.append(0, np.cumsum(lengths))
+        self.data = np.zeros(self.start[-1], np.uint8)
+        for piece, rank in ranks.items():
+            self.data[self.start[rank]:self.start[rank + 1]] = np.frombuffer(piece, np.uint8)
+
+    def gathered(self, lists: pa.Array) -> pa.Array:
+        """Each list of ids as the bytes of its pieces; null: null."""
+        ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        lengths = self.start[ids + 1] - self.start[ids]
+        data = self.data[spans_of(self.start[ids], lengths)]
+        bounds = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(sizes))]
+        out = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+        return pc.if_else(lists.is_valid(), out, None).cast(pa.binary())
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """All columns and ``into``, the bytes of the pieces of ``ids`` one after the other (null: null, no ids: empty).
+
+    A column of the name ``into`` is replaced. An id without a piece fails.
+    """
+    arrow_batches(encoded.sparkSession)
+    names = [c for c in encoded.columns if c != into]
+    place = names.index(ids)
+    inner = [f"c{i}" for i in range(len(names))]
+    given = encoded.select(*(encoded[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)))
+    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None
+        for batch in batches:
+            table = table or Pieces(shared.value)
+            for low in range(0, batch.num_rows, 200):
+                part = batch.slice(low, 200)
+                yield pa.RecordBatch.from_arrays([*part.columns, table.gathered(part.column(place))], names=[*inner, into])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields)
+    out = given.mapInArrow(run, f"{fields}, `{into}` binary")
+    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=True)), into)

@@ -30,7 +30,7 @@ LETTER, NUMBER, SPACE, OTHER, END = range(5)
 #: Code points of Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Bytes of text in a slice of documents, and bytes of a piece above which its merges use a heap.
-SLICE, LONG = 24 << 20, 256
+SLICE, LONG = 12 << 20, 256
 #: Bits of an id, lowest bit of a rank in the fold's state, and how pairs are dealt to the small maps.
 BITS, RANK, BUCKETS, SPREAD = 17, 46, 1 << 16, 40503
 
@@ -191,7 +191,7 @@ def _numbered(names: list[str], ranks_of):
 
     def made(held: list[pa.RecordBatch], ranks: dict[bytes, int]) -> pa.RecordBatch:
         rows = pa.StructArray.from_arrays([pa.concat_arrays([b.column(n) for b in held]) for n in names], names=names)
-        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", 4 << 20)]
+        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", 2 << 20)]
         words = pa.chunked_array([w for w, _ in parts]).unify_dictionaries()
         codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in words.chunks]).astype(np.int32)
         counts = np.concatenate([c for _, c in parts]).astype(np.int32)
@@ -232,10 +232,11 @@ def _numbered(names: list[str], ranks_of):
     return run
 
 
-def _ordered(names: list[str]):
-    """The documents of each slice with their ids."""
+def _ordered(names: list[str], ranks_of=None):
+    """The documents of each slice with their ids, and with the bytes of those if ranks are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Pieces(ranks_of.value) if ranks_of else None
         for batch in batches:
             for i in range(batch.num_rows):
                 rows = batch.column("rows").slice(i, 1).flatten()
@@ -246,30 +247,34 @@ def _ordered(names: list[str]):
                 bounds = np.append(0, np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
                 ends = np.append(0, np.cumsum(counts, dtype=np.int64))
                 low = 0
-                while low < len(counts):  # about a million pieces at a time
-                    high = max(low + 1, int(np.searchsorted(ends, ends[low] + (1 << 20), side="right")) - 1)
+                while low < len(counts):  # about a quarter of a million pieces at a time
+                    high = max(low + 1, int(np.searchsorted(ends, ends[low] + (1 << 18), side="right")) - 1)
                     part = codes[ends[low]:ends[high]]
                     lengths = bounds[part + 1] - bounds[part]
                     ids = values[spans_of(bounds[part], lengths)]
                     total = np.append(0, np.cumsum(lengths))[ends[low:high + 1] - ends[low]]
                     lists = pa.ListArray.from_arrays(pa.array(total, pa.int32()), pa.array(ids, pa.int32()))
                     kept = rows.slice(low, high - low).flatten()
-                    yield pa.RecordBatch.from_arrays([*kept, lists], names=[*names, "ids"])
+                    made = {"ids": lists} | ({"decoded": table.gathered(lists)} if table else {})
+                    yield pa.RecordBatch.from_arrays([*kept, *made.values()], names=[*names, *made])
                     low = high
 
     return run
 
 
-def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text", keep: list[str] | None = None,
+           decoded: bool = False) -> DataFrame:
     """The kept columns (all by default; one named ``ids`` is left out) and ``ids``, the token ids of the whole text.
 
+    With ``decoded``, also the bytes that the ids decode to, as column ``decoded``, in the same pass as ``decode`` would.
+
     Special tokens are ordinary text. A null or empty text has no ids. Every byte must have a rank. Repeated rows stay.
     """
     missing = [b for b in range(256) if bytes([b]) not in ranks]
     if missing or max(ranks.values()) >= (1 << BITS) - 1:
         raise ValueError("every byte must have a rank, and ranks must be below 131071")
     arrow_batches(documents.sparkSession)
-    names = [c for c in (documents.columns if keep is None else keep) if c != "ids"]
+    names = [c for c in (documents.columns if keep is None else keep) if c not in ("ids", "decoded")[:1 + decoded]]
     inner = [f"c{i}" for i in range(len(names))]  # any name, twice or with dots, goes through under a plain one
     given = documents.select(*(documents[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)),
                              F.lit(0).alias("one"), F.col(text).alias("_text"))
@@ -280,8 +285,8 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     slices = given.mapInArrow(_numbered(inner, shared), f"rows array<struct<{fields}>>, counts binary, codes binary, "
                               "open array<array<bigint>>, others array<array<int>>")
     coded = slices.select("rows", "counts", "codes", "others", F.transform("open", lambda w: merged(w, table)).alias("merged"))
-    out = coded.mapInArrow(_ordered(inner), f"{fields}, ids array<int>")
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=False)), "ids")
+    out = coded.mapInArrow(_ordered(inner, shared if decoded else None), f"{fields}, ids array<int>{', decoded binary' * decoded}")
+    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=False)), "ids", *["decoded"] * decoded)
 
 
 class Pieces:

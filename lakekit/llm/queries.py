@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, decontaminate, simhash
+from lakekit.llm import bpe, decontaminate, fingerprints, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -17,13 +17,17 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def op1_byte_level_bpe(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
     ranks = bpe.load_ranks(vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    coded = bpe.decode(bpe.encode(_read(spark, folder, "documents"), ranks, keep=["doc_id"]), ranks)
+    coded = bpe.encode(_read(spark, folder, "documents"), ranks, keep=["doc_id"], decoded=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_neighbours(_read(spark, folder, "documents"))
+
+
 def op5_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, folder, "documents"))
 
@@ -35,7 +39,7 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_level_bpe, op5_simhash_near_duplicates, op8_benchmark_decontamination,
+        op1_byte_level_bpe, op2_document_fingerprints, op5_simhash_near_duplicates, op8_benchmark_decontamination,
     )}
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, decontaminate, fingerprints, simhash
+from lakekit.llm import bpe, decontaminate, fingerprints, langid, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -28,6 +28,13 @@ def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_neighbours(_read(spark, folder, "documents"))
 
 
+def op3_language_identification(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _read(spark, folder, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 4 == 2)
+    field = langid.learn(documents.where("NOT held_out"))
+    found = langid.predict(documents.select("doc_id", "held_out", "text"), field, keep=["doc_id", "held_out"])
+    return found.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score", "n_words")
+
+
 def op5_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, folder, "documents"))
 
@@ -39,7 +46,7 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_level_bpe, op2_document_fingerprints, op5_simhash_near_duplicates, op8_benchmark_decontamination,
+        op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op5_simhash_near_duplicates, op8_benchmark_decontamination,
     )}
 
 

@@ -1,7 +1,7 @@
 """Byte-level byte-pair encoding and decoding.
 
-Three steps, none of which shuffles. A task cuts a slice of documents into pieces by the pre-tokeniser's pattern and numbers
-the distinct ones. Spark higher-order functions then fold the merges over the bytes of each distinct piece: of all adjacent
+Three steps, none of which shuffles. A task cuts slices of documents into pieces by the pre-tokeniser's pattern and numbers
+the distinct ones, each of which it hands on once (it remembers a bounded number of them). Spark higher-order functions then fold the merges over the bytes of each distinct piece: of all adjacent
 pairs the one of lowest rank is merged, until no pair has a rank. The ranks are a literal map of pairs, cut into small maps
 since Spark searches a map from its start. Pieces that have a rank themselves need no merges, and those of over ``LONG`` bytes
 are merged with a heap, as the fold's cost grows with the square of the length. Last, the ids of the pieces are put in the order of the texts. Decoding
@@ -29,8 +29,8 @@ from lakekit.llm.arrow_text import arrow_batches, chunks, joined, spans_of
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
 #: Code points of Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Bytes of text in a slice of documents, and bytes of a piece above which its merges use a heap.
-SLICE, LONG = 12 << 20, 256
+#: Bytes of text in a slice of documents, distinct pieces that a task remembers, bytes of a piece above which a heap is used.
+SLICE, REMEMBERED, LONG = 4 << 20, 500_000, 256
 #: Bits of an id, lowest bit of a rank in the fold's state, and how pairs are dealt to the small maps.
 BITS, RANK, BUCKETS, SPREAD = 17, 46, 1 << 16, 40503
 
@@ -189,45 +189,50 @@ def _numbered(names: list[str], ranks_of):
     """One row per slice of documents: their kept columns, the numbers of their pieces in order, the distinct pieces that
     need merges as arrays of bytes, and the ids of the others (pieces with a rank of their own, and long ones)."""
 
-    def made(held: list[pa.RecordBatch], ranks: dict[bytes, int]) -> pa.RecordBatch:
+    def made(held: list[pa.RecordBatch], ranks: dict[bytes, int], known: pa.Array) -> tuple[pa.RecordBatch, pa.Array]:
         rows = pa.StructArray.from_arrays([pa.concat_arrays([b.column(n) for b in held]) for n in names], names=names)
-        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", 2 << 20)]
+        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", 1 << 20)]
         words = pa.chunked_array([w for w, _ in parts]).unify_dictionaries()
         codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in words.chunks]).astype(np.int32)
         counts = np.concatenate([c for _, c in parts]).astype(np.int32)
         distinct = words.chunk(0).dictionary
-        whole = pc.index_in(distinct, value_set=pa.array(ranks, pa.large_binary()))
-        long = pc.greater(pc.binary_length(distinct), LONG)
-        done = pc.or_(whole.is_valid(), long)
-        place = np.empty(len(distinct), np.int32)
+        fresh = len(known) > REMEMBERED  # then both sides of the merges forget all pieces
+        known = known[:0] if fresh else known
+        place = pc.fill_null(pc.index_in(distinct, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+        unseen = np.flatnonzero(place < 0)
+        new = distinct.take(pa.array(unseen))
+        done = pc.or_(pc.is_in(new, value_set=pa.array(ranks, pa.large_binary())), pc.greater(pc.binary_length(new), LONG))
         is_done = done.to_numpy(zero_copy_only=False)
-        place[np.flatnonzero(~is_done)] = np.arange(np.count_nonzero(~is_done))
-        place[np.flatnonzero(is_done)] = np.arange(np.count_nonzero(is_done)) + np.count_nonzero(~is_done)
-        others = [[ranks[w]] if w in ranks else merged_long(w, ranks) for w in distinct.filter(done).to_pylist()]
-        open_ = distinct.filter(pc.invert(done))
+        order = np.argsort(is_done, kind="stable")
+        place[unseen[order]] = len(known) + np.arange(len(unseen))
+        open_, whole = new.filter(pc.invert(done)), new.filter(done)
+        others = [[ranks[w]] if w in ranks else merged_long(w, ranks) for w in whole.to_pylist()]
+        open_ = pa.concat_arrays([open_])
         _, bounds, data = open_.buffers()
-        bounds = np.frombuffer(bounds, np.int64)[open_.offset:open_.offset + len(open_) + 1] if len(open_) else np.zeros(1, np.int64)
+        bounds = np.frombuffer(bounds, np.int64)[:len(open_) + 1] if len(open_) else np.zeros(1, np.int64)
         data = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if len(open_) else np.zeros(0, np.uint8)
         bounds = bounds - bounds[0]
         merges = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_first_state(data, bounds, ranks), pa.int64()))
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        return pa.RecordBatch.from_arrays(
+        row = pa.RecordBatch.from_arrays(
             [one(rows), pa.array([counts.tobytes()]), pa.array([place[codes].tobytes()]), one(merges),
-             pa.array([others], pa.list_(pa.list_(pa.int32())))],
-            names=["rows", "counts", "codes", "open", "others"])
+             pa.array([others], pa.list_(pa.list_(pa.int32()))), pa.array([fresh])],
+            names=["rows", "counts", "codes", "open", "others", "fresh"])
+        return row, pa.concat_arrays([known, open_, whole])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of.value
-        held, size = [], 0
+        held, size, known = [], 0, pa.array([], pa.large_binary())
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                size += batch.column("_text").nbytes
+            for part in chunks(batch, "_text", SLICE):
+                held.append(part)
+                size += part.column("_text").nbytes
                 if size >= SLICE:
-                    yield made(held, ranks)
+                    row, known = made(held, ranks, known)
                     held, size = [], 0
+                    yield row
         if held:
-            yield made(held, ranks)
+            yield made(held, ranks, known)[0]
 
     return run
 
@@ -237,14 +242,17 @@ def _ordered(names: list[str], ranks_of=None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Pieces(ranks_of.value) if ranks_of else None
+        values, bounds = np.zeros(0, np.int32), np.zeros(1, np.int64)  # ids of the pieces so far, in the order of their numbers
         for batch in batches:
             for i in range(batch.num_rows):
+                if batch.column("fresh")[i].as_py():
+                    values, bounds = values[:0], bounds[:1]
                 rows = batch.column("rows").slice(i, 1).flatten()
                 counts = np.frombuffer(batch.column("counts")[i].as_py(), np.int32)
                 codes = np.frombuffer(batch.column("codes")[i].as_py(), np.int32)
                 words = pa.concat_arrays([batch.column("merged").slice(i, 1).flatten(), batch.column("others").slice(i, 1).flatten()])
-                values = words.flatten().to_numpy(zero_copy_only=False)
-                bounds = np.append(0, np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
+                values = np.append(values, words.flatten().to_numpy(zero_copy_only=False))
+                bounds = np.append(bounds, bounds[-1] + np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))
                 ends = np.append(0, np.cumsum(counts, dtype=np.int64))
                 low = 0
                 while low < len(counts):  # about a quarter of a million pieces at a time
@@ -283,8 +291,8 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     table = _pair_ranks(ranks)
     shared = documents.sparkSession.sparkContext.broadcast(ranks)
     slices = given.mapInArrow(_numbered(inner, shared), f"rows array<struct<{fields}>>, counts binary, codes binary, "
-                              "open array<array<bigint>>, others array<array<int>>")
-    coded = slices.select("rows", "counts", "codes", "others", F.transform("open", lambda w: merged(w, table)).alias("merged"))
+                              "open array<array<bigint>>, others array<array<int>>, fresh boolean")
+    coded = slices.select("rows", "counts", "codes", "others", "fresh", F.transform("open", lambda w: merged(w, table)).alias("merged"))
     out = coded.mapInArrow(_ordered(inner, shared if decoded else None), f"{fields}, ids array<int>{', decoded binary' * decoded}")
     return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=False)), "ids", *["decoded"] * decoded)
 

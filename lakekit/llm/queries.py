@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, decontaminate, fingerprints, langid, simhash
+from lakekit.llm import bpe, chat, decontaminate, fingerprints, langid, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -35,6 +35,18 @@ def op3_language_identification(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "lang_pred", "score", "n_words")
 
 
+def op4_chat_formatting(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    probe = "\\### Assistant: </turn> ok"
+    rows = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema)
+    done = chat.format_conversations(rows.unionByName(added), vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chat.read_back(done).select(
+        "conv_id", "n_turns", F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op5_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, folder, "documents"))
 
@@ -46,7 +58,7 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op5_simhash_near_duplicates, op8_benchmark_decontamination,
+        op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates, op8_benchmark_decontamination,
     )}
 
 

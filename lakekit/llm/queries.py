@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, chat, decontaminate, fingerprints, langid, simhash
+from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op5_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, folder, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(_read(spark, folder, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
@@ -58,7 +63,8 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates, op8_benchmark_decontamination,
+        op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates,
+        op6_html_extraction, op8_benchmark_decontamination,
     )}
 
 

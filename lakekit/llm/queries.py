@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, simhash
+from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, pii, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -61,10 +61,14 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(_read(spark, folder, "documents"), keep=["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates,
-        op6_html_extraction, op8_benchmark_decontamination,
+        op6_html_extraction, op8_benchmark_decontamination, op9_personal_data,
     )}
 
 

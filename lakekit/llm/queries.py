@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, pii, simhash
+from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, lm_score, pii, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -65,10 +65,17 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_personal_data(_read(spark, folder, "documents"), keep=["doc_id"])
 
 
+def op10_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _read(spark, folder, "documents")
+    listed = lm_score.frequent_words(documents)
+    return lm_score.score(documents, lm_score.train(documents, listed), listed, keep=["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates,
         op6_html_extraction, op8_benchmark_decontamination, op9_personal_data,
+        op10_language_model_scores,
     )}
 
 

@@ -23,7 +23,7 @@ ALPHANUMERIC = np.zeros(256, dtype=bool)
 ALPHANUMERIC[48:58] = ALPHANUMERIC[97:123] = ALPHANUMERIC[128:] = True
 
 
-def arrow_batches(spark: SparkSession, rows: int = 2000, size: int = 32 << 20) -> None:
+def arrow_batches(spark: SparkSession, rows: int = 2000, size: int = 8 << 20) -> None:
     """Keep Arrow batches small enough for documents of many kilobytes, unless the session already does."""
     for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
         name = f"spark.sql.execution.arrow.{name}"

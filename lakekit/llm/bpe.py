@@ -112,10 +112,10 @@ def _let(value: Column, body) -> Column:
 
 
 def merged(start: Column, table: Column) -> Column:
-    """Token ids of a piece: the adjacent pair of lowest rank, the first of equals, is merged until no pair has a rank.
+    """Tokens of a piece: the adjacent pair of lowest rank, the first of equals, is merged until no pair has a rank.
 
     The fold's state has one long per token, at first per byte (``start``): rank of its merge with the next token, its place
-    in the piece, its id. The smallest long is the next merge, and its rank is the new token's id.
+    in the piece, its id in the low ``BITS`` bits. The smallest long is the next merge, its rank the new token's id.
     """
     none = F.lit((1 << BITS) - 1)
     rest, tail = F.lit((1 << RANK) - 1), F.lit((1 << RANK) - (1 << BITS))
@@ -140,7 +140,7 @@ def merged(start: Column, table: Column) -> Column:
         return _let(F.array_min(acc), lambda least: F.when(least >= F.shiftleft(none.cast("long"), RANK), acc).otherwise(
             _let(F.array_position(acc, least).cast("int"), at(acc, least))))
 
-    return F.aggregate(F.slice(start, F.lit(2), LONG), start, step, lambda acc: F.transform(acc, lambda x: x.bitwiseAND(token).cast("int")))
+    return F.aggregate(F.slice(start, F.lit(2), LONG), start, step)
 
 
 def merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -250,9 +250,12 @@ def _ordered(names: list[str], ranks_of=None):
                 rows = batch.column("rows").slice(i, 1).flatten()
                 counts = np.frombuffer(batch.column("counts")[i].as_py(), np.int32)
                 codes = np.frombuffer(batch.column("codes")[i].as_py(), np.int32)
-                words = pa.concat_arrays([batch.column("merged").slice(i, 1).flatten(), batch.column("others").slice(i, 1).flatten()])
-                values = np.append(values, words.flatten().to_numpy(zero_copy_only=False))
-                bounds = np.append(bounds, bounds[-1] + np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))
+                for name in ("merged", "others"):
+                    words = batch.column(name).slice(i, 1).flatten()
+                    ids = words.flatten().to_numpy(zero_copy_only=False)
+                    values = np.append(values, (ids & ((1 << BITS) - 1)).astype(np.int32))
+                    sizes = words.value_lengths().to_numpy(zero_copy_only=False)
+                    bounds = np.append(bounds, bounds[-1] + np.cumsum(sizes, dtype=np.int64))
                 ends = np.append(0, np.cumsum(counts, dtype=np.int64))
                 low = 0
                 while low < len(counts):  # about a quarter of a million pieces at a time

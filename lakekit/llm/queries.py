@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, lm_score, pii, simhash
+from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, line_dedup, lm_score, pii, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -56,6 +56,15 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _read(spark, folder, "documents").select("doc_id", "text")
+    lines = F.size(F.split("text", "\n", -1))
+    counted = documents.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(lines).cast("long"))
+    found = line_dedup.without_repeated_lines(counted, keep_empty=True)
+    return found.select("doc_id", "n_lines", "n_removed", F.char_length("text").cast("long").alias("n_chars"),
+                        F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
@@ -74,7 +83,7 @@ def op10_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates,
-        op6_html_extraction, op8_benchmark_decontamination, op9_personal_data,
+        op6_html_extraction, op7_line_dedup, op8_benchmark_decontamination, op9_personal_data,
         op10_language_model_scores,
     )}
 

@@ -10,7 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII A-Z to a-z, all other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -104,3 +105,27 @@ def spans_of(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(ends[-1]) + np.repeat(first - (ends - lengths), lengths)
+
+
+class Carried:
+    """Columns that go through a Python pass unchanged, under plain names, next to the one that the pass works on.
+
+    ``frame`` has the columns c0, c1, ... and ``_text``. Columns whose names a result has (letter case aside) are left out, so
+    any other name can be carried, also one that an operator uses inside.
+    """
+
+    def __init__(self, table: DataFrame, text: str, results: list[str], keep: list[str] | None = None, without: tuple[str, ...] = ()):
+        taken = {x.lower() for x in results}
+        self.names = [c for c in (table.columns if keep is None else keep) if c.lower() not in taken and c not in without]
+        self.inner = [f"c{i}" for i in range(len(self.names))]
+        self.frame = table.select(
+            *(table[f"`{n}`"].alias(i) for n, i in zip(self.names, self.inner, strict=True)), table[f"`{text}`"].alias("_text"))
+        self.fields = [f"{f.name}: {f.dataType.simpleString()}" for f in self.frame.schema.fields[:-1]]
+
+    def through(self, run, results: str) -> DataFrame:
+        """The frame after a pass that returns the carried columns and ``results`` (DDL), under their own names."""
+        return self.named(self.frame.mapInArrow(run, ", ".join([*self.fields, results])))
+
+    def named(self, passed: DataFrame) -> DataFrame:
+        made = [c for c in passed.columns if c not in self.inner]
+        return passed.select(*(F.col(i).alias(n) for n, i in zip(self.names, self.inner, strict=True)), *made)

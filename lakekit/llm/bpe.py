@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import arrow_batches, chunks, joined, spans_of
+from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, joined, spans_of
 
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
 #: Code points of Unicode's White_Space property.
@@ -185,7 +185,7 @@ def _first_state(data: np.ndarray, bounds: np.ndarray, ranks: dict[bytes, int])
     return (pair << RANK) + (place << BITS) + single[data]
 
 
-def _numbered(names: list[str], ranks_of):
+def _numbered(names: list[str], ranks_of, slice_bytes: int, remembered: int):
     """One row per slice of documents: their kept columns, the numbers of their pieces in order, the distinct pieces that
     need merges as arrays of bytes, and the ids of the others (pieces with a rank of their own, and long ones)."""
 
@@ -196,7 +196,7 @@ def _numbered(names: list[str], ranks_of):
         codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in words.chunks]).astype(np.int32)
         counts = np.concatenate([c for _, c in parts]).astype(np.int32)
         distinct = words.chunk(0).dictionary
-        fresh = len(known) > REMEMBERED  # then both sides of the merges forget all pieces
+        fresh = len(known) > remembered  # then both sides of the merges forget all pieces
         known = known[:0] if fresh else known
         place = pc.fill_null(pc.index_in(distinct, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int32)
         unseen = np.flatnonzero(place < 0)
@@ -224,10 +224,10 @@ def _numbered(names: list[str], ranks_of):
         ranks = ranks_of.value
         held, size, known = [], 0, pa.array([], pa.large_binary())
         for batch in batches:
-            for part in chunks(batch, "_text", SLICE):
+            for part in chunks(batch, "_text", slice_bytes):
                 held.append(part)
                 size += part.column("_text").nbytes
-                if size >= SLICE:
+                if size >= slice_bytes:
                     row, known = made(held, ranks, known)
                     held, size = [], 0
                     yield row
@@ -274,7 +274,7 @@ def _ordered(names: list[str], ranks_of=None):
 
 
 def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text", keep: list[str] | None = None,
-           decoded: bool = False) -> DataFrame:
+           decoded: bool = False, slice_bytes: int = SLICE, remembered: int = REMEMBERED) -> DataFrame:
     """The kept columns (all by default; one named ``ids`` is left out) and ``ids``, the token ids of the whole text.
 
     With ``decoded``, also the bytes that the ids decode to, as column ``decoded``, in the same pass as ``decode`` would.
@@ -285,19 +285,16 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     if missing or max(ranks.values()) >= (1 << BITS) - 1:
         raise ValueError("every byte must have a rank, and ranks must be below 131071")
     arrow_batches(documents.sparkSession)
-    names = [c for c in (documents.columns if keep is None else keep) if c not in ("ids", "decoded")[:1 + decoded]]
-    inner = [f"c{i}" for i in range(len(names))]  # any name, twice or with dots, goes through under a plain one
-    given = documents.select(*(documents[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)),
-                             F.lit(0).alias("one"), F.col(text).alias("_text"))
-    inner.append("one")
-    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text")
+    carried = Carried(documents, text, ["ids", "decoded"][:1 + decoded], keep)
+    inner = [*carried.inner, "one"]  # never a struct without fields
+    fields = ", ".join([*carried.fields, "one: int"])
     table = _pair_ranks(ranks)
     shared = documents.sparkSession.sparkContext.broadcast(ranks)
-    slices = given.mapInArrow(_numbered(inner, shared), f"rows array<struct<{fields}>>, counts binary, codes binary, "
+    slices = carried.frame.withColumn("one", F.lit(0)).mapInArrow(_numbered(inner, shared, slice_bytes, remembered), f"rows array<struct<{fields}>>, counts binary, codes binary, "
                               "open array<array<bigint>>, others array<array<int>>, fresh boolean")
     coded = slices.select("rows", "counts", "codes", "others", "fresh", F.transform("open", lambda w: merged(w, table)).alias("merged"))
     out = coded.mapInArrow(_ordered(inner, shared if decoded else None), f"{fields}, ids array<int>{', decoded binary' * decoded}")
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=False)), "ids", *["decoded"] * decoded)
+    return carried.named(out.drop("one"))
 
 
 class Pieces:
@@ -330,10 +327,8 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", int
     A column of the name ``into`` is replaced. An id without a piece fails.
     """
     arrow_batches(encoded.sparkSession)
-    names = [c for c in encoded.columns if c != into]
-    place = names.index(ids)
-    inner = [f"c{i}" for i in range(len(names))]
-    given = encoded.select(*(encoded[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)))
+    carried = Carried(encoded, ids, [into])
+    inner = carried.inner
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,8 +337,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", int
             table = table or Pieces(shared.value)
             for low in range(0, batch.num_rows, 200):
                 part = batch.slice(low, 200)
-                yield pa.RecordBatch.from_arrays([*part.columns, table.gathered(part.column(place))], names=[*inner, into])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], table.gathered(part.column("_text"))], names=[*inner, into])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields)
-    out = given.mapInArrow(run, f"{fields}, `{into}` binary")
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=True)), into)
+    return carried.through(run, f"`{into}` binary")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakekit.llm.arrow_text import ALPHANUMERIC, Words, arrow_batches, chunks, spans_of
+from lakekit.llm.arrow_text import ALPHANUMERIC, Carried, Words, arrow_batches, chunks, spans_of
 
 RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, "
           "items array<string>, hit_spans array<struct<start: long, end: long>>")
@@ -248,8 +248,8 @@ def find_contamination(
     spark = documents.sparkSession
     arrow_batches(spark)
     blocks = [spark.sparkContext.broadcast(b) for b in _blocks(benchmark, item_id, item_text, window, block_words)]
-    results = StructType.fromDDL(RESULT).names
-    names = [c for c in (documents.columns if keep is None else keep) if c not in results]
+    carried = Carried(documents, text, StructType.fromDDL(RESULT).names, keep)
+    inner = carried.inner
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,12 +257,10 @@ def find_contamination(
                 shard = Shard(part.column("_text"))
                 for block in blocks:
                     shard.probe(block.value, window)
-                columns = {name: part.column(name) for name in names} | shard.result(share)
+                columns = {name: part.column(name) for name in inner} | shard.result(share)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    given = documents.select(*names, F.col(text).alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text"), RESULT])
-    return given.mapInArrow(judged, schema)
+    return carried.through(judged, RESULT)
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

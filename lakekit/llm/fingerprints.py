@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import arrow_batches, chunks, joined
+from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, joined
 
 SLOTS, LEVEL, RADIX = 64, 3, np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,9 +144,8 @@ def fingerprints(documents: DataFrame, *, text: str = "text", into: str = "finge
     """All columns and ``into``: the fingerprint of the whole text, hex digits. A null text counts as empty, an empty text has
     no phrases and the fingerprint of zeros; equal texts have equal fingerprints. A column named ``into`` is replaced."""
     arrow_batches(documents.sparkSession)
-    names = [c for c in documents.columns if c != into]
-    inner = [f"c{i}" for i in range(len(names))]
-    given = documents.select(*(documents[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)), F.col(text).alias("_text"))
+    carried = Carried(documents, text, [into])
+    inner = carried.inner
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,9 +153,7 @@ def fingerprints(documents: DataFrame, *, text: str = "text", into: str = "finge
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in inner), fingerprint(part.column("_text"))], names=[*inner, into])
 
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text"]
-    out = given.mapInArrow(run, ", ".join([*fields, f"`{into}` string"]))
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=True)), into)
+    return carried.through(run, f"`{into}` string")
 
 
 def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:

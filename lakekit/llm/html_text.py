@@ -15,9 +15,8 @@ from html import unescape
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import arrow_batches, chunks
+from lakekit.llm.arrow_text import Carried, arrow_batches, chunks
 
 # Elements of HTML by how they treat their text.
 HIDDEN = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg math object select button option head".split())
@@ -257,9 +256,8 @@ def extract(pages: DataFrame, *, html: str = "html", keep: list[str] | None = No
     """
     arrow_batches(pages.sparkSession)
     own = ["text", "n_blocks", "n_kept"]
-    names = [c for c in (pages.columns if keep is None else keep) if c not in own and (keep is not None or c != html)]
-    inner = [f"c{i}" for i in range(len(names))]
-    given = pages.select(*(pages[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)), F.col(html).alias("_text"))
+    carried = Carried(pages, html, own, keep, without=(html,) if keep is None else ())
+    inner = carried.inner
     tree = trained()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,6 +268,4 @@ def extract(pages: DataFrame, *, html: str = "html", keep: list[str] | None = No
                     *(part.column(i) for i in inner), pa.array(texts, pa.string()), pa.array(n_blocks, pa.int64()),
                     pa.array(n_kept, pa.int64())], names=[*inner, *own])
 
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text"]
-    out = given.mapInArrow(run, ", ".join([*fields, "text string, n_blocks long, n_kept long"]))
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=True)), *own)
+    return carried.through(run, "text string, n_blocks long, n_kept long")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakekit.llm.arrow_text import Words, arrow_batches, chunks
+from lakekit.llm.arrow_text import Carried, Words, arrow_batches, chunks
 
 SAMPLE, LEAST = 800, 25
 ORDERS, ROWS, PIECE, ROUNDS, UNKNOWN = (1, 2, 3, 4), 1 << 17, 16, 25, "und"
@@ -219,9 +219,8 @@ def predict(documents: DataFrame, field: Field, *, text: str = "text", keep: lis
     spark = documents.sparkSession
     arrow_batches(spark)
     own = [x.split()[0] for x in RESULT.split(", ")]
-    names = [c for c in (documents.columns if keep is None else keep) if c not in own]
-    inner = [f"c{i}" for i in range(len(names))]
-    given = documents.select(*(documents[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)), F.col(text).alias("_text"))
+    carried = Carried(documents, text, own, keep)
+    inner = carried.inner
     shared = spark.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,6 +244,4 @@ def predict(documents: DataFrame, field: Field, *, text: str = "text", keep: lis
                     pa.array([s.tolist() if k else [] for s, k in zip(shares, known, strict=True)], pa.list_(pa.float64())),
                 ], names=[*inner, *own])
 
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text"]
-    out = given.mapInArrow(run, ", ".join([*fields, RESULT]))
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=True)), *own)
+    return carried.through(run, RESULT)

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import NOT_SPACE, Words, arrow_batches, chunks
+from lakekit.llm.arrow_text import NOT_SPACE, Carried, Words, arrow_batches, chunks
 from lakekit.session import stored
 
 #: Class 0 stands for what is beyond a document's edge. 1 + LISTED + BUCKETS = GROUP * GROUP.
@@ -209,9 +209,8 @@ def score(documents: DataFrame, net: Network, listed: list[bytes], *, text: str
     spark = documents.sparkSession
     arrow_batches(spark)
     own = [x.split()[0] for x in RESULT.split(", ")]
-    names = [c for c in (documents.columns if keep is None else keep) if c not in own]
-    inner = [f"c{i}" for i in range(len(names))]
-    given = documents.select(*(documents[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)), F.col(text).alias("_text"))
+    carried = Carried(documents, text, own, keep)
+    inner = carried.inner
     shared = spark.sparkContext.broadcast((net.packed(), listed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,6 +231,4 @@ def score(documents: DataFrame, net: Network, listed: list[bytes], *, text: str
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in inner), pa.array(counts, pa.int64()), pa.array(sums), means], names=[*inner, *own])
 
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text"]
-    out = given.mapInArrow(run, ", ".join([*fields, RESULT]))
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=True)), *own)
+    return carried.through(run, RESULT)

@@ -19,9 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import arrow_batches, chunks
+from lakekit.llm.arrow_text import Carried, arrow_batches, chunks
 from lakekit.llm.boosting import BoostedTrees, calibrated
 
 KINDS = ("email", "ip", "card", "phone")
@@ -202,9 +201,8 @@ def find_personal_data(documents: DataFrame, *, text: str = "text", keep: list[s
     spark = documents.sparkSession
     arrow_batches(spark)
     own = [x.split()[0] for x in RESULT.split(", ")] + ["redacted"] * redacted
-    names = [c for c in (documents.columns if keep is None else keep) if c not in own]
-    inner = [f"c{i}" for i in range(len(names))]
-    given = documents.select(*(documents[f"`{n}`"].alias(i) for n, i in zip(names, inner, strict=True)), F.col(text).alias("_text"))
+    carried = Carried(documents, text, own, keep)
+    inner = carried.inner
     shared = spark.sparkContext.broadcast(fitted())
     nothing = hashlib.sha256(b"").hexdigest()
 
@@ -229,9 +227,7 @@ def find_personal_data(documents: DataFrame, *, text: str = "text", keep: list[s
                     *(part.column(c) for c in inner), *(pa.array(counts[:, k]) for k in range(len(KINDS))), pa.array(digests, pa.string()),
                     pa.array(spans, pa.string()), *([pa.array(clean, pa.string())] if redacted else [])], names=[*inner, *own])
 
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text"]
-    out = given.mapInArrow(run, ", ".join([*fields, RESULT, *["redacted string"] * redacted]))
-    return out.select(*(F.col(i).alias(n) for n, i in zip(names, inner, strict=True)), *own)
+    return carried.through(run, ", ".join([RESULT, *["redacted string"] * redacted]))
 
 
 def redact(text: str, spans: dict[str, list[Span]]) -> str:

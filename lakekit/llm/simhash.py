@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import NOT_SPACE, Words, arrow_batches, chunks
+from lakekit.llm.arrow_text import NOT_SPACE, Carried, Words, arrow_batches, chunks
 from lakekit.llm.components import components
 from lakekit.llm.hamming import INDEX, PROBE, mixed, near_links
 from lakekit.session import stored
@@ -66,19 +66,17 @@ def fingerprints(documents: DataFrame, *, text: str = "text", keep: list[str] |
     a null one, has fingerprint zero.
     """
     arrow_batches(documents.sparkSession)
-    names = [c for c in (documents.columns if keep is None else keep) if c != "fingerprint"]
-    given = documents.select(*names, F.col(text).alias("_text"))
+    carried = Carried(documents, text, ["fingerprint"], keep)
+    inner = carried.inner
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "_text"):
                 made = majority(*shingle_hashes(Words(part.column("_text"), NOT_SPACE), size, seed))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in names), pa.array(made.view(np.int64))], names=[*names, "fingerprint"])
+                    [*(part.column(c) for c in inner), pa.array(made.view(np.int64))], names=[*inner, "fingerprint"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields if f.name != "_text"),
-                        "fingerprint long"])
-    return given.mapInArrow(run, schema)
+    return carried.through(run, "fingerprint long")
 
 
 def _bit_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ from lakekit.session import stored
 
 INDEX, PROBE = 1, 2
 #: Buckets above this many rows are split by further bits, and pairs are compared in blocks of at most this many.
-HOT, SMALL, BLOCK = 4096, 32, 512
+HOT, SMALL, BLOCK = 1 << 16, 32, 512
 
 
 def mixed(*parts: np.ndarray) -> np.ndarray:

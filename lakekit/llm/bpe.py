@@ -30,7 +30,7 @@ LETTER, NUMBER, SPACE, OTHER, END = range(5)
 #: Code points of Unicode's White_Space property.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Bytes of text in a slice of documents, distinct pieces that a task remembers, bytes of a piece above which a heap is used.
-SLICE, REMEMBERED, LONG = 4 << 20, 500_000, 256
+SLICE, REMEMBERED, LONG = 2 << 20, 500_000, 256
 #: Bits of an id, lowest bit of a rank in the fold's state, and how pairs are dealt to the small maps.
 BITS, RANK, BUCKETS, SPREAD = 17, 46, 1 << 16, 40503
 
@@ -191,7 +191,7 @@ def _numbered(names: list[str], ranks_of, slice_bytes: int, remembered: int):
 
     def made(held: list[pa.RecordBatch], ranks: dict[bytes, int], known: pa.Array) -> tuple[pa.RecordBatch, pa.Array]:
         rows = pa.StructArray.from_arrays([pa.concat_arrays([b.column(n) for b in held]) for n in names], names=names)
-        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", 1 << 20)]
+        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", 1 << 19)]
         words = pa.chunked_array([w for w, _ in parts]).unify_dictionaries()
         codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in words.chunks]).astype(np.int32)
         counts = np.concatenate([c for _, c in parts]).astype(np.int32)
@@ -284,7 +284,7 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     missing = [b for b in range(256) if bytes([b]) not in ranks]
     if missing or max(ranks.values()) >= (1 << BITS) - 1:
         raise ValueError("every byte must have a rank, and ranks must be below 131071")
-    arrow_batches(documents.sparkSession)
+    arrow_batches(documents.sparkSession, 500, 2 << 20)
     carried = Carried(documents, text, ["ids", "decoded"][:1 + decoded], keep)
     inner = [*carried.inner, "one"]  # never a struct without fields
     fields = ", ".join([*carried.fields, "one: int"])

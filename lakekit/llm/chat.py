@@ -145,7 +145,7 @@ def format_conversations(
                     turns = []
                 key = c
                 turns.append((r, t))
-                if size > 1 << 20:
+                if size > 1 << 18:
                     yield out(type_)
                     made, size = [], 0
         if turns:

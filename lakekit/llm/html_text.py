@@ -50,11 +50,20 @@ BLOCKS = [
     (1, 0.00, 40, 0.00, 35, 0.00, 0, 1, 0, 1), (3, 0.00, 60, 0.00, 9, 0.00, 0, 1, 0, 1), (120, 0.10, 30, 0.00, 0, 0.00, 0, 1, 0, 1),
     (8, 0.50, 40, 0.00, 60, 0.00, 0, 1, 0, 1), (1, 1.00, 40, 0.00, 60, 0.00, 0, 1, 0, 1), (15, 0.00, 0, 0.00, 0, 0.00, 0, 1, 0, 1),
     (4, 1.00, 25, 0.00, 25, 0.10, 0, 1, 0, 1), (300, 0.00, 2, 0.00, 1, 0.00, 0, 1, 0, 1), (5, 0.00, 1, 1.00, 14, 1.00, 0, 1, 0, 1),
+    (1, 0.00, 20, 0.00, 0, 0.00, 0, 1, 0, 1), (2, 0.00, 30, 0.00, 0, 0.00, 0, 1, 0, 1), (1, 0.00, 0, 0.00, 0, 0.00, 0, 1, 0, 1),
+    (3, 0.00, 1, 0.00, 1, 0.00, 0, 1, 0, 1), (2, 0.00, 1, 1.00, 2, 1.00, 0, 1, 0, 1), (4, 0.00, 6, 0.00, 3, 0.00, 0, 1, 0, 1),
+    (9, 0.00, 3, 0.00, 2, 0.00, 0, 1, 0, 1), (12, 0.00, 2, 0.00, 7, 0.00, 0, 1, 0, 1), (1, 0.00, 10, 0.00, 4, 0.00, 0, 1, 0, 1),
+    (6, 0.00, 20, 0.00, 6, 0.00, 0, 1, 0, 1), (2, 1.00, 2, 0.00, 2, 0.00, 0, 1, 0, 1), (30, 0.60, 5, 0.00, 5, 0.00, 0, 1, 0, 1),
     # pages without an article element: by words and links
     (45, 0.00, 5, 0.00, 60, 0.00, 0, 0, 0, 1), (80, 0.05, 40, 0.00, 30, 0.00, 0, 0, 0, 1), (25, 0.00, 70, 0.00, 50, 0.00, 0, 0, 0, 1),
     (18, 0.10, 40, 0.00, 3, 1.00, 0, 0, 0, 1), (60, 0.20, 1, 1.00, 20, 0.00, 0, 0, 0, 1), (150, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 1),
     (6, 0.00, 50, 0.00, 45, 0.00, 0, 0, 0, 1), (3, 0.00, 30, 0.00, 80, 0.00, 0, 0, 0, 1), (7, 0.00, 2, 1.00, 55, 0.00, 0, 0, 1, 1),
     (4, 0.00, 60, 0.00, 40, 0.00, 0, 0, 1, 1), (12, 0.00, 25, 0.00, 30, 0.00, 0, 0, 0, 1), (5, 0.00, 0, 0.00, 40, 0.00, 0, 0, 1, 1),
+    (20, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 1), (21, 0.00, 21, 0.00, 0, 0.00, 0, 0, 0, 1), (16, 0.00, 18, 0.00, 0, 0.00, 0, 0, 0, 1),
+    (28, 0.00, 4, 1.00, 3, 1.00, 0, 0, 0, 1), (35, 0.10, 2, 1.00, 5, 1.00, 0, 0, 0, 1), (14, 0.00, 30, 0.00, 2, 1.00, 0, 0, 0, 1),
+    (90, 0.00, 3, 1.00, 2, 0.00, 0, 0, 0, 1), (50, 0.30, 40, 0.00, 0, 0.00, 0, 0, 0, 1), (24, 0.00, 1, 0.00, 1, 1.00, 0, 0, 0, 1),
+    (1, 0.00, 20, 0.00, 0, 0.00, 0, 0, 0, 0), (2, 0.00, 30, 0.00, 0, 0.00, 0, 0, 0, 0), (1, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 0),
+    (3, 0.00, 1, 0.00, 1, 0.00, 0, 0, 0, 0), (4, 0.00, 6, 0.00, 3, 0.00, 0, 0, 0, 0), (2, 0.00, 5, 1.00, 6, 0.00, 0, 0, 0, 0),
     (1, 1.00, 0, 0.00, 1, 1.00, 0, 0, 0, 0), (2, 1.00, 1, 1.00, 2, 1.00, 0, 0, 0, 0), (3, 1.00, 2, 1.00, 40, 0.00, 0, 0, 0, 0),
     (20, 0.90, 3, 1.00, 4, 1.00, 0, 0, 0, 0), (35, 0.80, 60, 0.00, 2, 1.00, 0, 0, 0, 0), (2, 0.00, 1, 1.00, 1, 1.00, 0, 0, 0, 0),
     (4, 0.00, 2, 1.00, 3, 1.00, 0, 0, 0, 0), (3, 0.00, 2, 0.00, 2, 0.00, 0, 0, 0, 0), (5, 0.00, 1, 1.00, 3, 0.00, 0, 0, 0, 0),
@@ -186,6 +195,9 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
             continue
         name, ending = found[1].lower(), html[cut + 1] == "/"
         at = found.end()
+        if html[at - 1] != ">":  # a quote that nothing closes, or the page's end
+            end = html.find(">", at)
+            at = size if end < 0 else end + 1
         if name not in INLINE:
             close()
         if ending:

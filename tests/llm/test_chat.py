@@ -28,7 +28,7 @@ def test_rendering_can_be_undone_and_the_mask_is_exact():
         chosen, overlaps = chat.masked(spans[[r == "assistant" for r, _ in turns]], tokens)
         said = "".join(formatted[s:e] for s, e in overlaps)
         assert chat.unescaped(said) == "".join(t for r, t in turns if r == "assistant")
-        assert chosen.tolist() == [any(s < b and a < e and a < b for (s, e), (r, _) in zip(spans.tolist(), turns, strict=True) if r == "assistant")
+        assert chosen.tolist() == [any(s < e and s < b and a < e and a < b for (s, e), (r, _) in zip(spans.tolist(), turns, strict=True) if r == "assistant")
                                    for a, b in tokens.tolist()]
 
 

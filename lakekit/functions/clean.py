@@ -13,8 +13,8 @@ def _col(c: Column | str) -> Column:
 
 
 def standardise(c: Column | str) -> Column:
-    """Lower-case snake form of a label: spaces and dashes become one underscore."""
-    return F.regexp_replace(F.lower(F.trim(_col(c))), "[ -]+", "_")
+    """Lower-case snake form of a label: white space, dashes and underscores around it go, inside they become one underscore."""
+    return F.regexp_replace(F.regexp_replace(F.lower(_col(c)), r"^[\s_-]+|[\s_-]+$", ""), r"[\s_-]+", "_")
 
 
 def code(c: Column | str) -> Column:
@@ -24,8 +24,8 @@ def code(c: Column | str) -> Column:
 
 def parse_amount(c: Column | str, type_: str = "decimal(10,2)") -> Column:
     """Number inside a text such as ``USD 12.50``; text without a readable number gives NULL."""
-    digits = F.regexp_replace(_col(c), "[^0-9.-]", "")
-    return F.nullif(digits, F.lit("")).try_cast(type_)
+    number = F.regexp_extract(_col(c), r"^[^0-9+-]*([+-]?\d+(?:\.\d+)?)[^0-9]*$", 1)  # a sign counts only in front
+    return F.nullif(number, F.lit("")).try_cast(type_)
 
 
 def parse_ts(c: Column | str, *formats: str) -> Column:

@@ -51,8 +51,9 @@ def apply_changes_scd1(
 
 def _latest(rows: DataFrame, keys: list[str], payload: list[str], ignore_null: bool, tombstones: bool) -> DataFrame:
     if not ignore_null:
-        best = F.max_by(F.struct(*payload, "_sequence", "_deleted"), "_sequence").alias("b")
-        out = rows.groupBy(*keys).agg(best).select(*keys, "b.*")
+        # of equal sequence values a delete wins, then the greatest content: never the order of the rows
+        best = F.max(F.struct("_sequence", "_deleted", *payload)).alias("b")
+        out = rows.groupBy(*keys).agg(best).select(*keys, *(F.col("b")[c].alias(c) for c in (*payload, "_sequence", "_deleted")))
     else:
         ends = rows.where("_deleted").groupBy(*[F.col(k).alias(f"_e_{k}") for k in keys]).agg(
             F.max("_sequence").alias("_end")
@@ -63,10 +64,10 @@ def _latest(rows: DataFrame, keys: list[str], payload: list[str], ignore_null: b
             cond = same if cond is None else cond & same
         alive = rows.join(ends, cond, "left").where(F.col("_end").isNull() | (F.col("_sequence") >= F.col("_end")))
         out = alive.groupBy(*keys).agg(
-            *[F.max_by(F.when(~F.col("_deleted"), F.col(c)), F.when(~F.col("_deleted") & F.col(c).isNotNull(), F.col("_sequence"))).alias(c) for c in payload],
-            F.max("_sequence").alias("_sequence"),
-            F.max_by("_deleted", "_sequence").alias("_deleted"),
+            *[F.max(F.when(~F.col("_deleted") & F.col(c).isNotNull(), F.struct("_sequence", F.col(c).alias("v"))))["v"].alias(c) for c in payload],
+            F.max(F.struct("_sequence", "_deleted")).alias("_last"),
         )
+        out = out.select(*keys, *payload, "_last._sequence", "_last._deleted")
     return out if tombstones else out.where(~F.col("_deleted")).drop("_sequence", "_deleted")
 
 

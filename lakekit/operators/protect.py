@@ -33,8 +33,9 @@ def row_filter(
 
 
 def mask_email(c: Column) -> Column:
-    """First letter and domain."""
-    return F.concat(F.substring(c, 1, 1), F.lit("***@"), F.substring_index(c, "@", -1))
+    """First letter and domain; a text without @ shows its first letter only."""
+    domain = F.when(F.contains(c, F.lit("@")), F.concat(F.lit("@"), F.substring_index(c, "@", -1))).when(c.isNotNull(), "")
+    return F.concat(F.substring(c, 1, 1), F.lit("***"), domain)
 
 
 def mask_last4(c: Column) -> Column:

@@ -45,7 +45,7 @@ class SnapshotTable:
         if version is not None:
             log = log.where(F.col("version") == version)
         if timestamp is not None:
-            log = log.where(F.col("published_at") <= timestamp)
+            log = log.where(F.to_timestamp("published_at") <= F.to_timestamp(F.lit(timestamp)))
         found = log.orderBy(F.desc("version")).limit(1).collect()
         return found[0] if found else None
 
@@ -130,32 +130,3 @@ class SnapshotTable:
             raise ValueError(f"no version {version}")
         schema = StructType.fromJson(json.loads(entry["schema"]))
         return self._record(f"restore {version}", schema, entry["paths"], {}, None, self._entry())
-
-    def clone(self, path: str, shallow: bool = False, version: int | None = None) -> SnapshotTable:
-        """Deep clone copies the data; a shallow one points at this table's folders and breaks if they are removed."""
-        other = SnapshotTable(self.spark, path)
-        entry = self._entry(version)
-        if entry is None:
-            raise ValueError("nothing to clone")
-        if shallow:
-            schema = StructType.fromJson(json.loads(entry["schema"]))
-            other._record("shallow clone", schema, entry["paths"], {}, None, other._entry())
-        else:
-            other.publish(self.read(entry["version"]), "clone")
-        return other
-
-    def removable(self, retention_hours: float = 168.0, allow_short: bool = False, now: str | None = None) -> DataFrame:
-        """Dry run: data folders that the current version does not use and that no version inside the retention uses."""
-        if retention_hours < 168 and not allow_short:
-            raise ValueError("a retention below 168 hours can break running readers and time travel")
-        at = F.to_timestamp(F.lit(now)) if now else F.current_timestamp()
-        log = self._log()
-        limit = at - F.make_dt_interval(hours=F.lit(retention_hours).cast("int"))
-        # a version stays readable until the next one replaced it
-        newer = log.select((F.col("version") - 1).alias("version"), F.to_timestamp("published_at").alias("replaced_at"))
-        uses = log.join(newer, "version", "left").select(F.explode("paths").alias("path"), "replaced_at")
-        last = uses.groupBy("path").agg(
-            F.bool_or(F.col("replaced_at").isNull()).alias("current"), F.max("replaced_at").alias("unused_since")
-        )
-        own = F.col("path").startswith(self.path + "/")
-        return last.where(own & ~F.col("current") & (F.col("unused_since") < limit)).select("path", "unused_since")

@@ -254,8 +254,11 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 def change_feed(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Changes that lead from one version to the next, with ``_change_type`` insert, delete, update_preimage or
-    update_postimage. Keys are unique and not NULL in both versions."""
-    columns = after.columns
+    update_postimage. Keys are unique and not NULL in both versions. A column that only one version has is NULL in the other."""
+    kinds = {f.name: f.dataType for f in (*before.schema.fields, *after.schema.fields)}
+    columns = [*after.columns, *(c for c in before.columns if c not in after.columns)]
+    before, after = (v.withColumns({c: F.lit(None).cast(kinds[c]) for c in columns if c not in v.columns}) if set(columns) - set(v.columns) else v
+                     for v in (before, after))
     old = before.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*columns).alias("b"))
     new = after.select(*[F.col(k).alias(f"_a_{k}") for k in keys], F.struct(*columns).alias("a"))
     both = old.join(new, _same(keys, "_b_", "_a_"), "full")

@@ -267,8 +267,11 @@ def top_k(df: DataFrame, keys: list[str], order: list[str], k: int, ties: str |
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` values per key; map-side combined, so hot keys stay small."""
-    best = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_best")
+    """The row with the greatest ``order`` values per key; map-side combined, so hot keys stay small.
+
+    Of rows with equal order values the one with the greatest content is taken, whatever order they come in.
+    """
+    best = F.max_by(F.struct(*df.columns), F.struct(F.struct(*order), F.struct(*df.columns))).alias("_best")
     return df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(best).select("_best.*")
 
 

@@ -136,13 +136,6 @@ def l9_partition_pruning(t: Tables) -> DataFrame:
     return rows.agg(F.count_distinct("month").alias("folders"), tiny.alias("tiny_files"), month.alias("month_rows"))
 
 
-@plan("SELECT CAST(30 AS BIGINT) AS files, true AS sizes_add_up FROM region WHERE r_regionkey = 0")
-def l10_layout_summary(t: Tables) -> DataFrame:
-    table = _small_files(t)
-    summary = lay.layout_summary(t.spark, [f"{table.path}/data"])
-    return summary.select("files", (F.abs(F.col("average_bytes") * F.col("files") - F.col("bytes")) < 1).alias("sizes_add_up"))
-
-
 @plan("SELECT count(*) AS rows, true AS statistics_known FROM customer")
 def l11_table_statistics(t: Tables) -> DataFrame:
     """Statistics for the cost model, kept with the table."""

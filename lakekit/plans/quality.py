@@ -132,10 +132,10 @@ def q17_reconciliation(t: Tables) -> DataFrame:
 
 
 _BATCHES = """
-WITH b AS (SELECT CAST(o_orderkey % 12 AS BIGINT) AS batch_id, CASE WHEN o_orderkey % 12 = 5 AND o_orderkey % 7 = 0 THEN o_orderkey + 12 ELSE o_orderkey END AS order_id,
+WITH b AS (SELECT CAST(o_orderkey % 12 AS BIGINT) AS batch_id, CASE WHEN o_orderkey % 12 = 5 AND o_orderkey % 7 < 2 THEN o_orderkey - o_orderkey % 84 + 5 ELSE o_orderkey END AS order_id,
                   CASE WHEN o_orderkey % 12 = 3 AND o_orderkey % 5 = 0 THEN 0 ELSE 1 END AS quantity,
                   CASE WHEN o_orderkey % 12 = 8 AND o_orderkey % 3 = 2 THEN -1 ELSE o_custkey END AS custkey, o_totalprice FROM orders),
-     p AS (SELECT batch_id, order_id, 'duplicate' AS problem FROM b GROUP BY batch_id, order_id HAVING count(*) > 1
+     p AS (SELECT batch_id, order_id, 'duplicate' AS problem FROM b QUALIFY row_number() OVER (PARTITION BY batch_id, order_id) > 1
            UNION ALL SELECT batch_id, order_id, 'cancelled' FROM b WHERE quantity = 0
            UNION ALL SELECT batch_id, order_id, 'unknown_customer' FROM b WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = custkey)),
      g AS (SELECT batch_id, count(problem) AS bad_rows FROM (SELECT DISTINCT batch_id FROM b) LEFT JOIN p USING (batch_id) GROUP BY 1)
@@ -146,7 +146,7 @@ def batched_orders(t: Tables) -> DataFrame:
     """Twelve delivery batches: one re-sends orders, one has cancelled rows, one has unknown customers."""
     return t.orders.selectExpr(
         "CAST(o_orderkey % 12 AS BIGINT) AS batch_id",
-        "CASE WHEN o_orderkey % 12 = 5 AND o_orderkey % 7 = 0 THEN o_orderkey + 12 ELSE o_orderkey END AS order_id",
+        "CASE WHEN o_orderkey % 12 = 5 AND o_orderkey % 7 < 2 THEN o_orderkey - o_orderkey % 84 + 5 ELSE o_orderkey END AS order_id",
         "CASE WHEN o_orderkey % 12 = 3 AND o_orderkey % 5 = 0 THEN 0 ELSE 1 END AS quantity",
         "CASE WHEN o_orderkey % 12 = 8 AND o_orderkey % 3 = 2 THEN -1 ELSE o_custkey END AS custkey",
         "o_totalprice",
@@ -157,7 +157,8 @@ def batch_problems(t: Tables) -> DataFrame:
     b = batched_orders(t)
     keys = ["batch_id", "order_id"]
     found = {
-        "duplicate": dq.duplicates(b, keys),
+        # one row for every copy after the first
+        "duplicate": dq.duplicates(b, keys).withColumn("extra", F.explode(F.sequence(F.lit(2), F.col("copies")))),
         "cancelled": b.where("quantity = 0"),
         "unknown_customer": dq.orphans(b, t.customer, {"custkey": "c_custkey"}),
     }

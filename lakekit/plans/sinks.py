@@ -93,7 +93,7 @@ def k7_noop_and_hash(t: Tables) -> DataFrame:
 
 @plan("SELECT 'folder' AS sink, count(*) AS n FROM orders UNION ALL SELECT 'table', count(*) FROM orders UNION ALL SELECT 'batches', count(*) FROM orders UNION ALL SELECT 'noop', 0")
 def k8_stream_sinks(t: Tables) -> DataFrame:
-    from lakekit.streaming.runs import append_to, file_stream, run_to_end
+    from lakekit.streaming.runs import append_to, batch_key, file_stream, run_to_end
 
     base, name = work_path(t.spark, "sinks"), f"lakekit_k8_{uuid.uuid4().hex[:8]}"
     t.orders.select("o_orderkey", "o_totalprice").write.parquet(f"{base}/in")
@@ -103,7 +103,7 @@ def k8_stream_sinks(t: Tables) -> DataFrame:
     query = rows.writeStream.format("parquet").option("checkpointLocation", f"{base}/c2").option("path", f"{base}/table").trigger(availableNow=True).toTable(name)
     query.awaitTermination()
     table = SnapshotTable(t.spark, f"{base}/batches")
-    run_to_end(rows.writeStream.option("checkpointLocation", f"{base}/c3").foreachBatch(lambda b, n: table.append(b, batch=str(n)) and None))
+    run_to_end(rows.writeStream.option("checkpointLocation", f"{base}/c3").foreachBatch(lambda b, n: table.append(b, batch=batch_key(b, n)) and None))
     run_to_end(rows.writeStream.format("noop").option("checkpointLocation", f"{base}/c4"))
     results = {"folder": t.spark.read.parquet(f"{base}/folder"), "table": t.spark.table(name), "batches": table.read(), "noop": rows_none(t, schema)}
     out = None

@@ -135,11 +135,6 @@ def t6b_changed_since_version(t: Tables) -> DataFrame:
     return table.read().join(old, "id").where("balance <> old_balance").select("id", "old_balance", "balance")
 
 
-@plan("SELECT CAST(version AS BIGINT) AS version, operation FROM (VALUES (0, 'load'), (1, 'update'), (2, 'append'), (3, 'delete')) AS v(version, operation)")
-def t7_version_history(t: Tables) -> DataFrame:
-    return _versions(t).history().select("version", "operation")
-
-
 @plan(T + """
 , v0 AS (SELECT * FROM t), v1 AS (SELECT id, CASE WHEN id % 4 = 0 THEN balance + 1000 ELSE balance END AS balance FROM t),
 v2 AS (SELECT * FROM v1 UNION ALL SELECT id, balance FROM s WHERE id > 1000000)
@@ -186,25 +181,6 @@ def t10_schema_evolution(t: Tables) -> DataFrame:
     return table.read()
 
 
-@plan(T + """
-SELECT 'deep' AS kind, count(*) AS n, count(*) FILTER (WHERE updated = 0) AS zero FROM t UNION ALL SELECT 'shallow', count(*), count(*) FILTER (WHERE updated = 0) FROM t
-""")
-def t11_clones(t: Tables) -> DataFrame:
-    """Both clones keep the content of version 0 while the original moves on."""
-    table = SnapshotTable(t.spark, work_path(t.spark, "cloned"))
-    table.publish(target(t))
-    deep = table.clone(work_path(t.spark, "deep"))
-    shallow = table.clone(work_path(t.spark, "shallow"), shallow=True)
-    table.publish(tb.delete(table.read(), "updated = 0"), "delete")
-    out = None
-    for kind, clone in (("deep", deep), ("shallow", shallow)):
-        part = clone.read().agg(
-            F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("updated") == 0).alias("zero")
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 @plan(_MERGED + """
 , after AS (SELECT id, name, balance, updated, active FROM m WHERE action <> 'deleted'),
 d AS (SELECT t.id IS NULL AS ins, a.id IS NULL AS del, coalesce(t.id, a.id) AS id, t.balance AS b0, a.balance AS b1 FROM t FULL JOIN after a ON t.id = a.id
@@ -217,16 +193,6 @@ def t12_change_feed(t: Tables) -> DataFrame:
     return tb.change_feed(target(t), after, ["id"]).select("_change_type", "id", "balance")
 
 
-@plan("SELECT CAST(2 AS BIGINT) AS removable_folders")
-def t13_vacuum_dry_run(t: Tables) -> DataFrame:
-    """A month later the folders of versions 0 to 2 could go, except that nothing the current version uses may."""
-    table = SnapshotTable(t.spark, work_path(t.spark, "vacuum"))
-    table.publish(target(t))
-    table.publish(tb.update(table.read(), "id % 4 = 0", {"balance": "balance + 1"}), "update")
-    table.publish(tb.delete(table.read(), "id % 6 = 0"), "delete")
-    return table.removable(168, now="2999-01-01").agg(F.count(F.lit(1)).alias("removable_folders"))
-
-
 @plan("""
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'
 UNION ALL SELECT o_orderkey, o_totalprice * 2 FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderkey % 2 = 0

@@ -25,14 +25,15 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str | None =
 def read_csv_by_name(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
     """CSV files whose headers differ, united by column name; columns a file lacks are NULL. All columns are strings.
 
-    A first pass finds each file's first line (combined map-side to one row per file); then one reader per
-    distinct header reads that header's files. Only file names and headers reach the driver, as in any file listing.
+    A first pass over all files finds each one's first line that is not blank (combined map-side to one row per file); then
+    one reader per distinct header reads that header's files, so the files are scanned twice. Only file names and headers reach the driver, as in any file listing.
     """
     lines = spark.read.text(path, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("file"),
         F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
         "value",
     )
+    lines = lines.where(F.trim("value") != "")  # as the CSV reader does, take the first line that is not blank
     headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
     groups = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
     out = None

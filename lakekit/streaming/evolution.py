@@ -14,7 +14,7 @@ from pyspark.sql.types import (
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.session import small_rows
 from lakekit.sources.files import RESCUED, apply_hints, infer_schema, parse_json_rescued
-from lakekit.streaming.runs import run_to_end
+from lakekit.streaming.runs import batch_key, run_to_end
 
 MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
 _WIDER = [ByteType(), ShortType(), IntegerType(), LongType(), DoubleType()]
@@ -95,7 +95,7 @@ class JsonStream:
         lines = lines.select("value", F.col("_metadata.file_path").alias("_file"))
 
         def step(batch: DataFrame, number: int) -> None:
-            name = f"{self.checkpoint} {number}"
+            name = batch_key(batch, number)
             if self.table.has_batch(name):
                 return
             if self.mode in ("addNewColumns", "failOnNewColumns"):

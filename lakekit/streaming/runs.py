@@ -34,25 +34,32 @@ def append_to(df: DataFrame, path: str, checkpoint: str, partition_by: list[str]
     return run_to_end(writer.option("path", path))
 
 
-def _each(
-    df: DataFrame, mode: str, checkpoint: str, table: SnapshotTable, apply: Callable[[DataFrame, str], None], app: str
-):
+def batch_key(batch: DataFrame, number: int) -> str:
+    """Name of a micro-batch that only its replay has too: the query's id, which its checkpoint keeps and a new checkpoint
+    does not have, and the batch number. For use inside ``foreachBatch``."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("a batch key exists only inside foreachBatch")
+    return f"{query} {number}"
+
+
+def _each(df: DataFrame, mode: str, checkpoint: str, table: SnapshotTable, apply: Callable[[DataFrame, str], None]):
     def step(batch: DataFrame, number: int) -> None:
-        # a replayed batch has the same number and is already in the table's log; ``app`` tells writers apart
-        if not table.has_batch(f"{app} {number}"):
-            apply(batch, f"{app} {number}")
+        key = batch_key(batch, number)
+        if not table.has_batch(key):
+            apply(batch, key)
 
     return run_to_end(df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(step))
 
 
-def replace_table(df: DataFrame, table: SnapshotTable, checkpoint: str, app: str = "stream") -> StreamingQuery:
+def replace_table(df: DataFrame, table: SnapshotTable, checkpoint: str) -> StreamingQuery:
     """Complete-mode aggregation: every batch publishes the whole result as the table's next version."""
-    return _each(df, "complete", checkpoint, table, lambda b, name: table.publish(b, "complete", batch=name), app)
+    return _each(df, "complete", checkpoint, table, lambda b, name: table.publish(b, "complete", batch=name))
 
 
 def upsert_table(
     df: DataFrame, table: SnapshotTable, checkpoint: str, keys: list[str], clauses: list[When],
-    prepare: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append", app: str = "stream",
+    prepare: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append",
 ) -> StreamingQuery:
     """Merge every batch into the table, each exactly once. ``prepare`` makes a batch unique per key (totals, last
     values) before the merge."""
@@ -64,7 +71,7 @@ def upsert_table(
         else:
             table.publish(source, "merge", batch=name)
 
-    return _each(df, mode, checkpoint, table, apply, app)
+    return _each(df, mode, checkpoint, table, apply)
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:

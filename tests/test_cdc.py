@@ -114,3 +114,12 @@ def test_scd2_merge_null_safe_idempotent_and_strict(spark, rows):
         scd2_apply(once, updates.selectExpr("id", "'z' AS city", "'2023-01-01' AS ts"), ["id"], ["city"], "ts").collect()
     with pytest.raises(Exception, match="duplicate dimension key"):
         scd2_apply(once, updates.unionAll(updates), ["id"], ["city"], "ts").collect()
+
+
+def test_equal_sequence_values_do_not_depend_on_the_order_of_rows(spark, rows):
+    events = [(1, "a", 5, "U"), (1, "b", 5, "U"), (2, "x", 7, "U"), (2, "y", 7, "D"), (3, None, 2, "U"), (3, "z", 2, "U"), (3, "old", 1, "U")]
+    for order in (events, events[::-1], events[3:] + events[:3]):
+        frame = spark.createDataFrame(order, "id INT, v STRING, seq INT, op STRING").coalesce(1)
+        for ignore in (False, True):
+            out = cdc.apply_changes_scd1(frame, ["id"], "seq", deletes="op = 'D'", leave_out=["op"], ignore_null_updates=ignore)
+            assert rows(out, "id", "v") == [(1, "b"), (3, "z")]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lakekit.operators import aggregates as ag
 from lakekit.operators import joins as j
 from lakekit.operators.compare import assert_same, diff
-from lakekit.plans.explain import plan_facts
+from tests.plan_reading import plan_facts
 
 
 @pytest.fixture(scope="module")

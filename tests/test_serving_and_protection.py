@@ -93,3 +93,10 @@ def test_shared_folder_and_settings(spark):
     with settings(spark, spark__sql__shuffle__partitions="3"):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_mask_of_text_without_at(spark):
+    from lakekit.operators.protect import mask_email
+
+    df = spark.createDataFrame([("alice@x.org",), ("alice-no-at",), (None,), ("",)], "e STRING")
+    assert [r[0] for r in df.select(mask_email(F.col("e"))).collect()] == ["a***@x.org", "a***", None, "***"]

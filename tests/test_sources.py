@@ -8,7 +8,6 @@ from lakekit.functions import clean
 from lakekit.functions.log_lines import parse_log_lines
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.sources import files as src
-from lakekit.sources.generate import skewed_events
 from lakekit.sources.ingest import Loader
 
 
@@ -68,11 +67,10 @@ def test_loader(spark, tmp_path):
     assert loader.load(str(folder), pattern="a*", force=True)["files"] == 1
 
 
-def test_generator_is_repeatable_and_skewed(spark):
-    a, b = skewed_events(spark, 20000), skewed_events(spark, 20000, partitions=3)
-    share = a.where("customer_id = 7").count() / 20000
-    assert 0.28 < share < 0.33
-    assert a.exceptAll(b).isEmpty()
+def test_csv_that_starts_with_blank_lines(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("\n\nid,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("\nname,id\ny,2\n")
+    assert rows(src.read_csv_by_name(spark, str(tmp_path)), "id", "name") == [("1", "x"), ("2", "y")]
 
 
 def test_cleaning_expressions(spark):

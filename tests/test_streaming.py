@@ -117,3 +117,18 @@ def test_widening(spark, tmp_path):
     with pytest.raises(StreamingQueryException, match="SchemaChanged"):
         s.run()
     assert s.registry.current()[1].simpleString() == "struct<n:double>"
+
+
+def test_batches_are_known_by_their_query(spark, tmp_path):
+    """A new checkpoint's batches count although their numbers were seen; a restart adds nothing; two streams share a table."""
+    from lakekit.operators.tables import matched_update, not_matched_insert
+    from lakekit.streaming.runs import file_stream, upsert_table
+
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    clauses = [matched_update({"n": "t.n + s.n"}), not_matched_insert("*")]
+    for folder in ("a", "b"):
+        spark.range(0, 10).selectExpr("id", "1 AS n").write.parquet(str(tmp_path / folder))
+        for _ in range(2):
+            stream = file_stream(spark, str(tmp_path / folder), "id BIGINT, n INT")
+            upsert_table(stream, table, str(tmp_path / f"c-{folder}"), ["id"], clauses)
+    assert table.read().agg({"n": "sum"}).first()[0] == 20

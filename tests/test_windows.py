@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakekit.operators import windows as w
 from lakekit.operators.compare import assert_same
-from lakekit.plans.explain import plan_facts
+from tests.plan_reading import plan_facts
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +88,10 @@ def test_top_k_limits_groups_before_the_shuffle(data):
 def test_group_total_keeps_null_groups(data):
     got = w.with_group_total(data, ["k"], {"n": F.count("*")})
     assert_same(got, data.withColumn("n", F.count("*").over(Window.partitionBy("k"))))
+
+
+def test_latest_per_key_breaks_ties_by_content(spark, rows):
+    data = [(1, 5, "a"), (1, 5, "b"), (2, 1, None)]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "k INT, o INT, v STRING").coalesce(1)
+        assert rows(w.latest_per_key(df, ["k"], ["o"])) == [(1, 5, "b"), (2, 1, None)]

@@ -231,6 +231,7 @@ def _numbered(names: list[str], ranks_of, slice_bytes: int, remembered: int):
                     row, known = made(held, ranks, known)
                     held, size = [], 0
                     yield row
+                    pa.default_memory_pool().release_unused()
         if held:
             yield made(held, ranks, known)[0]
 

@@ -59,7 +59,7 @@ def test_protection(spark, rows):
     assert pr.row_filter(df, admin, grants, "country").count() == 3
     assert pr.row_filter(df, pr.Principal("w"), grants, "country").count() == 0
     masked = pr.mask_columns(df, user, {"email": pr.mask_email, "card": pr.mask_last4})
-    assert rows(masked, "email", "card") == [(None, "****-0000"), ("a***@x.org", "****-5678"), ("b***@bob", "****-1")]
+    assert rows(masked, "email", "card") == [(None, "****-0000"), ("a***@x.org", "****-5678"), ("b***", "****-1")]
     shown = pr.mask_unless_granted(df, user, "card", pr.mask_redacted, "country", grants)
     assert rows(shown, "id", "card") == [(1, "1234-5678"), (2, "REDACTED"), (3, "REDACTED")]
     twice = [pr.Policy("pii", mask=pr.mask_null), pr.Policy("mail", mask=pr.mask_email)]

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII A-Z to a-z, all other bytes as they are.
@@ -107,6 +107,11 @@ def spans_of(first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(first - (ends - lengths), lengths)
 
 
+def whole_row(table: DataFrame, columns: list[str] | None = None) -> Column:
+    """All columns (or some) in one struct, whatever their names; ``F.col("_row")[name]`` gives one back."""
+    return F.struct(*(F.col(f"`{c}`") for c in (table.columns if columns is None else columns)))
+
+
 class Carried:
     """Columns that go through a Python pass unchanged, under plain names, next to the one that the pass works on.
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakekit.llm.arrow_text import ALPHANUMERIC, Carried, Words, arrow_batches, chunks, spans_of
+from lakekit.llm.arrow_text import ALPHANUMERIC, Carried, Words, arrow_batches, chunks, spans_of, whole_row
 
 RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, "
           "items array<string>, hit_spans array<struct<start: long, end: long>>")
@@ -266,6 +266,6 @@ def find_contamination(
 def decontaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The clean documents, with their own columns and in no particular order; see ``find_contamination``."""
     own = documents.columns
-    judged = find_contamination(documents.select(F.struct(*own).alias("_row"), F.col(options.pop("text", "text")).alias("_t")),
+    judged = find_contamination(documents.select(whole_row(documents).alias("_row"), F.col(options.pop("text", "text")).alias("_t")),
                                 benchmark, text="_t", keep=["_row"], **options)
     return judged.where("NOT contaminated").select(*(F.col("_row")[c].alias(c) for c in own))

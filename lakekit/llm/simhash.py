@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import NOT_SPACE, Carried, Words, arrow_batches, chunks
+from lakekit.llm.arrow_text import NOT_SPACE, Carried, Words, arrow_batches, chunks, whole_row
 from lakekit.llm.components import components
 from lakekit.llm.hamming import INDEX, PROBE, mixed, near_links
 from lakekit.session import stored
@@ -209,7 +209,7 @@ def without_near_duplicates(documents: DataFrame, *, doc_id: str = "doc_id", tex
     first = grouped.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "fingerprint", "digest")).alias("first"))
     chosen = stored(first.select("first.doc_id", "first.digest").distinct(), "simhash-kept")
-    rows = documents.select(F.struct(*own).alias("_row"), F.col(doc_id).alias("_id"), digest.alias("_digest"))
+    rows = documents.select(whole_row(documents).alias("_row"), F.col(doc_id).alias("_id"), digest.alias("_digest"))
     kept = rows.join(chosen, rows._id.eqNullSafe(chosen.doc_id) & (rows._digest == chosen.digest), "left_semi")
     kept = kept.dropDuplicates(["_id", "_digest"])
     return kept.select(*(F.col("_row")[c].alias(c) for c in own))

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: ASCII A-Z to a-z, all other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -129,7 +130,8 @@ class Carried:
 
     def through(self, run, results: str) -> DataFrame:
         """The frame after a pass that returns the carried columns and ``results`` (DDL), under their own names."""
-        return self.named(self.frame.mapInArrow(run, ", ".join([*self.fields, results])))
+        schema = StructType([*self.frame.schema.fields[:-1], *StructType.fromDDL(results).fields])
+        return self.named(self.frame.mapInArrow(run, schema))
 
     def named(self, passed: DataFrame) -> DataFrame:
         made = [c for c in passed.columns if c not in self.inner]

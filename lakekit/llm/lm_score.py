@@ -63,23 +63,34 @@ class Network:
         return np.tanh(total)
 
     @staticmethod
-    def _softmax(x: np.ndarray) -> np.ndarray:
-        x = np.exp(x - x.max(axis=1, keepdims=True))
-        return x / x.sum(axis=1, keepdims=True)
+    def _softmax(x: np.ndarray, most: float) -> np.ndarray:
+        """``most``: bound of the absolute values; small ones need no shift."""
+        x = np.exp(x if most < 60 else x - x.max(axis=1, keepdims=True))
+        x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+        return x
+
+    @staticmethod
+    def _bound(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """Largest absolute value that a read-out can have, as hidden values are in [-1, 1]."""
+        return (np.abs(weights).sum(axis=-2) + np.abs(bias)).max(axis=-1)
 
     def log_chances(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each target given the words around it."""
         _, _, groups, group_bias, words, word_bias = self.weights
-        h = self.hidden(around)
+        order = np.argsort((target // GROUP).astype(np.uint16), kind="stable")
+        target = target[order]
+        h = self.hidden(around[order])
         group, inner = target // GROUP, target % GROUP
-        chance = self._softmax(h @ groups + group_bias)[np.arange(len(target)), group]
-        order = np.argsort(group.astype(np.uint16), kind="stable")
-        ends = np.searchsorted(group[order], np.arange(GROUP + 1))
+        chance = self._softmax(h @ groups + group_bias, self._bound(groups, group_bias))[np.arange(len(target)), group]
+        ends, most = np.searchsorted(group, np.arange(GROUP + 1)), self._bound(words, word_bias)
         for g in range(GROUP):
-            rows = order[ends[g]:ends[g + 1]]
-            if len(rows):
-                chance[rows] *= self._softmax(h[rows] @ words[g] + word_bias[g])[np.arange(len(rows)), inner[rows]]
-        return np.log(np.maximum(chance, 1e-30)).astype(np.float64)
+            low, high = ends[g], ends[g + 1]
+            if low < high:
+                inside = self._softmax(h[low:high] @ words[g] + word_bias[g], most[g])
+                chance[low:high] *= inside[np.arange(high - low), inner[low:high]]
+        out = np.empty(len(target))
+        out[order] = np.log(np.maximum(chance, 1e-30))
+        return out
 
     def _step(self, i: int, slope: np.ndarray, at=slice(None)) -> None:
         self.past[i][at] += slope * slope
@@ -87,25 +98,26 @@ class Network:
 
     def train(self, around: np.ndarray, target: np.ndarray) -> None:
         """One step on a batch."""
-        tables, _, groups, group_bias, words, word_bias = self.weights
+        _, _, groups, group_bias, words, word_bias = self.weights
         size = np.float32(1 / len(target))
+        order = np.argsort((target // GROUP).astype(np.uint16), kind="stable")
+        around, target = around[order], target[order]
         h = self.hidden(around)
         group, inner = target // GROUP, target % GROUP
-        wrong = self._softmax(h @ groups + group_bias)
+        wrong = self._softmax(h @ groups + group_bias, self._bound(groups, group_bias))
         wrong[np.arange(len(target)), group] -= 1
         wrong *= size
         back = wrong @ groups.T
         slopes = (h.T @ wrong, wrong.sum(axis=0))
-        order = np.argsort(group.astype(np.uint16), kind="stable")
-        ends = np.searchsorted(group[order], np.arange(GROUP + 1))
+        ends, most = np.searchsorted(group, np.arange(GROUP + 1)), self._bound(words, word_bias)
         for g in range(GROUP):
-            rows = order[ends[g]:ends[g + 1]]
-            if len(rows):
-                off = self._softmax(h[rows] @ words[g] + word_bias[g])
-                off[np.arange(len(rows)), inner[rows]] -= 1
+            low, high = ends[g], ends[g + 1]
+            if low < high:
+                off = self._softmax(h[low:high] @ words[g] + word_bias[g], most[g])
+                off[np.arange(high - low), inner[low:high]] -= 1
                 off *= size
-                back[rows] += off @ words[g].T
-                self._step(4, h[rows].T @ off, g)
+                back[low:high] += off @ words[g].T
+                self._step(4, h[low:high].T @ off, g)
                 self._step(5, off.sum(axis=0), g)
         back *= 1 - h * h
         self._step(2, slopes[0])
@@ -139,15 +151,15 @@ def _classes(texts: pa.Array, listed: pa.Array) -> tuple[np.ndarray, np.ndarray,
     words = Words(texts, NOT_SPACE)
     codes, distinct = words.coded()
     found = pc.index_in(distinct, value_set=listed)
-    kind = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    kind = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int32) + 1
     rare = np.flatnonzero(kind == 0)
     kind[rare] = [1 + LISTED + zlib.crc32(w) % BUCKETS for w in distinct.take(pa.array(rare)).to_pylist()]
-    target = kind[codes] if len(codes) else np.zeros(0, np.int64)
+    target = kind[codes] if len(codes) else np.zeros(0, np.int32)
     counts = np.diff(words.first)
-    padded = np.zeros(len(target) + REACH * (len(counts) + 1), np.int64)  # edges between documents
+    padded = np.zeros(len(target) + REACH * (len(counts) + 1), np.int32)  # edges between documents
     at = np.arange(len(target)) + np.repeat(REACH * (np.arange(len(counts)) + 1), counts)
     padded[at] = target
-    around = np.stack([padded[at + p] for p in PLACES], axis=1) if len(target) else np.zeros((0, len(PLACES)), np.int64)
+    around = np.stack([padded[at + p] for p in PLACES], axis=1) if len(target) else np.zeros((0, len(PLACES)), np.int32)
     return target, around, words.first
 
 

@@ -26,23 +26,31 @@ from lakekit.session import stored
 SHINGLE, SEED, MOST = 3, 42, 3
 
 
+#: For each byte, its eight bits as the eight bytes of a number.
+SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
+
+
 def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Per group of 64-bit hashes (``first``: offsets): the bits set in over half of them; no hashes: zero."""
+    """Per group of 64-bit hashes (``first``: offsets): the bits set in over half of them; no hashes: zero.
+
+    Eight counts are added up in one number, for at most 255 hashes at a time.
+    """
     out = np.zeros(len(first) - 1, np.uint64)
     sizes = np.diff(first)
     some = np.flatnonzero(sizes)
-    step = 1 << 17
-    sums = np.zeros((len(some), 64), np.int64)
-    starts = first[some]
-    for low in range(0, len(hashes), step):
-        part = hashes[low:low + step]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        a = int(np.searchsorted(starts, low, side="right")) - 1
-        b = int(np.searchsorted(starts, low + len(part)))
-        cuts = np.maximum(starts[a:b] - low, 0)
-        sums[a:b] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int32)
-    chosen = (2 * sums > sizes[some][:, None]).astype(np.uint8)
-    out[some] = np.packbits(chosen, axis=1, bitorder="little").reshape(-1).view(np.uint64)
+    if not len(some):
+        return out
+    pieces = -(-sizes[some] // 255)
+    head = np.append(0, np.cumsum(pieces))[:-1]
+    starts = np.repeat(first[some], pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(head, pieces))
+    octets = hashes.view(np.uint8).reshape(-1, 8)
+    chosen = np.empty((len(some), 8, 8), np.uint8)
+    for k in range(8):
+        counts = np.add.reduceat(SPREAD[octets[:, k]], starts).view(np.uint8).reshape(-1, 8)
+        if len(starts) > len(some):
+            counts = np.add.reduceat(counts, head, axis=0, dtype=np.int64)
+        chosen[:, k] = 2 * counts.astype(np.int64) > sizes[some][:, None]
+    out[some] = np.packbits(chosen.reshape(-1, 64), axis=1, bitorder="little").reshape(-1).view(np.uint64)
     return out
 
 

@@ -21,7 +21,7 @@ from heapq import heappop, heappush
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, joined, spans_of
@@ -274,6 +274,14 @@ def _ordered(names: list[str], ranks_of=None):
     return run
 
 
+def _short_plan_texts(spark: SparkSession, most: int = 1 << 20) -> None:
+    """Keep the texts of plans, which Spark holds for its listeners and which repeat the literal map, to ``most`` characters."""
+    name = "spark.sql.maxPlanStringLength"
+    now = spark.conf.get(name).removesuffix("b")  # bytes by default
+    if not now.isdigit() or int(now) > most:
+        spark.conf.set(name, str(most))
+
+
 def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text", keep: list[str] | None = None,
            decoded: bool = False, slice_bytes: int = SLICE, remembered: int = REMEMBERED) -> DataFrame:
     """The kept columns (all by default; one named ``ids`` is left out) and ``ids``, the token ids of the whole text.
@@ -286,6 +294,7 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     if missing or max(ranks.values()) >= (1 << BITS) - 1:
         raise ValueError("every byte must have a rank, and ranks must be below 131071")
     arrow_batches(documents.sparkSession, 500, 2 << 20)
+    _short_plan_texts(documents.sparkSession)
     carried = Carried(documents, text, ["ids", "decoded"][:1 + decoded], keep)
     inner = [*carried.inner, "one"]  # never a struct without fields
     fields = ", ".join([*carried.fields, "one: int"])
@@ -293,7 +302,9 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     shared = documents.sparkSession.sparkContext.broadcast(ranks)
     slices = carried.frame.withColumn("one", F.lit(0)).mapInArrow(_numbered(inner, shared, slice_bytes, remembered), f"rows array<struct<{fields}>>, counts binary, codes binary, "
                               "open array<array<bigint>>, others array<array<int>>, fresh boolean")
-    coded = slices.select("rows", "counts", "codes", "others", "fresh", F.transform("open", lambda w: merged(w, table)).alias("merged"))
+    # one literal, bound once: each mention of the table would be folded to a copy of its own
+    folded = _let(table, lambda t: F.transform("open", lambda w: merged(w, t)))
+    coded = slices.select("rows", "counts", "codes", "others", "fresh", folded.alias("merged"))
     out = coded.mapInArrow(_ordered(inner, shared if decoded else None), f"{fields}, ids array<int>{', decoded binary' * decoded}")
     return carried.named(out.drop("one"))
 

@@ -123,3 +123,14 @@ def test_awkward_rows(awkward, nothing):
     assert kept.columns == awkward.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 5, 6, 7]
     assert near_duplicates(nothing).count() == 0 and without_near_duplicates(nothing).count() == 0
+
+
+def test_majority_of_groups_of_any_size():
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, 2, 254, 255, 256, 0, 511, 3000, 0]
+    first = np.append(0, np.cumsum(sizes))
+    hashes = rng.integers(0, 1 << 64, first[-1], dtype=np.uint64) & np.uint64(0xFFFF0000FFFFFFFF)
+    expected = [sum((2 * sum(h >> bit & 1 for h in group) > len(group)) << bit for bit in range(64))
+                for group in (hashes[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True))]
+    assert simhash.majority(hashes, first).tolist() == expected
+    assert simhash.majority(np.zeros(0, np.uint64), np.array([0, 0])).tolist() == [0]

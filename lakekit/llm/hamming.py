@@ -97,6 +97,8 @@ def _compared(most: int):
         rows = 0
 
         def out(key, fp, role):
+            new = np.append(True, (key[1:] != key[:-1]) | (fp[1:] != fp[:-1]) | (role[1:] != role[:-1]))  # copies are neighbours
+            key, fp, role = key[new], fp[new], role[new]
             a, b = _pairs(key, fp, role, most)
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
@@ -136,21 +138,29 @@ def _split(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.Record
                 names=["key", "fp", "role", "fixed"])
 
 
-def near_links(rows: DataFrame, most: int, name: str, hot: int = HOT) -> DataFrame:
+def near_links(rows: DataFrame, most: int, name: str, hot: int = HOT, grid: bool = False) -> DataFrame:
     """Links (a, b) whose components are those of all fingerprints at ``most`` or fewer bits that meet in a bucket.
 
     ``rows``: key, fp, fixed long, role int (INDEX, PROBE or both; an index row meets a probe row), fixed being the bits that
     the bucket settles. A bucket with over ``hot`` rows is dealt out again by ``most`` + 1 groups of its free bits: two
     fingerprints that differ in ``most`` bits agree on one of them, so no link is lost; this repeats while a bucket is hot.
+    With ``grid``, for a large ``most``, it is cut into parts instead, and each two parts are compared in a bucket of their own.
     """
     rows, found = stored(rows, name), None
     schema = "key long, fp long, role int, fixed long"
     while True:
         # a bucket with no free bits holds copies of one fingerprint only
         large = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("fixed").alias("f")).where(f"n > {hot} AND f <> -1")
-        large = stored(large.select("key"), name)
+        large = stored(large.select("key", "n"), name)
         more = not large.isEmpty()
         rest = rows.join(large, "key", "left_anti") if more else rows
+        if grid and more:
+            # half of ``hot`` rows of two parts together, so that no part is hot again
+            parts = F.ceil(F.col("n") * 4 / F.lit(hot))
+            cut = rows.join(large, "key").withColumn("parts", parts).withColumn("p", F.pmod(F.xxhash64("fp"), F.col("parts")))
+            cut = cut.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            cut = cut.select(F.xxhash64("key", F.least("p", "q"), F.greatest("p", "q")).alias("key"), "fp", "role")
+            rest, more = rest.select("key", "fp", "role").unionByName(cut), False
         links = rest.select("key", "fp", "role").repartition("key").sortWithinPartitions("key", "fp")
         links = links.mapInArrow(_compared(most), "a long, b long")
         found = links if found is None else found.unionByName(links)

@@ -27,6 +27,7 @@ INLINE = frozenset(
     "sup time tt u var img wbr".split())
 SIDE = frozenset("nav footer aside form menu dialog fieldset".split())
 MAIN = frozenset("article main".split())
+WHOLE = frozenset("html body".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 #: Parts of class, id and role names that mark what is not the article.
@@ -55,6 +56,8 @@ BLOCKS = [
     (9, 0.00, 3, 0.00, 2, 0.00, 0, 1, 0, 1), (12, 0.00, 2, 0.00, 7, 0.00, 0, 1, 0, 1), (1, 0.00, 10, 0.00, 4, 0.00, 0, 1, 0, 1),
     (6, 0.00, 20, 0.00, 6, 0.00, 0, 1, 0, 1), (2, 1.00, 2, 0.00, 2, 0.00, 0, 1, 0, 1), (30, 0.60, 5, 0.00, 5, 0.00, 0, 1, 0, 1),
     # pages without an article element: by words and links
+    (8, 0.00, 30, 0.00, 15, 0.00, 0, 0, 0, 1), (6, 0.00, 18, 0.00, 20, 0.00, 0, 0, 0, 1), (9, 0.00, 25, 0.00, 12, 0.00, 0, 0, 0, 1),
+    (5, 0.00, 20, 0.00, 14, 0.00, 0, 0, 0, 1), (7, 0.00, 12, 0.00, 16, 0.00, 0, 0, 0, 1), (8, 0.00, 16, 0.00, 9, 0.00, 0, 0, 0, 1),
     (45, 0.00, 5, 0.00, 60, 0.00, 0, 0, 0, 1), (80, 0.05, 40, 0.00, 30, 0.00, 0, 0, 0, 1), (25, 0.00, 70, 0.00, 50, 0.00, 0, 0, 0, 1),
     (18, 0.10, 40, 0.00, 3, 1.00, 0, 0, 0, 1), (60, 0.20, 1, 1.00, 20, 0.00, 0, 0, 0, 1), (150, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 1),
     (6, 0.00, 50, 0.00, 45, 0.00, 0, 0, 0, 1), (3, 0.00, 30, 0.00, 80, 0.00, 0, 0, 0, 1), (7, 0.00, 2, 1.00, 55, 0.00, 0, 0, 1, 1),
@@ -120,6 +123,18 @@ def trained() -> Tree:
 _TAG = re.compile(r"/?([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>?")
 _NAMED = re.compile(r"(?:^|[\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _WORD = re.compile(r"[^\s_]+")
+#: Parts of a name that say that a page has, or has not, what follows them; and elements that no article inside makes main text.
+ABOUT, FIRM = frozenset("has no not with without".split()), ("nav", "aside", "footer", "dialog")
+
+
+def _side_name(word: str) -> bool:
+    """Whether a hyphenated name has a part that marks what is not the article, and is not about the page's layout."""
+    for part in word.split("-"):
+        if part in ABOUT:
+            return False
+        if part in SIDE_WORDS:
+            return True
+    return False
 
 
 def _hint(name: str, attributes: str, in_main: int) -> tuple[int, int]:
@@ -131,9 +146,8 @@ def _hint(name: str, attributes: str, in_main: int) -> tuple[int, int]:
             words = _WORD.findall((found[1] or found[2] or found[3] or "").lower())
             for word in words:
                 main = main or word in MAIN_WORDS
-                side = side or word in SIDE_WORDS or (
-                    "-" in word and word not in MAIN_WORDS and not SIDE_WORDS.isdisjoint(word.split("-")))
-    return int(side and not (main and name in MAIN)), int(main)
+                side = side or word in SIDE_WORDS or ("-" in word and word not in MAIN_WORDS and _side_name(word))
+    return int(side and name not in WHOLE), int(main)
 
 
 def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
@@ -145,7 +159,7 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
     stack: list[tuple[str, int, int, int, int]] = []  # name, beside, main, link, hidden
     beside = main = link = hidden = heading = 0
     parts: list[str] = []
-    linked = 0
+    linked = articles = 0
 
     def close() -> None:
         nonlocal parts, linked
@@ -229,6 +243,11 @@ def blocks(html: str) -> list[tuple[str, int, int, int, int, int]]:
                 at = size if end < 0 else end + 1
             continue
         side, inside = _hint(name, found[2], main)
+        if name in MAIN:
+            # what holds the page's article is a wrapper, whatever its name; a comment may be an article too
+            fresh = not main and not side and (name == "main" or not articles) and not any(open_count.get(x, 0) for x in FIRM)
+            articles += fresh
+            side = -beside if fresh else 0
         entry = (name, side, inside, int(name == "a"), int(name in HIDDEN))
         stack.append(entry)
         open_count[name] = open_count.get(name, 0) + 1

@@ -59,3 +59,23 @@ def test_awkward_rows(awkward, nothing):
     assert out.columns == [c for c in pages.columns if c not in ("html", "Text", "n_kept")] + ["text", "n_blocks", "n_kept"]
     assert out.count() == pages.count()
     assert html_text.extract(nothing, html="text").count() == 0
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<body class='has-sidebar'>", "<body class='sidebar'>", "<div class='page no-sidebar'>", "<div id=content-with-comments>",
+    "<div class='page sidebar-left'>", "<form id=all>", "<html class='menu'><body>",
+])
+@pytest.mark.parametrize("element", ["article", "main"])
+def test_page_wrappers_are_not_beside(wrapper, element):
+    page = f"{wrapper}<nav>Home</nav><{element}><p>{PARAGRAPH}</p></{element}><div class=related><article>{PARAGRAPH}</article></div>"
+    assert text_of(page) == PARAGRAPH
+
+
+def test_articles_that_are_comments_stay_beside():
+    page = f"<article>{PARAGRAPH}</article><div id=comments><article class=comment>{PARAGRAPH}</article></div>"
+    assert text_of(page) == PARAGRAPH
+
+
+def test_short_paragraph_between_longer_ones_without_an_article():
+    short, next_ = "He did not come back that evening.", "Nobody in the village had seen him since noon, and nobody asked."
+    assert text_of(f"<div><p>{PARAGRAPH}</p><p>{short}</p><p>{next_}</p><p>{PARAGRAPH}</p></div>") == f"{PARAGRAPH} {short} {next_} {PARAGRAPH}"

@@ -2,7 +2,8 @@
 
 A shard is a slice of an Arrow batch. Its words become numbers, and the suffixes that could begin a match (those in runs of
 words that the benchmark knows) are sorted by prefix doubling. Every suffix of every test item is then looked up by binary
-search, which gives its longest verbatim match in the shard and the places where each window occurs. Nothing is shuffled: a
+search, which gives its longest verbatim match up to a window and the places where each window occurs; windows at consecutive
+places of an item and a document are chained, which gives matches of any length. Nothing is shuffled: a
 passage shared by a third of the documents costs the same in every shard as any other. Test items are sent to the tasks in
 blocks of a bounded number of words, so that neither the driver nor a task holds more than one block at a time.
 """
@@ -22,7 +23,8 @@ from pyspark.sql.types import StructType
 from lakekit.llm.arrow_text import ALPHANUMERIC, Carried, Words, arrow_batches, chunks, spans_of, whole_row
 
 RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, "
-          "items array<string>, hit_spans array<struct<start: long, end: long>>")
+          "items array<string>, hit_spans array<struct<start: long, end: long>>, "
+          "longest_words long, longest_item string, longest_start long")
 
 
 class TestItems:
@@ -137,6 +139,7 @@ class Shard:
         self.hit = np.zeros(self.size + 1, np.int64)
         self.longest = np.zeros(len(texts), np.int64)
         self.found: list[tuple[np.ndarray, list[str]]] = []
+        self.best: dict[int, tuple[int, str, int]] = {}  # per document: words (negative), item and place of the longest match
 
     def probe(self, block: TestItems, window: int) -> None:
         if not self.size or not len(block.codes):
@@ -177,6 +180,7 @@ class Shard:
         low, high = _range(codes, order, want, block.length[whole])
         spots = back[order[spans_of(low, high - low)]]
         lengths = np.repeat(block.length[whole], high - low)
+        self._note_chains(np.repeat(whole, high - low), spots, lengths, block)
         np.add.at(self.hit, spots, 1)
         np.add.at(self.hit, spots + lengths, -1)
         documents = np.searchsorted(self.first, spots, side="right") - 1
@@ -200,9 +204,32 @@ class Shard:
         width = np.arange(int(best[some].max()))
         want = np.append(items, np.full(len(width), -2))[some[:, None] + width]
         low, high = _range(codes, order, want, best[some])
-        documents = np.searchsorted(self.first, back[order[spans_of(low, high - low)]], side="right") - 1
+        spots = back[order[spans_of(low, high - low)]]
+        documents = np.searchsorted(self.first, spots, side="right") - 1
+        self._note_places(documents, np.repeat(best[some], high - low), np.repeat(block.item[some], high - low), spots, block)
         np.maximum.at(self.longest, documents, np.repeat(best[some], high - low))
 
+    def _note_chains(self, suffixes, spots, lengths, block: TestItems) -> None:
+        """Windows that follow each other in an item and in a document are one match."""
+        order = np.lexsort((spots, spots - suffixes))
+        suffixes, spots, lengths = suffixes[order], spots[order], lengths[order]
+        items = block.item[suffixes]
+        documents = np.searchsorted(self.first, spots, side="right") - 1
+        new = np.append(True, (np.diff(spots) != 1) | (np.diff(suffixes) != 1) | (np.diff(items) != 0) | (np.diff(documents) != 0))
+        head = np.flatnonzero(new)
+        last = np.append(head[1:], len(spots)) - 1
+        self._note_places(documents[head], spots[last] + lengths[last] - spots[head], items[head], spots[head], block)
+
+    def _note_places(self, documents, lengths, items, spots, block: TestItems) -> None:
+        """Keep the longest match of each document, of equal ones that of the smallest item id, then the first place."""
+        most = np.zeros(len(self.longest), np.int64)
+        np.maximum.at(most, documents, lengths)
+        top = lengths == most[documents]
+        for d, n, i, at in zip(*(x[top].tolist() for x in (documents, lengths, items, spots)), strict=True):
+            match = (-n, block.ids[i], at - int(self.first[d]))
+            if d not in self.best or match < self.best[d]:
+                self.best[d] = match
+
     def result(self, share: int) -> dict[str, pa.Array]:
         covered = np.cumsum(self.hit[:-1]) > 0
         counts = np.append(0, np.cumsum(covered))
@@ -227,6 +254,9 @@ class Shard:
             "longest_match": pa.array(self.longest, pa.int64()),
             "items": pa.array(items, pa.list_(pa.string())),
             "hit_spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            "longest_words": pa.array([-self.best[d][0] if d in self.best else 0 for d in range(len(n_words))], pa.int64()),
+            "longest_item": pa.array([self.best[d][1] if d in self.best else None for d in range(len(n_words))], pa.string()),
+            "longest_start": pa.array([self.best[d][2] if d in self.best else None for d in range(len(n_words))], pa.int64()),
         }
 
 
@@ -239,7 +269,8 @@ def find_contamination(
     Words are lower-cased (A-Z) runs of digits, letters a-z and non-ASCII characters. A window is ``window`` consecutive words
     of an item; an item with fewer words, but not none, is one window. ``n_hit`` counts document words inside any occurrence of
     a window, ``hit_spans`` are their word ranges, ``longest_match`` is the longest verbatim match in words, up to ``window``
-    (at least the shortest window; else 0). ``contaminated``: n_hit > 0 and share * n_hit >= n_words.
+    (at least the shortest window; else 0). ``longest_words`` is the same without that bound, with its item (``longest_item``, of
+    equal ones the smallest id) and the number of the document word where it starts (``longest_start``). ``contaminated``: n_hit > 0 and share * n_hit >= n_words.
 
     ``keep``: columns to return in front (all by default); a kept column with the name of a result column is left out.
     Null texts have no words; items with a null id or text, and items without words, hit nothing; repeated items count once.

@@ -67,7 +67,8 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"), keep=["doc_id"])
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "longest_words",
+                        "longest_item", "longest_start")
 
 
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:

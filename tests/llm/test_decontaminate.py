@@ -74,3 +74,30 @@ def test_awkward_rows(spark, awkward, nothing):
     assert kept.count() == awkward.count() - 2
     assert decontaminated(nothing, bench).count() == 0
     assert decontaminated(awkward, bench.where("false")).count() == awkward.count()
+
+
+def test_longest_match_beyond_the_window_with_item_and_place(spark):
+    """By the definition: for each document the longest run of words that an item has too, of at least a window of that item."""
+    rng = random.Random(4)
+    text = lambda n: [rng.choice("abcd") + rng.choice("xyz") for _ in range(n)]
+    items = [(f"i{k}", text(n)) for k, n in enumerate((13, 20, 60, 200, 200))]
+    docs = [(k, text(9) + items[i][1][a:b] + text(5) + items[j][1][c:d]) for k, (i, a, b, j, c, d) in enumerate(
+        [(3, 0, 200, 1, 0, 20), (2, 5, 45, 4, 30, 90), (0, 0, 13, 1, 1, 15), (4, 100, 150, 4, 100, 150), (1, 0, 9, 1, 0, 9)])]
+    want = {}
+    for k, words_ in docs:
+        best = (0, None, None)
+        for name, item in items:
+            for at in range(len(words_)):
+                for start in range(len(item)):
+                    n = 0
+                    while at + n < len(words_) and start + n < len(item) and words_[at + n] == item[start + n]:
+                        n += 1
+                    if n >= 13 and (-n, name, at) < (-best[0], best[1] or "~", best[2] or 0):
+                        best = (n, name, at)
+        want[k] = best
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id string, text string")
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in docs], "doc_id int, text string")
+    for block in (500_000, 30):
+        found = find_contamination(frame, bench, block_words=block).collect()
+        assert {r.doc_id: (r.longest_words, r.longest_item, r.longest_start) for r in found} == want
+    assert want[0][0] >= 200 and want[4] == (0, None, None)

@@ -77,6 +77,7 @@ class Words:
         starts = np.flatnonzero(inside & ~before)
         self.first = np.searchsorted(starts, offsets)
         self.source_start = starts
+        self._source = data
         kept = inside | before
         place = np.cumsum(kept, dtype=np.int64) - 1
         self.data = data[kept]
@@ -87,6 +88,11 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
+    def new_line(self) -> np.ndarray:
+        """Whether a line feed lies between a word and the word before it (of the same batch)."""
+        feeds = np.cumsum(self._source == 10)[self.source_start]
+        return np.append(False, feeds[1:] != feeds[:-1])
+
     def array(self) -> pa.LargeBinaryArray:
         """The words as an Arrow array."""
         letters = np.ones(len(self.data), dtype=bool)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, line_dedup, lm_score, pii, simhash
+from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, line_dedup, lm_score, packing, pii, simhash
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -81,11 +81,16 @@ def op10_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(documents, lm_score.train(documents, listed), listed, keep=["doc_id"])
 
 
+def op12_sequence_packing(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    packed = packing.pack(_read(spark, folder, "documents"), vocabulary or public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates,
         op6_html_extraction, op7_line_dedup, op8_benchmark_decontamination, op9_personal_data,
-        op10_language_model_scores,
+        op10_language_model_scores, op12_sequence_packing,
     )}
 
 

@@ -28,13 +28,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lakekit.llm.arrow_text import NOT_SPACE, Carried, Words, arrow_batches, chunks, spans_of
+from lakekit.llm.arrow_text import LOWER, NOT_SPACE, Carried, Words, arrow_batches, chunks, spans_of
 
 LENGTH, END_ID = 2048, 1
 SENTENCE, INSIDE, WINDOW, STRETCH = 16, 64, 2, 256
 SEGMENT, TAIL, REMEMBERED = 1 << 20, 4, 300_000
-#: A word that ends a sentence, closing quotes and brackets aside.
-STOP = re.compile("[.!?。！？…][\"')\\]’”»]*$")
+#: Bytes by kind.
+SPACE, LETTER, DIGIT, MARK, FOREIGN = range(5)
+KINDS = np.full(256, MARK, np.uint8)
+KINDS[32], KINDS[48:58], KINDS[65:91], KINDS[97:123], KINDS[128:] = SPACE, DIGIT, LETTER, LETTER, FOREIGN
+KINDS[124] = FOREIGN  # control tokens have bars
+#: A piece that the vocabulary's pattern does not cut, and that neither normalisation nor case changes.
+PLAIN = re.compile(rb"[a-z]+|[0-9]|[\x00-/:-@\[-`{-\x7f]+")
+STOP, CLOSER = np.zeros(256, bool), np.zeros(256, bool)
+STOP[list(b".!?")] = CLOSER[list(b"\"')]")] = True
+#: Sentence marks of other scripts, as the last three bytes of a word.
+FOREIGN_STOPS = ["。", "！", "？", "…"]
 
 RESULT = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -90,44 +99,99 @@ def cut_places(ends: np.ndarray, sentences: np.ndarray) -> tuple[np.ndarray, np.
     return places, penalties
 
 
+def sentence_ends(words: Words) -> np.ndarray:
+    """Whether a word ends with a sentence mark, up to two closing quotes or brackets aside."""
+    data = np.concatenate([np.full(4, 32, np.uint8), words.data])
+    last = words.end + 3
+    out = STOP[data[last]]
+    for skip in (1, 2):
+        out |= STOP[data[last - skip]] & CLOSER[data[last]] & (CLOSER[data[last - 1]] if skip == 2 else True)
+    three = data[last - 2].astype(np.int64) << 16 | data[last - 1].astype(np.int64) << 8 | data[last]
+    return out | np.isin(three, [int.from_bytes(c.encode(), "big") for c in FOREIGN_STOPS])
+
+
 class Tokens:
-    """Token ids of texts, by distinct words between ASCII white space, which no token of the vocabulary crosses.
+    """Token ids of texts, by distinct pieces of words, none of which a token of the vocabulary crosses.
 
-    A bounded number of words is remembered with their ids."""
+    ASCII words without an apostrophe or a bar (which may begin a control token) are lower-cased and cut into runs of letters, single
+    digits and runs of other characters, as the vocabulary's pattern does; what the tokenizer makes of one ends with a token of a
+    word's end, so hundreds are encoded in one call. Other words are left to the tokenizer as they are, save up to eight ASCII marks
+    after an ASCII letter or digit at their end. A bounded number of pieces is remembered with their ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, tuple[np.ndarray, bool]] = {}
+        self.word_end = np.zeros(1 << 17, bool)
+        self.word_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.table, self.sizes = np.array([END_ID], np.uint32), np.array([1])  # number 0 is the end token
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        simple = [p for p in pieces if PLAIN.fullmatch(p)]
+        ids = [np.array(x, np.uint32) for x in self._encoded([b" ".join(simple[i:i + 200]).decode() for i in range(0, len(simple), 200)])]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(simple):  # another kind of vocabulary
+            simple, ids, ends = [], ids[:0], ends[:0]
+        done = set(simple)
+        rest = [p for p in pieces if p not in done]
+        found = self._encoded([p.decode() for p in rest])
+        flat = np.fromiter((i for x in found for i in x), np.uint32)
+        self.known.update(zip([*simple, *rest], range(len(self.sizes), len(self.sizes) + len(pieces)), strict=True))
+        self.table = np.concatenate([self.table, ids, flat])
+        self.sizes = np.concatenate([self.sizes, np.diff(ends, prepend=0), np.array([len(x) for x in found], np.int64)])
 
-    def _look_up(self, words: list[bytes]) -> list[tuple[np.ndarray, bool]]:
+    def _look_up(self, pieces: list[bytes]) -> np.ndarray:
+        """Numbers of the pieces."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        texts = [w.decode() for w in new]
-        for w, t, e in zip(new, texts, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, np.uint32), STOP.search(t, max(0, len(t) - 8)) is not None
-        return [self.known[w] for w in words]
+            self._forget()
+        if new := [p for p in pieces if p not in self.known]:
+            self._learn(new)
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
     def stream(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the end token after each; where each text ends; where sentences or lines end inside texts."""
         words = Words(texts, NOT_SPACE, lower=False)
-        code, distinct = words.coded()
-        found = self._look_up(distinct.to_pylist())
-        sizes = np.array([len(ids) for ids, _ in found] + [1], np.int64)
-        table = np.concatenate([*(ids for ids, _ in found), np.array([END_ID], np.uint32)])
-        stops = np.array([s for _, s in found] + [False])[code]
-        lines = np.append(words.new_line()[1:], False) if len(words) else stops
-        closing = len(found)
-        code = np.insert(code, words.first[1:], closing)
-        stops = np.insert(stops | lines, words.first[1:], False)
-        stops[:-1] &= code[1:] != closing
-        counts = sizes[code]
-        ids = table[spans_of((np.cumsum(sizes) - sizes)[code], counts)]
+        data, n = words.data, len(words)
+        kind = KINDS[data]
+        odd = np.append(0, np.cumsum((kind == FOREIGN) | (data == 39), dtype=np.int32))
+        plain = odd[words.end] == odd[words.start]
+        inside = np.repeat(plain, words.end - words.start + 1)
+        low = np.where(inside, LOWER[data], data)
+        before = np.append(np.uint8(SPACE), kind[:-1])
+        start = inside & (kind != SPACE) & ((kind != before) | (kind == DIGIT))
+        start[words.start] = True
+        # up to eight marks at the end of other words, where only they follow a letter or digit
+        tails = words.end[~plain]
+        heads = words.start[~plain]
+        for _ in range(8):
+            tails = tails - ((kind[tails - 1] == MARK) & (tails > heads))
+        tails = tails[(tails > heads) & (tails < words.end[~plain]) & ((kind[tails - 1] == LETTER) | (kind[tails - 1] == DIGIT))]
+        start[tails] = True
+        first = np.flatnonzero(start)
+        letters = kind != SPACE
+        place = np.append(0, np.cumsum(letters, dtype=np.int32))
+        bounds = np.append(place[first], place[-1]).astype(np.int64)
+        cut = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(low[letters])]).dictionary_encode()
+        number = self._look_up(cut.dictionary.to_pylist())[cut.indices.to_numpy(zero_copy_only=False)]
+        of_word = np.searchsorted(first, words.start)  # the first piece of each word
+        closing = np.append(of_word, len(first))[words.first[1:]]
+        stops = np.zeros(len(first), bool)
+        stops[np.append(of_word[1:], len(first)) - 1] = sentence_ends(words) | np.append(words.new_line()[1:], False) if n else False
+        number, stops = np.insert(number, closing, 0), np.insert(stops, closing, False)
+        stops[:-1] &= number[1:] != 0
+        counts = self.sizes[number]
+        ids = self.table[spans_of((np.cumsum(self.sizes) - self.sizes)[number], counts)]
         after = np.cumsum(counts)
-        return ids, after[code == closing], after[stops]
+        return ids, after[number == 0], after[stops]
 
 
 def pack(documents: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None,

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, line_dedup, lm_score, packing, pii, simhash
+from lakekit.llm import bpe, chat, decontaminate, fingerprints, html_text, langid, line_dedup, lm_score, packing, pii, repair, simhash, trie
+from lakekit.session import stored
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -81,16 +82,59 @@ def op10_language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score(documents, lm_score.train(documents, listed), listed, keep=["doc_id"])
 
 
+def _damaged(conversations: DataFrame) -> DataFrame:
+    """The contract's damage by a hash of each row's conversation and turn."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn"))) % 20
+    rows = conversations.select("conv_id", "turn", spaced("role").alias("role"), spaced("text").alias("text"), fault.alias("fault")).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    rows = rows.select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                       copies.alias("copy"))
+    return rows.drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = _read(spark, folder, "conversations")
+    rows = _damaged(given)
+    found = stored(repair.audits(rows), "repair-audits")
+    said = repair.digests(repair.repaired_turns(rows, found)).withColumnRenamed("conv_id", "said_id")
+    known = given.select(F.col("conv_id").alias("id")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return known.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").join(said, F.col("id").eqNullSafe(F.col("said_id")), "left").select(
+        F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0)).alias(c) for c in counts), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_sequence_packing(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
     packed = packing.pack(_read(spark, folder, "documents"), vocabulary or public_tokenizers.path("word_bpe_49k.json"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def _rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The contract's conversations (turns, members): the first h turns of conversation c - c % 5, then c's own after its first h."""
+    own = turns.groupBy("conv_id").agg(F.count("*").alias("own"))
+    head = F.crc32(F.col("conv_id").cast("string")) % 9
+    wanted = own.select("conv_id", "own", (F.col("conv_id") - F.col("conv_id") % 5).alias("source"), head.alias("h"))
+    lengths = own.select(F.col("conv_id").alias("source"), F.col("own").alias("there"))
+    wanted = wanted.join(lengths, "source", "left").withColumn("taken", F.least("h", F.coalesce("there", F.lit(0))))
+    wanted = stored(wanted.withColumn("length", F.col("taken") + F.greatest(F.lit(0), F.col("own") - F.col("h"))), "trie-members")
+    first = turns.where("place <= 8 AND conv_id % 5 = 0").withColumnRenamed("conv_id", "source")
+    given = wanted.select("conv_id", "source", "h").join(first, "source").where("place <= h").select("conv_id", "place", "token", "size")
+    rest = turns.where(F.col("place") > head).join(wanted.select("conv_id", "h", "taken"), "conv_id").select(
+        "conv_id", (F.col("place") - F.col("h") + F.col("taken")).alias("place"), "token", "size")
+    return stored(given.unionByName(rest), "trie-rebuilt"), wanted.select("conv_id", "length")
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(*_rebuilt(stored(trie.numbered(_read(spark, folder, "conversations")), "trie-numbered")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_byte_level_bpe, op2_document_fingerprints, op3_language_identification, op4_chat_formatting, op5_simhash_near_duplicates,
         op6_html_extraction, op7_line_dedup, op8_benchmark_decontamination, op9_personal_data,
-        op10_language_model_scores, op12_sequence_packing,
+        op10_language_model_scores, op11_conversation_repair, op12_sequence_packing, op13_prefix_trie,
     )}
 
 

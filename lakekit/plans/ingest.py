@@ -114,10 +114,11 @@ def i7_stream_with_stored_schema(t: Tables) -> DataFrame:
 
 @plan("""
 SELECT mode, event_id, CASE WHEN mode = 'addNewColumns' AND event_id % 2 = 1 THEN event_type END AS coupon, CASE WHEN mode = 'rescue' AND event_id % 2 = 1 THEN event_type END AS rescued,
-  CAST(mode = 'addNewColumns' AS BIGINT) AS stops FROM events, (VALUES ('addNewColumns'), ('rescue'), ('none')) AS v(mode)
+  CASE WHEN mode <> 'none' AND event_id % 2 = 1 THEN CAST(user_id AS VARCHAR) END AS rescued_case, CAST(mode = 'addNewColumns' AS BIGINT) AS stops
+FROM events, (VALUES ('addNewColumns'), ('rescue'), ('none')) AS v(mode)
 """)
 def i8_schema_evolution_modes(t: Tables) -> DataFrame:
-    """The second delivery brings a new column; twin streams with their own checkpoints treat it by mode."""
+    """The second delivery brings a new column, and one that differs from a known one in case; twin streams treat them by mode."""
     folder, out = work_path(t.spark, "evolving-in"), work_path(t.spark, "evolving-out")
     modes = ("addNewColumns", "rescue", "none")
     tables = {m: SnapshotTable(t.spark, f"{out}/{m}/table") for m in modes}
@@ -126,8 +127,12 @@ def i8_schema_evolution_modes(t: Tables) -> DataFrame:
     def run(mode: str) -> None:
         JsonStream(t.spark, folder, tables[mode], f"{out}/{mode}/checkpoint", SchemaRegistry(t.spark, f"{out}/{mode}/schemas"), mode=mode).run()
 
-    for part, where, more in (("a", "event_id % 2 = 0", []), ("b", "event_id % 2 = 1", ["event_type AS coupon"])):
-        _event_lines(t, folder, part, where, *more)
+    more = """concat('{"event_id":', event_id, ',"user_id":', user_id, ',"amount":', value, ',"coupon":"', event_type, '","User_Id":', user_id, '}') AS value"""
+    for part in ("a", "b"):
+        if part == "a":
+            _event_lines(t, folder, part, "event_id % 2 = 0")
+        else:
+            t.events.where("event_id % 2 = 1").selectExpr(more).write.text(f"{folder}/{part}")
         for mode in modes:
             try:
                 run(mode)
@@ -140,9 +145,10 @@ def i8_schema_evolution_modes(t: Tables) -> DataFrame:
     for mode in modes:
         rows = tables[mode].read()
         coupon = F.col("coupon") if "coupon" in rows.columns else F.lit(None).cast("string")
-        rescued = F.get_json_object("_rescued_data", "$.coupon") if "_rescued_data" in rows.columns else F.lit(None).cast("string")
+        kept = lambda name, rows=rows: F.get_json_object("_rescued_data", f"$.{name}") if "_rescued_data" in rows.columns else F.lit(None).cast("string")
         part = rows.select(
-            F.lit(mode).alias("mode"), "event_id", coupon.alias("coupon"), rescued.alias("rescued"), F.lit(stops[mode]).cast("bigint").alias("stops")
+            F.lit(mode).alias("mode"), "event_id", coupon.alias("coupon"), kept("coupon").alias("rescued"), kept("User_Id").alias("rescued_case"),
+            F.lit(stops[mode]).cast("bigint").alias("stops")
         )
         result = part if result is None else result.unionByName(part)
     return result

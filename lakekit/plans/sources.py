@@ -35,23 +35,27 @@ def s2_typed_csv(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT 'permissive' AS mode, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 10 = 0) AS broken FROM orders
-UNION ALL SELECT 'dropmalformed', count(*) FILTER (WHERE o_orderkey % 10 <> 0), 0 FROM orders
+SELECT 'permissive' AS mode, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 10 = 0) AS broken, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+  CAST(sum(o_custkey) FILTER (WHERE o_orderkey % 10 <> 0) AS BIGINT) AS customers FROM orders
+UNION ALL SELECT 'dropmalformed', count(*), 0, CAST(sum(o_orderkey) AS BIGINT), CAST(sum(o_custkey) AS BIGINT) FROM orders WHERE o_orderkey % 10 <> 0
 """)
 def s3_parse_modes(t: Tables) -> DataFrame:
-    """Every tenth line has text where a number belongs. FAILFAST, which raises, is covered by the tests."""
+    """Every tenth line has text where a number belongs. FAILFAST, which raises, is covered by the tests.
+
+    Both modes are counted over the parsed columns: a reader that needs no column parses none, and drops nothing."""
     folder = work_path(t.spark, "broken-csv")
     t.orders.selectExpr(
         "concat(o_orderkey, ',', CASE WHEN o_orderkey % 10 = 0 THEN 'oops' ELSE CAST(o_custkey AS STRING) END) AS value"
     ).write.text(folder)
     schema = "o_orderkey BIGINT, o_custkey BIGINT, broken STRING"
     kept = t.spark.read.schema(schema).csv(folder, mode="PERMISSIVE", columnNameOfCorruptRecord="broken")
-    short = t.spark.read.schema("o_orderkey BIGINT, o_custkey BIGINT").csv(folder, mode="DROPMALFORMED")
-    return kept.agg(F.lit("permissive").alias("mode"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_custkey").isNull() & F.col("broken").isNotNull()).alias("broken")).unionByName(
-        short.where("o_custkey IS NOT NULL").agg(
-            F.lit("dropmalformed").alias("mode"), F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("broken")
-        )
-    )
+    short = t.spark.read.schema("o_orderkey BIGINT, o_custkey BIGINT").csv(folder, mode="DROPMALFORMED").withColumn("broken", F.lit(None).cast("string"))
+    out = None
+    for mode, rows in (("permissive", kept), ("dropmalformed", short)):
+        part = rows.agg(F.lit(mode).alias("mode"), F.count("o_orderkey").alias("n"), F.count_if(F.col("o_custkey").isNull() & F.col("broken").isNotNull()).alias("broken"),
+                        F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @plan("""
@@ -102,13 +106,45 @@ def s6_rescued_json(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS total, CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' END AS rescued FROM orders
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 17 <> 0 AND o_orderkey % 11 <> 0 THEN o_custkey END AS w, CASE WHEN o_orderkey % 17 <> 0 THEN o_orderkey % 9 END AS h,
+  CASE WHEN o_orderkey % 19 <> 0 THEN 2 END AS second, CASE WHEN o_orderkey % 17 <> 0 AND o_orderkey % 11 = 0 THEN 'wide' END AS rescued_w,
+  CASE WHEN o_orderkey % 17 <> 0 AND o_orderkey % 13 = 0 THEN '7' END AS rescued_case, CASE WHEN o_orderkey % 17 = 0 THEN 'none' END AS rescued_scalar,
+  CASE WHEN o_orderkey % 19 = 0 THEN '[{"q":' || o_orderkey % 5 || '},{"q":"few"}]' END AS rescued_parts, CASE WHEN o_orderkey % 23 = 0 THEN 'true' END AS rescued_extra,
+  o_orderkey % 17 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 19 = 0 OR o_orderkey % 23 = 0 AS has_file FROM orders
+""")
+def s6_rescued_nested(t: Tables) -> DataFrame:
+    """Misfits inside a struct and an array, a scalar in a struct's place, and nested names unknown or in another case."""
+    folder = work_path(t.spark, "rescue-nested")
+    t.orders.selectExpr(
+        """concat('{"id":', o_orderkey, ',"dims":', CASE WHEN o_orderkey % 17 = 0 THEN '"none"' ELSE concat('{"w":', CASE WHEN o_orderkey % 11 = 0 THEN '"wide"' ELSE CAST(o_custkey AS STRING) END,
+             ',"h":', o_orderkey % 9, CASE WHEN o_orderkey % 13 = 0 THEN ',"H":7' ELSE '' END, CASE WHEN o_orderkey % 23 = 0 THEN ',"deep":{"new":true}' ELSE '' END, '}') END,
+             ',"parts":[{"q":', o_orderkey % 5, '},{"q":', CASE WHEN o_orderkey % 19 = 0 THEN '"few"' ELSE '2' END, '}]',
+             CASE WHEN o_orderkey % 23 = 0 AND o_orderkey % 17 = 0 THEN ',"extra":true' ELSE '' END, '}') AS value""").write.text(folder)
+    schema = StructType.fromDDL("id BIGINT, dims STRUCT<w: BIGINT, h: BIGINT, deep: STRUCT<old: INT>>, parts ARRAY<STRUCT<q: INT>>")
+    out = src.read_json_rescued(t.spark, folder, schema)
+    kept = lambda path: F.get_json_object(src.RESCUED, path)
+    scalar = F.when(~kept("$.dims").startswith("{"), kept("$.dims"))
+    return out.select(
+        "id", "dims.w", "dims.h", F.col("parts")[1]["q"].alias("second"), kept("$.dims.w").alias("rescued_w"), kept("$.dims.H").alias("rescued_case"),
+        scalar.alias("rescued_scalar"), kept("$.parts").alias("rescued_parts"), F.coalesce(kept("$.dims.deep.new"), kept("$.extra")).alias("rescued_extra"),
+        kept("$._file_path").isNotNull().alias("has_file"))
+
+
+@plan("""
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS total, CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' END AS rescued,
+  o_orderkey % 10 = 0 OR o_orderkey % 3 = 1 AS has_file, CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus END AS rescued_status FROM orders
 """)
 def s6_rescued_csv(t: Tables) -> DataFrame:
+    """Two kinds of headers: one has a column that the schema lacks. The rescued values name their file."""
     folder = work_path(t.spark, "rescue-csv")
-    t.orders.selectExpr("o_orderkey AS id", "CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS STRING) END AS total").write.csv(folder, header=True)
+    total = "CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS STRING) END AS total"
+    t.orders.where("o_orderkey % 3 <> 1").selectExpr("o_orderkey AS id", total).write.csv(f"{folder}/plain", header=True)
+    t.orders.where("o_orderkey % 3 = 1").selectExpr("o_orderstatus AS status", total, "o_orderkey AS id").write.csv(f"{folder}/more", header=True)
     out = src.read_csv_rescued(t.spark, folder, StructType.fromDDL("id BIGINT, total DOUBLE"))
-    return out.select("id", "total", F.get_json_object(src.RESCUED, "$.total").alias("rescued"))
+    kept = lambda name: F.get_json_object(src.RESCUED, f"$.{name}")
+    place = F.when(F.col("id") % 3 == 1, "/more/").otherwise("/plain/")
+    named = F.coalesce(F.contains(kept("_file_path"), place), F.lit(False))
+    return out.select("id", "total", kept("total").alias("rescued"), named.alias("has_file"), kept("status").alias("rescued_status"))
 
 
 @plan("""

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
+from lakekit.sources.rescue import REST, VALUE, fit, json_object, let, quoted
+
 RESCUED = "_rescued_data"
 
 
@@ -22,11 +24,12 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str | None =
     return reader.load(path).select("path", "length", "modificationTime")
 
 
-def read_csv_by_name(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
+def read_csv_by_name(spark: SparkSession, path: str | list[str], sep: str = ",", file: str | None = None, **options) -> DataFrame:
     """CSV files whose headers differ, united by column name; columns a file lacks are NULL. All columns are strings.
 
     A first pass over all files finds each one's first line that is not blank (combined map-side to one row per file); then
     one reader per distinct header reads that header's files, so the files are scanned twice. Only file names and headers reach the driver, as in any file listing.
+    ``file`` adds a column of that name with each row's file.
     """
     lines = spark.read.text(path, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("file"),
@@ -39,6 +42,8 @@ def read_csv_by_name(spark: SparkSession, path: str | list[str], sep: str = ",",
     out = None
     for g in sorted(groups, key=lambda g: g["header"]):
         part = spark.read.csv(g["files"], header=True, sep=sep, **options)
+        if file:
+            part = part.select("*", F.col("_metadata.file_path").alias(file))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -66,32 +71,42 @@ def apply_hints(schema: StructType, hints: str | None) -> StructType:
     return StructType([*fields, *wanted.values()])
 
 
-def _typed(raw: Column, field: StructField) -> Column:
+def one_case(schema: StructType) -> StructType:
+    """The schema without fields that differ from an earlier one in letter case only: a table cannot hold both."""
+    seen: dict[str, StructField] = {}
+    for f in schema.fields:
+        seen.setdefault(f.name.lower(), f)
+    return StructType(list(seen.values()))
+
+
+def _fitted(raw: Column, field: StructField) -> Column:
+    """STRUCT<value, rest>: raw text as a value of the field, and what does not fit as JSON text."""
     if isinstance(field.dataType, StructType | ArrayType | MapType):
-        return F.from_json(raw, field.dataType)
-    if isinstance(field.dataType, StringType):
-        return raw
-    return raw.try_cast(field.dataType)
+        parsed = F.try_parse_json(raw)
+        unread = F.struct(F.lit(None).cast(field.dataType).alias(VALUE), quoted(raw).alias(REST))
+        return F.when(raw.isNotNull() & parsed.isNull(), unread).otherwise(let(parsed, lambda v: fit(v, field.dataType)))
+    value = raw if isinstance(field.dataType, StringType) else raw.try_cast(field.dataType)
+    return F.struct(value.alias(VALUE), F.when(raw.isNotNull() & value.isNull(), quoted(raw)).alias(REST))
 
 
 def rescue(df: DataFrame, raw: str, schema: StructType, file: str | None = None) -> DataFrame:
     """Typed columns from a ``MAP<STRING, STRING>`` of raw values, and ``_rescued_data``.
 
     A value that does not fit its type becomes NULL and is kept, with unknown columns (also such that differ in case
-    only) and the file path, as JSON text in ``_rescued_data``. Rows are never lost.
+    only) and the file path, as JSON text in ``_rescued_data``. Inside structs, arrays and maps only the parts that do not fit
+    are NULL and kept, see ``sources.rescue``. Rows are never lost.
     """
-    out = df.withColumns({f"_v_{f.name}": _typed(F.col(raw)[f.name], f) for f in schema.fields})
-    misfits = [
-        F.when(F.col(raw)[f.name].isNotNull() & F.col(f"_v_{f.name}").isNull(), F.lit(f.name)) for f in schema.fields
-    ]
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    bad = F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
-    left = F.map_filter(raw, lambda k, v: v.isNotNull() & (~F.array_contains(known, k) | F.array_contains(F.col("_bad"), k)))
-    out = out.withColumn("_bad", bad).withColumn("_left", left)
-    noted = F.map_concat("_left", F.create_map(F.lit("_file_path"), F.col(file))) if file else F.col("_left")
-    rescued = F.when(F.size("_left") > 0, F.to_json(noted)).alias(RESCUED)
+    fields = one_case(schema).fields
+    known = [f.name for f in fields]
+    out = df.withColumns({f"_v{i}": _fitted(F.col(raw)[f.name], f) for i, f in enumerate(fields)})
+    bad = F.map_from_arrays(F.array(*map(F.lit, known)), F.array(*(F.col(f"_v{i}")[REST] for i in range(len(known)))))
+    more = F.transform_values(F.map_filter(raw, lambda k, v: v.isNotNull() & ~k.isin(known)), lambda _, v: quoted(v))
+    left = F.map_concat(F.map_filter(bad, lambda _, r: r.isNotNull()), more) if known else more
+    out = out.withColumn("_left", left)
+    noted = F.map_concat("_left", F.create_map(F.lit("_file_path"), quoted(F.col(file)))) if file else F.col("_left")
+    rescued = F.when(F.size("_left") > 0, json_object(noted)).alias(RESCUED)
     rest = [c for c in df.columns if c not in (raw, file)]
-    return out.select(*rest, *[F.col(f"_v_{f.name}").alias(f.name) for f in schema.fields], rescued)
+    return out.select(*rest, *[F.col(f"_v{i}")[VALUE].alias(n) for i, n in enumerate(known)], rescued)
 
 
 def read_json_rescued(spark: SparkSession, path: str | list[str], schema: StructType, pattern: str | None = None) -> DataFrame:
@@ -110,13 +125,12 @@ def parse_json_rescued(lines: DataFrame, schema: StructType, value: str = "value
     return rescue(lines.withColumn("_raw", kept).drop(value), "_raw", schema, file)
 
 
-def read_csv_rescued(spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",") -> DataFrame:
-    """CSV files, each with its own header, with ``_rescued_data``."""
-    rows = read_csv_by_name(spark, path, sep)
-    pairs = F.map_from_arrays(
-        F.array(*[F.lit(c) for c in rows.columns]), F.array(*[F.col(c) for c in rows.columns])
-    )
-    return rescue(rows.select(pairs.alias("_raw")), "_raw", schema)
+def read_csv_rescued(spark: SparkSession, path: str | list[str], schema: StructType, sep: str = ",", **options) -> DataFrame:
+    """CSV files, each with its own header, with ``_rescued_data``. Columns of nested types hold JSON text."""
+    rows = read_csv_by_name(spark, path, sep, file="_file", **options)
+    named = [c for c in rows.columns if c != "_file"]
+    pairs = F.map_from_arrays(F.array(*[F.lit(c) for c in named]), F.array(*[F.col(f"`{c}`") for c in named]))
+    return rescue(rows.select(pairs.alias("_raw"), "_file"), "_raw", schema, "_file")
 
 
 def decode_messages(df: DataFrame, schema: StructType | str, keep: tuple[str, ...] = ("topic", "partition", "offset", "timestamp")) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql.types import (
 
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.session import small_rows
-from lakekit.sources.files import RESCUED, apply_hints, infer_schema, parse_json_rescued
+from lakekit.sources.files import RESCUED, apply_hints, infer_schema, one_case, parse_json_rescued
 from lakekit.streaming.runs import batch_key, run_to_end
 
 MODES = ("addNewColumns", "rescue", "failOnNewColumns", "none")
+#: New columns that one batch may bring.
+MOST_COLUMNS = 1000
 _WIDER = [ByteType(), ShortType(), IntegerType(), LongType(), DoubleType()]
 
 
@@ -84,6 +86,7 @@ class JsonStream:
                 self.spark, self.source, "json", self.hints, self.column_types, self.sampling_ratio,
                 recursiveFileLookup="true",
             )
+            first = one_case(first)
             self.registry.add(first)
             return first
         return apply_hints(known[1], self.hints)
@@ -112,9 +115,14 @@ class JsonStream:
         run_to_end(lines.writeStream.option("checkpointLocation", self.checkpoint).foreachBatch(step))
 
     def _grown(self, batch: DataFrame, schema: StructType) -> StructType:
+        """The schema with the batch's new columns. A name that differs from a known one in case only is no new column: tables do not
+        tell them apart, so its values are rescued. More than ``MOST_COLUMNS`` names are refused, as they are data and not columns."""
         raw = F.from_json("value", "map<string,string>")
         pairs = batch.select(F.explode(raw).alias("name", "text")).where("text IS NOT NULL")
         known = {f.name: f for f in schema.fields}
+        lower = {n.lower() for n in known}
+        if not self.widen:
+            pairs = pairs.where(~F.lower("name").isin(list(lower))) if lower else pairs
         # one row per column name; whether all its texts read as a type is combined map-side
         facts = pairs.groupBy("name").agg(
             F.bool_and(F.col("text").try_cast("bigint").isNotNull()).alias("long"),
@@ -122,12 +130,16 @@ class JsonStream:
             F.bool_and(F.col("text").try_cast("double").isNotNull()).alias("double"),
             F.bool_and(F.lower("text").isin("true", "false")).alias("boolean"),
         )
-        grown = {f.name: f for f in schema.fields}
-        for r in sorted(facts.collect(), key=lambda r: r["name"]):  # a row per column, not per record
-            if r["name"] not in known:
+        rows = facts.limit(len(known) + MOST_COLUMNS + 1).collect()  # a row per column, not per record
+        grown = dict(known)
+        for r in sorted(rows, key=lambda r: r["name"]):
+            if r["name"].lower() not in lower:
                 grown[r["name"]] = StructField(r["name"], self._type(r), True)
-            elif self.widen and known[r["name"]].dataType in _WIDER:
+                lower.add(r["name"].lower())
+            elif self.widen and r["name"] in known and known[r["name"]].dataType in _WIDER:
                 grown[r["name"]] = StructField(r["name"], self._widened(known[r["name"]].dataType, r), True)
+        if len(grown) > len(known) + MOST_COLUMNS:
+            raise ValueError(f"{self.source} has over {MOST_COLUMNS} new names in one batch")
         return StructType(list(grown.values()))
 
     def _type(self, r) -> DataType:

@@ -9,6 +9,7 @@ from lakekit.functions.log_lines import parse_log_lines
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.sources import files as src
 from lakekit.sources.ingest import Loader
+from lakekit.sources.rescue import fit
 
 
 def test_csv_by_name_with_quotes_and_other_headers(spark, tmp_path, rows):
@@ -84,3 +85,39 @@ def test_log_lines(spark):
     df = spark.createDataFrame([("2026-01-01 10:00:00 ERROR checkout user=1 ms=250",), ("garbage",)], "value STRING")
     good, bad = parse_log_lines(df).select("level", "event", "ms").collect()
     assert tuple(good) == ("ERROR", "checkout", 250) and tuple(bad) == (None, None, None)
+
+
+def test_nested_rescue_loses_nothing(spark, rows):
+    """Value and rest together hold every part, whatever the shape."""
+    schema = StructType.fromDDL("w INT, `Case` INT, items ARRAY<STRUCT<q: INT>>, m MAP<STRING, DOUBLE>, t STRUCT<deep: STRUCT<x: BOOLEAN>>, s STRING")
+    given = ['{"w":1,"Case":2}', '{"w":"wide","case":3}', '"none"', '{"items":[{"q":1},{"q":"x","z":5},null]}', '{"m":{"a":1.5,"b":"no"},"items":{"q":1}}', "[1,2]",
+             "null", None, '{"t":{"deep":{"x":true,"y":"é\\n\\"q\\""}},"s":{"a":1},"say \\"hi\\"":null}', '{"t":{"deep":7},"m":[]}']
+    df = spark.createDataFrame(list(enumerate(given)), "i INT, j STRING")
+    out = {r.i: r.f for r in df.select("i", fit(F.expr("try_parse_json(j)"), schema).alias("f")).collect()}
+    value, rest = {i: f["value"] for i, f in out.items()}, {i: f["rest"] and json.loads(f["rest"]) for i, f in out.items()}
+    assert rest[0] is None and (value[0]["w"], value[0]["Case"]) == (1, 2)
+    assert rest[1] == {"w": "wide", "case": 3} and value[1]["w"] is None
+    assert rest[2] == "none" and value[2] is None and rest[5] == [1, 2]
+    assert [x and x["q"] for x in value[3]["items"]] == [1, None, None] and rest[3] == {"items": [{"q": 1}, {"q": "x", "z": 5}, None]}
+    assert value[4]["m"] == {"a": 1.5, "b": None} and rest[4] == {"m": {"b": "no"}, "items": {"q": 1}}
+    assert (value[6], rest[6], value[7], rest[7]) == (None, None, None, None)
+    assert value[8]["t"]["deep"]["x"] is True and value[8]["s"] == '{"a":1}'
+    assert rest[8] == {"t": {"deep": {"y": 'é\n"q"'}}, 'say "hi"': None}
+    assert rest[9] == {"t": {"deep": 7}, "m": []} and value[9]["t"]["deep"] is None
+
+
+def test_rescue_of_nested_columns_from_lines_and_csv(spark, tmp_path):
+    lines = ['{"id":1,"dims":{"w":"wide","h":2}}', '{"id":2,"dims":"none","ID":9}', '{"id":3,"dims":"{broken"}', '{"id":4,"dims":{"w":1,"w":2}}']
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text("\n".join(lines))
+    schema = StructType.fromDDL("id INT, dims STRUCT<w: INT, h: INT>, ID INT")  # the last cannot stand beside the first
+    out = {r["id"]: r for r in src.read_json_rescued(spark, str(tmp_path / "j"), schema).collect()}
+    kept = {i: json.loads(r["_rescued_data"]) for i, r in out.items()}
+    assert out[1]["dims"]["h"] == 2 and kept[1]["dims"] == {"w": "wide"}
+    assert out[2]["dims"] is None and kept[2]["dims"] == "none" and kept[2]["ID"] == "9"
+    assert kept[3]["dims"] == "{broken" and "w" in str(kept[4]["dims"])  # a repeated name is no readable object
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("id,dims,a.b\n5,\"{\"\"w\"\":1,\"\"h\"\":\"\"x\"\"}\",dot\n")
+    (row,) = src.read_csv_rescued(spark, str(tmp_path / "c"), StructType.fromDDL("id INT, dims STRUCT<w: INT, h: INT>"), escape='"').collect()
+    kept = json.loads(row["_rescued_data"])
+    assert row["dims"]["w"] == 1 and kept["a.b"] == "dot" and kept["_file_path"].endswith("a.csv")

@@ -128,7 +128,7 @@ def compact(table: SnapshotTable, target_bytes: int = 128 * MB) -> dict:
     # coalesce joins neighbouring splits without a shuffle
     rows = table.spark.read.schema(schema).parquet(*merge).coalesce(wanted)
     new = table._write(rows)
-    version = table._record("compact", schema, [*keep, new], {"rewritten": n, "written": wanted}, None, entry)
+    version = table._record("compact", schema, [*keep, *new], {"rewritten": n, "written": wanted}, None, entry)
     return {"rewritten": n, "written": wanted, "version": version}
 
 
@@ -143,7 +143,7 @@ def cluster_new(table: SnapshotTable, columns: list[str], target_bytes: int = 12
     size = list_files(table.spark, fresh, "*.parquet").agg(F.sum("length")).first()[0] or 0
     schema = table.schema()
     new = table._write(cluster_by(table.spark.read.schema(schema).parquet(*fresh), columns, _file_count(size, target_bytes)))
-    paths = [p for p in entry["paths"] if p in done] + [new]
+    paths = [p for p in entry["paths"] if p in done] + new
     version = table._record("cluster", schema, paths, {"clustered": paths}, None, entry)
     return {"rewritten_folders": len(fresh), "version": version}
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.operators.partitions import PartitionedTable
 from lakekit.operators.snapshots import SnapshotTable
 
 
@@ -14,7 +15,8 @@ class MaterialisedAggregate:
     """A stored query result that is stale until refreshed.
 
     ``query`` maps the source to the result, whose rows are identified by ``keys``; ``group_keys`` computes the same key
-    columns on source rows. With that, ``refresh_touched`` recomputes only the groups that changed rows fall into.
+    columns on source rows. With that, ``refresh_touched`` recomputes only the groups that changed rows fall into, and in a
+    ``PartitionedTable``, whose label is a function of the keys, rewrites only their partitions.
     """
 
     def __init__(self, table: SnapshotTable, query: Callable[[DataFrame], DataFrame], keys: Mapping[str, Column | str]):
@@ -40,7 +42,10 @@ class MaterialisedAggregate:
             hit = old if hit is None else hit & old
         renamed = touched.select(*[F.col(k).alias(f"_h_{k}") for k in names])
         again = self.query(tagged.join(renamed, cond, "left_semi").drop(*[f"_g_{k}" for k in names]))
-        self.table.publish(self.read().join(renamed, hit, "left_anti").unionByName(again), "incremental refresh")
+        if isinstance(self.table, PartitionedTable):
+            self.table.change(touched, lambda kept: kept.join(renamed, hit, "left_anti").unionByName(again), "incremental refresh")
+        else:
+            self.table.publish(self.read().join(renamed, hit, "left_anti").unionByName(again), "incremental refresh")
 
 
 class MetricView:

@@ -89,10 +89,10 @@ class SnapshotTable:
 
     # ---- writes
 
-    def _write(self, df: DataFrame) -> str:
+    def _write(self, df: DataFrame) -> list[str]:
         path = f"{self.path}/data/{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(path)
-        return path
+        return [path]
 
     def publish(
         self, df: DataFrame, operation: str = "overwrite", metrics: dict | None = None, batch: str | None = None,
@@ -104,7 +104,7 @@ class SnapshotTable:
         last = self._entry()
         if last is not None and not overwrite_schema:
             df = enforce_schema(df, StructType.fromJson(json.loads(last["schema"])))
-        return self._record(operation, df.schema, [self._write(df)], metrics or {}, batch, last)
+        return self._record(operation, df.schema, self._write(df), metrics or {}, batch, last)
 
     def append(self, df: DataFrame, merge_schema: bool = False, batch: str | None = None) -> int | None:
         """Add rows: the next version lists the old folders and one new folder, nothing is rewritten."""
@@ -112,11 +112,11 @@ class SnapshotTable:
             return None
         entry = self._entry()
         if entry is None:
-            return self._record("append", df.schema, [self._write(df)], {}, batch, None)
+            return self._record("append", df.schema, self._write(df), {}, batch, None)
         current = StructType.fromJson(json.loads(entry["schema"]))
         schema = evolve_schema(current, df.schema) if merge_schema else current
         rows = conform(df, schema) if merge_schema else enforce_schema(df, schema)
-        return self._record("append", schema, [*entry["paths"], self._write(rows)], {}, batch, entry)
+        return self._record("append", schema, [*entry["paths"], *self._write(rows)], {}, batch, entry)
 
     def alter(self, schema: StructType, columns: dict[str, str], operation: str = "alter") -> int:
         """Publish with changed columns: ``columns`` maps each new name to an expression over the old row."""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from lakekit.operators.partitions import PartitionedTable
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.operators.tables import When, merge
 
@@ -62,11 +63,13 @@ def upsert_table(
     prepare: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append",
 ) -> StreamingQuery:
     """Merge every batch into the table, each exactly once. ``prepare`` makes a batch unique per key (totals, last
-    values) before the merge."""
+    values) before the merge. In a ``PartitionedTable`` only the partitions that a batch touches are read and rewritten."""
 
     def apply(batch: DataFrame, name: str) -> None:
         source = prepare(batch) if prepare else batch
-        if table.exists():
+        if isinstance(table, PartitionedTable) and table.exists():
+            table.merge(source, keys, clauses, batch=name)
+        elif table.exists():
             table.publish(merge(table.read(), source, keys, clauses), "merge", batch=name)
         else:
             table.publish(source, "merge", batch=name)

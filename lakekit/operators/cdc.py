@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakekit.operators.quality import holds
 from lakekit.operators.tables import change_feed
-from lakekit.operators.windows import with_neighbours
+from lakekit.operators.windows import range_slices, with_neighbours
 
 START, END = "__START_AT", "__END_AT"
 
@@ -98,13 +98,13 @@ def apply_changes_scd2(
     columns: list[str] | None = None,
     leave_out: list[str] = (),
     track: list[str] | None = None,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
 ) -> DataFrame:
     """Version history per key with half-open ``__START_AT`` / ``__END_AT`` (NULL for the current version).
 
     Only changes of the ``track`` columns (default: all) open a version; other columns are updated in place, so a version
     shows their last value. A delete closes the current version. ``bucket``, a non-decreasing function of the
-    sequence column, lets histories of very busy keys be worked on in slices.
+    sequence column or ``windows.SAMPLED``, lets histories of very busy keys be worked on in slices.
     """
     payload = _payload(events, keys, sequence_by, columns, list(leave_out))
     tracked = track or payload
@@ -116,7 +116,9 @@ def apply_changes_scd2(
         *keys, "_seq", "p", F.struct("p.gone", *[F.col("p").getField(c).alias(c) for c in tracked]).alias("_mark")
     )
     slice_ = None
-    if bucket is not None:
+    if isinstance(bucket, str):
+        rows, slice_ = range_slices(rows, keys, ["_seq"], "_slice_key"), F.col("_slice_key")
+    elif bucket is not None:
         rows = rows.withColumn(sequence_by, F.col("_seq")).withColumn("_slice_key", bucket).drop(sequence_by)
         slice_ = F.col("_slice_key")
     rows = with_neighbours(rows, keys, ["_seq"], {"_before": "_mark"}, {"_after": "_mark", "_next": "_seq"}, slice_)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakekit.operators.windows import SAMPLED, range_slices
+
 
 def _salt(n: int, by: list[str] | None, df: DataFrame) -> Column:
     # a stored hash of the row, not rand(): a retried task must put its rows into the same salt
@@ -101,7 +103,7 @@ def asof_join(
 
     Without ``bucket`` it is an equi-join with a range filter, which Spark may broadcast by size; each fact meets all
     versions of its key, so use it when keys have few versions. With ``bucket`` (an SQL expression over ``_ts``
-    that never decreases with it, such as ``date_trunc('MONTH', _ts)``) facts and versions are laid into
+    that never decreases with it, such as ``date_trunc('MONTH', _ts)``, or ``windows.SAMPLED``) facts and versions are laid into
     ordered time slices, the last version is carried forward inside a slice, and one summary row per slice carries it
     to the next: no key's rows are gathered and nothing is compared pairwise.
     """
@@ -123,7 +125,12 @@ def asof_join(
     )
     # an empty history [x, x) never matches but would hide the version before it
     right = right.where("_version._to IS NULL OR _version._to > _version._from")
-    both = left.unionByName(right, allowMissingColumns=True).withColumn("_slice", F.expr(bucket))
+    both = left.unionByName(right, allowMissingColumns=True)
+    if bucket == SAMPLED:
+        # facts of one time need no order among them, so that a hot time can be cut as well
+        both = range_slices(both, keys, ["_ts", "_kind"], "_slice", within=[F.xxhash64("_fact")])
+    else:
+        both = both.withColumn("_slice", F.expr(bucket))
     inside = (
         Window.partitionBy(*keys, "_slice").orderBy("_ts", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.operators.joins import hot_keys
+from lakekit.session import stored
 
 _B = "_slice"
 
@@ -47,17 +47,28 @@ def even_slices(df: DataFrame, column: str, n: int) -> Column:
     return F.floor(F.col(column) * F.lit(n) / (top + 1))
 
 
-def slice_hot_keys(
-    df: DataFrame, keys: list[str], fine: Column, name: str, share: float = 0.0001, min_rows: int = 1_000_000
-) -> DataFrame:
-    """Add a bucket column that follows ``fine`` for hot keys only; other groups stay whole, as one slice each.
+#: As a ``bucket``: slices of about ``SLICE_ROWS`` rows with edges from a sample of the rows.
+SAMPLED = "sampled"
+SLICE_ROWS = 1 << 20
+
+
+def range_slices(df: DataFrame, keys: list[str], order: list[str], name: str = _B, rows: int | None = None, within: list[Column] = ()) -> DataFrame:
+    """The rows with the number of their slice; several slices are stored, so that every use sees the same ones.
 
-    A group is hot when it has ``share`` of all rows and at least ``min_rows``. There are at most ``1 / share`` such keys,
-    which bounds what is broadcast, and finding them needs the key columns only.
+    Slices are ranges of (keys, order) with about ``rows`` rows each; the edges come from a sample, the number of slices from a
+    count. A hot key gets as many slices as its share of the rows asks for, wherever its values lie; small keys share
+    a slice. Rows with equal keys and order are in one slice, unless ``within`` has columns that follow the order in effect.
     """
-    hot = hot_keys(df, keys, share, min_rows).select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.lit(True).alias("_hot"))
-    marked = df.join(F.broadcast(hot), _null_safe(keys, "", "_r_"), "left")
-    return marked.withColumn(name, F.when(F.col("_hot"), fine)).drop("_hot", *[f"_r_{k}" for k in keys])
+    n = -(-df.count() // (rows or SLICE_ROWS))
+    if n <= 1:
+        return df.withColumn(name, F.lit(0))
+    edges = [*(F.col(k) for k in keys), *order_columns(order), *within]
+    return stored(df.repartitionByRange(n, *edges).withColumn(name, F.spark_partition_id()), "slices")
+
+
+def _only_cut(slices: DataFrame, keys: list[str]) -> DataFrame:
+    """Slices of groups that have several; the others have nothing to carry, so what is joined back is small."""
+    return slices.withColumn("_parts", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where("_parts > 1").drop("_parts")
 
 
 def _join_slices(rows: DataFrame, slices: DataFrame, keys: list[str], not_null: bool) -> DataFrame:
@@ -74,7 +85,7 @@ def with_ranks(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
     *,
     row_number: str | None = None,
     rank: str | None = None,
@@ -101,6 +112,8 @@ def with_ranks(
     out = df
     if rank or dense_rank or percent_rank:
         out = _rank_values(out, keys, order, bucket, rank, dense_rank, percent_rank)
+    if isinstance(bucket, str) and (row_number or ntile or total):
+        out, bucket = range_slices(out, keys, order), F.col(_B)
     if row_number or ntile or total:
         out = _number_rows(out, keys, order, bucket, row_number, ntile, total, not_null)
     return out
@@ -165,7 +178,7 @@ def with_running_sum(
     keys: list[str],
     order: list[str],
     sums: dict[str, str],
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
     not_null: bool = False,
 ) -> DataFrame:
     """Running totals (rows up to and including the current one); ``sums`` maps new name to column."""
@@ -173,6 +186,8 @@ def with_running_sum(
         w = Window.partitionBy(*keys).orderBy(*order_columns(order))
         w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
+    if isinstance(bucket, str):
+        df, bucket = range_slices(df, keys, order), F.col(_B)
     b = df.withColumn(_B, bucket)
     inside = (
         Window.partitionBy(*keys, _B)
@@ -184,7 +199,7 @@ def with_running_sum(
     before = (
         Window.partitionBy(*keys).orderBy(_slice_order(order)).rowsBetween(Window.unboundedPreceding, -1)
     )
-    slices = slices.select(*keys, _B, *[F.sum(f"_s_{n}").over(before).alias(f"_pre_{n}") for n in sums])
+    slices = _only_cut(slices, keys).select(*keys, _B, *[F.sum(f"_s_{n}").over(before).alias(f"_pre_{n}") for n in sums])
     out = _join_slices(rows, slices, keys, not_null)
     for n in sums:
         mine, pre = F.col(f"_in_{n}"), F.col(f"_pre_{n}")
@@ -198,7 +213,7 @@ def with_neighbours(
     order: list[str],
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
     not_null: bool = False,
 ) -> DataFrame:
     """``lag`` / ``lead`` by one row: each mapping goes from new column name to source column."""
@@ -211,6 +226,8 @@ def with_neighbours(
                 **{n: F.lead(c).over(w) for n, c in following.items()},
             }
         )
+    if isinstance(bucket, str):
+        df, bucket = range_slices(df, keys, order), F.col(_B)
     w = Window.partitionBy(*keys, _B).orderBy(*order_columns(order))
     rows = df.withColumn(_B, bucket).withColumns(
         {
@@ -227,7 +244,7 @@ def with_neighbours(
         *[F.min_by(F.struct(c), "_rn").alias(f"_e_{n}") for n, c in following.items()],
     )
     across = Window.partitionBy(*keys).orderBy(_slice_order(order))
-    slices = slices.select(
+    slices = _only_cut(slices, keys).select(
         *keys,
         _B,
         *[F.lag(f"_e_{n}").over(across).getField(c).alias(f"_x_{n}") for n, c in previous.items()],
@@ -276,13 +293,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bucket: Column | None = None
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bucket: Column | str | None = SAMPLED
 ) -> DataFrame:
     """Exact interpolated quantiles per group through ranks, so that no group is held in one task.
 
     ``probs`` maps output names to probabilities. NULL values are ignored, as ``percentile`` does. Equal values are counted
-    first, so a group's size is its number of different values: leave ``bucket`` out when these come from a limited
-    range (seconds, cents), give one for values without such a bound.
+    first, so a group's size is its number of different values, and groups with many are sliced. ``bucket`` of None takes
+    the plain window, where these come from a limited range (seconds, cents).
     """
     known = df.where(F.col(value).isNotNull())
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lakekit.operators.joins import (
     asof_join, isolated_join, lookup, salted_join, self_pair_count, unique_on,
 )
+from lakekit.operators.windows import SAMPLED
 from lakekit.plans.registry import plan
 from lakekit.session import Tables
 
@@ -279,7 +280,7 @@ def j12_point_in_time_join(t: Tables) -> DataFrame:
 
 @plan(_ASOF)
 def j12_point_in_time_join_sliced(t: Tables) -> DataFrame:
-    return _tier_totals(t, "date_trunc('YEAR', _ts)")
+    return _tier_totals(t, SAMPLED)
 
 
 @plan("""

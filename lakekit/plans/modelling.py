@@ -7,6 +7,7 @@ from lakekit.operators import cdc
 from lakekit.operators.model import band, calendar, scd2_apply, scd2_start
 from lakekit.operators.quality import Expectation, apply_expectations
 from lakekit.operators.tables import matched_update, merge, not_matched_insert
+from lakekit.operators.windows import SAMPLED
 from lakekit.plans.registry import plan
 from lakekit.session import Tables, stored
 
@@ -224,14 +225,14 @@ def _plain(history: DataFrame) -> DataFrame:
 @plan(_HISTORY + "SELECT id, segment, balance, start_at, end_at FROM h")
 def d9_apply_changes_scd2(t: Tables) -> DataFrame:
     """Late events find their place; only segment opens versions, balance is updated in place. Histories are cut into
-    slices of the sequence, since one customer has a third of the events."""
-    return _plain(_history(t, F.floor(F.col("seq") / 1000)))
+    slices of equal size, since one customer has a third of the events."""
+    return _plain(_history(t, SAMPLED))
 
 
 @plan(_HISTORY + "SELECT id, segment, balance, start_at, end_at FROM h")
 def d9_scd2_refresh_touched_keys(t: Tables) -> DataFrame:
     ev = stored(valid_events(t), "event-log")
-    options = {**OPTIONS, "track": ["segment"], "bucket": F.floor(F.col("seq") / 1000)}
+    options = {**OPTIONS, "track": ["segment"], "bucket": SAMPLED}
     old = cdc.apply_changes_scd2(ev.where("feed < 3"), ["id"], "seq", **options)
     return _plain(cdc.refresh_scd2(old, ev, ev.where("feed = 3"), ["id"], "seq", **options))
 
@@ -248,12 +249,12 @@ def d10_changes_from_snapshots(t: Tables) -> DataFrame:
 
 @plan(_HISTORY + "SELECT id, segment FROM h WHERE start_at <= 250000 AND (end_at = -1 OR end_at > 250000)")
 def d11_as_of_history(t: Tables) -> DataFrame:
-    return cdc.as_of(_history(t), 250000).select("id", "segment")
+    return cdc.as_of(_history(t, SAMPLED), 250000).select("id", "segment")
 
 
-@plan(_E + "SELECT id, operation, seq FROM valid WHERE feed = 3")
+@plan(_E + "SELECT id, operation, seq FROM valid")
 def d12_event_validation(t: Tables) -> DataFrame:
-    return valid_events(t).where("feed = 3").select("id", "operation", "seq")
+    return valid_events(t).select("id", "operation", "seq")
 
 
 @plan("""

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.operators.windows import (
-    even_slices, latest_per_key, qualify, slice_hot_keys, top_k, with_neighbours, with_ranks, with_running_sum,
+    SAMPLED, latest_per_key, qualify, top_k, with_neighbours, with_ranks, with_running_sum,
 )
 from lakekit.plans.registry import plan
 from lakekit.session import Tables
@@ -19,10 +19,9 @@ FROM (SELECT event_id, event_type, CAST(floor(value) AS BIGINT) AS v FROM events
 """)
 def w1_ranking_with_ties(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "event_type", F.floor("value").cast("bigint").alias("v"))
-    # numbered inside slices of value and event range, both following the order; ranks come from counted values
-    slices = F.struct(-F.col("v"), even_slices(rows, "event_id", 64))
-    numbered = with_ranks(rows, ["event_type"], ["-v", "event_id"], slices, row_number="rn")
-    tied = with_ranks(numbered, ["event_type"], ["-v"], -F.floor(F.col("v") / 8), rank="rk", dense_rank="dr")
+    # numbered inside slices of equal size; ranks come from counted values
+    numbered = with_ranks(rows, ["event_type"], ["-v", "event_id"], SAMPLED, row_number="rn")
+    tied = with_ranks(numbered, ["event_type"], ["-v"], SAMPLED, rank="rk", dense_rank="dr")
     return tied.select("event_id", *[F.col(c).cast("bigint").alias(c) for c in ("rn", "rk", "dr")])
 
 
@@ -32,11 +31,11 @@ SELECT o_orderkey, coalesce(lag(o_orderkey) OVER w, -1) AS previous, coalesce(le
 FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
 """)
 def w2_lag_lead(t: Tables) -> DataFrame:
-    rows = slice_hot_keys(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"], F.col("o_orderdate"), "slice")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     out = with_neighbours(
         rows, ["o_custkey"], ["o_orderdate", "o_orderkey"],
         previous={"previous": "o_orderkey", "previous_date": "o_orderdate"}, following={"following": "o_orderkey"},
-        bucket=F.col("slice"),
+        bucket=SAMPLED,
     )
     none = F.lit(-1)
     return out.select(
@@ -53,9 +52,8 @@ SELECT o_orderkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION
 """)
 def w3_running_total(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_totalprice").cast(D).alias("price"))
-    rows = slice_hot_keys(rows, ["o_custkey"], F.col("o_orderdate"), "slice")
     out = with_running_sum(
-        rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "price"}, F.col("slice")
+        rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], {"running_total": "price"}, SAMPLED
     )
     return out.select("o_orderkey", F.col("running_total").cast("double").alias("running_total"))
 
@@ -66,9 +64,8 @@ SELECT c_custkey, ntile(4) OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal, c
 """)
 def w5_ntile_percent_rank(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal")
-    band = F.floor(F.col("c_acctbal") / 50)
-    tiles = with_ranks(rows, ["c_mktsegment"], ["c_acctbal", "c_custkey"], band, ntile=(4, "quartile"))
-    out = with_ranks(tiles, ["c_mktsegment"], ["c_acctbal"], band, percent_rank="pct")
+    tiles = with_ranks(rows, ["c_mktsegment"], ["c_acctbal", "c_custkey"], SAMPLED, ntile=(4, "quartile"))
+    out = with_ranks(tiles, ["c_mktsegment"], ["c_acctbal"], SAMPLED, percent_rank="pct")
     return out.select("c_custkey", F.col("quartile").cast("bigint").alias("quartile"), F.round("pct", 8).alias("pct"))
 
 

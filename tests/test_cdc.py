@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakekit.operators import cdc
+from lakekit.operators import cdc, windows
 from lakekit.operators.compare import assert_same
 from lakekit.operators.model import scd2_apply, scd2_start
 
@@ -46,12 +46,13 @@ def random_events(seed):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("track", [None, ["a"]])
-@pytest.mark.parametrize("sliced", [False, True])
-def test_scd2_against_model(spark, seed, track, sliced):
+@pytest.mark.parametrize("sliced", [False, True, "sampled"])
+def test_scd2_against_model(spark, seed, track, sliced, monkeypatch):
+    monkeypatch.setattr(windows, "SLICE_ROWS", 10)
     events = random_events(seed)
     random.Random(seed).shuffle(events)
     df = spark.createDataFrame(events + events[:10], SCHEMA)
-    bucket = F.floor(F.col("seq") / 10) if sliced else None
+    bucket = sliced if isinstance(sliced, str) else F.floor(F.col("seq") / 10) if sliced else None
     got = cdc.apply_changes_scd2(df, ["k"], "seq", track=track, bucket=bucket, **OPTIONS)
     want = spark.createDataFrame(model_scd2(events, track), "k INT, a STRING, b INT, __START_AT INT, __END_AT INT")
     assert_same(got.select(*want.columns), want)

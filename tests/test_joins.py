@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakekit.operators import aggregates as ag
 from lakekit.operators import joins as j
+from lakekit.operators import windows as w
 from lakekit.operators.compare import assert_same, diff
 from tests.plan_reading import plan_facts
 
@@ -57,8 +58,9 @@ def test_pair_count_equals_self_join(big):
     assert_same(j.self_pair_count(big, ["k"], "x"), want)
 
 
-@pytest.mark.parametrize("bucket", [None, "_ts DIV 10", "_ts DIV 1000"])
-def test_asof_join(spark, bucket):
+@pytest.mark.parametrize("bucket", [None, "_ts DIV 10", "_ts DIV 1000", "sampled"])
+def test_asof_join(spark, bucket, monkeypatch):
+    monkeypatch.setattr(w, "SLICE_ROWS", 30)
     r = random.Random(3)
     versions, facts = [], []
     for k in range(12):

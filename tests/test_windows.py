@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from lakekit.operators import windows as w
 from lakekit.operators.compare import assert_same
+from lakekit.plans import load_all, registry
+from tests import oracle
 from tests.plan_reading import plan_facts
 
 
@@ -45,15 +47,45 @@ def test_sliced_running_sum_and_neighbours(data, order):
     assert_same(w.with_neighbours(data, *args, band), w.with_neighbours(data, *args))
 
 
-def test_only_hot_keys_are_sliced(data):
-    sliced = w.slice_hot_keys(data, ["k"], F.floor(F.col("o") / 7), "s", share=0.3, min_rows=0).cache()
-    assert {r["k"] for r in sliced.where("s IS NOT NULL").select("k").distinct().collect()} == {"hot"}
-    order = ["o", "id"]
-    got = w.with_neighbours(sliced, ["k"], order, {"p": "v"}, {"f": "v"}, F.col("s")).drop("s")
-    assert_same(got, w.with_neighbours(data, ["k"], order, {"p": "v"}, {"f": "v"}))
-    summed = w.with_running_sum(sliced, ["k"], order, {"t": "v"}, F.col("s")).drop("s")
-    assert_same(summed, w.with_running_sum(data, ["k"], order, {"t": "v"}))
-    assert w.slice_hot_keys(data, ["k"], F.col("o"), "s").where("s IS NOT NULL").isEmpty()
+@pytest.mark.parametrize("order", [["o", "id"], ["-o", "id"], ["-o", "-id"]])
+def test_sampled_slices_give_the_plain_results(data, order, monkeypatch):
+    monkeypatch.setattr(w, "SLICE_ROWS", 40)
+    args = (["k"], order, {"p": "v", "pi": "id"}, {"f": "v", "fi": "id"})
+    assert_same(w.with_neighbours(data, *args, w.SAMPLED), w.with_neighbours(data, *args))
+    assert_same(w.with_running_sum(data, ["k"], order, {"s": "v"}, w.SAMPLED), w.with_running_sum(data, ["k"], order, {"s": "v"}))
+    named = {"row_number": "rn", "rank": "rk", "dense_rank": "dr", "ntile": (4, "t"), "total": "n"}
+    assert_same(w.with_ranks(data, ["k"], order, w.SAMPLED, **named), w.with_ranks(data, ["k"], order, None, **named))
+    assert_same(w.with_ranks(data, ["k"], order[:1], w.SAMPLED, rank="rk", dense_rank="dr"),
+                w.with_ranks(data, ["k"], order[:1], None, rank="rk", dense_rank="dr"))
+
+
+def test_slices_of_a_hot_key_keep_their_size_as_the_data_grows(spark):
+    """A key with 30 % of the rows, its values far from even: ten times the rows give ten times the slices."""
+    largest = {}
+    for n in (20_000, 200_000):
+        df = spark.range(n).selectExpr("CASE WHEN id % 10 < 3 THEN -1 ELSE id % 997 END AS k", "CAST(pow(id % 1000, 3) * 1000 + id / 1000 AS BIGINT) AS o", "id")
+        sliced = w.range_slices(df, ["k"], ["o", "id"], "s", rows=4000)
+        sizes = sliced.groupBy("k", "s").count()
+        largest[n] = sizes.agg(F.max("count")).first()[0]
+        hot = sizes.where("k = -1")
+        assert hot.count() >= 0.3 * n / 4000 * 0.6
+        bounds = sliced.groupBy("k", "s").agg(F.min(F.struct("o", "id")).alias("a"), F.max(F.struct("o", "id")).alias("b"))
+        after = bounds.withColumn("next", F.lead("a").over(Window.partitionBy("k").orderBy("s")))
+        assert after.where("next <= b").isEmpty(), "slices follow the order"
+    assert largest[200_000] <= 2 * 4000 and largest[20_000] <= 2 * 4000
+
+
+load_all()
+QUERIES_WITH_SLICES = ["w1_ranking_with_ties", "w2_lag_lead", "w3_running_total", "w5_ntile_percent_rank", "a9_exact_percentiles", "a9_filtered_median",
+                       "d9_apply_changes_scd2", "d9_scd2_refresh_touched_keys", "d11_as_of_history", "j12_point_in_time_join_sliced"]
+
+
+@pytest.mark.parametrize("name", QUERIES_WITH_SLICES)
+def test_queries_in_many_slices(spark, name, monkeypatch):
+    monkeypatch.setattr(w, "SLICE_ROWS", 700)
+    df = registry.queries()[name](spark, oracle.DATA)
+    cursor = oracle.connection().execute(registry.oracle_sql()[name])
+    assert oracle.compare(df.columns, [tuple(r) for r in df.collect()], [d[0] for d in cursor.description], cursor.fetchall()) is None
 
 
 def test_more_tiles_than_rows(spark):

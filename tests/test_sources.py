@@ -8,6 +8,7 @@ from lakekit.functions import clean
 from lakekit.functions.log_lines import parse_log_lines
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.sources import files as src
+from lakekit.sources import ingest
 from lakekit.sources.ingest import Loader
 from lakekit.sources.rescue import fit
 
@@ -61,13 +62,31 @@ def test_loader(spark, tmp_path):
     assert (result["files"], result["skipped"], result["rows"]) == (1, 1, 1)
     # a crash after the ledger was written but before the version: the file is still pending
     (folder / "c.json").write_text('{"id": 4}\n')
-    paths = [r["path"] for r in loader.pending(str(folder)).collect()]
-    loader._note(paths, "crashed")
+    loader._note(loader.pending(str(folder)), "crashed")
     assert loader.pending(str(folder)).count() == 1
     assert loader.load(str(folder))["rows"] == 1
     assert loader.load(str(folder), pattern="a*", force=True)["files"] == 1
 
 
+def test_loading_in_steps_named_files_and_preview(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "FILES_AT_ONCE", 3)
+    folder = tmp_path / "in"
+    (folder / "sub").mkdir(parents=True)
+    for i in range(8):
+        (folder / f"f{i}.json").write_text(f'{{"id": {i}}}\n')
+    (folder / "sub" / "f1.json").write_text('{"id": 100}\n')
+    loader = Loader(SnapshotTable(spark, str(tmp_path / "t")), "json", "id BIGINT")
+    assert loader.preview(str(folder), 3).count() == 3 and loader.preview(str(folder), 50).count() == 9
+    with pytest.raises(FileNotFoundError, match="nowhere.json"):
+        loader.load(str(folder), files=["f0.json", "nowhere.json"])
+    result = loader.load(str(folder), files=["sub/f1.json", "f0.json"])
+    assert (result["files"], result["rows"]) == (2, 2) and {r["id"] for r in loader.table.read().collect()} == {0, 100}
+    result = loader.load(str(folder))
+    assert (result["files"], result["skipped"], result["rows"], result["version"]) == (7, 2, 7, 3)
+    assert sorted(r["id"] for r in loader.table.read().collect()) == [*range(8), 100]
+    assert loader.loaded().groupBy("batch").count().count() == 4 and loader.pending(str(folder)).isEmpty()
+
+
 def test_csv_that_starts_with_blank_lines(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text("\n\nid,name\n1,x\n")
     (tmp_path / "b.csv").write_text("\nname,id\ny,2\n")

@@ -6,6 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from lakekit.operators.windows import exact_quantiles
+from lakekit.session import stored
 
 
 def _col(c: Column | str) -> Column:
@@ -67,3 +71,29 @@ def profile(df: DataFrame, columns: list[str], rsd: float = 0.05) -> DataFrame:
 
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
+
+
+def describe(df: DataFrame, percents: tuple[int, ...] = (25, 50, 75)) -> DataFrame:
+    """One row per column: count, min, max (as text), mean, stddev and exact percentiles of numeric columns, distinct values.
+
+    All columns are laid out as (column, value, number) pairs and counted once, map-side, so the rest works on distinct values
+    with their counts; percentiles come from ranks of counted values, sliced where a column has many, and no column is
+    gathered. NULLs count in no figure, as usual. Columns are compared as their own types: text as text, numbers as numbers.
+    """
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"),
+                               (F.col(f"`{c}`").cast("double") if c in numeric else F.lit(None).cast("double")).alias("number")) for c in df.columns])
+    counted = df.select(F.explode(pairs).alias("p")).select("p.*").where("value IS NOT NULL").groupBy("column", "value", "number").agg(F.count("*").alias("n"))
+    counted = stored(counted, "describe")
+    n, x = F.col("n"), F.col("number")
+    low = lambda f: F.when(F.max(x).isNotNull(), f("value", x)).otherwise({F.min_by: F.min, F.max_by: F.max}[f]("value"))
+    mean = F.sum(x * n) / F.sum(n)
+    facts = counted.groupBy("column").agg(
+        F.sum("n").alias("count"), low(F.min_by).alias("min"), low(F.max_by).alias("max"), mean.alias("mean"), F.count("*").alias("distinct"))
+    about = counted.where("number IS NOT NULL").join(facts.select("column", "mean"), "column")  # squares about the mean keep their digits
+    spread = about.groupBy("column").agg(F.sqrt(F.sum(n * (x - F.col("mean")) ** 2) / F.nullif(F.sum(n) - 1, F.lit(0))).alias("stddev"))
+    placed = exact_quantiles(counted.where("number IS NOT NULL").select("column", "number", "n"), ["column"], "number", {f"p{p}": p / 100 for p in percents}, counts="n")
+    every = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column STRING")
+    out = every.join(facts, "column", "left").join(spread, "column", "left").join(placed, "column", "left")
+    return out.select("column", F.coalesce("count", F.lit(0)).alias("count"), "min", "max", "mean", "stddev", *[f"p{p}" for p in percents],
+                      F.coalesce("distinct", F.lit(0)).alias("distinct"))

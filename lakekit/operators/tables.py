@@ -42,8 +42,11 @@ def replace_where(target: DataFrame, new: DataFrame, predicate: str) -> DataFram
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert-only upsert: append one row for every key the target does not have; safe to repeat."""
-    fresh = source.dropDuplicates(keys).join(_hits(target, source, keys), keys, "left_anti")
+    """Insert-only upsert: append one row for every key the target does not have; safe to repeat.
+
+    A source row with a NULL in its key matches nothing, so it would be added by every run; such rows are left out.
+    """
+    fresh = source.dropna(subset=keys).dropDuplicates(keys).join(_hits(target, source, keys), keys, "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
 

@@ -293,16 +293,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bucket: Column | str | None = SAMPLED
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], bucket: Column | str | None = SAMPLED,
+    counts: str | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per group through ranks, so that no group is held in one task.
 
     ``probs`` maps output names to probabilities. NULL values are ignored, as ``percentile`` does. Equal values are counted
     first, so a group's size is its number of different values, and groups with many are sliced. ``bucket`` of None takes
-    the plain window, where these come from a limited range (seconds, cents).
+    the plain window, where these come from a limited range (seconds, cents). ``counts`` is a column with the number of rows
+    that a row stands for.
     """
     known = df.where(F.col(value).isNotNull())
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = known.groupBy(*keys, value).agg((F.sum(counts) if counts else F.count(F.lit(1))).alias("_n"))
     if bucket is None:
         group = Window.partitionBy(*keys)
         ordered = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -3,42 +3,31 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.clean import code, null_counts, parse_amount, parse_ts, profile, standardise
+from lakekit.functions.clean import code, describe, null_counts, parse_ts, profile, standardise
 from lakekit.operators.windows import latest_per_key
-from lakekit.plans.inputs import PAYMENTS_CLEAN_SQL, PAYMENTS_SQL, clean_payments, payments
+from lakekit.plans.inputs import (
+    CLEAN_SQL, COMPACT, ISO, KIND_SQL, READINGS_SQL, TAKEN_SQL, UNIT_SQL, VOLUME_SQL, clean_readings, parse_volume, readings,
+)
 from lakekit.plans.registry import plan
 from lakekit.session import Tables
 
-P = "WITH " + PAYMENTS_SQL
-C = "WITH " + PAYMENTS_CLEAN_SQL
+P = "WITH " + READINGS_SQL
+C = "WITH " + CLEAN_SQL
 
 
-@plan(P + """
-SELECT regexp_replace(lower(trim(method)), '[ -]+', '_', 'g') AS method, upper(trim(currency)) AS currency, count(*) AS n FROM payments GROUP BY ALL
-""")
+@plan(P + f"SELECT {KIND_SQL} AS kind, {UNIT_SQL} AS unit, count(*) AS n FROM readings GROUP BY ALL")
 def q1_standardise(t: Tables) -> DataFrame:
-    return payments(t).groupBy(standardise("method").alias("method"), code("currency").alias("currency")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return readings(t).groupBy(standardise("kind").alias("kind"), code("unit").alias("unit")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@plan(P + """
-SELECT payment_id, amount AS raw, CAST(TRY_CAST(nullif(regexp_replace(amount, '[^0-9.-]', '', 'g'), '') AS DECIMAL(10,2)) AS DOUBLE) AS amount
-FROM payments WHERE payment_id IS NOT NULL
-""")
+@plan(P + f"SELECT entry, shown AS raw, CAST({VOLUME_SQL} AS DOUBLE) AS volume FROM readings")
 def q2_parse_amount(t: Tables) -> DataFrame:
-    rows = payments(t).where("payment_id IS NOT NULL")
-    return rows.select("payment_id", F.col("amount").alias("raw"), parse_amount("amount").cast("double").alias("amount"))
+    return readings(t).select("entry", F.col("shown").alias("raw"), parse_volume("shown").cast("double").alias("volume"))
 
 
-@plan(P + """
-SELECT payment_id, strftime(coalesce(try_strptime(paid_at, '%Y-%m-%d %H:%M:%S'), try_strptime(paid_at, '%d/%m/%Y %H:%M')), '%Y-%m-%d %H:%M:%S') AS paid_at
-FROM payments WHERE payment_id IS NOT NULL
-""")
+@plan(P + f"SELECT entry, strftime({TAKEN_SQL}, '%Y-%m-%d %H:%M:%S') AS taken_at FROM readings")
 def q3_parse_timestamp(t: Tables) -> DataFrame:
-    at = parse_ts("paid_at", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm")
-    rows = payments(t).where("payment_id IS NOT NULL")
-    return rows.select("payment_id", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("paid_at"))
+    return readings(t).select("entry", F.date_format(parse_ts("taken", ISO, COMPACT), "yyyy-MM-dd HH:mm:ss").alias("taken_at"))
 
 
 @plan("""
@@ -56,17 +45,17 @@ def q4_fill_drop_replace(t: Tables) -> DataFrame:
 
 
 @plan(P + """
-SELECT 'raw' AS step, count(*) AS n FROM payments
-UNION ALL SELECT 'with_key', count(*) FROM payments WHERE payment_id IS NOT NULL
-UNION ALL SELECT 'distinct', count(*) FROM (SELECT DISTINCT * FROM payments WHERE payment_id IS NOT NULL)
-UNION ALL SELECT 'per_key', count(DISTINCT payment_id) FROM payments
+SELECT 'raw' AS step, count(*) AS n FROM readings
+UNION ALL SELECT 'with_key', count(*) FROM readings WHERE reading_no IS NOT NULL
+UNION ALL SELECT 'distinct', count(*) FROM (SELECT DISTINCT * FROM readings WHERE reading_no IS NOT NULL)
+UNION ALL SELECT 'per_key', count(DISTINCT reading_no) FROM readings
 """)
 def q5_exact_dedup_steps(t: Tables) -> DataFrame:
     # ingest columns such as the file name are left out of the comparison, or no two rows would be equal
-    rows = payments(t).withColumn("ingested_at", F.current_timestamp()).drop("ingested_at")
-    keyed = rows.where("payment_id IS NOT NULL")
+    rows = readings(t).withColumn("ingested_at", F.current_timestamp()).drop("ingested_at")
+    keyed = rows.where("reading_no IS NOT NULL")
     steps = {
-        "raw": rows, "with_key": keyed, "distinct": keyed.distinct(), "per_key": keyed.dropDuplicates(["payment_id"]),
+        "raw": rows, "with_key": keyed, "distinct": keyed.distinct(), "per_key": keyed.dropDuplicates(["reading_no"]),
     }
     out = None
     for name, df in steps.items():
@@ -75,29 +64,24 @@ def q5_exact_dedup_steps(t: Tables) -> DataFrame:
     return out
 
 
-@plan(P + """
-SELECT DISTINCT payment_id, order_id FROM payments WHERE payment_id IS NOT NULL
-""")
+@plan(P + "SELECT DISTINCT reading_no, meter FROM readings WHERE reading_no IS NOT NULL")
 def q6_dedup_by_key(t: Tables) -> DataFrame:
-    return payments(t).where("payment_id IS NOT NULL").dropDuplicates(["payment_id"]).select("payment_id", "order_id")
+    return readings(t).where("reading_no IS NOT NULL").dropDuplicates(["reading_no"]).select("reading_no", "meter")
 
 
 @plan(P + """
-SELECT DISTINCT payment_id, status, updated_at FROM payments WHERE payment_id IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY updated_at DESC) = 1
+SELECT DISTINCT reading_no, state, revision FROM readings WHERE reading_no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY reading_no ORDER BY revision DESC) = 1
 """)
 def q7_latest_per_key(t: Tables) -> DataFrame:
-    rows = payments(t).where("payment_id IS NOT NULL")
-    return latest_per_key(rows, ["payment_id"], ["updated_at"]).select("payment_id", "status", "updated_at")
+    rows = readings(t).where("reading_no IS NOT NULL")
+    return latest_per_key(rows, ["reading_no"], ["revision"]).select("reading_no", "state", "revision")
 
 
-@plan(P + """
-SELECT 'payment_id' AS "column", count(*) AS "rows", count(*) - count(payment_id) AS nulls, count(DISTINCT payment_id) AS "distinct", true AS approx_ok FROM payments
-UNION ALL SELECT 'method', count(*), count(*) - count(method), count(DISTINCT method), true FROM payments
-UNION ALL SELECT 'status', count(*), count(*) - count(status), count(DISTINCT status), true FROM payments
-""")
+@plan(P + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS "rows", count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS "distinct", true AS approx_ok FROM readings"""
+    for c in ("reading_no", "shown", "unit", "state")))
 def q8_profile(t: Tables) -> DataFrame:
-    out = profile(payments(t), ["payment_id", "method", "status"])
+    out = profile(readings(t), ["reading_no", "shown", "unit", "state"])
     close = F.abs(F.col("approx_distinct") - F.col("distinct")) <= 0.15 * F.col("distinct")
     return out.withColumn("approx_ok", close).drop("approx_distinct")
 
@@ -110,22 +94,26 @@ def p9_null_counts(t: Tables) -> DataFrame:
     return null_counts(t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderstatus = 'P' THEN 1L END AS cancelled"))
 
 
-@plan("""
-SELECT 'count' AS summary, CAST(count(*) AS DOUBLE) AS value FROM orders UNION ALL SELECT 'min', min(o_totalprice) FROM orders
-UNION ALL SELECT 'max', max(o_totalprice) FROM orders UNION ALL SELECT 'mean', round(avg(o_totalprice), 2) FROM orders
-""")
+_NUMBERS, _TEXTS = ("o_orderkey", "o_custkey", "o_totalprice"), ("o_orderstatus", "o_orderpriority")
+
+
+@plan(" UNION ALL ".join(
+    [f"""SELECT '{c}' AS "column", count({c}) AS count, CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max, round(avg({c}), 4) AS mean, round(stddev({c}), 4) AS stddev,
+      CAST(quantile_cont({c}, 0.25) AS DOUBLE) AS p25, CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS p50, CAST(quantile_cont({c}, 0.75) AS DOUBLE) AS p75, count(DISTINCT {c}) AS "distinct" FROM orders""" for c in _NUMBERS]
+    + [f"SELECT '{c}', count({c}), min({c}), max({c}), NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}) FROM orders" for c in _TEXTS]
+    + ["SELECT 'o_orderdate', count(o_orderdate), strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S'), strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S'), NULL, NULL, NULL, NULL, NULL, count(DISTINCT o_orderdate) FROM orders"]))
 def p9_summary(t: Tables) -> DataFrame:
-    rows = t.orders.select("o_totalprice").summary("count", "min", "max", "mean")
-    return rows.select("summary", F.round(F.col("o_totalprice").cast("double"), 2).alias("value"))
+    """All columns of the orders: counts, extremes, moments and exact percentiles, from one pass over counted values."""
+    return describe(t.orders).select("column", "count", "min", "max", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), "p25", "p50", "p75", "distinct")
 
 
 @plan(C + """
-SELECT method, currency, count(*) AS n, count(amount) AS with_amount, CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total, count(paid_at) AS with_time FROM clean GROUP BY ALL
+SELECT kind, unit, count(*) AS n, count(volume) AS with_volume, CAST(coalesce(sum(volume), 0) AS DOUBLE) AS total, count(taken_at) AS with_time FROM clean GROUP BY ALL
 """)
-def d13_bronze_to_silver_payments(t: Tables) -> DataFrame:
-    return clean_payments(t).groupBy("method", "currency").agg(
+def d13_bronze_to_silver_readings(t: Tables) -> DataFrame:
+    return clean_readings(t).groupBy("kind", "unit").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count("amount").alias("with_amount"),
-        F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("total"),
-        F.count("paid_at").alias("with_time"),
+        F.count("volume").alias("with_volume"),
+        F.coalesce(F.sum("volume"), F.lit(0)).cast("double").alias("total"),
+        F.count("taken_at").alias("with_time"),
     )

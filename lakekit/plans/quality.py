@@ -4,42 +4,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.operators import quality as dq
-from lakekit.plans.inputs import PAYMENTS_CLEAN_SQL, clean_payments
+from lakekit.plans.inputs import CLEAN_SQL, clean_readings, stored_readings
 from lakekit.plans.registry import plan
 from lakekit.session import Tables
 
-C = "WITH " + PAYMENTS_CLEAN_SQL
+C = "WITH " + CLEAN_SQL
 # fixed values: rule names and what good rows meet
 RULES = {
-    "amount_readable": "amount IS NOT NULL",
-    "amount_positive": "amount > 0",
-    "time_known": "paid_at IS NOT NULL",
-    "order_in_range": "order_id < 900000000",
+    "volume_readable": "volume IS NOT NULL",
+    "volume_positive": "volume > 0",
+    "time_known": "taken_at IS NOT NULL",
+    "meter_known": "meter >= 0",
 }
 _TAGS = """
- tagged AS (SELECT *, CASE WHEN amount IS NULL THEN 'amount_readable' END AS e1, CASE WHEN NOT coalesce(amount > 0, false) THEN 'amount_positive' END AS e2,
-   CASE WHEN paid_at IS NULL THEN 'time_known' END AS e3, CASE WHEN NOT coalesce(order_id < 900000000, false) THEN 'order_in_range' END AS e4 FROM clean)
+ tagged AS (SELECT *, CASE WHEN volume IS NULL THEN 'volume_readable' END AS e1, CASE WHEN NOT coalesce(volume > 0, false) THEN 'volume_positive' END AS e2,
+   CASE WHEN taken_at IS NULL THEN 'time_known' END AS e3, CASE WHEN NOT coalesce(meter >= 0, false) THEN 'meter_known' END AS e4 FROM clean)
 """
 
 
-@plan(C + "," + _TAGS + "SELECT payment_id, concat_ws(',', e1, e2, e3, e4) AS errors FROM tagged")
+@plan(C + "," + _TAGS + "SELECT reading_no, concat_ws(',', e1, e2, e3, e4) AS errors FROM tagged")
 def q9_rule_errors(t: Tables) -> DataFrame:
-    return dq.tag_errors(clean_payments(t), RULES).select("payment_id", F.array_join("dq_errors", ",").alias("errors"))
+    return dq.tag_errors(clean_readings(t), RULES).select("reading_no", F.array_join("dq_errors", ",").alias("errors"))
 
 
-@plan(C + "," + _TAGS + "SELECT payment_id, coalesce(e1, e2, e3, e4) AS reason FROM tagged WHERE coalesce(e1, e2, e3, e4) IS NOT NULL")
+@plan(C + "," + _TAGS + "SELECT reading_no, coalesce(e1, e2, e3, e4) AS reason FROM tagged WHERE coalesce(e1, e2, e3, e4) IS NOT NULL")
 def q10_first_failing_rule(t: Tables) -> DataFrame:
-    out = dq.first_error(clean_payments(t), RULES, "reason")
-    return out.where("reason IS NOT NULL").select("payment_id", "reason")
+    out = dq.first_error(clean_readings(t), RULES, "reason")
+    return out.where("reason IS NOT NULL").select("reading_no", "reason")
 
 
 @plan(C + "," + _TAGS + """
 SELECT CASE WHEN concat_ws(',', e1, e2, e3, e4) = '' THEN 'valid' ELSE 'quarantine' END AS part, count(*) AS n,
-  CAST(coalesce(sum(amount), 0) AS DOUBLE) AS total FROM tagged GROUP BY 1
+  CAST(coalesce(sum(volume), 0) AS DOUBLE) AS total FROM tagged GROUP BY 1
 """)
 def q11_valid_and_quarantine(t: Tables) -> DataFrame:
-    valid, bad = dq.split(clean_payments(t), RULES)
-    total = F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("total")
+    valid, bad = dq.split(stored_readings(t), RULES)
+    total = F.coalesce(F.sum("volume"), F.lit(0)).cast("double").alias("total")
     n = F.count(F.lit(1)).alias("n")
     return valid.agg(F.lit("valid").alias("part"), n, total).unionByName(
         bad.agg(F.lit("quarantine").alias("part"), n, total)
@@ -47,45 +47,45 @@ def q11_valid_and_quarantine(t: Tables) -> DataFrame:
 
 
 @plan(C + "," + _TAGS + """
-SELECT 'amount_readable' AS rule, count(*) - count(e1) AS passed, count(e1) AS failed FROM tagged
-UNION ALL SELECT 'amount_positive', count(*) - count(e2), count(e2) FROM tagged
+SELECT 'volume_readable' AS rule, count(*) - count(e1) AS passed, count(e1) AS failed FROM tagged
+UNION ALL SELECT 'volume_positive', count(*) - count(e2), count(e2) FROM tagged
 UNION ALL SELECT 'time_known', count(*) - count(e3), count(e3) FROM tagged
-UNION ALL SELECT 'order_in_range', count(*) - count(e4), count(e4) FROM tagged
-UNION ALL SELECT 'status_known', count(*), 0 FROM tagged
+UNION ALL SELECT 'meter_known', count(*) - count(e4), count(e4) FROM tagged
+UNION ALL SELECT 'state_known', count(*), 0 FROM tagged
 """)
 def q12_rule_report(t: Tables) -> DataFrame:
-    return dq.rule_report(clean_payments(t), {**RULES, "status_known": "status IN ('paid', 'pending', 'refunded')"})
+    return dq.rule_report(clean_readings(t), {**RULES, "state_known": "state IN ('read', 'estimated', 'corrected')"})
 
 
 EXPECTATIONS = [
-    dq.Expectation("has_time", "paid_at IS NOT NULL", "warn"),
-    dq.Expectation("positive_amount", "amount > 0", "drop"),
-    dq.Expectation("has_key", "payment_id IS NOT NULL", "fail"),
+    dq.Expectation("has_time", "taken_at IS NOT NULL", "warn"),
+    dq.Expectation("positive_volume", "volume > 0", "drop"),
+    dq.Expectation("has_key", "reading_no IS NOT NULL", "fail"),
 ]
 
 
-@plan(C + "SELECT payment_id, status FROM clean WHERE coalesce(amount > 0, false)")
+@plan(C + "SELECT reading_no, state FROM clean WHERE coalesce(volume > 0, false)")
 def q13_expectations(t: Tables) -> DataFrame:
-    return dq.apply_expectations(clean_payments(t), EXPECTATIONS).select("payment_id", "status")
+    return dq.apply_expectations(clean_readings(t), EXPECTATIONS).select("reading_no", "state")
 
 
 @plan(C + """
-SELECT 'payments' AS dataset, 'has_time' AS rule, 'warn' AS action, count(paid_at) AS passed, count(*) - count(paid_at) AS failed FROM clean
-UNION ALL SELECT 'payments', 'positive_amount', 'drop', count(*) FILTER (WHERE amount > 0), count(*) - count(*) FILTER (WHERE amount > 0) FROM clean
-UNION ALL SELECT 'payments', 'has_key', 'fail', count(payment_id), 0 FROM clean
+SELECT 'readings' AS dataset, 'has_time' AS rule, 'warn' AS action, count(taken_at) AS passed, count(*) - count(taken_at) AS failed FROM clean
+UNION ALL SELECT 'readings', 'positive_volume', 'drop', count(*) FILTER (WHERE volume > 0), count(*) - count(*) FILTER (WHERE volume > 0) FROM clean
+UNION ALL SELECT 'readings', 'has_key', 'fail', count(reading_no), 0 FROM clean
 """)
 def q13_expectation_metrics(t: Tables) -> DataFrame:
-    return dq.expectation_metrics(clean_payments(t), EXPECTATIONS, "payments")
+    return dq.expectation_metrics(clean_readings(t), EXPECTATIONS, "readings")
 
 
 @plan(C + """
-SELECT count(*) AS rows_in, count(*) FILTER (WHERE amount > 0) AS kept, count(*) FILTER (WHERE NOT (amount > 0)) AS inverted,
-  count(*) FILTER (WHERE amount IS NULL) AS lost_by_inversion, count(*) FILTER (WHERE NOT coalesce(amount > 0, false)) AS quarantined FROM clean
+SELECT count(*) AS rows_in, count(*) FILTER (WHERE volume > 0) AS kept, count(*) FILTER (WHERE NOT (volume > 0)) AS inverted,
+  count(*) FILTER (WHERE volume IS NULL) AS lost_by_inversion, count(*) FILTER (WHERE NOT coalesce(volume > 0, false)) AS quarantined FROM clean
 """)
 def q14_null_rule_results(t: Tables) -> DataFrame:
     """Why ``NOT rule`` is no quarantine: rows whose rule is NULL would be in neither part."""
-    rule = F.expr("amount > 0")
-    return clean_payments(t).agg(
+    rule = F.expr("volume > 0")
+    return clean_readings(t).agg(
         F.count(F.lit(1)).alias("rows_in"),
         F.count_if(rule).alias("kept"),
         F.count_if(~rule).alias("inverted"),
@@ -113,20 +113,20 @@ def q16_foreign_key_orphans(t: Tables) -> DataFrame:
 
 @plan(C + """
 , r AS (
-SELECT 'missing_vs_source' AS "check", count(*) AS bad_rows FROM orders WHERE NOT EXISTS (SELECT 1 FROM clean WHERE order_id = o_orderkey)
-UNION ALL SELECT 'orphans', count(*) FROM clean WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = order_id)
-UNION ALL SELECT 'duplicate_ids', count(*) FROM (SELECT payment_id FROM clean GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'negative_amounts', count(*) FROM clean WHERE amount < 0)
+SELECT 'missing_vs_source' AS "check", count(*) AS bad_rows FROM events WHERE event_id NOT IN (SELECT reading_no FROM clean)
+UNION ALL SELECT 'orphans', count(*) FROM clean WHERE meter NOT IN (SELECT user_id FROM events)
+UNION ALL SELECT 'duplicate_ids', count(*) FROM (SELECT reading_no FROM clean GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'negative_volumes', count(*) FROM clean WHERE volume < 0)
 SELECT *, CASE WHEN bad_rows = 0 THEN 'OK' ELSE 'FAILED' END AS status FROM r
 """)
 def q17_reconciliation(t: Tables) -> DataFrame:
-    clean = clean_payments(t)
+    clean = stored_readings(t)  # cleaned once, read by four checks
     return dq.checklist(
         {
-            "missing_vs_source": dq.orphans(t.orders, clean, {"o_orderkey": "order_id"}),
-            "orphans": dq.orphans(clean, t.orders, {"order_id": "o_orderkey"}),
-            "duplicate_ids": dq.duplicates(clean, ["payment_id"]),
-            "negative_amounts": clean.where("amount < 0"),
+            "missing_vs_source": dq.orphans(t.events.select("event_id"), clean, {"event_id": "reading_no"}),
+            "orphans": dq.orphans(clean, t.events.select("user_id"), {"meter": "user_id"}),
+            "duplicate_ids": dq.duplicates(clean, ["reading_no"]),
+            "negative_volumes": clean.where("volume < 0"),
         }
     )
 
@@ -206,19 +206,19 @@ def q20_items_versus_total(t: Tables) -> DataFrame:
 
 
 @plan(C + """
-SELECT 'payment_id_present' AS rule, count(*) AS passed, 0 AS failed FROM clean
-UNION ALL SELECT 'currency_allowed', count(*) FILTER (WHERE currency IN ('USD', 'EUR')), count(*) FILTER (WHERE currency NOT IN ('USD', 'EUR')) FROM clean
-UNION ALL SELECT 'amount_in_range', count(*) FILTER (WHERE amount BETWEEN 0 AND 400000), count(*) - count(*) FILTER (WHERE amount BETWEEN 0 AND 400000) FROM clean
-UNION ALL SELECT 'refund_has_amount', count(*) FILTER (WHERE status <> 'refunded' OR amount IS NOT NULL), count(*) FILTER (WHERE status = 'refunded' AND amount IS NULL) FROM clean
+SELECT 'reading_no_present' AS rule, count(*) AS passed, 0 AS failed FROM clean
+UNION ALL SELECT 'unit_allowed', count(*) FILTER (WHERE unit IN ('M3', 'KWH')), count(*) FILTER (WHERE unit NOT IN ('M3', 'KWH')) FROM clean
+UNION ALL SELECT 'volume_in_range', count(*) FILTER (WHERE volume BETWEEN 0 AND 400), count(*) - count(*) FILTER (WHERE volume BETWEEN 0 AND 400) FROM clean
+UNION ALL SELECT 'correction_has_volume', count(*) FILTER (WHERE state <> 'corrected' OR volume IS NOT NULL), count(*) FILTER (WHERE state = 'corrected' AND volume IS NULL) FROM clean
 """)
 def q21_rule_families(t: Tables) -> DataFrame:
     rules = {
-        **dq.complete("payment_id"),
-        **dq.one_of("currency", ["USD", "EUR"]),
-        **dq.between("amount", 0, 400000),
-        **dq.consistent("refund_has_amount", "status <> 'refunded' OR amount IS NOT NULL"),
+        **dq.complete("reading_no"),
+        **dq.one_of("unit", ["M3", "KWH"]),
+        **dq.between("volume", 0, 400),
+        **dq.consistent("correction_has_volume", "state <> 'corrected' OR volume IS NOT NULL"),
     }
-    return dq.rule_report(clean_payments(t), rules)
+    return dq.rule_report(clean_readings(t), rules)
 
 
 @plan("""

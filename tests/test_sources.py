@@ -140,3 +140,19 @@ def test_rescue_of_nested_columns_from_lines_and_csv(spark, tmp_path):
     (row,) = src.read_csv_rescued(spark, str(tmp_path / "c"), StructType.fromDDL("id INT, dims STRUCT<w: INT, h: INT>"), escape='"').collect()
     kept = json.loads(row["_rescued_data"])
     assert row["dims"]["w"] == 1 and kept["a.b"] == "dot" and kept["_file_path"].endswith("a.csv")
+
+
+def test_describe_equals_plain_aggregates(spark):
+    """Columns of several types, with NULLs, ties, an empty one and a name with a dot."""
+    df = spark.range(1000).selectExpr("id", "CAST(CASE WHEN id % 3 > 0 THEN (id * id) % 97 END AS INT) AS n", "id / 8 - 60 AS `d.x`", "CAST(NULL AS DOUBLE) AS none",
+                                      "CASE WHEN id % 5 > 0 THEN concat('t', id % 7) END AS t", "CAST(id % 11 AS DECIMAL(9,2)) AS c")
+    out = {r["column"]: r for r in clean.describe(df, (10, 50)).collect()}
+    assert set(out) == set(df.columns)
+    for name in ("id", "n", "d.x", "c"):
+        x = F.col(f"`{name}`")
+        want = df.agg(F.count(x), F.min(x), F.max(x), F.avg(x), F.stddev(x), F.percentile(x, 0.1), F.percentile(x, 0.5), F.count_distinct(x)).first()
+        got = out[name]
+        assert (got["count"], float(got["min"]), float(got["max"]), got["distinct"]) == (want[0], float(want[1]), float(want[2]), want[7])
+        assert [got["mean"], got["stddev"], got["p10"], got["p50"]] == pytest.approx([float(v) for v in want[3:7]])
+    assert tuple(out["none"])[1:] == (0, None, None, None, None, None, None, 0)
+    assert (out["t"]["count"], out["t"]["min"], out["t"]["max"], out["t"]["mean"], out["t"]["distinct"]) == (800, "t0", "t6", None, 7)

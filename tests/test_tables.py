@@ -175,3 +175,10 @@ def test_change_feed_over_an_added_column(spark, rows):
     after = spark.createDataFrame([(1, "a", None), (2, "b", "new")], "id INT, v STRING, w STRING")
     feed = tb.change_feed(before, after, ["id"])
     assert rows(feed, "_change_type", "id", "w") == [("update_postimage", 2, "new"), ("update_preimage", 2, None)]
+
+
+def test_insert_missing_leaves_rows_without_a_key_out(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (None, "old")], "id INT, v STRING")
+    source = spark.createDataFrame([(1, "x"), (2, "b"), (2, "b"), (None, "n")], "id INT, v STRING")
+    once = tb.insert_missing(target, source, ["id"])
+    assert rows(once) == rows(tb.insert_missing(once, source, ["id"])) == [(None, "old"), (1, "a"), (2, "b")]

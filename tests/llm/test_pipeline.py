@@ -39,7 +39,7 @@ def test_stages_one_by_one_against_plain_versions(spark, folder):
 
 def test_registered(spark, folder):
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
     found = entry.queries()["pipeline"](spark, folder)
     assert "text" not in found.columns and found.count() > 0
 
@@ -55,3 +55,11 @@ def test_all_stages_take_awkward_rows(spark, folder, awkward):
     assert out.count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), folder).count() == 0
+
+
+def test_pipeline_over_empty_tables(spark, folder, tmp_path):
+    for empty, full in (("documents", "benchmark"), ("benchmark", "documents")):
+        spark.read.parquet(f"{folder}/{empty}.parquet").where("false").write.parquet(f"{tmp_path}/no-{empty}/{empty}.parquet")
+        spark.read.parquet(f"{folder}/{full}.parquet").write.parquet(f"{tmp_path}/no-{empty}/{full}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/no-documents").count() == 0
+    assert corpus_pipeline.run(spark, f"{tmp_path}/no-benchmark").count() > 0

@@ -13,7 +13,6 @@ from __future__ import annotations
 import base64
 import json
 import sys
-import unicodedata
 from collections.abc import Iterator
 from functools import cache
 from heapq import heappop, heappush
@@ -27,8 +26,6 @@ from pyspark.sql import functions as F
 from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, joined, spans_of
 
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
-#: Code points of Unicode's White_Space property.
-WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Bytes of text in a slice of documents, distinct pieces that a task remembers, bytes of a piece above which a heap is used.
 SLICE, REMEMBERED, LONG = 2 << 20, 500_000, 256
 #: Bits of an id, lowest bit of a rank in the fold's state, and how pairs are dealt to the small maps.
@@ -37,16 +34,21 @@ BITS, RANK, BUCKETS, SPREAD = 17, 46, 1 << 16, 40503
 
 @cache
 def _classes() -> np.ndarray:
-    """Class of every code point for the pattern: letter, number, white space or other."""
-    kinds = bytearray([OTHER]) * (sys.maxunicode + 1)
-    for i in range(sys.maxunicode + 1):
-        kind = unicodedata.category(chr(i))[0]
-        if kind == "L":
-            kinds[i] = LETTER
-        elif kind == "N":
-            kinds[i] = NUMBER
-    out = np.frombuffer(kinds, np.uint8).copy()
-    out[WHITE_SPACE] = SPACE
+    """Class of every code point for the pattern: letter, number, white space or other, by the tokenizer library's Unicode version.
+
+    The library drops what a pattern does not match, so it tells the members of a class from a text of all code points; a block of
+    them at a time keeps that small.
+    """
+    import tiktoken
+
+    out = np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    ranks = {bytes([i]): i for i in range(256)}
+    for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", SPACE)):
+        probe = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        for first in range(0, sys.maxunicode + 1, 1 << 14):
+            text = "".join(chr(c) for c in range(first, first + (1 << 14)) if not 0xD800 <= c < 0xE000)
+            members = bytes(probe.encode_ordinary(text)).decode()
+            out[np.frombuffer(members.encode("utf-32-le"), np.uint32)] = kind
     return out
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import sys
 
 import public_tokenizers
 import pyarrow as pa
@@ -37,6 +38,19 @@ def test_pieces_are_the_matches_of_the_pattern():
     assert at == len(found)
 
 
+def test_every_code_point_has_the_librarys_class(ranks, reference):
+    """Each code point before an apostrophe, after a letter and after a number, as the library cuts them: its Unicode version counts."""
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    for low in range(0, len(points), 1 << 16):
+        texts = [x for c in points[low:low + (1 << 16)] for x in (c + "'s", "a" + c, "1" + c)]
+        words, counts = bpe.pieces(pa.array(texts, pa.string()))
+        found, bounds = words.to_pylist(), [0, *counts.cumsum().tolist()]
+        known: dict[bytes, list[int]] = {}
+        for text, start, end in zip(texts, bounds, bounds[1:], strict=False):
+            ids = [i for w in found[start:end] for i in known.setdefault(w, None) or known.__setitem__(w, bpe.merged_long(w, ranks)) or known[w]]
+            assert ids == reference.encode_ordinary(text), text.encode()
+
+
 def test_merges_of_long_pieces(ranks, reference):
     rng = random.Random(2)
     for size in (1, 2, 257, 3000):

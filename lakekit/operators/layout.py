@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import json
 import math
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.sources.files import list_files
@@ -20,7 +22,9 @@ def partition_rows(df: DataFrame) -> DataFrame:
 
 
 def skew_report(counts: DataFrame, rows: str = "rows", factor: float = 1.5) -> DataFrame:
-    """Spread of the ``rows`` per partition, task or key: skewed when the largest exceeds ``factor`` times the 75th percentile."""
+    """Spread of the ``rows`` per partition, task or key: skewed when the largest exceeds ``factor`` times the 75th percentile.
+
+    The factor of 1.5 is a fixed value of the report."""
     out = counts.agg(
         F.count(F.lit(1)).alias("groups"),
         F.min(rows).alias("least"),
@@ -48,61 +52,116 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str =
 
 
 def file_ranges(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Smallest and largest value of some columns in every file of a file-based frame."""
-    ranges = [F.min(c).alias(f"{c}_min") for c in columns] + [F.max(c).alias(f"{c}_max") for c in columns]
+    """Zones: rows, and smallest and largest value and NULLs of some columns, in every file of a file-based frame."""
+    ranges = [f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.min, "min"), (F.max, "max"), (lambda c: F.count_if(F.col(c).isNull()), "nulls"))]
     return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ranges)
 
 
+def _within(column: str, low, high) -> Column:
+    """Whether a zone may hold a value from ``low`` to ``high``. A bound of None is open; a zone of NULLs alone holds none."""
+    low, high = (x if x is None or isinstance(x, Column) else F.lit(x) for x in (low, high))
+    hit = F.lit(True) if low is None else F.col(f"{column}_max") >= low
+    return F.coalesce(hit & (F.lit(True) if high is None else F.col(f"{column}_min") <= high) & F.col(f"{column}_min").isNotNull(), F.lit(False))
+
+
 def files_needed(ranges: DataFrame, column: str, low, high) -> DataFrame:
     """How many files a range filter has to read, and the share it can skip."""
-    low, high = (x if isinstance(x, Column) else F.lit(x) for x in (low, high))
-    hit = (F.col(f"{column}_max") >= low) & (F.col(f"{column}_min") <= high)
-    return ranges.agg(F.count(F.lit(1)).alias("files"), F.count_if(hit).alias("needed")).withColumn(
+    return ranges.agg(F.count(F.lit(1)).alias("files"), F.count_if(_within(column, low, high)).alias("needed")).withColumn(
         "skipped_share", 1 - F.col("needed") / F.col("files")
     )
 
 
-def z_value(columns: list[str], bounds: dict[str, list[float]], bits: int = 6) -> Column:
-    """Position on a Z-order curve: the number of the value's range in each column, bits interleaved.
+class ZoneMap:
+    """A stored table of zones that picks the files a scan opens, before any of them is touched.
 
-    Ranges are found by a balanced tree of comparisons whose leaves are the interleaved bits already, so that it compiles to a
-    few branches per row.
+    Parquet readers skip row groups by the same figures, but have to open every file for its footer. Here one small table, a
+    row per file, is filtered by Spark, and only the names of the files that may match reach the driver, as in any file scan.
     """
 
-    def leaf(rank: int, j: int) -> Column:
-        return F.lit(sum(((rank >> i) & 1) << (i * len(columns) + j) for i in range(bits))).cast("bigint")
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def build(self, data: DataFrame, columns: list[str]) -> None:
+        """Zones of the files of ``data`` (read from files) over some columns; replaces what was stored."""
+        file_ranges(data, columns).coalesce(1).write.mode("overwrite").parquet(self.path)
+
+    def add(self, data: DataFrame, columns: list[str]) -> None:
+        """Zones of files that were added since."""
+        file_ranges(data, columns).coalesce(1).write.mode("append").parquet(self.path)
+
+    def zones(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def files(self, **ranges: tuple) -> list[str]:
+        """Paths of the files that may hold a row within all ranges: ``column=(low, high)``, None for an open end."""
+        picked = self.zones()
+        for column, (low, high) in ranges.items():
+            picked = picked.where(_within(column, low, high))
+        return sorted(unquote(r["file"]) for r in picked.select("file").collect())  # the address escapes the path
+
+    def read(self, schema: StructType, **ranges: tuple) -> DataFrame:
+        """The rows within all ranges; other files are neither listed nor opened."""
+        files = self.files(**ranges)
+        rows = self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+        for column, (low, high) in ranges.items():
+            if low is not None:
+                rows = rows.where(F.col(column) >= low)
+            if high is not None:
+                rows = rows.where(F.col(column) <= high)
+        return rows
+
+
+#: Bits of a value's position inside its quantile range, and the most bits for the range itself.
+INSIDE_BITS, RANGE_BITS = 4, 8
 
-    def tree(value: Column, edges: list[float], low: int, high: int, j: int) -> Column:
+
+def z_value(columns: list[str], bounds: dict[str, list[float]], inside: int = INSIDE_BITS) -> Column:
+    """Position on a Z-order curve: for each column the number of the value's quantile range and its place inside, bits interleaved.
+
+    ``bounds`` are rising edges of a column, its least and greatest value included. The range is found by a balanced tree of
+    comparisons, the place inside by the distance from the range's lower edge.
+    """
+
+    def rank(value: Column, edges: list[float], low: int, high: int) -> Column:
         if low == high:
-            return leaf(low, j)
+            return F.lit(low)
         middle = (low + high) // 2
-        return F.when(value < F.lit(float(edges[middle])), tree(value, edges, low, middle, j)).otherwise(
-            tree(value, edges, middle + 1, high, j)
-        )
+        return F.when(value < F.lit(float(edges[middle + 1])), rank(value, edges, low, middle)).otherwise(rank(value, edges, middle + 1, high))
+
+    def spread(number: Column, bits: int, first: int, j: int) -> Column:
+        parts = [F.shiftleft(F.shiftright(number, i).bitwiseAND(F.lit(1)).cast("bigint"), (first + i) * len(columns) + j) for i in range(bits)]
+        return reduce(Column.__add__, parts, F.lit(0).cast("bigint"))
 
     out = F.lit(0).cast("bigint")
     for j, c in enumerate(columns):
-        value, edges = F.col(c).cast("double"), bounds[c]
-        out = out.bitwiseOR(F.when(value.isNull(), leaf(0, j)).otherwise(tree(value, edges, 0, len(edges), j)))
+        edges = bounds[c]
+        n = max(1, len(edges) - 1)
+        value, bits = F.col(c).cast("double"), max(1, (n - 1).bit_length())
+        at = rank(value, edges, 0, n - 1) if len(edges) > 1 else F.lit(0)
+        lower = F.get(F.array(*[F.lit(float(e)) for e in edges[:n]]), at)
+        width = F.get(F.array(*[F.lit(float(b - a)) for a, b in zip(edges, edges[1:], strict=False)] or [F.lit(1.0)]), at)
+        place = F.greatest(F.lit(0), F.least(F.lit(2**inside - 1), F.floor((value - lower) / width * 2**inside))).cast("int")
+        z = spread(at, bits, inside, j) + spread(place, inside, 0, j)
+        out = out + F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(z)
     return out
 
 
-def cluster_by(df: DataFrame, columns: list[str], files: int, bits: int = 6) -> DataFrame:
+def cluster_by(df: DataFrame, columns: list[str], files: int) -> DataFrame:
     """Rows laid out so that each of ``files`` output files covers a narrow range of every column.
 
     One column is range-partitioned. Several are put on a Z-order curve over quantile ranges (numbers, dates as
-    numbers); the quantiles are approximate sketches of fixed size, the only thing that reaches the driver. A hot
-    value is spread over neighbouring files, since ties are broken by a row hash.
+    numbers), as many ranges as the number of files asks for; the quantiles are approximate sketches of fixed size, the only
+    thing that reaches the driver. A hot value is spread over neighbouring files, since ties are broken by a row hash.
     """
     tie = F.xxhash64(*df.columns)
     if len(columns) == 1:
         out = df.withColumn("_tie", tie).repartitionByRange(files, columns[0], "_tie")
         return out.sortWithinPartitions(*columns).drop("_tie")
-    steps = [i / 2**bits for i in range(1, 2**bits)]
+    bits = min(RANGE_BITS, max(1, math.ceil(math.log2(max(2, files)) / len(columns)) + 1))
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    edges = numbers.approxQuantile(columns, steps, 0.01)
-    bounds = {c: sorted(set(e)) for c, e in zip(columns, edges, strict=True)}
-    out = df.withColumn("_z", z_value(columns, bounds, bits)).withColumn("_tie", tie)
+    edges = numbers.approxQuantile(columns, [i / 2**bits for i in range(2**bits + 1)], 1 / 2 ** (bits + 2))
+    bounds = {c: sorted(set(e)) or [0.0] for c, e in zip(columns, edges, strict=True)}
+    out = df.withColumn("_z", z_value(columns, bounds)).withColumn("_tie", tie)
     return out.repartitionByRange(files, "_z", "_tie").sortWithinPartitions("_z", *columns).drop("_z", "_tie")
 
 
@@ -110,41 +169,56 @@ def _file_count(bytes_: int, target: int) -> int:
     return max(1, math.ceil(bytes_ / target))
 
 
+#: Begin of the names of data folders that are clustered.
+CLUSTERED = "clustered-"
+
+
+def _is_clustered(path: str) -> bool:
+    return f"/data/{CLUSTERED}" in path
+
+
 def compact(table: SnapshotTable, target_bytes: int = 128 * MB) -> dict:
     """Rewrite the small files of the current version into files near the target size; big files stay as they are.
 
-    A second run finds at most one small file and changes nothing. Only file names and sizes reach the driver.
+    A second run finds at most one small file and changes nothing. Clustered folders stay whole, or their order would be
+    lost. Only file names and sizes reach the driver.
     """
     entry = table._entry()
-    files = list_files(table.spark, entry["paths"], "*.parquet").where("length > 0")
+    clustered = [p for p in entry["paths"] if _is_clustered(p)]
+    loose = [p for p in entry["paths"] if not _is_clustered(p)]
+    idle = {"rewritten": 0, "written": 0, "version": entry["version"]}
+    if not loose:
+        return idle
+    files = list_files(table.spark, loose, "*.parquet").where("length > 0")
     small = files.where(F.col("length") < target_bytes // 2)
     n, total = small.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
     wanted = _file_count(total, target_bytes)
     if n <= wanted:
-        return {"rewritten": 0, "written": 0, "version": table.version()}
+        return idle
     schema = table.schema()
     keep = [r["path"] for r in files.where(F.col("length") >= target_bytes // 2).select("path").collect()]
     merge = [r["path"] for r in small.select("path").collect()]
     # coalesce joins neighbouring splits without a shuffle
     rows = table.spark.read.schema(schema).parquet(*merge).coalesce(wanted)
     new = table._write(rows)
-    version = table._record("compact", schema, [*keep, *new], {"rewritten": n, "written": wanted}, None, entry)
+    version = table._record("compact", schema, [*clustered, *keep, *new], {"rewritten": n, "written": wanted}, None, entry)
     return {"rewritten": n, "written": wanted, "version": version}
 
 
 def cluster_new(table: SnapshotTable, columns: list[str], target_bytes: int = 128 * MB) -> dict:
-    """Cluster only the folders that earlier calls have not clustered; those written before stay untouched."""
+    """Cluster only the folders that earlier calls have not clustered; those written before stay untouched.
+
+    A folder's name says whether it is clustered, so that neither the log's length nor a compaction in between matters."""
     entry = table._entry()
-    last = [json.loads(r["metrics"]).get("clustered", []) for r in table._log().where("operation = 'cluster'").orderBy(F.desc("version")).limit(1).collect()]
-    done = set(last[0]) if last else set()
-    fresh = [p for p in entry["paths"] if p not in done]
+    fresh = [p for p in entry["paths"] if not _is_clustered(p)]
     if not fresh:
-        return {"rewritten_folders": 0, "version": table.version()}
+        return {"rewritten_folders": 0, "version": entry["version"]}
     size = list_files(table.spark, fresh, "*.parquet").agg(F.sum("length")).first()[0] or 0
     schema = table.schema()
-    new = table._write(cluster_by(table.spark.read.schema(schema).parquet(*fresh), columns, _file_count(size, target_bytes)))
-    paths = [p for p in entry["paths"] if p in done] + new
-    version = table._record("cluster", schema, paths, {"clustered": paths}, None, entry)
+    rows = table.spark.read.schema(schema).parquet(*fresh)
+    new = table._write(cluster_by(rows, columns, _file_count(size, target_bytes)), CLUSTERED)
+    paths = [p for p in entry["paths"] if _is_clustered(p)] + new
+    version = table._record("cluster", schema, paths, {"clustered_folders": len(fresh)}, None, entry)
     return {"rewritten_folders": len(fresh), "version": version}
 
 

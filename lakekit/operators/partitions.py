@@ -40,8 +40,8 @@ class PartitionedTable(SnapshotTable):
     def _labelled(self, df: DataFrame) -> Column:
         return F.expr(self.label).cast("string")
 
-    def _write(self, df: DataFrame) -> list[str]:
-        path = f"{self.path}/data/{uuid.uuid4().hex}"
+    def _write(self, df: DataFrame, mark: str = "") -> list[str]:
+        path = f"{self.path}/data/{mark}{uuid.uuid4().hex}"
         rows = df.withColumn(_PART, self._labelled(df)).hint("rebalance", _PART)
         rows.write.mode("errorifexists").partitionBy(_PART).parquet(path)
         root = self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -89,8 +89,9 @@ class SnapshotTable:
 
     # ---- writes
 
-    def _write(self, df: DataFrame) -> list[str]:
-        path = f"{self.path}/data/{uuid.uuid4().hex}"
+    def _write(self, df: DataFrame, mark: str = "") -> list[str]:
+        """Write a new data folder; ``mark`` begins its name."""
+        path = f"{self.path}/data/{mark}{uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(path)
         return [path]
 

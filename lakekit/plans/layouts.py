@@ -73,54 +73,96 @@ def l5_compaction(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT c AS "column", true AS plain_reads_all, true AS clustered_reads_half_or_less, (SELECT count(*) FROM lineitem) AS rows FROM (VALUES ('l_partkey'), ('l_suppkey')) AS v(c)
+SELECT c AS "column", CAST(64 AS BIGINT) AS plain_files, CAST(8 AS BIGINT) AS ideal_files, CAST(0 AS BIGINT) AS files_over_three_times_ideal, (SELECT count(*) FROM lineitem) AS rows,
+  CASE c WHEN 'l_partkey' THEN (SELECT count(*) FROM lineitem WHERE l_partkey = (SELECT max(l_partkey) // 3 FROM lineitem)) ELSE (SELECT count(*) FROM lineitem WHERE l_suppkey = (SELECT max(l_suppkey) // 3 FROM lineitem)) END AS found
+FROM (VALUES ('l_partkey'), ('l_suppkey')) AS v(c)
 """)
 def l6_clustering(t: Tables) -> DataFrame:
-    """Files a narrow filter must read, before and after laying the rows out on a Z-order curve over two columns."""
+    """Files that a filter on one value must read, before and after laying the rows out on a Z-order curve over two columns.
+
+    A square grid of 64 files has 8 in a row, so a filter on one column reads 8 at best."""
     base, columns = work_path(t.spark, "clustered"), ["l_partkey", "l_suppkey"]
     rows = t.lineitem.select("l_orderkey", *columns)
     rows.repartition(64).write.parquet(f"{base}/plain")
     lay.cluster_by(rows, columns, 64).write.parquet(f"{base}/clustered")
-    # ranges are kept as a table of one row per file, so the checks below scan no data again
-    ranges = {
-        kind: stored(lay.file_ranges(t.spark.read.parquet(f"{base}/{kind}"), columns), f"ranges-{kind}")
-        for kind in ("plain", "clustered")
-    }
+    zones = {kind: lay.ZoneMap(t.spark, f"{base}/zones-{kind}") for kind in ("plain", "clustered")}
+    for kind, z in zones.items():
+        z.build(t.spark.read.parquet(f"{base}/{kind}"), columns)
     out = None
     for c in columns:
-        at = ranges["plain"].agg(F.floor(F.max(f"{c}_max") / 3)).scalar()
-        plain, clustered = (lay.files_needed(ranges[kind], c, at, at) for kind in ("plain", "clustered"))
-        part = plain.select(
-            F.lit(c).alias("column"), (F.col("needed") == F.col("files")).alias("plain_reads_all"),
-            (clustered.select(F.col("needed") / F.col("files")).scalar() <= 0.5).alias("clustered_reads_half_or_less"),
-            ranges["clustered"].agg(F.sum("rows")).scalar().alias("rows"),
-        )
+        at = zones["plain"].zones().agg(F.floor(F.max(f"{c}_max") / 3)).first()[0]
+        needed, ideal = len(zones["clustered"].files(**{c: (at, at)})), 8
+        part = zones["clustered"].read(rows.schema, **{c: (at, at)}).agg(
+            F.lit(c).alias("column"), F.lit(len(zones["plain"].files(**{c: (at, at)}))).cast("bigint").alias("plain_files"), F.lit(ideal).cast("bigint").alias("ideal_files"),
+            F.lit(max(0, needed - 3 * ideal)).cast("bigint").alias("files_over_three_times_ideal"), zones["clustered"].zones().agg(F.sum("rows")).scalar().alias("rows"),
+            F.count(F.lit(1)).alias("found"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-@plan("SELECT CAST(2 AS BIGINT) AS first_folders, CAST(1 AS BIGINT) AS second_folders, CAST(0 AS BIGINT) AS third_folders, count(*) AS rows FROM orders")
+@plan("""
+SELECT CAST(2 AS BIGINT) AS first_folders, CAST(1 AS BIGINT) AS second_folders, CAST(0 AS BIGINT) AS third_folders, CAST(1 AS BIGINT) AS after_compaction, count(*) AS rows FROM orders
+""")
 def l7_incremental_clustering(t: Tables) -> DataFrame:
-    """Only folders added since the last call are clustered again."""
+    """Only folders added since the last call are clustered again, a compaction in between or not."""
     table = SnapshotTable(t.spark, work_path(t.spark, "incremental-cluster"))
+
+    def land(i: int) -> None:
+        table.append(t.orders.where(f"o_orderkey % 4 = {i}").select("o_orderkey", "o_custkey").repartition(3))
+
     done = []
     for i in range(3):
-        table.append(t.orders.where(f"o_orderkey % 3 = {i}").select("o_orderkey", "o_custkey"))
+        land(i)
         if i:
             done.append(lay.cluster_new(table, ["o_custkey"])["rewritten_folders"])
     done.append(lay.cluster_new(table, ["o_custkey"])["rewritten_folders"])
-    names = ("first_folders", "second_folders", "third_folders")
+    land(3)
+    lay.compact(table)
+    done.append(lay.cluster_new(table, ["o_custkey"])["rewritten_folders"])
+    names = ("first_folders", "second_folders", "third_folders", "after_compaction")
     return table.read().agg(*[F.lit(n).cast("bigint").alias(c) for c, n in zip(names, done, strict=True)], F.count(F.lit(1)).alias("rows"))
 
 
-@plan("SELECT count(*) AS rows, true AS narrow_filter_skips, true AS full_range_reads_all FROM orders")
+@plan("""
+SELECT count(*) AS rows, CAST(8 AS BIGINT) AS files, CAST(1 AS BIGINT) AS needed_by_one_key, CAST(8 AS BIGINT) AS needed_by_all, min(o_orderkey) AS least, max(o_orderkey) AS greatest,
+  count(*) FILTER (WHERE o_orderkey % 9 = 0) AS nulls FROM orders
+""")
 def l8_file_ranges(t: Tables) -> DataFrame:
     folder = work_path(t.spark, "ranges")
-    lay.cluster_by(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 8).write.parquet(folder)
-    ranges = lay.file_ranges(t.spark.read.parquet(folder), ["o_orderkey"])
-    narrow = lay.files_needed(ranges, "o_orderkey", 1, 2).select("skipped_share").scalar()
-    wide = lay.files_needed(ranges, "o_orderkey", 0, 2**60).select("skipped_share").scalar()
-    return ranges.agg(F.sum("rows").alias("rows"), (narrow > 0.5).alias("narrow_filter_skips"), (wide == 0).alias("full_range_reads_all"))
+    rows = t.orders.select("o_orderkey", F.expr("CASE WHEN o_orderkey % 9 > 0 THEN o_totalprice END").alias("price"))
+    lay.cluster_by(rows, ["o_orderkey"], 8).write.parquet(folder)
+    ranges = lay.file_ranges(t.spark.read.parquet(folder), ["o_orderkey", "price"])
+    first = t.orders.agg(F.min("o_orderkey")).first()[0]
+    needed = lambda low, high: lay.files_needed(ranges, "o_orderkey", low, high).select("needed").scalar()
+    return ranges.agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), needed(first, first).alias("needed_by_one_key"), needed(None, None).alias("needed_by_all"),
+        F.min("o_orderkey_min").alias("least"), F.max("o_orderkey_max").alias("greatest"), F.sum("price_nulls").alias("nulls"))
+
+
+@plan("""
+WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice FROM orders), m AS (SELECT min(day) + 400 AS day FROM d)
+SELECT 'zones' AS layout, count(*) AS rows, CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DOUBLE) AS total, CAST(0 AS BIGINT) AS files_over_two_percent FROM d SEMI JOIN m USING (day)
+UNION ALL SELECT 'folders', count(*), CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18,2))), 0) AS DOUBLE), CAST(0 AS BIGINT) FROM d SEMI JOIN m USING (day)
+""")
+def l9_files_of_one_day(t: Tables) -> DataFrame:
+    """A filter on one day over 200 files in order of the day, picked by their zones, and over a folder per day: in both it opens under 2 % of the files."""
+    base = work_path(t.spark, "days")
+    rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast(D).alias("price"))
+    day = rows.agg(F.date_add(F.min("day"), 400)).first()[0]
+    lay.cluster_by(rows, ["day"], 200).write.parquet(f"{base}/ordered")
+    lay.write_partitioned(rows, f"{base}/folders", ["day"])
+    zones = lay.ZoneMap(t.spark, f"{base}/zones")
+    zones.build(t.spark.read.parquet(f"{base}/ordered"), ["day"])
+    folders = t.spark.read.parquet(f"{base}/folders")
+    chosen = {"zones": (zones.read(rows.schema, day=(day, day)), zones.zones().count()),
+              "folders": (folders.where(F.col("day") == F.lit(day)), folders.select("_metadata.file_path").distinct().count())}
+    out = None
+    for layout, (found, files) in chosen.items():
+        opened = len(zones.files(day=(day, day))) if layout == "zones" else found.select("_metadata.file_path").distinct().count()
+        part = found.agg(F.lit(layout).alias("layout"), F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("price"), F.lit(0)).cast("double").alias("total"),
+                         F.lit(max(0, opened - files * 2 // 100)).cast("bigint").alias("files_over_two_percent"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @plan("""
@@ -159,6 +201,8 @@ def l13_cached_twice_used(t: Tables) -> DataFrame:
     for s in ("F", "P"):
         part = rows.where(F.col("o_orderstatus") == s).agg(F.lit(s).alias("status"), F.count(F.lit(1)).alias("n"))
         out = part if out is None else out.unionByName(part)
+    out = stored(out, "cached-twice")  # used twice by now
+    rows.unpersist()
     return out
 
 

@@ -182,3 +182,40 @@ def test_insert_missing_leaves_rows_without_a_key_out(spark, rows):
     source = spark.createDataFrame([(1, "x"), (2, "b"), (2, "b"), (None, "n")], "id INT, v STRING")
     once = tb.insert_missing(target, source, ["id"])
     assert rows(once) == rows(tb.insert_missing(once, source, ["id"])) == [(None, "old"), (1, "a"), (2, "b")]
+
+
+def test_zones_pick_files_with_null_and_open_ends(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id >= 900 THEN NULL ELSE id % 100 END AS v", "concat('k', id % 7) AS s")
+    df.repartitionByRange(10, "id").write.parquet(str(tmp_path / "a b%"))  # a name that file addresses escape
+    zones = layout.ZoneMap(spark, str(tmp_path / "zones"))
+    zones.build(spark.read.parquet(str(tmp_path / "a b%")), ["id", "v", "s"])
+    assert len(zones.files(id=(250, 260))) <= 2 and len(zones.files(id=(None, None))) == 10 and zones.files(id=(5000, None)) == []
+    assert sorted(r["id"] for r in zones.read(df.schema, id=(250, 260)).collect()) == list(range(250, 261))
+    assert zones.read(df.schema, id=(None, 9), s=("k3", "k3")).count() == 1
+    assert zones.read(df.schema, id=(5000, None)).count() == 0
+    assert len(zones.files(v=(0, 99))) == 9, "a file of NULLs alone holds no value"
+    df.where("id < 5").selectExpr("id + 5000 AS id", "v", "s").write.parquet(str(tmp_path / "more"))
+    zones.add(spark.read.parquet(str(tmp_path / "more")), ["id", "v", "s"])
+    assert zones.read(df.schema, id=(5000, None)).count() == 5
+
+
+def test_clustered_folders_survive_compaction(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    for i in range(2):
+        table.append(spark.range(i * 100, i * 100 + 100, 1, 4).selectExpr("id", "id % 10 AS g"))
+    layout.cluster_new(table, ["g"])
+    clustered = table._entry()["paths"]
+    table.append(spark.range(200, 300, 1, 4).selectExpr("id", "id % 10 AS g"))
+    layout.compact(table)
+    assert set(clustered) <= set(table._entry()["paths"]) and table.read().count() == 300
+    assert layout.cluster_new(table, ["g"])["rewritten_folders"] == 1
+    assert set(clustered) <= set(table._entry()["paths"]) and layout.cluster_new(table, ["g"])["rewritten_folders"] == 0
+
+
+def test_z_order_of_many_files_splits_inside_ranges(spark):
+    """More files than quantile ranges: the place inside a range goes on splitting, NULLs and one-valued columns included."""
+    df = spark.range(20_000).selectExpr("id", "CASE WHEN id % 50 > 0 THEN id * 7919 % 10007 END AS a", "id * 104729 % 20011 AS b", "1 AS same")
+    out = layout.cluster_by(df, ["a", "b", "same"], 512).withColumn("p", F.spark_partition_id())
+    spans = out.groupBy("p").agg((F.max("b") - F.min("b")).alias("width"), F.count("*").alias("n"))
+    assert out.count() == 20_000 and spans.agg(F.avg("width")).first()[0] < 20011 / 8
+    assert spans.agg(F.max("n")).first()[0] < 1500

@@ -1,6 +1,9 @@
 """Streaming queries. Deliveries are landed as files and processed run by run with one checkpoint, so what counts as late
 depends on the delivery and not on how Spark happens to order files."""
 
+import time
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +12,10 @@ from lakekit.operators.tables import apply_feed, change_feed, matched_update, no
 from lakekit.plans.registry import plan
 from lakekit.plans.table_changes import target
 from lakekit.session import Tables, settings, work_path
+from lakekit.streaming.changes import SourceChanged, follow_table, stream_from_now_on
 from lakekit.streaming.medallion import EventMedallion
 from lakekit.streaming.runs import append_to, batch_key, file_stream, replace_table, rows_read, run_to_end, upsert_table
-from lakekit.streaming.state import running_totals
+from lakekit.streaming.state import running_totals, visits
 
 D = "decimal(18,2)"
 SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE"
@@ -276,6 +280,81 @@ def r15_custom_state(t: Tables) -> DataFrame:
     return table.read().groupBy("user_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
+@plan("""
+WITH e AS (SELECT concat(user_id, ':', event_type) AS visitor, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS kind, epoch_ms(ts) AS tm, event_id FROM events),
+     g AS (SELECT *, coalesce(CAST(tm - lag(tm) OVER w > 3 * 86400000 AS INT), 0) AS fresh FROM e WINDOW w AS (PARTITION BY visitor ORDER BY tm, event_id)),
+     v AS (SELECT *, sum(fresh) OVER (PARTITION BY visitor ORDER BY tm, event_id ROWS UNBOUNDED PRECEDING) AS visit FROM g),
+     s AS (SELECT visitor, visit, count(*) AS n, min(tm) AS first, max(tm) AS last, count(DISTINCT kind) AS kinds FROM v GROUP BY 1, 2)
+SELECT visitor, n, first, last, kinds FROM s WHERE last + 3 * 86400000 <= (SELECT max(tm) - 60000 FROM e) OR visit < (SELECT max(visit) FROM s AS o WHERE o.visitor = s.visitor)
+""")
+def r15_visits_with_timers(t: Tables) -> DataFrame:
+    """Visits that end three days after their last row, by event-time timers over value and map state; deliveries of three days in turn,
+    so rows within one never lie further apart than the gap."""
+    d = _Deliveries(t)
+    rows = _events(t).select(F.concat_ws(":", "user_id", "event_type").alias("visitor"), F.expr("CASE WHEN value > 50 THEN 'high' ELSE 'low' END").alias("kind"), F.col("ts").alias("at"))
+    first, last = rows.agg(F.date_trunc("day", F.min("at")), F.max("at")).first()
+    schema = "visitor STRING, kind STRING, at TIMESTAMP"
+    rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    start = first
+    with settings(t.spark, spark__sql__streaming__stateStore__providerClass=rocks):
+        while start <= last:
+            end = start + timedelta(days=3)
+            d.land(rows.where((F.col("at") >= F.lit(start)) & (F.col("at") < F.lit(end))))
+            stream = file_stream(t.spark, d.folder, schema, recursiveFileLookup="true").withWatermark("at", "1 minute")
+            append_to(visits(stream, "visitor", "kind", "at", 3 * 86_400_000), d.place("visits"), d.place("checkpoint"))
+            start = end
+    return t.spark.read.parquet(d.place("visits")).select("visitor", "n", "first", "last", "kinds")
+
+
+@plan("""
+SELECT mode, CASE WHEN mode = 'skip' THEN (SELECT count(*) FROM customer) ELSE (SELECT count(*) FROM customer WHERE c_custkey % 3 = 0) END AS rows,
+  CASE WHEN mode = 'skip' THEN 0 ELSE 1 END AS stops FROM (VALUES ('block'), ('skip')) AS v(mode)
+""")
+def r16_source_with_changes(t: Tables) -> DataFrame:
+    """A table grows, is updated and grows again: a stream over its rows stops at the update, or leaves the rewritten data out."""
+    d = _Deliveries(t)
+    source = d.table("source")
+    part = lambda i: target(t).where(f"id % 3 = {i}")
+    modes, stops = ("block", "skip"), dict.fromkeys(("block", "skip"), 0)
+
+    def run(mode: str) -> None:
+        copy = d.table(mode)
+        try:
+            follow_table(source, d.place(f"checkpoint-{mode}"), lambda batch, key: copy.append(batch, batch=key), skip_changes=mode == "skip")
+        except Exception as e:
+            if SourceChanged.__name__ not in str(e):
+                raise
+            stops[mode] += 1
+
+    source.publish(part(0))
+    for mode in modes:
+        run(mode)
+    source.publish(update(source.read(), "id % 4 = 0", {"balance": "balance + 1000"}), "update")
+    source.append(part(1))
+    source.append(part(2))
+    out = None
+    for mode in modes:
+        run(mode)
+        found = d.table(mode).read().agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("rows"), F.lit(stops[mode]).alias("stops"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@plan("SELECT event_id, event_type FROM events WHERE event_id % 4 >= 2")
+def i10_stream_from_now_on(t: Tables) -> DataFrame:
+    """All events are landed, half before the stream's first start, which is the feature: that half is never opened. Files are archived once they are processed."""
+    d = _Deliveries(t)
+    for i in (0, 1):
+        d.land(_events(t, f"event_id % 4 = {i}"))
+    for i in (None, 2, 3):
+        if i is not None:
+            time.sleep(1.1)  # file times may count whole seconds
+            d.land(_events(t, f"event_id % 4 = {i}"))
+        stream = stream_from_now_on(t.spark, d.folder, SCHEMA, d.place("checkpoint"), archive=d.place("archive"))
+        append_to(stream, d.place("out"), d.place("checkpoint"))
+    return t.spark.read.schema("event_id BIGINT, event_type STRING").parquet(d.place("out"))
+
+
 @plan("""
 SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN c_acctbal + 1000 ELSE c_acctbal END AS balance FROM customer WHERE c_custkey % 6 <> 0
 """)

@@ -30,3 +30,73 @@ def running_totals(stream: DataFrame, key: str, value: str, parts: int = 8) -> D
         advance, f"{key} BIGINT, part BIGINT, n BIGINT, total BIGINT", "n BIGINT, total BIGINT", "update",
         GroupStateTimeout.NoTimeout,
     )
+
+
+class _Visits:
+    """Visits of a key: values seen since it was last idle for ``gap`` milliseconds of event time.
+
+    Value state holds the visit's figures, map state the count of each kind in it. An event-time timer, moved with every batch, ends
+    a visit once the watermark is ``gap`` past its last row; both states are then cleared, so idle keys take no room.
+    """
+
+    def __init__(self, key: str, kind: str, time: str, gap: int):
+        self.key, self.kind, self.time, self.gap = key, kind, time, gap
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.figures = handle.getValueState("figures", "n BIGINT, first BIGINT, last BIGINT")
+        self.kinds = handle.getMapState("kinds", "kind STRING", "n BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        for frame in rows:
+            frame = frame.sort_values(self.time)
+            at = frame[self.time].astype("datetime64[ms]").astype("int64")
+            for _, part in frame.groupby((at.diff() > self.gap).cumsum()):
+                yield from self._take(key, part[self.kind], int(at[part.index[0]]), int(at[part.index[-1]]))
+
+    def _take(self, key, kinds: pd.Series, first: int, last: int):
+        """Add rows without a gap among them to the visit, or end that and begin another."""
+        if self.figures.exists() and first > self.figures.get()[2] + self.gap:
+            yield self._ended(key)
+        n, old_first, old_last = self.figures.get() if self.figures.exists() else (0, first, last)
+        for kind, count in kinds.value_counts().items():
+            seen = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
+            self.kinds.updateValue((kind,), (seen + int(count),))
+        last = max(last, old_last)
+        self.figures.update((n + len(kinds), min(first, old_first), last))
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(last + self.gap)
+
+    def _ended(self, key) -> pd.DataFrame:
+        n, first, last = self.figures.get()
+        kinds = sorted((-v[0], k[0]) for k, v in self.kinds.iterator())
+        self.figures.clear()
+        self.kinds.clear()
+        return pd.DataFrame({self.key: [key[0]], "n": [n], "first": [first], "last": [last], "kinds": [len(kinds)],
+                             "top": pd.Series([kinds[0][1]], dtype=object)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        if self.figures.exists():
+            yield self._ended(key)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+def visits(stream: DataFrame, key: str, kind: str, time: str, gap_ms: int) -> DataFrame:
+    """One row per finished visit: key, rows, first and last time (milliseconds), different kinds, the most frequent kind.
+
+    The stream needs a watermark on ``time``. Runs on the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
+    A visit ends when a row comes more than ``gap_ms`` after its last one, or the watermark has passed that by ``gap_ms``; the last ones stay
+    open until later rows move the watermark. Rows out of order by more than the gap, but within the watermark, join the open visit.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    processor = type("Visits", (_Visits, StatefulProcessor), {})(key, kind, time, gap_ms)
+    number = dict(stream.dtypes)[key]
+    return stream.select(key, kind, time).groupBy(key).transformWithStateInPandas(
+        processor, f"{key} {number}, n BIGINT, first BIGINT, last BIGINT, kinds BIGINT, top STRING", "append", "EventTime")

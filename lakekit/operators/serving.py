@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.operators.partitions import PartitionedTable
@@ -69,6 +69,46 @@ class MetricView:
         return rows.groupBy(*by).agg(*[F.expr(self.measures[m]).alias(m) for m in wanted])
 
 
+class StoredCube:
+    """A stored aggregate whose sums and distinct counts can be re-aggregated to any coarser grain, and grow batch by batch.
+
+    Cells hold sums per combination of the dimensions, and for each distinct count a mergeable sketch of fixed size. Beside them
+    the distinct (dimensions, value) pairs are kept for exact counts: a count at a coarser grain counts the pairs made distinct again,
+    map-side combined, and never adds counts up. The source is read once, when a batch is added.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, dimensions: list[str], sums: Mapping[str, str], distinct: Mapping[str, str]):
+        self.spark, self.path, self.dimensions = spark, path, list(dimensions)
+        self.sums, self.distinct = dict(sums), dict(distinct)
+
+    def add(self, rows: DataFrame) -> None:
+        """Add a batch; adding the same batch twice counts its sums twice, as with any append."""
+        sketches = [F.hll_sketch_agg(F.expr(e).cast("string")).alias(n) for n, e in self.distinct.items()]
+        cells = rows.groupBy(*self.dimensions).agg(*[F.sum(F.expr(e)).alias(n) for n, e in self.sums.items()], *sketches)
+        cells.write.mode("append").parquet(f"{self.path}/cells")
+        for n, e in self.distinct.items():
+            pairs = rows.select(*self.dimensions, F.expr(e).alias("_value")).where("_value IS NOT NULL").distinct()
+            pairs.write.mode("append").parquet(f"{self.path}/pairs-{n}")
+
+    def query(self, by: list[str], exact: bool = True) -> DataFrame:
+        """Sums and distinct counts by some of the dimensions, from what is stored; not exact ones come from the sketches."""
+        unknown = [c for c in by if c not in self.dimensions]
+        if unknown:
+            raise ValueError(f"no dimension of this cube: {unknown}")
+        cells = self.spark.read.parquet(f"{self.path}/cells")
+        near = [] if exact else [F.hll_sketch_estimate(F.hll_union_agg(n)).alias(n) for n in self.distinct]
+        out = cells.groupBy(*by).agg(*[F.sum(n).alias(n) for n in self.sums], *near)
+        for n in self.distinct if exact else ():
+            pairs = self.spark.read.parquet(f"{self.path}/pairs-{n}").select(*by, "_value").distinct()
+            counts = pairs.groupBy(*[F.col(c).alias(f"_r_{c}") for c in by]).agg(F.count(F.lit(1)).alias(n))
+            same = F.lit(True)
+            for c in by:
+                same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+            out = out.join(counts, same, "left") if by else out.join(F.broadcast(counts))  # one row without a grouping
+            out = out.drop(*[f"_r_{c}" for c in by]).withColumn(n, F.coalesce(n, F.lit(0)))
+        return out
+
+
 def alert(value: DataFrame, operator: str, threshold: float) -> DataFrame:
     """One-row value against a threshold: ``OK`` or ``TRIGGERED``; a NULL value is ``UNKNOWN``."""
     v = F.col(value.columns[0])

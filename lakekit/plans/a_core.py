@@ -22,13 +22,13 @@ def a00_flagship_daily_revenue(t: Tables) -> DataFrame:
         t.orders.where("o_orderstatus <> 'P'")
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("n_name").alias("nation"))
+        .groupBy(F.to_date("o_orderdate").alias("day"), F.col("n_name").alias("nation"))
         .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue"))
     )
     # at most 25 nations a day are left, so whole days fit a window, and the ranking reuses its partitioning
     shared = daily.withColumn("day_total", F.sum("revenue").over(Window.partitionBy("day")))
     return top_k(shared, ["day"], ["-revenue", "nation"], 3).select(
-        "day",
+        F.date_format("day", "yyyy-MM-dd").alias("day"),
         "nation",
         F.col("revenue").cast("double").alias("revenue"),
         F.round(F.col("revenue").cast("double") / F.col("day_total").cast("double"), 6).alias("share_of_day"),

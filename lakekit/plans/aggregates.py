@@ -211,8 +211,9 @@ def a13_star_aggregate(t: Tables) -> DataFrame:
     return (
         t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
         .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy(F.col("r_name").alias("region"), "p_type", F.date_format("l_shipdate", "yyyy").alias("ship_year"))
+        .groupBy(F.col("r_name").alias("region"), "p_type", F.year("l_shipdate").alias("ship_year"))
         .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
+        .withColumn("ship_year", F.col("ship_year").cast("string"))
     )
 
 

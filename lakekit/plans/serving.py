@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.operators.quality import Expectation, apply_expectations, expect_all
-from lakekit.operators.serving import MaterialisedAggregate, MetricView, alert, publish_kpis
+from lakekit.operators.serving import MaterialisedAggregate, MetricView, StoredCube, alert, publish_kpis
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.operators.windows import top_k, with_ranks
 from lakekit.plans.registry import plan
@@ -117,6 +117,34 @@ def v5_metric_view(t: Tables) -> DataFrame:
     return out
 
 
+_DISTINCT = """
+SELECT '{grain}' AS grain, {key} AS "key", count(*) AS orders, count(DISTINCT o_custkey) AS customers, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+  CAST(0 AS BIGINT) AS sketch_off_by_tenths FROM orders GROUP BY ALL
+"""
+
+
+@plan(" UNION ALL ".join([
+    _DISTINCT.format(grain="month", key="strftime(o_orderdate, '%Y-%m')"), _DISTINCT.format(grain="year", key="strftime(o_orderdate, '%Y')"),
+    _DISTINCT.format(grain="status", key="o_orderstatus"), _DISTINCT.format(grain="all", key="'all'"),
+]))
+def v5_distinct_counts_from_stored(t: Tables) -> DataFrame:
+    """Customers at four grains from a stored aggregate by month and status, which came in two batches: exact from stored pairs, and by sketches
+    within a tenth. The orders are not read again."""
+    rows = t.orders.withColumns({"month": F.date_format("o_orderdate", "yyyy-MM"), "year": F.date_format("o_orderdate", "yyyy"), "everything": F.lit("all")})
+    cube = StoredCube(t.spark, work_path(t.spark, "cube"), ["month", "year", "o_orderstatus", "everything"], sums={"orders": "1L", "revenue": "CAST(o_totalprice AS DECIMAL(18,2))"},
+                      distinct={"customers": "o_custkey"})
+    for half in (0, 1):
+        cube.add(rows.where(F.col("o_orderkey") % 2 == half))
+    out = None
+    for grain, by in (("month", "month"), ("year", "year"), ("status", "o_orderstatus"), ("all", "everything")):
+        near = cube.query([by], exact=False).select(by, F.col("customers").alias("near"))
+        part = cube.query([by]).join(near, by).select(
+            F.lit(grain).alias("grain"), F.col(by).alias("key"), "orders", "customers", F.col("revenue").cast("double").alias("revenue"),
+            F.floor(F.abs(F.col("near") - F.col("customers")) / F.col("customers") * 10).alias("sketch_off_by_tenths"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @plan("""
 SELECT c_mktsegment AS segment, count(*) AS orders FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
 WHERE n_name = 'NATION_3' AND o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31' GROUP BY 1
@@ -145,8 +173,9 @@ SELECT month, category, CAST(revenue AS DOUBLE) AS revenue, round(CAST(revenue A
 def v8_monthly_share_mart(t: Tables) -> DataFrame:
     monthly = (
         t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
-        .groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("p_type").alias("category"))
+        .groupBy(F.trunc("l_shipdate", "month").alias("month"), F.col("p_type").alias("category"))
         .agg(_revenue("l_extendedprice").alias("revenue"))
+        .withColumn("month", F.date_format("month", "yyyy-MM"))
     )
     # a month has one row per category left
     share = F.col("revenue").cast("double") / F.sum("revenue").over(Window.partitionBy("month")).cast("double")
@@ -164,8 +193,9 @@ def v8_daily_mart(t: Tables) -> DataFrame:
         .join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(t.customer.select("c_custkey", "c_nationkey"), F.col("c_custkey") == F.col("o_custkey"))
         .join(t.nation.select("n_nationkey", "n_name"), F.col("n_nationkey") == F.col("c_nationkey"))
-        .groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("n_name").alias("nation"), F.col("p_type").alias("category"))
+        .groupBy(F.to_date("o_orderdate").alias("day"), F.col("n_name").alias("nation"), F.col("p_type").alias("category"))
         .agg(_revenue("l_extendedprice").cast("double").alias("revenue"), F.sum(F.col("l_quantity").cast("bigint")).alias("units"))
+        .withColumn("day", F.date_format("day", "yyyy-MM-dd"))
     )
 
 

@@ -281,7 +281,7 @@ def r15_custom_state(t: Tables) -> DataFrame:
 
 
 @plan("""
-WITH e AS (SELECT concat(user_id, ':', event_type) AS visitor, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS kind, epoch_ms(ts) AS tm, event_id FROM events),
+WITH e AS (SELECT concat(user_id, ':', event_type) AS visitor, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS kind, epoch_us(ts) // 1000 AS tm, event_id FROM events),
      g AS (SELECT *, coalesce(CAST(tm - lag(tm) OVER w > 3 * 86400000 AS INT), 0) AS fresh FROM e WINDOW w AS (PARTITION BY visitor ORDER BY tm, event_id)),
      v AS (SELECT *, sum(fresh) OVER (PARTITION BY visitor ORDER BY tm, event_id ROWS UNBOUNDED PRECEDING) AS visit FROM g),
      s AS (SELECT visitor, visit, count(*) AS n, min(tm) AS first, max(tm) AS last, count(DISTINCT kind) AS kinds FROM v GROUP BY 1, 2)

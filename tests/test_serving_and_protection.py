@@ -6,7 +6,7 @@ from lakekit.operators import protect as pr
 from lakekit.operators.audit import AuditLog
 from lakekit.operators.columns import next_keys, surrogate_key, with_generated
 from lakekit.operators.compare import assert_same
-from lakekit.operators.serving import MaterialisedAggregate, MetricView, alert
+from lakekit.operators.serving import MaterialisedAggregate, MetricView, StoredCube, alert
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.session import settings, shared_folder, small_rows
 
@@ -100,3 +100,18 @@ def test_mask_of_text_without_at(spark):
 
     df = spark.createDataFrame([("alice@x.org",), ("alice-no-at",), (None,), ("",)], "e STRING")
     assert [r[0] for r in df.select(mask_email(F.col("e"))).collect()] == ["a***@x.org", "a***", None, "***"]
+
+
+def test_stored_cube_counts_distinct_at_any_grain(spark, tmp_path, rows):
+    cube = StoredCube(spark, f"{tmp_path}/cube", ["a", "b"], {"n": "1L"}, {"users": "u", "things": "t"})
+    source = spark.range(2000).selectExpr("id % 3 AS a", "CASE WHEN id % 7 > 0 THEN id % 7 END AS b", "id % 101 AS u", "CASE WHEN id % 5 = 0 THEN concat('t', id % 11) END AS t")
+    for half in (0, 1):
+        cube.add(source.where(f"u % 2 = {half}"))
+    for by in (["a"], ["b"], ["a", "b"], []):
+        want = source.groupBy(*by).agg(F.count("*").alias("n"), F.count_distinct("u").alias("users"), F.count_distinct("t").alias("things"))
+        assert rows(cube.query(by), *by, "n", "users", "things") == rows(want, *by, "n", "users", "things")
+        near = cube.query(by, exact=False).agg(F.max("users"), F.max("things")).first()
+        top = want.agg(F.max("users"), F.max("things")).first()
+        assert abs(near[0] - top[0]) <= 3 and abs(near[1] - top[1]) <= 1
+    with pytest.raises(ValueError, match="nowhere"):
+        cube.query(["nowhere"])

@@ -119,8 +119,10 @@ def alert(value: DataFrame, operator: str, threshold: float) -> DataFrame:
     return value.select(v.alias("value"), F.lit(operator).alias("operator"), F.lit(float(threshold)).alias("threshold"), state.alias("status"))
 
 
-def publish_kpis(table: SnapshotTable, kpis: DataFrame, published_at: str, keep_history: bool) -> None:
-    """Store one-row totals with their publish time, either replacing the last ones or adding to them."""
+def publish_kpis(table: SnapshotTable, kpis: DataFrame, published_at: str, keep_history: bool, enabled: bool = True) -> None:
+    """Store one-row totals with their publish time, either replacing the last ones or adding to them. Switched off, nothing is computed."""
+    if not enabled:
+        return
     row = kpis.withColumn("published_at", F.lit(published_at))
     if keep_history:
         table.append(row)

@@ -1,12 +1,14 @@
 """Projection, filter and subquery queries."""
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.operators.columns import surrogate_key, with_generated
 from lakekit.operators.windows import even_slices
 from lakekit.plans.registry import plan
-from lakekit.session import Tables
+from lakekit.session import Tables, stored
 
 
 @plan("SELECT o_orderkey AS id, o_totalprice * 2 AS doubled, o_orderstatus AS status, o_orderpriority AS priority FROM orders")
@@ -115,3 +117,14 @@ def p11_parameters(t: Tables) -> DataFrame:
         "SELECT o_orderstatus, count(*) AS n FROM IDENTIFIER(:source) WHERE o_totalprice >= :least AND o_orderdate >= :since GROUP BY 1",
         args={"source": "lakekit_p11_orders", "least": 250000, "since": "1997-01-01"},
     )
+
+
+@plan("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice >= (SELECT avg(o_totalprice) FROM orders) GROUP BY 1")
+def p11_session_variable(t: Tables) -> DataFrame:
+    """A session variable set from a query, used in another, and dropped."""
+    name = f"lakekit_p11_{uuid.uuid4().hex[:8]}"
+    t.spark.sql(f"DECLARE VARIABLE {name} DOUBLE DEFAULT 0")
+    t.spark.sql(f"SET VARIABLE {name} = (SELECT avg(o_totalprice) FROM {{orders}})", orders=t.orders)
+    out = stored(t.spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {{orders}} WHERE o_totalprice >= {name} GROUP BY 1", orders=t.orders), "variable")
+    t.spark.sql(f"DROP TEMPORARY VARIABLE {name}")
+    return out

@@ -31,7 +31,7 @@ SELECT o_orderkey, strftime(try_strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/
   strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') AS plus30, strftime(o_orderdate - INTERVAL 7 DAY, '%Y-%m-%d') AS minus7,
   strftime(date_trunc('quarter', o_orderdate), '%Y-%m-%d') AS quarter_start, strftime(to_timestamp(o_orderkey * 1000)::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS from_epoch,
   CAST(epoch(o_orderdate) AS BIGINT) AS to_epoch, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS days, CAST(date_sub('month', TIMESTAMP '1995-01-01', o_orderdate) AS BIGINT) AS months,
-  year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d, dayofweek(o_orderdate) + 1 AS dow, len(generate_series(o_orderdate, o_orderdate + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS seq FROM orders
+  year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d, dayofweek(o_orderdate) + 1 AS dow, len(generate_series(o_orderdate, o_orderdate + INTERVAL 3 DAY, INTERVAL 1 DAY)) AS seq, CAST(o_orderdate AS DATE) < current_date AS past FROM orders
 """)
 def f2_date_functions(t: Tables) -> DataFrame:
     return t.sql("""
@@ -42,7 +42,8 @@ def f2_date_functions(t: Tables) -> DataFrame:
           unix_timestamp(timestamp_seconds(unix_timestamp(CAST(o_orderdate AS TIMESTAMP)))) AS to_epoch,
           CAST(datediff(o_orderdate, DATE'1995-01-01') AS BIGINT) AS days, timestampdiff(MONTH, TIMESTAMP'1995-01-01', CAST(o_orderdate AS TIMESTAMP)) AS months,
           CAST(year(o_orderdate) AS BIGINT) AS y, CAST(month(o_orderdate) AS BIGINT) AS m, CAST(day(o_orderdate) AS BIGINT) AS d, CAST(dayofweek(o_orderdate) AS BIGINT) AS dow,
-          CAST(size(sequence(to_date(o_orderdate), date_add(o_orderdate, 3), INTERVAL 1 DAY)) AS BIGINT) AS seq
+          CAST(size(sequence(to_date(o_orderdate), date_add(o_orderdate, 3), INTERVAL 1 DAY)) AS BIGINT) AS seq,
+          to_date(o_orderdate) < current_date() AS past
         FROM {orders}
     """)
 
@@ -110,7 +111,7 @@ def f6_higher_order_functions(t: Tables) -> DataFrame:
 
 
 @plan("""
-SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k1, CAST(props->>'k' AS BIGINT) AS k2, CAST(props->>'k' AS BIGINT) AS k3, '{"id":' || event_id || ',"type":"' || event_type || '"}' AS js FROM events
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k1, CAST(props->>'k' AS BIGINT) AS k2, CAST(props->>'k' AS BIGINT) AS k3, '{"id":' || event_id || ',"type":"' || event_type || '"}' AS js, 'STRUCT<k: BIGINT, tags: ARRAY<STRING>>' AS shape FROM events
 """)
 def f7_json_functions(t: Tables) -> DataFrame:
     parsed = t.events.withColumn("p", F.from_json("props", "k BIGINT"))
@@ -120,17 +121,20 @@ def f7_json_functions(t: Tables) -> DataFrame:
         F.col("p.k").alias("k2"),
         F.expr("parse_json(props):k::bigint").alias("k3"),
         F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"))).alias("js"),
+        F.schema_of_json(F.lit('{"k": 7, "tags": ["a"]}')).alias("shape"),
     )
 
 
 @plan("""
-SELECT 'k' AS "key", count(*) AS n, CAST(sum(CAST(props->>'k' AS BIGINT)) AS BIGINT) AS total, 'OBJECT<k: BIGINT>' AS shape, true AS broken_is_null FROM events
+SELECT 'k' AS "key", count(*) AS n, CAST(sum(CAST(props->>'k' AS BIGINT)) AS BIGINT) AS total, 'OBJECT<k: BIGINT>' AS shape, true AS broken_is_null, 'OBJECT<k: BIGINT>' AS least_shape, 1 AS shapes FROM events
 """)
 def f8_variant_functions(t: Tables) -> DataFrame:
     return t.sql("""
         WITH v AS (SELECT parse_json(props) AS v, try_parse_json(concat('[', props)) AS broken FROM {events}),
-             shape AS (SELECT schema_of_variant_agg(v) AS shape, bool_and(broken IS NULL) AS broken_is_null FROM v)
-        SELECT e.key, count(*) AS n, sum(variant_get(e.value, '$', 'bigint')) AS total, (SELECT shape FROM shape) AS shape, (SELECT broken_is_null FROM shape) AS broken_is_null
+             shape AS (SELECT schema_of_variant_agg(v) AS shape, bool_and(broken IS NULL) AS broken_is_null, min(schema_of_variant(v)) AS least_shape,
+                              count(DISTINCT schema_of_variant(v)) AS shapes FROM v)
+        SELECT e.key, count(*) AS n, sum(variant_get(e.value, '$', 'bigint')) AS total, (SELECT shape FROM shape) AS shape, (SELECT broken_is_null FROM shape) AS broken_is_null,
+          (SELECT least_shape FROM shape) AS least_shape, (SELECT shapes FROM shape) AS shapes
         FROM v, LATERAL variant_explode(v.v) AS e GROUP BY e.key
     """)
 
@@ -152,12 +156,13 @@ def f9_generators(t: Tables) -> DataFrame:
     return plain.unionByName(numbered.withColumn("pos", F.col("pos").cast("bigint"))).unionByName(outer)
 
 
-@plan("SELECT count(*) AS n, true AS user_known, true AS catalog_known, true AS partition_known FROM nation")
+@plan("SELECT count(*) AS n, true AS user_known, true AS catalog_known, true AS schema_is_database, true AS partition_known FROM nation")
 def f10_session_functions(t: Tables) -> DataFrame:
     return t.nation.select(F.spark_partition_id().alias("p")).agg(
         F.count(F.lit(1)).alias("n"),
         F.first(F.current_user().isNotNull()).alias("user_known"),
         F.first(F.concat(F.current_catalog(), F.current_database()).isNotNull()).alias("catalog_known"),
+        F.first(F.current_schema() == F.current_database()).alias("schema_is_database"),
         F.bool_and(F.col("p") >= 0).alias("partition_known"),
     )
 

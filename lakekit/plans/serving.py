@@ -226,14 +226,14 @@ def v9_leaderboard_and_coupons(t: Tables) -> DataFrame:
 
 @plan("""
 SELECT kind, published_at, CASE WHEN published_at = 'monday' THEN (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) ELSE (SELECT count(*) FROM orders) END AS orders
-FROM (VALUES ('history', 'monday'), ('history', 'tuesday'), ('snapshot', 'tuesday')) AS v(kind, published_at)
+FROM (VALUES ('history', 'monday'), ('history', 'tuesday'), ('snapshot', 'tuesday'), ('switched', 'monday')) AS v(kind, published_at)
 """)
 def v10_kpi_snapshots(t: Tables) -> DataFrame:
-    tables = {k: SnapshotTable(t.spark, work_path(t.spark, f"kpi-{k}")) for k in ("history", "snapshot")}
+    tables = {k: SnapshotTable(t.spark, work_path(t.spark, f"kpi-{k}")) for k in ("history", "snapshot", "switched")}
     for day, rows in (("monday", t.orders.where("o_orderkey % 2 = 0")), ("tuesday", t.orders)):
         totals = rows.agg(F.count(F.lit(1)).alias("orders"))
         for kind, table in tables.items():
-            publish_kpis(table, totals, day, keep_history=kind == "history")
+            publish_kpis(table, totals, day, keep_history=kind != "snapshot", enabled=kind != "switched" or day == "monday")
     out = None
     for kind, table in tables.items():
         part = table.read().select(F.lit(kind).alias("kind"), "published_at", "orders")

@@ -9,7 +9,7 @@ from lakekit.operators.layout import hashed_timing, write_partitioned
 from lakekit.operators.snapshots import SnapshotTable
 from lakekit.operators.tables import enforce_schema
 from lakekit.plans.registry import plan
-from lakekit.session import Tables, settings, work_path
+from lakekit.session import settings, stored, Tables, work_path
 
 
 @plan("SELECT 'append' AS mode, 2 * count(*) AS n FROM supplier UNION ALL SELECT 'overwrite', count(*) FROM supplier UNION ALL SELECT 'ignore', count(*) FROM supplier UNION ALL SELECT 'errorifexists', count(*) FROM supplier")
@@ -93,7 +93,7 @@ def k7_noop_and_hash(t: Tables) -> DataFrame:
     return hashed_timing(t.lineitem).select("rows", F.col("hash").isNotNull().alias("evaluated"))
 
 
-@plan("SELECT 'folder' AS sink, count(*) AS n FROM orders UNION ALL SELECT 'table', count(*) FROM orders UNION ALL SELECT 'batches', count(*) FROM orders UNION ALL SELECT 'noop', 0")
+@plan("SELECT 'folder' AS sink, count(*) AS n FROM orders UNION ALL SELECT 'table', count(*) FROM orders UNION ALL SELECT 'batches', count(*) FROM orders UNION ALL SELECT 'noop', 0 UNION ALL SELECT 'memory', count(*) FROM orders")
 def k8_stream_sinks(t: Tables) -> DataFrame:
     from lakekit.streaming.runs import append_to, batch_key, file_stream, run_to_end
 
@@ -107,12 +107,17 @@ def k8_stream_sinks(t: Tables) -> DataFrame:
     table = SnapshotTable(t.spark, f"{base}/batches")
     run_to_end(rows.writeStream.option("checkpointLocation", f"{base}/c3").foreachBatch(lambda b, n: table.append(b, batch=batch_key(b, n)) and None))
     run_to_end(rows.writeStream.format("noop").option("checkpointLocation", f"{base}/c4"))
+    # the memory sink keeps its rows in the driver: for a handful of totals only
+    totals = rows.groupBy().agg(F.count(F.lit(1)).alias("n")).writeStream.format("memory").queryName(f"{name}_totals").outputMode("complete")
+    run_to_end(totals.option("checkpointLocation", f"{base}/c5"))
+    memory = stored(t.spark.table(f"{name}_totals").select(F.lit("memory").alias("sink"), "n"), "memory-sink")
+    t.spark.catalog.dropTempView(f"{name}_totals")
     results = {"folder": t.spark.read.parquet(f"{base}/folder"), "table": t.spark.table(name), "batches": table.read(), "noop": rows_none(t, schema)}
     out = None
     for sink, df in results.items():
         part = df.agg(F.lit(sink).alias("sink"), F.count(F.lit(1)).alias("n"))
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.unionByName(memory)
 
 
 def rows_none(t: Tables, schema: str) -> DataFrame:

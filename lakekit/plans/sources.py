@@ -15,14 +15,18 @@ from lakekit.sources.ingest import rows_per_file
 D = "decimal(18,2)"
 
 
-@plan("SELECT CAST(n_regionkey AS BIGINT) AS region, count(*) AS n FROM nation GROUP BY 1 UNION ALL SELECT -1, count(*) FROM orders")
+@plan("SELECT CAST(n_regionkey AS BIGINT) AS region, count(*) AS n FROM nation GROUP BY 1 UNION ALL SELECT -1, count(*) FROM orders UNION ALL SELECT -2, count(*) FROM orders WHERE o_orderkey % 2 = 0")
 def s1_query_files_in_place(t: Tables) -> DataFrame:
-    """SQL straight over a file and over a folder, without a table."""
+    """SQL straight over a file, a folder and a glob, without a table."""
     folder = work_path(t.spark, "orders")
     t.orders.write.parquet(folder)
+    halves = work_path(t.spark, "orders-halves")
+    for name, rest in (("even", 0), ("odd", 1)):
+        t.orders.where(F.col("o_orderkey") % 2 == rest).write.parquet(f"{halves}/{name}")
     return t.spark.sql(f"""
         SELECT CAST(n_regionkey AS BIGINT) AS region, count(*) AS n FROM parquet.`{t.path}/nation.parquet` GROUP BY 1
         UNION ALL SELECT -1, count(*) FROM parquet.`{folder}`
+        UNION ALL SELECT -2, count(*) FROM parquet.`{halves}/ev*`
     """)
 
 

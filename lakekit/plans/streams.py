@@ -69,9 +69,9 @@ def r2_table_to_table(t: Tables) -> DataFrame:
     return t.spark.read.parquet(d.place("silver"))
 
 
-@plan("SELECT 'available_now' AS trigger, count(*) AS n FROM events UNION ALL SELECT 'micro_batches', count(*) FROM events")
+@plan("SELECT 'available_now' AS trigger, count(*) AS n FROM events UNION ALL SELECT 'micro_batches', count(*) FROM events UNION ALL SELECT 'once', count(*) FROM events UNION ALL SELECT 'processing_time', count(*) FROM events")
 def r3_triggers(t: Tables) -> DataFrame:
-    """All at once, and one file per batch."""
+    """All at once, one file per batch, in one single batch, and on a clock until nothing is left."""
     d = _Deliveries(t)
     d.land(_events(t, "event_id % 2 = 0"))
     d.land(_events(t, "event_id % 2 = 1"))
@@ -79,6 +79,12 @@ def r3_triggers(t: Tables) -> DataFrame:
     for name, options in (("available_now", {}), ("micro_batches", {"maxFilesPerTrigger": 1})):
         rows = file_stream(t.spark, d.folder, SCHEMA, recursiveFileLookup="true", **options)
         append_to(rows, d.place(name), d.place(f"{name}-checkpoint"))
+    for name, trigger in (("once", {"once": True}), ("processing_time", {"processingTime": "1 second"})):
+        rows = file_stream(t.spark, d.folder, SCHEMA, recursiveFileLookup="true")
+        query = rows.writeStream.format("parquet").option("checkpointLocation", d.place(f"{name}-checkpoint")).option("path", d.place(name)).trigger(**trigger).start()
+        query.processAllAvailable() if name == "processing_time" else query.awaitTermination()
+        query.stop()
+    for name in ("available_now", "micro_batches", "once", "processing_time"):
         part = t.spark.read.parquet(d.place(name)).agg(F.lit(name).alias("trigger"), F.count(F.lit(1)).alias("n"))
         out = part if out is None else out.unionByName(part)
     return out

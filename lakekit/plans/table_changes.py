@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 
 from lakekit.operators import tables as tb
 from lakekit.operators.snapshots import SnapshotTable
+from lakekit.operators.windows import latest_per_key
 from lakekit.plans.registry import plan
 from lakekit.session import Tables, work_path
 
@@ -74,16 +75,22 @@ def t3_merge(t: Tables) -> DataFrame:
 
 @plan("""
 WITH s AS (SELECT o_custkey AS id, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS last_order FROM orders GROUP BY 1)
-SELECT c_custkey AS id, coalesce(last_order, -1) AS last_order FROM customer LEFT JOIN s ON id = c_custkey
+SELECT c_custkey AS id, coalesce(last_order, -1) AS last_order, (SELECT count(*) > count(DISTINCT o_custkey) FROM orders) AS refused FROM customer LEFT JOIN s ON id = c_custkey
 """)
 def t4_merge_deduplicated_source(t: Tables) -> DataFrame:
-    """Many orders per customer would be refused as a source; the newest one per key is merged."""
-    from lakekit.operators.windows import latest_per_key
-
+    """Many orders per customer are refused as a source; the newest one per key is merged."""
     newest = latest_per_key(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
     src = newest.selectExpr("o_custkey AS id", "o_orderkey AS last_order")
     tgt = t.customer.selectExpr("c_custkey AS id", "-1L AS last_order")
-    return tb.merge(tgt, src, ["id"], [tb.matched_update("*"), tb.not_matched_insert("*")])
+    clauses = [tb.matched_update("*"), tb.not_matched_insert("*")]
+    refused = False
+    try:
+        tb.merge(tgt, t.orders.selectExpr("o_custkey AS id", "o_orderkey AS last_order"), ["id"], clauses).write.format("noop").mode("overwrite").save()
+    except Exception as e:
+        if "several source rows match one target row" not in str(e):
+            raise
+        refused = True
+    return tb.merge(tgt, src, ["id"], clauses).withColumn("refused", F.lit(refused))
 
 
 @plan(T + """

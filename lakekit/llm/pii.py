@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from random import Random
@@ -93,9 +94,15 @@ _OTHER = ("id", "isbn", "version", "order", "invoice", "date", "page", "no.", "s
 
 
 def candidates(text: str, base: dict[str, list[Span]]) -> list[tuple[str, int, int]]:
-    """Spans beyond the base rules that might be personal data."""
+    """Spans beyond the base rules that might be personal data, none of which overlaps a base span."""
     return [(kind, *m.span()) for kind, rule in _MORE.items() for m in rule.finditer(text)
-            if not any(s < m.end() and m.start() < e for spans in base.values() for s, e in spans)]
+            if not any(overlaps(spans, *m.span()) for spans in base.values())]
+
+
+def overlaps(spans: list[Span], start: int, end: int) -> bool:
+    """Whether a span overlaps one of sorted spans, none of which overlaps another: only the last that begins before its end can."""
+    at = bisect_left(spans, (end,))
+    return at > 0 and spans[at - 1][1] > start
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -178,8 +185,8 @@ def chosen(text: str, base: dict[str, list[Span]], model: Model) -> dict[str, li
         taken: list[Span] = []
         for i in np.argsort(-scores, kind="stable").tolist():
             kind, start, end = found[i]
-            if scores[i] >= model.thresholds[kind] and not any(s < end and start < e for s, e in taken):
-                taken.append((start, end))
+            if scores[i] >= model.thresholds[kind] and not overlaps(taken, start, end):
+                insort(taken, (start, end))
                 out[kind].append((start, end))
     return {k: sorted(v) for k, v in out.items()}
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -32,6 +33,28 @@ def test_long_runs_take_linear_time():
         assert pii.chosen(text, base, MODEL)["email"] == base["email"]
 
 
+def test_many_candidates_take_linear_time():
+    """Over ten thousand local and international numbers in one text: twice the text takes about twice the time."""
+    took = []
+    for n in (3000, 6000):
+        text = "call 030-5551-234 or (212) 555-0199 or +49 30 5550 1234 now " * n
+        base = pii.base_spans(text)
+        assert len(pii.candidates(text, base)) >= 2 * n
+        start = time.process_time()
+        spans = pii.chosen(text, base, MODEL)
+        took.append(time.process_time() - start)
+        ordered = sorted(x for k in pii.KINDS for x in spans[k] if x not in base[k])
+        assert all(a[1] <= b[0] for a, b in zip(ordered, ordered[1:], strict=False))
+    assert took[1] < 3 * took[0] + 0.5
+
+
+def test_overlaps():
+    spans = [(2, 4), (4, 6), (9, 12)]
+    for start in range(14):
+        for end in range(start + 1, 15):
+            assert pii.overlaps(spans, start, end) == any(s < end and start < e for s, e in spans)
+
+
 MODEL = pii.fitted()
 
 

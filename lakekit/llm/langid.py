@@ -5,7 +5,7 @@ learned languages whose lexicon has it. Transition weights between neighbouring
 forward-backward gives each word's chance of each language, also where a text changes its language.
 
 The field is fitted on the driver to a bounded sample: ``SAMPLE`` labelled documents in all, the same number of each language
-(at least ``LEAST``), chosen by a hash of their ids, with their whole texts. Training sequences join pieces of two documents,
+(at least ``LEAST``), chosen by a hash of their ids, with their whole texts of at most ``SAMPLE_BYTES``. Training sequences join pieces of two documents,
 so that changes of language occur in them.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from lakekit.llm.arrow_text import Carried, Words, arrow_batches, chunks
 
-SAMPLE, LEAST = 800, 25
+SAMPLE, LEAST, SAMPLE_BYTES = 800, 25, 1 << 16
 ORDERS, ROWS, PIECE, ROUNDS, UNKNOWN = (1, 2, 3, 4), 1 << 17, 16, 25, "und"
 
 LETTERS = np.zeros(256, dtype=bool)
@@ -193,16 +193,22 @@ def fit_field(texts: list[str], labels: list[str], rounds: int = ROUNDS) -> Fiel
     return field
 
 
-def learn(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Field:
-    """A field fitted to a bounded sample of the documents with an id, a text and a label."""
+def learn(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
+          most_bytes: int = SAMPLE_BYTES) -> Field:
+    """A field fitted to a bounded sample of the documents with an id, a text and a label.
+
+    At most ``sample`` documents (but ``LEAST`` of each language), none of over ``most_bytes`` in UTF-8, reach the driver. Of documents with
+    one id and label, however many, one text counts.
+    """
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    rows = rows.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    slim = rows.select("doc_id", "lang").withColumn("order", F.xxhash64("doc_id"))
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= most_bytes))
+    slim = rows.select("doc_id", "lang").distinct().withColumn("order", F.xxhash64("doc_id"))
     kinds = slim.select("lang").distinct().count()
     each = max(LEAST, sample // max(kinds, 1))
     ranked = slim.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))).where(F.col("n") <= each)
-    chosen = ranked.select("doc_id", "lang").distinct()
-    found = sorted((r.text, r.lang) for r in rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").collect())
+    chosen = ranked.select("doc_id", "lang")
+    one = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    found = sorted((r.text, r.lang) for r in one.collect())
     return fit_field([t for t, _ in found], [x for _, x in found])
 
 

@@ -63,3 +63,13 @@ def test_no_labels_and_no_letters(spark, awkward):
     one = langid.fit_field(["some words"], ["en"])
     assert {r.lang_pred for r in langid.predict(odd, one).collect()} == {"und"}
     assert langid.predict(spark.createDataFrame([(1, "word")], "doc_id long, text string"), one).first().lang_pred == "en"
+
+
+def test_the_sample_is_bounded_with_one_id_repeated(spark, monkeypatch):
+    """Three thousand rows of one id, and a text beyond the bound: the driver gets one text per id, none over the bound."""
+    seen = []
+    monkeypatch.setattr(langid, "fit_field", lambda texts, labels: seen.append((texts, labels)))
+    rows = [(1, f"one text of many {i}", "en") for i in range(3000)] + [(i, f"mots de texte {i}", "fr") for i in range(2, 1500)] + [(9999, "long " * 40_000, "fr")]
+    langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6), sample=800)
+    texts, labels = seen[0]
+    assert labels.count("en") == 1 and labels.count("fr") == 400 and sum(map(len, texts)) < 400 * 100

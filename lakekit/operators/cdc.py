@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakekit.operators.quality import holds
 from lakekit.operators.tables import change_feed
-from lakekit.operators.windows import range_slices, with_neighbours
+from lakekit.operators.windows import range_slices, slices_of, with_neighbours
 
 START, END = "__START_AT", "__END_AT"
 
@@ -117,7 +117,8 @@ def apply_changes_scd2(
     )
     slice_ = None
     if isinstance(bucket, str):
-        rows, slice_ = range_slices(rows, keys, ["_seq"], "_slice_key"), F.col("_slice_key")
+        if slices_of(rows) > 1:
+            rows, slice_ = range_slices(rows, keys, ["_seq"], "_slice_key"), F.col("_slice_key")
     elif bucket is not None:
         rows = rows.withColumn(sequence_by, F.col("_seq")).withColumn("_slice_key", bucket).drop(sequence_by)
         slice_ = F.col("_slice_key")

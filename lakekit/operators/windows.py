@@ -52,6 +52,11 @@ SAMPLED = "sampled"
 SLICE_ROWS = 1 << 20
 
 
+def slices_of(df: DataFrame, rows: int | None = None) -> int:
+    """How many slices of ``SLICE_ROWS`` (or ``rows``) rows a frame has; with one, the plain window holds no more than that."""
+    return max(1, -(-df.count() // (rows or SLICE_ROWS)))
+
+
 def range_slices(df: DataFrame, keys: list[str], order: list[str], name: str = _B, rows: int | None = None, within: list[Column] = ()) -> DataFrame:
     """The rows with the number of their slice; several slices are stored, so that every use sees the same ones.
 
@@ -59,8 +64,8 @@ def range_slices(df: DataFrame, keys: list[str], order: list[str], name: str = _
     count. A hot key gets as many slices as its share of the rows asks for, wherever its values lie; small keys share
     a slice. Rows with equal keys and order are in one slice, unless ``within`` has columns that follow the order in effect.
     """
-    n = -(-df.count() // (rows or SLICE_ROWS))
-    if n <= 1:
+    n = slices_of(df, rows)
+    if n == 1:
         return df.withColumn(name, F.lit(0))
     edges = [*(F.col(k) for k in keys), *order_columns(order), *within]
     return stored(df.repartitionByRange(n, *edges).withColumn(name, F.spark_partition_id()), "slices")
@@ -96,6 +101,8 @@ def with_ranks(
     not_null: bool = False,
 ) -> DataFrame:
     """Add rank-like columns under the given names; ``not_null`` promises non-NULL keys and bucket."""
+    if isinstance(bucket, str) and slices_of(df) == 1:
+        bucket = None
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order_columns(order))
         named = {
@@ -182,6 +189,8 @@ def with_running_sum(
     not_null: bool = False,
 ) -> DataFrame:
     """Running totals (rows up to and including the current one); ``sums`` maps new name to column."""
+    if isinstance(bucket, str) and slices_of(df) == 1:
+        bucket = None
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order_columns(order))
         w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -218,6 +227,8 @@ def with_neighbours(
 ) -> DataFrame:
     """``lag`` / ``lead`` by one row: each mapping goes from new column name to source column."""
     previous, following = previous or {}, following or {}
+    if isinstance(bucket, str) and slices_of(df) == 1:
+        bucket = None
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order_columns(order))
         return df.withColumns(

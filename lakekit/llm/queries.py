@@ -138,5 +138,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )}
 
 
+#: What the template of ``chat`` makes of the conversations and the probe, in another engine's functions.
+_OP4_SQL = r"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations
+           UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok', NULL FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)),
+     e AS (SELECT *, length(regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g')) + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')) + 14 AS chars FROM r),
+     c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+                  coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss, CAST(sum(chars) AS BIGINT) AS formatted_chars
+           FROM e GROUP BY conv_id, alone)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat_formatting": _OP4_SQL}

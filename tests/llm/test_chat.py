@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 
 from lakekit.llm import chat, queries
+from tests import oracle
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["\\", "#", "###", "</turn>", "</", "turn>", ":", " ", "\n", "a", "é", "😀", "### Assistant: ", "<", "\\\\"]
@@ -63,3 +64,10 @@ def test_awkward_rows(spark):
 def test_foreign_text_is_refused():
     with pytest.raises(ValueError, match="no turn"):
         chat.parsed("### user: open end")
+
+
+def test_query_against_sql(spark):
+    df = queries.op4_chat_formatting(spark, oracle.DATA)
+    found = [tuple(r) for r in df.collect()]
+    cursor = oracle.connection().execute(queries.oracle_sql()["op4_chat_formatting"])
+    assert oracle.compare(df.columns, found, [d[0] for d in cursor.description], cursor.fetchall()) is None

@@ -92,7 +92,15 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-_SCHEMAS: dict[str, StructType] = {}
+#: Schemas of tables by session, path and the state that the file system tells.
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
+def _file_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Time and length of a file or folder; a table that is written again has another."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(place)
+    return status.getModificationTime(), status.getLen()
 
 
 class Tables:
@@ -106,9 +114,10 @@ class Tables:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         file = f"{self.path}/{name}.parquet"
-        if file not in _SCHEMAS:  # reading a footer is a Spark job of its own, done once per table and process
-            _SCHEMAS[file] = self.spark.read.parquet(file).schema
-        return self.spark.read.schema(_SCHEMAS[file]).parquet(file)
+        key = (self.spark.sparkContext.applicationId, file, *_file_state(self.spark, file))
+        if key not in _SCHEMAS:  # reading a footer is a Spark job of its own, done once per state of a table
+            _SCHEMAS[key] = self.spark.read.parquet(file).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(file)
 
     def sql(self, text: str, **frames: DataFrame) -> DataFrame:
         """Run SQL over the tables (and extra frames) it names as ``{name}``."""

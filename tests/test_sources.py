@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 from lakekit.functions import clean
 from lakekit.functions.log_lines import parse_log_lines
 from lakekit.operators.snapshots import SnapshotTable
+from lakekit.session import Tables
 from lakekit.sources import files as src
 from lakekit.sources import ingest
 from lakekit.sources.ingest import Loader
@@ -156,3 +157,9 @@ def test_describe_equals_plain_aggregates(spark):
         assert [got["mean"], got["stddev"], got["p10"], got["p50"]] == pytest.approx([float(v) for v in want[3:7]])
     assert tuple(out["none"])[1:] == (0, None, None, None, None, None, None, 0)
     assert (out["t"]["count"], out["t"]["min"], out["t"]["max"], out["t"]["mean"], out["t"]["distinct"]) == (800, "t0", "t6", None, 7)
+
+
+def test_a_table_written_again_is_read_with_its_new_columns(spark, tmp_path):
+    for columns in (["1 AS n_nationkey"], ["1 AS n_nationkey", "'x' AS n_name"]):
+        spark.range(1).selectExpr(*columns).write.mode("overwrite").parquet(f"{tmp_path}/nation.parquet")
+        assert len(Tables(spark, str(tmp_path)).nation.columns) == len(columns)

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryException
 
@@ -35,9 +36,9 @@ def test_unsupported_operations_are_rejected(spark, folder, tmp_path):
         (s.limit(5), "update"),
         (s, "complete"),
     ):
-        with pytest.raises(Exception):
+        with pytest.raises(AnalysisException, match="(?i)stream|output mode"):
             start(df, mode)
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException, match="(?i)stream"):
         s.count()
 
 
@@ -91,7 +92,7 @@ def test_fail_mode_keeps_failing(spark, tmp_path):
     s.run()
     write(tmp_path / "in" / "2.json", {"id": 2, "coupon": "X"})
     for _ in range(2):
-        with pytest.raises(StreamingQueryException):
+        with pytest.raises(StreamingQueryException, match="SchemaChanged"):
             s.run()
     assert s.registry.current()[0] == 0
 

@@ -288,13 +288,13 @@ def r15_custom_state(t: Tables) -> DataFrame:
 
 @plan("""
 WITH e AS (SELECT concat(user_id, ':', event_type) AS visitor, CASE WHEN value > 50 THEN 'high' ELSE 'low' END AS kind, epoch_us(ts) // 1000 AS tm, event_id FROM events),
-     g AS (SELECT *, coalesce(CAST(tm - lag(tm) OVER w > 3 * 86400000 AS INT), 0) AS fresh FROM e WINDOW w AS (PARTITION BY visitor ORDER BY tm, event_id)),
+     g AS (SELECT *, coalesce(CAST(tm - lag(tm) OVER w > 10 * 86400000 AS INT), 0) AS fresh FROM e WINDOW w AS (PARTITION BY visitor ORDER BY tm, event_id)),
      v AS (SELECT *, sum(fresh) OVER (PARTITION BY visitor ORDER BY tm, event_id ROWS UNBOUNDED PRECEDING) AS visit FROM g),
      s AS (SELECT visitor, visit, count(*) AS n, min(tm) AS first, max(tm) AS last, count(DISTINCT kind) AS kinds FROM v GROUP BY 1, 2)
-SELECT visitor, n, first, last, kinds FROM s WHERE last + 3 * 86400000 <= (SELECT max(tm) - 60000 FROM e) OR visit < (SELECT max(visit) FROM s AS o WHERE o.visitor = s.visitor)
+SELECT visitor, n, first, last, kinds FROM s WHERE last + 10 * 86400000 <= (SELECT max(tm) - 60000 FROM e) OR visit < (SELECT max(visit) FROM s AS o WHERE o.visitor = s.visitor)
 """)
 def r15_visits_with_timers(t: Tables) -> DataFrame:
-    """Visits that end three days after their last row, by event-time timers over value and map state; deliveries of three days in turn,
+    """Visits that end ten days after their last row, by event-time timers over value and map state; deliveries of ten days in turn,
     so rows within one never lie further apart than the gap."""
     d = _Deliveries(t)
     rows = _events(t).select(F.concat_ws(":", "user_id", "event_type").alias("visitor"), F.expr("CASE WHEN value > 50 THEN 'high' ELSE 'low' END").alias("kind"), F.col("ts").alias("at"))
@@ -302,12 +302,14 @@ def r15_visits_with_timers(t: Tables) -> DataFrame:
     schema = "visitor STRING, kind STRING, at TIMESTAMP"
     rocks = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     start = first
-    with settings(t.spark, spark__sql__streaming__stateStore__providerClass=rocks):
+    # one state store per core: their number is fixed by a stream's first batch
+    cores = str(t.spark.sparkContext.defaultParallelism)
+    with settings(t.spark, spark__sql__streaming__stateStore__providerClass=rocks, spark__sql__shuffle__partitions=cores):
         while start <= last:
-            end = start + timedelta(days=3)
+            end = start + timedelta(days=10)
             d.land(rows.where((F.col("at") >= F.lit(start)) & (F.col("at") < F.lit(end))))
             stream = file_stream(t.spark, d.folder, schema, recursiveFileLookup="true").withWatermark("at", "1 minute")
-            append_to(visits(stream, "visitor", "kind", "at", 3 * 86_400_000), d.place("visits"), d.place("checkpoint"))
+            append_to(visits(stream, "visitor", "kind", "at", 10 * 86_400_000), d.place("visits"), d.place("checkpoint"))
             start = end
     return t.spark.read.parquet(d.place("visits")).select("visitor", "n", "first", "last", "kinds")
 

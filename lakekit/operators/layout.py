@@ -115,11 +115,12 @@ class ZoneMap:
 INSIDE_BITS, RANGE_BITS = 4, 8
 
 
-def z_value(columns: list[str], bounds: dict[str, list[float]], inside: int = INSIDE_BITS) -> Column:
-    """Position on a Z-order curve: for each column the number of the value's quantile range and its place inside, bits interleaved.
+def with_z_value(df: DataFrame, columns: list[str], bounds: dict[str, list[float]], name: str, inside: int = INSIDE_BITS) -> DataFrame:
+    """Add the position on a Z-order curve: for each column the number of the value's quantile range and its place inside, bits interleaved.
 
     ``bounds`` are rising edges of a column, its least and greatest value included. The range is found by a balanced tree of
-    comparisons, the place inside by the distance from the range's lower edge.
+    comparisons, the place inside by the distance from the range's lower edge; both become columns first, so that each is
+    computed once a row, and not once for each of its bits.
     """
 
     def rank(value: Column, edges: list[float], low: int, high: int) -> Column:
@@ -132,18 +133,21 @@ def z_value(columns: list[str], bounds: dict[str, list[float]], inside: int = IN
         parts = [F.shiftleft(F.shiftright(number, i).bitwiseAND(F.lit(1)).cast("bigint"), (first + i) * len(columns) + j) for i in range(bits)]
         return reduce(Column.__add__, parts, F.lit(0).cast("bigint"))
 
-    out = F.lit(0).cast("bigint")
-    for j, c in enumerate(columns):
+    own, ranges = df.columns, {c: max(1, len(bounds[c]) - 1) for c in columns}
+    values = [F.col(c).cast("double") for c in columns]
+    out = df.select("*", *[
+        (rank(v, bounds[c], 0, ranges[c] - 1) if len(bounds[c]) > 1 else F.lit(0)).alias(f"_at{j}") for j, (c, v) in enumerate(zip(columns, values, strict=True))])
+    places = []
+    for j, (c, v) in enumerate(zip(columns, values, strict=True)):
         edges = bounds[c]
-        n = max(1, len(edges) - 1)
-        value, bits = F.col(c).cast("double"), max(1, (n - 1).bit_length())
-        at = rank(value, edges, 0, n - 1) if len(edges) > 1 else F.lit(0)
-        lower = F.get(F.array(*[F.lit(float(e)) for e in edges[:n]]), at)
-        width = F.get(F.array(*[F.lit(float(b - a)) for a, b in zip(edges, edges[1:], strict=False)] or [F.lit(1.0)]), at)
-        place = F.greatest(F.lit(0), F.least(F.lit(2**inside - 1), F.floor((value - lower) / width * 2**inside))).cast("int")
-        z = spread(at, bits, inside, j) + spread(place, inside, 0, j)
-        out = out + F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(z)
-    return out
+        lower = F.get(F.array(*[F.lit(float(e)) for e in edges[:ranges[c]]]), F.col(f"_at{j}"))
+        width = F.get(F.array(*[F.lit(float(b - a)) for a, b in zip(edges, edges[1:], strict=False)] or [F.lit(1.0)]), F.col(f"_at{j}"))
+        places.append(F.greatest(F.lit(0), F.least(F.lit(2**inside - 1), F.floor((v - lower) / width * 2**inside))).cast("int").alias(f"_in{j}"))
+    out, z = out.select("*", *places), F.lit(0).cast("bigint")
+    for j, (c, v) in enumerate(zip(columns, values, strict=True)):
+        part = spread(F.col(f"_at{j}"), max(1, (ranges[c] - 1).bit_length()), inside, j) + spread(F.col(f"_in{j}"), inside, 0, j)
+        z = z + F.when(v.isNull(), F.lit(0).cast("bigint")).otherwise(part)
+    return out.select(*[F.col(f"`{c}`") for c in own], z.alias(name))
 
 
 def cluster_by(df: DataFrame, columns: list[str], files: int) -> DataFrame:
@@ -161,7 +165,7 @@ def cluster_by(df: DataFrame, columns: list[str], files: int) -> DataFrame:
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     edges = numbers.approxQuantile(columns, [i / 2**bits for i in range(2**bits + 1)], 1 / 2 ** (bits + 2))
     bounds = {c: sorted(set(e)) or [0.0] for c, e in zip(columns, edges, strict=True)}
-    out = df.withColumn("_z", z_value(columns, bounds)).withColumn("_tie", tie)
+    out = with_z_value(df.withColumn("_tie", tie), columns, bounds, "_z")
     return out.repartitionByRange(files, "_z", "_tie").sortWithinPartitions("_z", *columns).drop("_z", "_tie")
 
 

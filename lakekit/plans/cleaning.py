@@ -110,7 +110,8 @@ def p9_summary(t: Tables) -> DataFrame:
 @plan(C + """
 SELECT kind, unit, count(*) AS n, count(volume) AS with_volume, CAST(coalesce(sum(volume), 0) AS DOUBLE) AS total, count(taken_at) AS with_time FROM clean GROUP BY ALL
 """)
-def d13_bronze_to_silver_readings(t: Tables) -> DataFrame:
+def d13_bronze_to_silver_payments(t: Tables) -> DataFrame:
+    """The name is that of the feed before; the rows are meter readings now."""
     return clean_readings(t).groupBy("kind", "unit").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("volume").alias("with_volume"),

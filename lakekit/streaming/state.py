@@ -33,52 +33,98 @@ def running_totals(stream: DataFrame, key: str, value: str, parts: int = 8) -> D
 
 
 class _Visits:
-    """Visits of a key: values seen since it was last idle for ``gap`` milliseconds of event time.
+    """Visits of the keys of a bucket: values seen since a key was last idle for ``gap`` milliseconds of event time.
 
-    Value state holds the visit's figures, map state the count of each kind in it. An event-time timer, moved with every batch, ends
-    a visit once the watermark is ``gap`` past its last row; both states are then cleared, so idle keys take no room.
+    Map state holds the open visit of each key, with the count of each kind in it. Value state holds the time of the bucket's one
+    event-time timer, at or before the first end of an open visit. When it fires, the visits whose end the watermark has passed
+    leave the state, so idle keys take no room, and the timer moves to the next end.
     """
 
-    def __init__(self, key: str, kind: str, time: str, gap: int):
-        self.key, self.kind, self.time, self.gap = key, kind, time, gap
+    def __init__(self, key: str, key_type: str, kind: str, time: str, gap: int):
+        self.key, self.key_type, self.kind, self.time, self.gap = key, key_type, kind, time, gap
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.figures = handle.getValueState("figures", "n BIGINT, first BIGINT, last BIGINT")
-        self.kinds = handle.getMapState("kinds", "kind STRING", "n BIGINT")
+        self.open = handle.getMapState("open", f"key {self.key_type}", "n BIGINT, first BIGINT, last BIGINT, kinds MAP<STRING, BIGINT>")
+        self.timer = handle.getValueState("timer", "at BIGINT")
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        held, size = [], 0
         for frame in rows:
-            frame = frame.sort_values(self.time)
             at = frame[self.time].astype("datetime64[ms]").astype("int64")
-            for _, part in frame.groupby((at.diff() > self.gap).cumsum()):
-                yield from self._take(key, part[self.kind], int(at[part.index[0]]), int(at[part.index[-1]]))
-
-    def _take(self, key, kinds: pd.Series, first: int, last: int):
-        """Add rows without a gap among them to the visit, or end that and begin another."""
-        if self.figures.exists() and first > self.figures.get()[2] + self.gap:
-            yield self._ended(key)
-        n, old_first, old_last = self.figures.get() if self.figures.exists() else (0, first, last)
-        for kind, count in kinds.value_counts().items():
-            seen = self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0
-            self.kinds.updateValue((kind,), (seen + int(count),))
-        last = max(last, old_last)
-        self.figures.update((n + len(kinds), min(first, old_first), last))
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(last + self.gap)
-
-    def _ended(self, key) -> pd.DataFrame:
-        n, first, last = self.figures.get()
-        kinds = sorted((-v[0], k[0]) for k, v in self.kinds.iterator())
-        self.figures.clear()
-        self.kinds.clear()
-        return pd.DataFrame({self.key: [key[0]], "n": [n], "first": [first], "last": [last], "kinds": [len(kinds)],
-                             "top": pd.Series([kinds[0][1]], dtype=object)})
+            held.append(pd.DataFrame({"key": frame[self.key], "kind": frame[self.kind], "first": at, "last": at, "n": 1}))
+            size += len(frame)
+            if size > 100_000:
+                held = [self._joined(pd.concat(held))]
+                size = len(held[0])
+        found = self._joined(pd.concat(held))
+        ended, first_end = [], None
+        visit, names, kinds, counts = (found[c].tolist() for c in ("visit", "key", "kind", "n"))
+        firsts, lasts = found["first"].tolist(), found["last"].tolist()
+        start = 0
+        while start < len(visit):
+            stop = start
+            while stop < len(visit) and visit[stop] == visit[start]:
+                stop += 1
+            name, first, last = (None if pd.isna(names[start]) else names[start],), firsts[start], lasts[start]
+            old = self.open.getValue(name)
+            if old is not None and first > old[2] + self.gap:
+                ended.append((name[0], old))
+                old = None
+            n, old_first, old_last, seen = old if old is not None else (0, first, last, {})
+            seen = dict(seen)
+            for kind, count in zip(kinds[start:stop], counts[start:stop], strict=True):
+                if not pd.isna(kind):
+                    seen[kind] = seen.get(kind, 0) + count
+            last = max(last, old_last)
+            self.open.updateValue(name, (n + sum(counts[start:stop]), min(first, old_first), last, seen))
+            first_end = last + self.gap if first_end is None else min(first_end, last + self.gap)
+            start = stop
+        # a visit that goes on leaves the timer early, which only costs a look at the open visits
+        timer = self.timer.get()
+        if timer is None or first_end < timer[0]:
+            if timer is not None:
+                self.handle.deleteTimer(timer[0])
+            self.handle.registerTimer(first_end)
+            self.timer.update((first_end,))
+        yield from self._rows(ended)
+
+    def _joined(self, parts: pd.DataFrame) -> pd.DataFrame:
+        """Parts of visits (key, kind, first, last, n), in any order, joined to visits: a row per visit and kind with a number of the
+        visit, by key and time."""
+        code = pd.factorize(parts["key"], use_na_sentinel=False)[0]
+        parts = parts.assign(code=code).sort_values(["code", "first"], kind="stable", ignore_index=True)
+        until = parts.groupby("code")["last"].cummax()
+        fresh = (parts["code"] != parts["code"].shift()) | (parts["first"] > until.shift() + self.gap)
+        parts["visit"] = fresh.cumsum()
+        whole = parts.groupby("visit").agg(key=("key", "first"), first=("first", "min"), last=("last", "max"))
+        counts = parts.groupby(["visit", "kind"], dropna=False, as_index=False)["n"].sum()
+        return counts.join(whole, on="visit")
+
+    def _rows(self, ended: list) -> Iterator[pd.DataFrame]:
+        for at in range(0, len(ended), 10_000):
+            part = ended[at:at + 10_000]
+            tops = [min(v[3].items(), key=lambda x: (-x[1], x[0]))[0] if v[3] else None for _, v in part]
+            yield pd.DataFrame({self.key: pd.Series([k for k, _ in part], dtype=object), **{
+                c: [v[i] for _, v in part] for i, c in enumerate(("n", "first", "last"))}, "kinds": [len(v[3]) for _, v in part],
+                "top": pd.Series(tops, dtype=object)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        if self.figures.exists():
-            yield self._ended(key)
+        watermark, ended, first_end = timerValues.getCurrentWatermarkInMs(), [], None
+        for name, visit in self.open.iterator():
+            end = visit[2] + self.gap
+            if end < watermark:
+                ended.append((name[0], visit))
+            else:
+                first_end = end if first_end is None else min(first_end, end)
+        for name, _ in ended:
+            self.open.removeKey((name,))
+        if first_end is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(first_end)
+            self.timer.update((first_end,))
+        yield from self._rows(ended)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
         raise NotImplementedError
@@ -87,16 +133,22 @@ class _Visits:
         pass
 
 
-def visits(stream: DataFrame, key: str, kind: str, time: str, gap_ms: int) -> DataFrame:
+def visits(stream: DataFrame, key: str, kind: str, time: str, gap_ms: int, buckets: int = 256) -> DataFrame:
     """One row per finished visit: key, rows, first and last time (milliseconds), different kinds, the most frequent kind.
 
     The stream needs a watermark on ``time``. Runs on the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
     A visit ends when a row comes more than ``gap_ms`` after its last one, or the watermark has passed that by ``gap_ms``; the last ones stay
-    open until later rows move the watermark. Rows out of order by more than the gap, but within the watermark, join the open visit.
+    open until later rows move the watermark. Rows of one batch may come in any order; rows that come a batch late by more than the gap,
+    but within the watermark, join the open visit. Keys are dealt to ``buckets`` by a hash: the rows of a batch are joined to
+    visits a bucket at a time, and only then is the state asked, once per visit.
     """
     from pyspark.sql.streaming import StatefulProcessor
 
-    processor = type("Visits", (_Visits, StatefulProcessor), {})(key, kind, time, gap_ms)
     number = dict(stream.dtypes)[key]
-    return stream.select(key, kind, time).groupBy(key).transformWithStateInPandas(
-        processor, f"{key} {number}, n BIGINT, first BIGINT, last BIGINT, kinds BIGINT, top STRING", "append", "EventTime")
+    carried = number if number == "binary" else "string"
+    processor = type("Visits", (_Visits, StatefulProcessor), {})(key, carried, kind, time, gap_ms)
+    # keys travel as strings: a null would turn the whole numbers of its Arrow batch into floats in pandas
+    rows = stream.select(F.col(key).cast(carried), kind, time, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"))
+    ended = rows.groupBy("bucket").transformWithStateInPandas(
+        processor, f"{key} {carried}, n BIGINT, first BIGINT, last BIGINT, kinds BIGINT, top STRING", "append", "EventTime")
+    return ended.withColumn(key, F.col(key).cast(number))

@@ -1,6 +1,7 @@
 """Streams over tables that change, folders with old files, and state with timers."""
 
 import os
+import random
 import time
 
 import pytest
@@ -87,3 +88,30 @@ def test_visits_end_by_timer_and_leave_no_state(spark, tmp_path):
         found = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").select("user", "n", (F.col("last") - F.col("first")).alias("ms"), "kinds", "top").collect())
     assert found == [(1, 4, 20 * 60_000, 3, "b"), (2, 1, 0, 1, "a"), (3, 1, 0, 1, "a")]
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] > 0
+
+
+def test_rows_of_one_batch_come_in_any_order_and_frame(spark, tmp_path):
+    """A batch's rows are joined to visits before the state is asked, over all frames of a bucket; keys and kinds may be null."""
+    start, gap = 1_767_261_600, 30 * 60
+    dice, rows = random.Random(3), []
+    for user in (None, *range(12)):
+        for _ in range(dice.randint(1, 30)):
+            rows.append((user, dice.choice(["a", "b", None]), start + dice.randint(0, 10 * 3600)))
+    expected = []
+    for user in {r[0] for r in rows}:
+        own = sorted(((at, kind) for u, kind, at in rows if u == user), key=lambda x: x[0])
+        parts = [[own[0]]]
+        for row in own[1:]:
+            parts.append([row]) if row[0] > parts[-1][-1][0] + gap else parts[-1].append(row)
+        expected += [(user, len(p), p[0][0] * 1000, p[-1][0] * 1000, len({kind for _, kind in p} - {None})) for p in parts]
+    late = [(99, "z", start + 100 * 3600)]
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=provider, spark__sql__shuffle__partitions="2",
+                  spark__sql__execution__arrow__maxRecordsPerBatch="3"):
+        for step, part in enumerate((rows, late)):
+            spark.createDataFrame(part, "user LONG, kind STRING, at LONG").selectExpr("user", "kind", "timestamp_seconds(at) AS at").coalesce(1).write.parquet(f"{tmp_path}/in/{step}")
+            stream = spark.readStream.schema("user LONG, kind STRING, at TIMESTAMP").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+            append_to(visits(stream.withWatermark("at", "1 minute"), "user", "kind", "at", gap * 1000, buckets=4), f"{tmp_path}/out", f"{tmp_path}/cp")
+    found = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").select("user", "n", "first", "last", "kinds").collect()]
+    order = lambda r: (r[0] is not None, r)[0:1] + tuple(x or 0 for x in r)
+    assert sorted(found, key=order) == sorted(expected, key=order)

@@ -5,31 +5,35 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def running_totals(stream: DataFrame, key: str, value: str, parts: int = 8) -> DataFrame:
-    """Number of rows and sum so far per key and part, one update row for each that a batch touches.
+def running_totals(stream: DataFrame, key: str, value: str) -> DataFrame:
+    """Number of rows and sum so far per key, one update row for each that a batch touches.
 
-    A key's rows are spread over ``parts`` states by a hash of the row, so a busy key is shared by several tasks; readers add
-    the parts up. The rows of a part arrive as a sequence of frames and are never held as a whole.
+    Rows are added up per key and Arrow batch before they are shuffled, so a busy key brings one row per ten thousand of its
+    rows to its state; the rows of a key arrive as a sequence of frames and are never held as a whole.
     """
 
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(key).aggregate([([], "count_all"), (value, "sum")])
+            yield from pa.table({key: found[key], "n": found["count_all"], "total": found[f"{value}_sum"].fill_null(0)}).to_batches()
+
     def advance(k, frames: Iterator[pd.DataFrame], state: GroupState):
         n, total = state.get if state.exists else (0, 0)
         for frame in frames:
-            n += len(frame)
-            total += int(frame[value].sum())
+            n += int(frame["n"].sum())
+            total += int(frame["total"].sum())
         state.update((n, total))
-        yield pd.DataFrame({key: [k[0]], "part": [k[1]], "n": [n], "total": [total]})
+        yield pd.DataFrame({key: [k[0]], "n": [n], "total": [total]})
 
-    rows = stream.select(key, value).withColumn("part", F.pmod(F.xxhash64(key, value), F.lit(parts)))
-    return rows.groupBy(key, "part").applyInPandasWithState(
-        advance, f"{key} BIGINT, part BIGINT, n BIGINT, total BIGINT", "n BIGINT, total BIGINT", "update",
-        GroupStateTimeout.NoTimeout,
-    )
+    rows = stream.select(key, value).mapInArrow(combine, f"{key} BIGINT, n BIGINT, total BIGINT")
+    return rows.groupBy(key).applyInPandasWithState(
+        advance, f"{key} BIGINT, n BIGINT, total BIGINT", "n BIGINT, total BIGINT", "update", GroupStateTimeout.NoTimeout)
 
 
 class _Visits:

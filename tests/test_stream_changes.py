@@ -12,7 +12,7 @@ from lakekit.operators.tables import delete, update
 from lakekit.session import settings
 from lakekit.streaming.changes import SourceChanged, follow_table, stream_from_now_on
 from lakekit.streaming.runs import append_to
-from lakekit.streaming.state import visits
+from lakekit.streaming.state import running_totals, visits
 
 
 def rows_of(spark, n, first=0):
@@ -115,3 +115,16 @@ def test_rows_of_one_batch_come_in_any_order_and_frame(spark, tmp_path):
     found = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").select("user", "n", "first", "last", "kinds").collect()]
     order = lambda r: (r[0] is not None, r)[0:1] + tuple(x or 0 for x in r)
     assert sorted(found, key=order) == sorted(expected, key=order)
+
+
+def test_running_totals_keep_one_state_per_key(spark, tmp_path):
+    rows = [(k, v) for k in range(5) for v in range(100)] + [(None, 3), (1, None)]
+    spark.createDataFrame(rows, "k LONG, v LONG").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("k LONG, v LONG").parquet(f"{tmp_path}/in")
+    with settings(spark, spark__sql__shuffle__partitions="2"):
+        query = running_totals(stream, "k", "v").writeStream.outputMode("update").format("memory").queryName("totals_test").option(
+            "checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+        query.awaitTermination()
+    found = sorted(((r.k if r.k is not None else -1, r.n, r.total) for r in spark.table("totals_test").collect()))
+    assert found == [(-1, 1, 3), (0, 100, 4950), (1, 101, 4950), *((k, 100, 4950) for k in (2, 3, 4))]
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 6

@@ -90,7 +90,7 @@ class Words:
 
     def new_line(self) -> np.ndarray:
         """Whether a line feed lies between a word and the word before it (of the same batch)."""
-        feeds = np.cumsum(self._source == 10)[self.source_start]
+        feeds = np.searchsorted(np.flatnonzero(self._source == 10), self.source_start)
         return np.append(False, feeds[1:] != feeds[:-1])
 
     def array(self) -> pa.LargeBinaryArray:

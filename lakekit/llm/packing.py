@@ -22,6 +22,7 @@ import os
 import re
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +40,18 @@ KINDS = np.full(256, MARK, np.uint8)
 KINDS[32], KINDS[48:58], KINDS[65:91], KINDS[97:123], KINDS[128:] = SPACE, DIGIT, LETTER, LETTER, FOREIGN
 KINDS[124] = FOREIGN  # control tokens have bars
 #: A piece that the vocabulary's pattern does not cut, and that neither normalisation nor case changes.
-PLAIN = re.compile(rb"[a-z]+|[0-9]|[\x00-/:-@\[-`{-\x7f]+")
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf])+|[0-9]|[\x00-/:-@\[-`{-\x7f]+")
 STOP, CLOSER = np.zeros(256, bool), np.zeros(256, bool)
 STOP[list(b".!?")] = CLOSER[list(b"\"')]")] = True
 #: Sentence marks of other scripts, as the last three bytes of a word.
 FOREIGN_STOPS = ["。", "！", "？", "…"]
 
+#: First bytes of U+00C0 to U+023F, and the two bytes of those that are no letter (the times and division signs) or become two characters in
+#: lower case (the dotted I). All others there are letters, and none of them combines with a neighbour.
+LATIN = np.zeros(256, bool)
+LATIN[0xC3:0xC9] = True
+NOT_LATIN = [0xC397, 0xC3B7, 0xC4B0]
+
 RESULT = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -99,6 +106,15 @@ def cut_places(ends: np.ndarray, sentences: np.ndarray) -> tuple[np.ndarray, np.
     return places, penalties
 
 
+def kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of each byte; both bytes of a Latin letter are letters."""
+    out = KINDS[data]
+    at = np.flatnonzero(LATIN[data])
+    at = at[~np.isin(data[at].astype(np.int32) << 8 | data[at + 1], NOT_LATIN)] if len(at) else at
+    out[at] = out[at + 1] = LETTER
+    return out
+
+
 def sentence_ends(words: Words) -> np.ndarray:
     """Whether a word ends with a sentence mark, up to two closing quotes or brackets aside."""
     data = np.concatenate([np.full(4, 32, np.uint8), words.data])
@@ -106,17 +122,26 @@ def sentence_ends(words: Words) -> np.ndarray:
     out = STOP[data[last]]
     for skip in (1, 2):
         out |= STOP[data[last - skip]] & CLOSER[data[last]] & (CLOSER[data[last - 1]] if skip == 2 else True)
+    foreign = np.flatnonzero(data[last] >= 128)
+    last = last[foreign]
     three = data[last - 2].astype(np.int64) << 16 | data[last - 1].astype(np.int64) << 8 | data[last]
-    return out | np.isin(three, [int.from_bytes(c.encode(), "big") for c in FOREIGN_STOPS])
+    out[foreign] |= np.isin(three, [int.from_bytes(c.encode(), "big") for c in FOREIGN_STOPS])
+    return out
+
+
+@lru_cache(maxsize=1)
+def _tokens(path: str) -> Tokens:
+    """One for all tasks of a Python worker, so that a task finds the pieces of those before it."""
+    return Tokens(path)
 
 
 class Tokens:
     """Token ids of texts, by distinct pieces of words, none of which a token of the vocabulary crosses.
 
-    ASCII words without an apostrophe or a bar (which may begin a control token) are lower-cased and cut into runs of letters, single
-    digits and runs of other characters, as the vocabulary's pattern does; what the tokenizer makes of one ends with a token of a
+    Words of ASCII and Latin letters (U+00C0 to U+023F) without an apostrophe or a bar (which may begin a control token) are lower-cased
+    in ASCII and cut into runs of letters, single digits and runs of other characters, as the vocabulary's pattern does; what the tokenizer makes of one ends with a token of a
     word's end, so hundreds are encoded in one call. Other words are left to the tokenizer as they are, save up to eight ASCII marks
-    after an ASCII letter or digit at their end. A bounded number of pieces is remembered with their ids."""
+    after an ASCII letter or digit at their end. A bounded number of pieces, those met most often, is remembered with their ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
@@ -125,11 +150,20 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.word_end = np.zeros(1 << 17, bool)
         self.word_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.table, self.sizes = np.array([END_ID], np.uint32), np.array([1])  # number 0 is the end token
+        self.met = np.zeros(1, np.int64)  # in how many slices of documents a piece was
+
+    def _thin(self) -> None:
+        """Forget the pieces that were met least often, half of them at least."""
+        least = 2
+        while np.count_nonzero(self.met >= least) > REMEMBERED // 2:
+            least += 1
+        kept = np.append(0, np.flatnonzero(self.met >= least))
+        pieces = list(self.known)  # in the order of their numbers, from 1
+        self.known = {pieces[i - 1]: n for n, i in enumerate(kept.tolist()) if n}
+        self.table = self.table[spans_of((np.cumsum(self.sizes) - self.sizes)[kept], self.sizes[kept])]
+        self.sizes, self.met = self.sizes[kept], self.met[kept] // 2
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -148,24 +182,28 @@ class Tokens:
         self.known.update(zip([*simple, *rest], range(len(self.sizes), len(self.sizes) + len(pieces)), strict=True))
         self.table = np.concatenate([self.table, ids, flat])
         self.sizes = np.concatenate([self.sizes, np.diff(ends, prepend=0), np.array([len(x) for x in found], np.int64)])
+        self.met = np.append(self.met, np.zeros(len(pieces), np.int64))
 
     def _look_up(self, pieces: list[bytes]) -> np.ndarray:
         """Numbers of the pieces."""
         if len(self.known) > REMEMBERED:
-            self._forget()
+            self._thin()
         if new := [p for p in pieces if p not in self.known]:
             self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        number = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        self.met[number] += 1
+        return number
 
     def stream(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the end token after each; where each text ends; where sentences or lines end inside texts."""
         words = Words(texts, NOT_SPACE, lower=False)
         data, n = words.data, len(words)
-        kind = KINDS[data]
-        odd = np.append(0, np.cumsum((kind == FOREIGN) | (data == 39), dtype=np.int32))
-        plain = odd[words.end] == odd[words.start]
-        inside = np.repeat(plain, words.end - words.start + 1)
-        low = np.where(inside, LOWER[data], data)
+        kind = kinds(data)
+        plain = np.ones(n, bool)
+        plain[np.searchsorted(words.start, np.flatnonzero((kind == FOREIGN) | (data == 39)), side="right") - 1] = False
+        others = spans_of(words.start[~plain], (words.end - words.start)[~plain] + 1)
+        inside, low = np.ones(len(data), bool), LOWER[data]
+        inside[others], low[others] = False, data[others]
         before = np.append(np.uint8(SPACE), kind[:-1])
         start = inside & (kind != SPACE) & ((kind != before) | (kind == DIGIT))
         start[words.start] = True
@@ -177,12 +215,13 @@ class Tokens:
         tails = tails[(tails > heads) & (tails < words.end[~plain]) & ((kind[tails - 1] == LETTER) | (kind[tails - 1] == DIGIT))]
         start[tails] = True
         first = np.flatnonzero(start)
-        letters = kind != SPACE
-        place = np.append(0, np.cumsum(letters, dtype=np.int32))
-        bounds = np.append(place[first], place[-1]).astype(np.int64)
-        cut = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(low[letters])]).dictionary_encode()
+        heading = np.zeros(len(data), bool)
+        heading[words.start] = True
+        heading = heading[first]  # whether a piece begins its word
+        bounds = np.append(first - np.cumsum(heading) + 1, len(data) - n).astype(np.int64)  # a space less for each word before
+        cut = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(low[kind != SPACE])]).dictionary_encode()
         number = self._look_up(cut.dictionary.to_pylist())[cut.indices.to_numpy(zero_copy_only=False)]
-        of_word = np.searchsorted(first, words.start)  # the first piece of each word
+        of_word = np.flatnonzero(heading)  # the first piece of each word
         closing = np.append(of_word, len(first))[words.first[1:]]
         stops = np.zeros(len(first), bool)
         stops[np.append(of_word[1:], len(first)) - 1] = sentence_ends(words) | np.append(words.new_line()[1:], False) if n else False
@@ -209,7 +248,7 @@ def pack(documents: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", t
     inner = carried.inner
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer_path)
+        tokens = _tokens(tokenizer_path)
         base, made = TaskContext.get().partitionId() << 32, 0
         held: list[pa.RecordBatch] = []  # the columns of the documents that are not packed yet
         ids, ends, stops = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)

@@ -86,6 +86,35 @@ def test_word_by_word_ids_are_those_of_whole_texts(tokenizer):
         assert ids[start:end].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
 
 
+def test_words_of_latin_letters_are_encoded_by_the_hundred(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    letters = [chr(c) for c in range(0xC0, 0x240)]
+    dice = random.Random(3)
+    texts = [*letters, *("".join(dice.choice([*letters, "a", "Z", "7", ",", " "]) for _ in range(9)) for _ in range(3000))]
+    ours = packing.Tokens(PATH)
+    ids, ends, _ = ours.stream(pa.array(texts))
+    for text, start, end in zip(texts, np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+        assert ids[start:end].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
+    calls = []
+    monkeypatch.setattr(ours, "_encoded", lambda texts, of=ours._encoded: calls.append(len(texts)) or of(texts))
+    ours.stream(pa.array([" ".join(f"{a}ñ{b}" for a in letters[:20] for b in letters[60:90])]))
+    assert sum(calls) < 20
+
+
+def test_pieces_met_often_are_not_forgotten(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    ours, often = packing._tokens(PATH), "met in every text"
+    assert packing._tokens(PATH) is ours  # by the next task of the worker as well
+    for i in range(0, 900, 30):
+        text = " ".join([often, *(f"word{chr(97 + n % 26)}{chr(97 + n // 26)}x" for n in range(i, i + 30))])
+        ids, _, _ = ours.stream(pa.array([text]))
+        assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert len(ours.known) <= 50 + 35 and all(w.encode() in ours.known for w in often.split())
+
+
 def test_pieces_join_without_loss(spark):
     """Documents of very different lengths, empty ones among them."""
     import pyarrow as pa

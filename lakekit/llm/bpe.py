@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, joined, spans_of
+from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, frugal, joined, spans_of
 
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
 #: Bytes of text in a slice of documents, distinct pieces that a task remembers, bytes of a piece above which a heap is used.
@@ -302,12 +302,12 @@ def encode(documents: DataFrame, ranks: dict[bytes, int], *, text: str = "text",
     fields = ", ".join([*carried.fields, "one: int"])
     table = _pair_ranks(ranks)
     shared = documents.sparkSession.sparkContext.broadcast(ranks)
-    slices = carried.frame.withColumn("one", F.lit(0)).mapInArrow(_numbered(inner, shared, slice_bytes, remembered), f"rows array<struct<{fields}>>, counts binary, codes binary, "
+    slices = carried.frame.withColumn("one", F.lit(0)).mapInArrow(frugal(_numbered(inner, shared, slice_bytes, remembered)), f"rows array<struct<{fields}>>, counts binary, codes binary, "
                               "open array<array<bigint>>, others array<array<int>>, fresh boolean")
     # one literal, bound once: each mention of the table would be folded to a copy of its own
     folded = _let(table, lambda t: F.transform("open", lambda w: merged(w, t)))
     coded = slices.select("rows", "counts", "codes", "others", "fresh", folded.alias("merged"))
-    out = coded.mapInArrow(_ordered(inner, shared if decoded else None), f"{fields}, ids array<int>{', decoded binary' * decoded}")
+    out = coded.mapInArrow(frugal(_ordered(inner, shared if decoded else None)), f"{fields}, ids array<int>{', decoded binary' * decoded}")
     return carried.named(out.drop("one"))
 
 

@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakekit.llm.arrow_text import Carried, Words, arrow_batches, chunks
+from lakekit.llm.arrow_text import Carried, Words, arrow_batches, chunks, give_back
 
 SAMPLE, LEAST, SAMPLE_BYTES = 800, 25, 1 << 16
 ORDERS, ROWS, PIECE, ROUNDS, UNKNOWN = (1, 2, 3, 4), 1 << 17, 16, 25, "und"
+#: Letters scored at a time, and bytes of text that a task works on: these set the memory of a Python worker.
+BLOCK, SLICE = 1 << 16, 1 << 20
 
 LETTERS = np.zeros(256, dtype=bool)
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
@@ -56,17 +58,19 @@ class Vocabulary:
         self.letters = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
         self.start = np.append(0, np.cumsum([len(w) + 2 for w in spelled])).astype(np.int64)
 
-    def grams(self) -> list[np.ndarray]:
-        """Per order: the feature of the n-gram at each letter; ``ROWS`` where none starts."""
-        size = len(self.letters)
-        end = np.repeat(self.start[1:], np.diff(self.start))
+    def grams(self, low: int = 0, high: int | None = None) -> list[np.ndarray]:
+        """Per order: the feature of the n-gram at each letter of the words from ``low`` to ``high`` (all by default); ``ROWS`` where none starts."""
+        start = self.start[low:(len(self.words) if high is None else high) + 1]
+        letters = self.letters[start[0]:start[-1]]
+        size = len(letters)
+        end = np.repeat(start[1:] - start[0], np.diff(start))
         place = np.arange(size)
         out, hashed = [], np.zeros(size, np.uint64)
         with np.errstate(over="ignore"):
             for order in range(1, max(ORDERS) + 1):
                 ahead = np.zeros(size, np.uint64)
                 if size >= order:
-                    ahead[:size - order + 1] = self.letters[order - 1:]
+                    ahead[:size - order + 1] = letters[order - 1:]
                 hashed = (hashed + ahead + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
                 hashed ^= hashed >> np.uint64(32)
                 if order in ORDERS:
@@ -98,11 +102,15 @@ class Vocabulary:
         return out
 
     def emissions(self, field: Field) -> np.ndarray:
-        """Score of each distinct word for each language."""
-        if not self.words:
-            return np.zeros((0, len(field.languages)), np.float32)
-        total = sum(field.weights[g] for g in self.grams())
-        return np.add.reduceat(total, self.start[:-1], axis=0) + field.weights[self.lexicons(field)]
+        """Score of each distinct word for each language, ``BLOCK`` letters at a time."""
+        out = np.zeros((len(self.words), len(field.languages)), field.weights.dtype)
+        low = 0
+        while low < len(self.words):
+            high = max(low + 1, int(np.searchsorted(self.start, self.start[low] + BLOCK, side="right")) - 1)
+            total = sum(field.weights[g] for g in self.grams(low, high))
+            out[low:high] = np.add.reduceat(total, self.start[low:high] - self.start[low], axis=0)
+            low = high
+        return out + field.weights[self.lexicons(field)]
 
 
 def marginals(scores: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,7 +217,9 @@ def learn(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", l
     chosen = ranked.select("doc_id", "lang")
     one = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     found = sorted((r.text, r.lang) for r in one.collect())
-    return fit_field([t for t, _ in found], [x for _, x in found])
+    field = fit_field([t for t, _ in found], [x for _, x in found])
+    give_back()
+    return field
 
 
 RESULT = "lang_pred string, score double, n_words long, shares array<double>"
@@ -223,7 +233,7 @@ def predict(documents: DataFrame, field: Field, *, text: str = "text", keep: lis
     without languages give ``und``, score 0 and no shares. Only the text is looked at.
     """
     spark = documents.sparkSession
-    arrow_batches(spark)
+    arrow_batches(spark, 500, 2 << 20)
     own = [x.split()[0] for x in RESULT.split(", ")]
     carried = Carried(documents, text, own, keep)
     inner = carried.inner
@@ -232,7 +242,7 @@ def predict(documents: DataFrame, field: Field, *, text: str = "text", keep: lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Field = shared.value
         for batch in batches:
-            for part in chunks(batch, "_text", 4 << 20):
+            for part in chunks(batch, "_text", SLICE):
                 found = Vocabulary(part.column("_text"))
                 counts = np.diff(found.first)
                 shares = np.zeros((len(counts), len(model.languages)))

@@ -73,3 +73,27 @@ def test_the_sample_is_bounded_with_one_id_repeated(spark, monkeypatch):
     langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6), sample=800)
     texts, labels = seen[0]
     assert labels.count("en") == 1 and labels.count("fr") == 400 and sum(map(len, texts)) < 400 * 100
+
+
+def test_memory_does_not_follow_the_number_of_distinct_words(field):
+    """Beyond what is returned; and a pass works on a slice of a batch, its free memory given back at the end."""
+    import tracemalloc
+
+    found = langid.Vocabulary(pa.array([" ".join(f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}q" for i in range(17_000)) + " für"] * 2))
+    whole = sum(field.weights[g] for g in found.grams())
+    whole = np.add.reduceat(whole, found.start[:-1], axis=0) + field.weights[found.lexicons(field)]
+    tracemalloc.start()
+    scores = found.emissions(field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(scores, whole) and len(found.words) > 16_000
+    assert peak < 10 << 20
+
+
+def test_a_pass_gives_its_memory_back(monkeypatch):
+    from lakekit.llm import arrow_text
+
+    calls = []
+    monkeypatch.setattr(arrow_text, "give_back", lambda: calls.append(1))
+    batch = pa.record_batch({"a": [1, 2]})
+    assert [b.num_rows for b in arrow_text.frugal(lambda batches: (b.slice(1) for b in batches))(iter([batch]))] == [1] and calls == [1]

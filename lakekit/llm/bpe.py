@@ -23,11 +23,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, frugal, joined, spans_of
+from lakekit.llm.arrow_text import Carried, arrow_batches, chunks, frugal, give_back, joined, spans_of
 
 LETTER, NUMBER, SPACE, OTHER, END = range(5)
 #: Bytes of text in a slice of documents, distinct pieces that a task remembers, bytes of a piece above which a heap is used.
-SLICE, REMEMBERED, LONG = 2 << 20, 500_000, 256
+SLICE, REMEMBERED, LONG = 1 << 20, 500_000, 256
+#: Bytes of text that are cut into pieces at a time, and pieces that are put in order at a time: each byte takes some sixty on the way.
+PART, PIECES = 1 << 17, 1 << 15
 #: Bits of an id, lowest bit of a rank in the fold's state, and how pairs are dealt to the small maps.
 BITS, RANK, BUCKETS, SPREAD = 17, 46, 1 << 16, 40503
 
@@ -177,23 +179,33 @@ def merged_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _first_state(data: np.ndarray, bounds: np.ndarray, ranks: dict[bytes, int]) -> np.ndarray:
-    """The fold's first state: one long per byte of the pieces."""
+def _byte_ranks(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks of the single bytes, and of all pairs of two."""
     single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-    double = np.array([ranks.get(bytes([a, b]), (1 << BITS) - 1) for a in range(256) for b in range(256)], np.int64)
+    return single, np.array([ranks.get(bytes([a, b]), (1 << BITS) - 1) for a in range(256) for b in range(256)], np.int64)
+
+
+def _first_state(data: np.ndarray, bounds: np.ndarray, single: np.ndarray, double: np.ndarray) -> np.ndarray:
+    """The fold's first state: one long per byte of the pieces; what it takes is as large again, so it is made in place."""
     pair = double[data.astype(np.int64) * 256 + np.append(data[1:], 0)] if len(data) else np.zeros(0, np.int64)
     pair[bounds[1:] - 1] = (1 << BITS) - 1
-    place = np.arange(len(data)) - np.repeat(bounds[:-1], np.diff(bounds))
-    return (pair << RANK) + (place << BITS) + single[data]
+    pair <<= RANK
+    place = np.arange(len(data))
+    place -= np.repeat(bounds[:-1], np.diff(bounds))
+    place <<= BITS
+    pair += place
+    pair += single[data]
+    return pair
 
 
 def _numbered(names: list[str], ranks_of, slice_bytes: int, remembered: int):
     """One row per slice of documents: their kept columns, the numbers of their pieces in order, the distinct pieces that
     need merges as arrays of bytes, and the ids of the others (pieces with a rank of their own, and long ones)."""
 
-    def made(held: list[pa.RecordBatch], ranks: dict[bytes, int], known: pa.Array) -> tuple[pa.RecordBatch, pa.Array]:
+    def made(held: list[pa.RecordBatch], ranks: dict[bytes, int], ranked: pa.Array, byte_ranks: tuple[np.ndarray, np.ndarray],
+             known: pa.Array) -> tuple[pa.RecordBatch, pa.Array]:
         rows = pa.StructArray.from_arrays([pa.concat_arrays([b.column(n) for b in held]) for n in names], names=names)
-        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", 1 << 19)]
+        parts = [pieces(part.column("_text")) for b in held for part in chunks(b, "_text", PART)]
         words = pa.chunked_array([w for w, _ in parts]).unify_dictionaries()
         codes = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in words.chunks]).astype(np.int32)
         counts = np.concatenate([c for _, c in parts]).astype(np.int32)
@@ -203,7 +215,7 @@ def _numbered(names: list[str], ranks_of, slice_bytes: int, remembered: int):
         place = pc.fill_null(pc.index_in(distinct, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int32)
         unseen = np.flatnonzero(place < 0)
         new = distinct.take(pa.array(unseen))
-        done = pc.or_(pc.is_in(new, value_set=pa.array(ranks, pa.large_binary())), pc.greater(pc.binary_length(new), LONG))
+        done = pc.or_(pc.is_in(new, value_set=ranked), pc.greater(pc.binary_length(new), LONG))
         is_done = done.to_numpy(zero_copy_only=False)
         order = np.argsort(is_done, kind="stable")
         place[unseen[order]] = len(known) + np.arange(len(unseen))
@@ -214,7 +226,7 @@ def _numbered(names: list[str], ranks_of, slice_bytes: int, remembered: int):
         bounds = np.frombuffer(bounds, np.int64)[:len(open_) + 1] if len(open_) else np.zeros(1, np.int64)
         data = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if len(open_) else np.zeros(0, np.uint8)
         bounds = bounds - bounds[0]
-        merges = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_first_state(data, bounds, ranks), pa.int64()))
+        merges = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_first_state(data, bounds, *byte_ranks), pa.int64()))
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         row = pa.RecordBatch.from_arrays(
             [one(rows), pa.array([counts.tobytes()]), pa.array([place[codes].tobytes()]), one(merges),
@@ -224,18 +236,19 @@ def _numbered(names: list[str], ranks_of, slice_bytes: int, remembered: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of.value
+        ranked, byte_ranks = pa.array(ranks, pa.large_binary()), _byte_ranks(ranks)
         held, size, known = [], 0, pa.array([], pa.large_binary())
         for batch in batches:
             for part in chunks(batch, "_text", slice_bytes):
                 held.append(part)
                 size += part.column("_text").nbytes
                 if size >= slice_bytes:
-                    row, known = made(held, ranks, known)
+                    row, known = made(held, ranks, ranked, byte_ranks, known)
                     held, size = [], 0
                     yield row
-                    pa.default_memory_pool().release_unused()
+                    give_back()
         if held:
-            yield made(held, ranks, known)[0]
+            yield made(held, ranks, ranked, byte_ranks, known)[0]
 
     return run
 
@@ -261,8 +274,8 @@ def _ordered(names: list[str], ranks_of=None):
                     bounds = np.append(bounds, bounds[-1] + np.cumsum(sizes, dtype=np.int64))
                 ends = np.append(0, np.cumsum(counts, dtype=np.int64))
                 low = 0
-                while low < len(counts):  # about a quarter of a million pieces at a time
-                    high = max(low + 1, int(np.searchsorted(ends, ends[low] + (1 << 18), side="right")) - 1)
+                while low < len(counts):  # so many pieces at a time, since their bytes are gathered by place
+                    high = max(low + 1, int(np.searchsorted(ends, ends[low] + PIECES, side="right")) - 1)
                     part = codes[ends[low]:ends[high]]
                     lengths = bounds[part + 1] - bounds[part]
                     ids = values[spans_of(bounds[part], lengths)]

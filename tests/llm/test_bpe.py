@@ -1,6 +1,8 @@
 import hashlib
 import random
 import sys
+import tracemalloc
+from types import SimpleNamespace
 
 import public_tokenizers
 import pyarrow as pa
@@ -91,3 +93,27 @@ def test_awkward_rows(awkward, nothing, ranks, reference):
 def test_incomplete_ranks_are_refused(awkward):
     with pytest.raises(ValueError, match="every byte"):
         bpe.encode(awkward, {b"a": 0})
+
+
+def test_passes_hold_little():
+    """The two Python passes over 4 MB of text take far less than they would with the arrays of a whole slice, and list the ranks once."""
+    dice = random.Random(5)
+    texts = [" ".join("".join(dice.choice("abcdefghij") for _ in range(dice.randint(1, 9))) for _ in range(2000)) for _ in range(400)]
+    ranks = {bytes([b]): b for b in range(256)}
+    shared = SimpleNamespace(value=ranks)
+    batches = [pa.RecordBatch.from_pydict({"c0": list(range(k, k + 100)), "one": [0] * 100, "_text": texts[k:k + 100]}) for k in range(0, 400, 100)]
+    bpe._classes()
+
+    def coded():
+        for row in bpe._numbered(["c0", "one", "_text"], shared, bpe.SLICE, bpe.REMEMBERED)(iter(batches)):
+            columns = {("merged" if n == "open" else n): row.column(n) for n in row.schema.names}  # no two bytes merge here
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    tracemalloc.start()
+    found = []
+    for out in bpe._ordered(["c0", "one", "_text"], shared)(coded()):
+        found += [(i, x) for i, x in zip(out.column("c0").to_pylist(), (out.column("decoded").to_pylist()), strict=True)]
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert found == [(i, t.encode()) for i, t in enumerate(texts)]
+    assert most < 70, most

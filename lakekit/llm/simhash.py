@@ -73,13 +73,13 @@ def fingerprints(documents: DataFrame, *, text: str = "text", keep: list[str] |
     Texts are lower-cased (A-Z), cut at ASCII white space, and hashed by shingles, repeats included. A text without words, or
     a null one, has fingerprint zero.
     """
-    arrow_batches(documents.sparkSession)
+    arrow_batches(documents.sparkSession, size=2 << 20)
     carried = Carried(documents, text, ["fingerprint"], keep)
     inner = carried.inner
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "_text"):
+            for part in chunks(batch, "_text", 1 << 19):
                 made = majority(*shingle_hashes(Words(part.column("_text"), NOT_SPACE), size, seed))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in inner), pa.array(made.view(np.int64))], names=[*inner, "fingerprint"])

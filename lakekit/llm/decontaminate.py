@@ -284,7 +284,7 @@ def find_contamination(
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "_text"):
+            for part in chunks(batch, "_text", 1 << 20):
                 shard = Shard(part.column("_text"))
                 for block in blocks:
                     shard.probe(block.value, window)
